@@ -1,0 +1 @@
+"""Further catalogue entries (serving, streaming, ML, run statistics)."""
