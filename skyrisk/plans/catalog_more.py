@@ -1 +1,246 @@
-"""Further catalogue entries (serving, streaming, ML, run statistics)."""
+"""Catalogue entries: serving queries, file sources and sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from skyrisk.operators import ml, serving as S
+from skyrisk.operators.clean import clean_features
+from skyrisk.operators.windows import window_statistics
+from skyrisk.plans.catalog import (WINDOW_ROUND, aggregates, labelled, processed, query,
+                                   strict)
+from skyrisk.plans.present import present
+from skyrisk.schemas import AGGREGATE_SCHEMA, FEATURE_COLUMNS, PROCESSED_SCHEMA
+from skyrisk.session import scratch_path
+from skyrisk.sinks import files as sink
+from skyrisk.sources import files as src
+from skyrisk.sources import fixture as fx
+from skyrisk.functions.rules import prediction_text, risk_label
+
+KPI_ROUND = ["avg_temperature", "avg_humidity", "total_precipitation"]
+METRIC_NAMES = ["accuracy", "weightedPrecision", "weightedRecall", "f1"]
+
+
+def predictions(spark, sf_dir):
+    """Fixture predictions: ten-column clean rows + a temperature guess."""
+    p = fx.fixture_predictions(strict(spark, sf_dir))
+    return p.withColumn("risk_prediction", prediction_text("prediction"))
+
+
+def kpi(spark, sf_dir):
+    return S.kpi_summary(processed(spark, sf_dir))
+
+
+def eval_table(spark, sf_dir):
+    p = predictions(spark, sf_dir).withColumn("risk_label", risk_label())
+    return ml.evaluate(p)
+
+
+# ---------------------------------------------------------------- C2-C9
+@query("kpi_summary")
+def q_kpi(spark, sf_dir):
+    """KPI row over the processed table."""
+    return present(kpi(spark, sf_dir), KPI_ROUND)
+
+
+@query("risk_distribution")
+def q_risk_distribution(spark, sf_dir):
+    """Rows per risk level."""
+    return S.class_distribution(labelled(spark, sf_dir), "risk_level")
+
+
+@query("training_gates")
+def q_training_gates(spark, sf_dir):
+    """C4+C5+G5: counts and gate status in one pass."""
+    return S.training_gates(processed(spark, sf_dir), FEATURE_COLUMNS)
+
+
+@query("split_by_key")
+def q_split_by_key(spark, sf_dir):
+    """Key-based 80/20 split of the training rows."""
+    return S.split_by_key(clean_features(processed(spark, sf_dir))).select("event_id", "split")
+
+
+@query("prediction_text")
+def q_prediction_text(spark, sf_dir):
+    """Prediction number -> class text."""
+    return predictions(spark, sf_dir).select("event_id", "prediction", "risk_prediction")
+
+
+@query("prediction_distribution")
+def q_prediction_distribution(spark, sf_dir):
+    """Fixed class list, zero-filled."""
+    return S.prediction_distribution(predictions(spark, sf_dir))
+
+
+@query("confusion_matrix")
+def q_confusion(spark, sf_dir):
+    """(label, prediction) counts."""
+    p = predictions(spark, sf_dir).withColumn("risk_label", risk_label())
+    return ml.confusion(p)
+
+
+@query("eval_metrics")
+def q_eval_metrics(spark, sf_dir):
+    """Accuracy, weighted precision / recall, f1 from the confusion table."""
+    return present(eval_table(spark, sf_dir), METRIC_NAMES)
+
+
+@query("summary_stats")
+def q_summary_stats(spark, sf_dir):
+    """Per-column statistics over the newest 1,000 windows."""
+    return S.summary_stats(aggregates(spark, sf_dir))
+
+
+@query("alert_flag")
+def q_alert_flag(spark, sf_dir):
+    """Critical data or prediction among the newest 50."""
+    return S.alert_flag(processed(spark, sf_dir), predictions(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- D1-D5, B18
+@query("latest_windows")
+def q_latest_windows(spark, sf_dir):
+    """Newest 10 windows."""
+    return present(S.newest(aggregates(spark, sf_dir), 10, "window_start", ["city"]), WINDOW_ROUND)
+
+
+@query("all_windows")
+def q_all_windows(spark, sf_dir):
+    """The newest 1,000 windows (the serving pool)."""
+    return present(S.newest(aggregates(spark, sf_dir), 1000, "window_start", ["city"]),
+                   WINDOW_ROUND)
+
+
+@query("timeseries_tail")
+def q_timeseries_tail(spark, sf_dir):
+    """Newest 500 processed events, ascending (chart input)."""
+    df = processed(spark, sf_dir).select("event_id", "timestamp", "temperature", "humidity",
+                                         "precipitation", "wind_speed")
+    return present(S.tail_ascending(df, 500, "timestamp", ["event_id"]))
+
+
+@query("window_tail")
+def q_window_tail(spark, sf_dir):
+    """Newest 500 windows, ascending."""
+    df = aggregates(spark, sf_dir).select("city", "window_start", "avg_temperature",
+                                          "total_precipitation", "max_wind_speed")
+    return present(S.tail_ascending(df, 500, "window_start", ["city"]),
+                   ["avg_temperature", "total_precipitation"])
+
+
+@query("latest_predictions")
+def q_latest_predictions(spark, sf_dir):
+    """D3+B19: newest 20 predictions, the wanted columns that exist."""
+    p = predictions(spark, sf_dir).where(F.col("timestamp").isNotNull())
+    top = S.newest(p, 20, "timestamp", ["event_id"])
+    return present(S.present_columns(top, ["event_id", "timestamp", "temperature",
+                                           "precipitation", "wind_speed", "prediction",
+                                           "risk_prediction"]))
+
+
+@query("latest_row")
+def q_latest_row(spark, sf_dir):
+    """The single newest aggregate row."""
+    return present(S.newest(aggregates(spark, sf_dir), 1, "window_start", ["city"]), WINDOW_ROUND)
+
+
+@query("latest_per_city")
+def q_latest_per_city(spark, sf_dir):
+    """Newest aggregate row per city (max_by, map-side reduced)."""
+    return present(S.latest_per_key(aggregates(spark, sf_dir), "city", "window_start"),
+                   WINDOW_ROUND)
+
+
+@query("bi_rows")
+def q_bi_rows(spark, sf_dir):
+    """BI row format (push time left out of the checked output)."""
+    agg = present(aggregates(spark, sf_dir), WINDOW_ROUND)
+    return S.bi_rows(agg, with_push_time=False)
+
+
+@query("dataset_status")
+def q_dataset_status(spark, sf_dir):
+    """C14: row count and has-data flag per table."""
+    tables = {"processed": processed(spark, sf_dir), "aggregates": aggregates(spark, sf_dir),
+              "predictions": predictions(spark, sf_dir),
+              "metrics": S.to_metric_rows(eval_table(spark, sf_dir))}
+    return S.dataset_status(tables, spark)
+
+
+# ---------------------------------------------------------------- A3-A5, E1, K7-K9
+@query("scan_processed")
+def q_scan_processed(spark, sf_dir):
+    """A3: processed table written as Parquet, scanned with its schema."""
+    path = sink.write_parquet(processed(spark, sf_dir), scratch_path(spark, "processed"))
+    return present(src.scan_parquet(spark, path, PROCESSED_SCHEMA))
+
+
+@query("scan_metrics_csv")
+def q_scan_metrics_csv(spark, sf_dir):
+    """A5: KPI row in long form through a metric CSV."""
+    path = sink.write_metrics_csv(S.to_metric_rows(present(kpi(spark, sf_dir), KPI_ROUND)),
+                                  scratch_path(spark, "kpi-csv"))
+    return src.scan_metrics_csv(spark, path)
+
+
+@query("sink_metrics_csv")
+def q_sink_metrics_csv(spark, sf_dir):
+    """K7: evaluation metrics written as metric CSV and read back."""
+    rows = S.to_metric_rows(present(eval_table(spark, sf_dir), METRIC_NAMES))
+    path = sink.write_metrics_csv(rows, scratch_path(spark, "metrics-csv"))
+    return src.scan_metrics_csv(spark, path)
+
+
+@query("export_csv")
+def q_export_csv(spark, sf_dir):
+    """K8: newest 1,000 windows exported as CSV, read back."""
+    top = present(S.newest(aggregates(spark, sf_dir), 1000, "window_start", ["city"]),
+                  WINDOW_ROUND)
+    path = sink.export_csv(top, scratch_path(spark, "export-csv"))
+    schema = T.StructType([T.StructField(f.name, T.TimestampNTZType(), True)
+                           if f.name.startswith("window_") else f
+                           for f in AGGREGATE_SCHEMA.fields])
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@query("export_json")
+def q_export_json(spark, sf_dir):
+    """K9: newest 10 windows as JSON with times as strings, read back."""
+    top = present(S.newest(aggregates(spark, sf_dir), 10, "window_start", ["city"]),
+                  WINDOW_ROUND)
+    path = sink.export_json(top, scratch_path(spark, "export-json"))
+    schema = T.StructType([T.StructField(f.name, T.StringType(), True)
+                           if f.name.startswith("window_") else f
+                           for f in AGGREGATE_SCHEMA.fields])
+    return spark.read.schema(schema).json(path)
+
+
+def _write_parts(spark, sf_dir, name):
+    """Aggregates written by three separate jobs into one folder."""
+    agg = present(aggregates(spark, sf_dir), WINDOW_ROUND)
+    path = scratch_path(spark, name)
+    digit = F.substring("city", -1, 1).cast("int")
+    for lo, hi in [(0, 3), (4, 6), (7, 9)]:
+        agg.where(digit.between(lo, hi)).write.mode("append").parquet(path)
+    return path
+
+
+@query("union_parts")
+def q_union_parts(spark, sf_dir):
+    """One scan over part files written by three jobs, plus a corrupt
+    file that the scan skips."""
+    path = _write_parts(spark, sf_dir, "parts")
+    spark.range(1).select(F.lit("not parquet").alias("value")).write.mode("append").text(path)
+    schema = T.StructType([T.StructField(f.name, T.TimestampNTZType(), True)
+                           if f.name.startswith("window_") else f
+                           for f in AGGREGATE_SCHEMA.fields])
+    return src.scan_parquet(spark, path, schema, skip_corrupt=True)
+
+
+@query("scan_recent_files")
+def q_scan_recent_files(spark, sf_dir):
+    """A4: rows of the newest two part files of a folder."""
+    path = _write_parts(spark, sf_dir, "recent")
+    return src.scan_recent_files(spark, path, 2)

@@ -1 +1,179 @@
-"""Further SQL twins."""
+"""SQL twins: serving queries, file sources and sinks."""
+
+from __future__ import annotations
+
+from skyrisk.plans.oracle import (AGG_1M, BASE, CLEAN6, CLEAN8, CLEAN10, FEATURES, LABELLED,
+                                  ORACLE, PARSED, WEATHER, _not_null, window_sql, with_)
+
+AGG_COLS = ["avg_temperature", "max_temperature", "min_temperature", "avg_humidity",
+            "total_precipitation", "max_wind_speed", "max_wind_gusts", "avg_surface_pressure",
+            "avg_apparent_temperature", "event_count"]
+
+PRED = """pred AS (
+  SELECT *,
+         CASE WHEN temperature > 35 THEN 2.0 WHEN temperature >= 30 THEN 1.0 ELSE 0.0 END
+           AS prediction
+  FROM strict
+), predictions AS (
+  SELECT *,
+         CASE prediction WHEN 0.0 THEN 'normal' WHEN 1.0 THEN 'moderate'
+                         WHEN 2.0 THEN 'critical' ELSE 'unknown' END AS risk_prediction,
+         CASE WHEN temperature > 35 OR wind_speed > 60 OR precipitation > 50 THEN 2
+              WHEN (temperature BETWEEN 30 AND 35) OR (precipitation BETWEEN 20 AND 50)
+                   OR (wind_speed BETWEEN 40 AND 60) THEN 1
+              ELSE 0 END AS risk_label
+  FROM pred
+)"""
+PBASE = with_(WEATHER, PARSED, CLEAN10, PRED)
+ABASE = with_(WEATHER, PARSED, CLEAN6, AGG_1M)
+
+KPI = """SELECT ROUND(avg(temperature), 6) AS avg_temperature,
+       ROUND(avg(humidity), 6) AS avg_humidity,
+       ROUND(sum(precipitation), 6) AS total_precipitation,
+       max(wind_speed) AS max_wind_speed,
+       count(*) AS total_events
+FROM processed"""
+
+CONF = """conf AS (
+  SELECT CAST(risk_label AS DOUBLE) AS label, prediction, count(*) AS count
+  FROM predictions GROUP BY 1, 2
+)"""
+METRICS = """metrics AS (
+  WITH pl AS (SELECT label, sum(count) AS label_n,
+                     sum(CASE WHEN label = prediction THEN count ELSE 0 END) AS tp
+              FROM conf GROUP BY label),
+       pp AS (SELECT prediction, sum(count) AS pred_n FROM conf GROUP BY prediction),
+       c AS (SELECT label_n, tp,
+                    CASE WHEN coalesce(pred_n, 0) > 0 THEN tp / pred_n ELSE 0.0 END AS p,
+                    tp / label_n AS r
+             FROM pl LEFT JOIN pp ON pl.label = pp.prediction),
+       c2 AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1 FROM c)
+  SELECT ROUND(sum(tp) / sum(label_n), 6) AS accuracy,
+         ROUND(sum(p * label_n) / sum(label_n), 6) AS weightedPrecision,
+         ROUND(sum(r * label_n) / sum(label_n), 6) AS weightedRecall,
+         ROUND(sum(f1 * label_n) / sum(label_n), 6) AS f1
+  FROM c2
+)"""
+METRIC_LONG = """SELECT 'accuracy' AS metric, CAST(accuracy AS DOUBLE) AS value FROM metrics
+UNION ALL SELECT 'weightedPrecision', weightedPrecision FROM metrics
+UNION ALL SELECT 'weightedRecall', weightedRecall FROM metrics
+UNION ALL SELECT 'f1', f1 FROM metrics"""
+
+
+def _top(n: int, cols: str = "*") -> str:
+    return f"SELECT {cols} FROM aggregates ORDER BY window_start DESC, city DESC LIMIT {n}"
+
+
+def _summary() -> str:
+    parts = []
+    for c in AGG_COLS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS "column", count(*) AS rows,
+       ROUND(max(CASE WHEN rn = 1 THEN {x} END), 6) AS current,
+       ROUND(max(CASE WHEN rn = n THEN {x} END), 6) AS oldest,
+       ROUND(avg({x}), 6) AS avg, ROUND(min({x}), 6) AS min,
+       ROUND(max({x}), 6) AS max, ROUND(stddev_samp({x}), 6) AS std
+FROM top""")
+    top = ("top AS (SELECT *, row_number() OVER (ORDER BY window_start DESC, city DESC) AS rn, "
+           "count(*) OVER () AS n FROM (" + _top(1000) + ") t)")
+    return with_(WEATHER, PARSED, CLEAN6, AGG_1M, top) + "\nUNION ALL\n".join(parts)
+
+
+def _bi() -> str:
+    names = [("AvgTemperature", "avg_temperature"), ("MaxTemperature", "max_temperature"),
+             ("MinTemperature", "min_temperature"), ("AvgHumidity", "avg_humidity"),
+             ("TotalPrecipitation", "total_precipitation"), ("MaxWindSpeed", "max_wind_speed"),
+             ("MaxWindGusts", "max_wind_gusts"), ("AvgSurfacePressure", "avg_surface_pressure"),
+             ("AvgApparentTemperature", "avg_apparent_temperature")]
+    cols = ",\n       ".join(f"coalesce(CAST({s} AS DOUBLE), 0.0) AS {d}" for d, s in names)
+    return ABASE + f"""SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS WindowStart,
+       strftime(window_end, '%Y-%m-%dT%H:%M:%S') AS WindowEnd,
+       coalesce(city, 'Mexico City') AS City,
+       {cols},
+       CAST(coalesce(event_count, 0) AS INTEGER) AS EventCount
+FROM aggregates"""
+
+
+PARTS_OF = "CAST(right(city, 1) AS INTEGER)"
+
+ORACLE.update({
+    "kpi_summary": BASE + KPI,
+    "risk_distribution": with_(WEATHER, PARSED, CLEAN6, CLEAN8, LABELLED) + """SELECT
+       CASE risk_label WHEN 2 THEN 'critical' WHEN 1 THEN 'moderate' ELSE 'normal' END
+         AS risk_level, count(*) AS count
+FROM labelled GROUP BY 1""",
+    "training_gates": with_(WEATHER, PARSED, CLEAN6) + f"""SELECT *,
+       CASE WHEN total_rows = 0 THEN 'no_data' WHEN clean_rows < 20 THEN 'too_few_rows'
+            WHEN train_rows = 0 OR test_rows = 0 THEN 'empty_split'
+            WHEN n_classes < 2 THEN 'one_class' ELSE 'ok' END AS status,
+       (CASE WHEN total_rows = 0 THEN 'no_data' WHEN clean_rows < 20 THEN 'too_few_rows'
+            WHEN train_rows = 0 OR test_rows = 0 THEN 'empty_split'
+            WHEN n_classes < 2 THEN 'one_class' ELSE 'ok' END) IN ('ok', 'one_class') AS can_train
+FROM (
+  SELECT count(*) AS total_rows,
+         count(*) FILTER (WHERE clean) AS clean_rows,
+         CAST(count(DISTINCT CASE WHEN clean THEN lbl END) AS INTEGER) AS n_classes,
+         count(*) FILTER (WHERE clean AND h < 52428) AS train_rows,
+         count(*) FILTER (WHERE clean AND h >= 52428) AS test_rows
+  FROM (SELECT ({_not_null(FEATURES)}) AS clean,
+               ((((event_id % 65536) + 65536) % 65536) * 40503 + 42) % 65536 AS h,
+               CASE WHEN temperature > 35 OR wind_speed > 60 OR precipitation > 50 THEN 2
+                    WHEN (temperature BETWEEN 30 AND 35) OR (precipitation BETWEEN 20 AND 50)
+                         OR (wind_speed BETWEEN 40 AND 60) THEN 1 ELSE 0 END AS lbl
+        FROM processed) x
+) g""",
+    "split_by_key": with_(WEATHER, PARSED, CLEAN6, CLEAN8) + """SELECT event_id,
+       CASE WHEN ((((event_id % 65536) + 65536) % 65536) * 40503 + 42) % 65536 < 52428
+            THEN 'train' ELSE 'test' END AS split
+FROM features""",
+    "prediction_text": PBASE + "SELECT event_id, prediction, risk_prediction FROM predictions",
+    "prediction_distribution": PBASE + """SELECT c.risk_prediction, coalesce(n, 0) AS count
+FROM (VALUES (0, 'normal'), (1, 'moderate'), (2, 'critical')) c(o, risk_prediction)
+LEFT JOIN (SELECT risk_prediction, count(*) AS n FROM predictions GROUP BY 1) p
+  USING (risk_prediction)""",
+    "confusion_matrix": with_(WEATHER, PARSED, CLEAN10, PRED, CONF) + "SELECT * FROM conf",
+    "eval_metrics": with_(WEATHER, PARSED, CLEAN10, PRED, CONF, METRICS) + "SELECT * FROM metrics",
+    "summary_stats": _summary(),
+    "alert_flag": with_(WEATHER, PARSED, CLEAN6, CLEAN10, PRED) + """SELECT d AS critical_in_data,
+       p AS critical_in_pred, d OR p AS alert
+FROM (SELECT coalesce(bool_or(temperature > 35 OR wind_speed > 60 OR precipitation > 50), false) AS d
+      FROM (SELECT * FROM processed ORDER BY timestamp DESC, event_id DESC LIMIT 50)) a,
+     (SELECT coalesce(bool_or(risk_prediction = 'critical'), false) AS p
+      FROM (SELECT * FROM predictions ORDER BY timestamp DESC, event_id DESC LIMIT 50)) b""",
+    "latest_windows": ABASE + _top(10),
+    "all_windows": ABASE + _top(1000),
+    "timeseries_tail": BASE + """SELECT event_id, timestamp, temperature, humidity, precipitation,
+       wind_speed
+FROM processed WHERE timestamp IS NOT NULL
+ORDER BY timestamp DESC, event_id DESC LIMIT 500""",
+    "window_tail": ABASE + """SELECT city, window_start, avg_temperature, total_precipitation,
+       max_wind_speed
+FROM aggregates ORDER BY window_start DESC, city DESC LIMIT 500""",
+    "latest_predictions": PBASE + """SELECT event_id, timestamp, temperature, precipitation,
+       wind_speed, prediction, risk_prediction
+FROM predictions WHERE timestamp IS NOT NULL
+ORDER BY timestamp DESC, event_id DESC LIMIT 20""",
+    "latest_row": ABASE + _top(1),
+    "latest_per_city": ABASE + """SELECT * FROM aggregates
+QUALIFY row_number() OVER (PARTITION BY city ORDER BY window_start DESC) = 1""",
+    "bi_rows": _bi(),
+    "dataset_status": with_(WEATHER, PARSED, CLEAN6, CLEAN10, PRED, AGG_1M) + """SELECT dataset, rows,
+       rows > 0 AS has_data
+FROM (SELECT 'processed' AS dataset, count(*) AS rows FROM processed
+      UNION ALL SELECT 'aggregates', count(*) FROM aggregates
+      UNION ALL SELECT 'predictions', count(*) FROM predictions
+      UNION ALL SELECT 'metrics', 4) s""",
+    "scan_processed": BASE + "SELECT * FROM processed",
+    "scan_metrics_csv": BASE + """SELECT * FROM (UNPIVOT (SELECT CAST(avg_temperature AS DOUBLE)
+       AS avg_temperature, CAST(avg_humidity AS DOUBLE) AS avg_humidity,
+       CAST(total_precipitation AS DOUBLE) AS total_precipitation,
+       CAST(max_wind_speed AS DOUBLE) AS max_wind_speed,
+       CAST(total_events AS DOUBLE) AS total_events FROM (""" + KPI + """))
+  ON COLUMNS(*) INTO NAME metric VALUE value)""",
+    "sink_metrics_csv": with_(WEATHER, PARSED, CLEAN10, PRED, CONF, METRICS) + METRIC_LONG,
+    "export_csv": ABASE + _top(1000),
+    "export_json": ABASE + f"""SELECT city, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, {', '.join(AGG_COLS)}
+FROM ({_top(10)}) t""",
+    "union_parts": ABASE + "SELECT * FROM aggregates",
+})
