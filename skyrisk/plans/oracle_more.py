@@ -177,3 +177,78 @@ FROM (SELECT 'processed' AS dataset, count(*) AS rows FROM processed
 FROM ({_top(10)}) t""",
     "union_parts": ABASE + "SELECT * FROM aggregates",
 })
+
+# ---------------------------------------------------------------- streams
+CLOSED = "window_end <= (SELECT max(timestamp) FROM processed) - INTERVAL 2 MINUTE"
+
+
+def _slice(ts: str, n: int) -> str:
+    cases = " ".join(f"WHEN epoch_us({ts}) < lo + (hi - lo) * {k} // {n} THEN {k - 1}"
+                     for k in range(1, n))
+    return f"CASE {cases} ELSE {n - 1} END"
+
+
+BOUNDS = "bounds AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events)"
+
+LATE = with_(WEATHER, PARSED, CLEAN6, BOUNDS) + f""", tagged AS (
+  SELECT p.*, {_slice('e.ts', 3)} AS slice
+  FROM processed p JOIN events e USING (event_id), bounds
+), first_row AS (
+  SELECT * FROM tagged ORDER BY timestamp, event_id LIMIT 1
+), m0 AS (
+  SELECT max(timestamp) AS m0 FROM tagged WHERE slice = 0
+), rows AS (
+  SELECT * FROM tagged
+  UNION ALL SELECT * FROM first_row
+  UNION ALL SELECT f.* FROM first_row f, m0
+            WHERE date_trunc('minute', f.timestamp) + INTERVAL 1 MINUTE > m0 - INTERVAL 2 MINUTE
+), aggregates AS ({window_sql('minute', 'rows')})
+SELECT * FROM aggregates
+WHERE window_end <= (SELECT max(timestamp) FROM rows) - INTERVAL 2 MINUTE"""
+
+BI_CHANGED = with_(WEATHER, PARSED, CLEAN6, AGG_1M, BOUNDS) + f""", sl AS (
+  SELECT a.*, {_slice('a.window_start', 3)} AS batch FROM aggregates a, bounds
+), newest AS (
+  SELECT * FROM sl QUALIFY row_number() OVER (PARTITION BY batch, city
+                                              ORDER BY window_start DESC) = 1
+), pushed AS (
+  SELECT n.* FROM newest n
+  WHERE n.window_start > coalesce((SELECT max(o.window_start) FROM newest o
+                                   WHERE o.city = n.city AND o.batch < n.batch),
+                                  TIMESTAMP '0001-01-01')
+)
+SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS WindowStart,
+       strftime(window_end, '%Y-%m-%dT%H:%M:%S') AS WindowEnd,
+       coalesce(city, 'Mexico City') AS City,
+       coalesce(avg_temperature, 0.0) AS AvgTemperature,
+       coalesce(max_temperature, 0.0) AS MaxTemperature,
+       coalesce(min_temperature, 0.0) AS MinTemperature,
+       coalesce(avg_humidity, 0.0) AS AvgHumidity,
+       coalesce(total_precipitation, 0.0) AS TotalPrecipitation,
+       coalesce(max_wind_speed, 0.0) AS MaxWindSpeed,
+       coalesce(max_wind_gusts, 0.0) AS MaxWindGusts,
+       coalesce(avg_surface_pressure, 0.0) AS AvgSurfacePressure,
+       coalesce(avg_apparent_temperature, 0.0) AS AvgApparentTemperature,
+       CAST(event_count AS INTEGER) AS EventCount,
+       CAST(batch AS BIGINT) AS batch
+FROM pushed"""
+
+ORACLE.update({
+    "src_topic_stream": with_(WEATHER) + """SELECT event_id,
+       '{"city":"' || city || '","ti' AS head,
+       CASE WHEN event_id % 97 = 0 THEN 'i' ELSE '}' END AS last_char
+FROM weather""",
+    "sink_topic_json": with_(WEATHER) + """SELECT event_id, city,
+       strptime(timestamp, '%Y-%m-%dT%H:%M') AS timestamp, temperature, humidity,
+       precipitation, wind_speed, wind_gusts, surface_pressure, apparent_temperature,
+       weather_code
+FROM weather""",
+    "stream_clean": BASE + "SELECT * FROM processed",
+    "stream_window_append": ABASE + f"SELECT * FROM aggregates WHERE {CLOSED}",
+    "stream_window_complete": ABASE + "SELECT * FROM aggregates",
+    "stream_fanout": ABASE + f"""SELECT 'processed' AS sink, count(*) AS rows FROM processed
+UNION ALL SELECT 'aggregates', count(*) FROM aggregates WHERE {CLOSED}""",
+    "stream_restart": ABASE + f"SELECT * FROM aggregates WHERE {CLOSED}",
+    "stream_late_drop": LATE,
+    "bi_changed_rows": BI_CHANGED,
+})

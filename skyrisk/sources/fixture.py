@@ -31,8 +31,9 @@ def _k() -> "F.Column":
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def weather_events(events: DataFrame) -> DataFrame:
-    """One weather observation per event row (wire form: time as string)."""
+def weather_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One weather observation per event row (wire form: time as string);
+    ``keep`` names extra input columns to carry along."""
     k = _k()
     base_temp = (F.col("event_id") * 37 % 300) / F.lit(10.0) + F.lit(10.0)
     wind = (F.col("user_id") % 75).cast("double")
@@ -50,6 +51,7 @@ def weather_events(events: DataFrame) -> DataFrame:
         (F.lit(1000.0) + k / F.lit(4.0)).alias("surface_pressure"),
         (base_temp + (k - 50) / F.lit(20.0)).alias("apparent_temperature"),
         (k % 66).cast("int").alias("weather_code"),
+        *(keep or []),
     )
 
 
