@@ -252,3 +252,53 @@ UNION ALL SELECT 'aggregates', count(*) FROM aggregates WHERE {CLOSED}""",
     "stream_late_drop": LATE,
     "bi_changed_rows": BI_CHANGED,
 })
+
+# ---------------------------------------------------------------- observations, runs
+HOURLY = with_(WEATHER) + """, hourly AS (
+  SELECT city || '-' || CAST(event_id // 1680 AS VARCHAR) AS doc_id, city,
+         CAST(row_number() OVER (PARTITION BY city, event_id // 1680 ORDER BY event_id) - 1
+              AS INTEGER) AS pos,
+         timestamp AS time, temperature AS temperature_2m,
+         humidity AS relative_humidity_2m, precipitation, CAST(NULL AS DOUBLE) AS wind_speed_10m,
+         wind_gusts AS wind_gusts_10m, surface_pressure, apparent_temperature, weather_code
+  FROM weather
+), hourly_cut AS (
+  SELECT * REPLACE (CASE WHEN pos < 120 THEN precipitation END AS precipitation) FROM hourly
+)
+"""
+
+ORACLE.update({
+    "explode_hourly": HOURLY + "SELECT * FROM hourly_cut",
+    "build_event": HOURLY + """SELECT doc_id, pos, city, time AS timestamp,
+       temperature_2m AS temperature, relative_humidity_2m AS humidity, precipitation,
+       wind_speed_10m AS wind_speed, wind_gusts_10m AS wind_gusts, surface_pressure,
+       apparent_temperature, weather_code
+FROM hourly_cut""",
+    "inject_anomalies": with_(WEATHER) + """SELECT event_id,
+       CASE WHEN o > 0 AND o % 15 = 0 THEN 36.5 ELSE temperature END AS temperature,
+       CASE WHEN o > 0 AND o % 25 = 0 THEN 55.0 ELSE precipitation END AS precipitation,
+       CASE WHEN o > 0 AND o % 40 = 0 THEN 70.0 ELSE wind_speed END AS wind_speed,
+       o AS ordinal
+FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS o FROM weather) w""",
+    "run_job_stats": """SELECT count(*) AS jobs, ROUND(avg(d), 6) AS avg_s, min(d) AS min_s,
+       max(d) AS max_s
+FROM (SELECT CASE WHEN event_id % 50 = 0 THEN NULL
+                  ELSE CAST(user_id % 40 AS DOUBLE) END AS d FROM events) j
+WHERE d IS NOT NULL""",
+    "run_stage_stats": """SELECT sum(CASE WHEN event_id % 11 = 0 THEN 0 ELSE event_id * 13 % 5000 END)
+         AS shuffle_read_bytes,
+       sum(event_id * 17 % 5000) AS shuffle_write_bytes,
+       sum(user_id % 30) AS gc_ms
+FROM events""",
+    "run_executor_stats": """SELECT CAST(user_id % 8 AS VARCHAR) AS id, 2 AS cores,
+       455501414 / 1e6 AS memory_mb, count(*) AS tasks,
+       sum(user_id) / 1000.0 AS run_s, sum(user_id % 30) / 1000.0 AS gc_s
+FROM events GROUP BY user_id % 8""",
+    "assemble_features": with_(WEATHER, PARSED, CLEAN6, CLEAN8) + """SELECT event_id,
+       temperature AS f0_temperature, humidity AS f1_humidity,
+       precipitation AS f2_precipitation, wind_speed AS f3_wind_speed,
+       wind_gusts AS f4_wind_gusts, surface_pressure AS f5_surface_pressure,
+       apparent_temperature AS f6_apparent_temperature,
+       CAST(weather_code AS DOUBLE) AS f7_weather_code
+FROM features""",
+})

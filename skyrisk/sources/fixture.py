@@ -93,8 +93,10 @@ def hourly_documents(weather: DataFrame) -> DataFrame:
         ).alias("obs"),
     )
     docs = rows.groupBy("city", "block").agg(F.array_sort(F.collect_list("obs")).alias("o"))
-    fields = {src: F.transform("o", lambda x, s=src: x[s]) for src, _ in HOURLY_TO_EVENT
-              if src != "wind_speed_10m"}
+    def field_of(name):
+        return F.transform("o", lambda x: x[name])
+
+    fields = {src: field_of(src) for src, _ in HOURLY_TO_EVENT if src != "wind_speed_10m"}
     fields["precipitation"] = F.slice(fields["precipitation"], 1, HOURLY_PRECIP_KEEP)
     fields["apparent_temperature"] = F.concat(
         fields["apparent_temperature"], F.array(F.lit(None).cast("double")))

@@ -95,4 +95,5 @@ def throughput(progress: DataFrame) -> DataFrame:
 
 def recent_progress_frame(spark: SparkSession, query) -> DataFrame:
     """Progress of one query from its ``recentProgress`` ring buffer."""
-    return progress_frame(spark, [json.dumps(p) for p in query.recentProgress])
+    return progress_frame(spark, [p.json if hasattr(p, "json") else json.dumps(p)
+                                  for p in query.recentProgress])
