@@ -38,8 +38,20 @@ def forest(label: str = "risk_label", num_trees: int = NUM_TREES, max_depth: int
 
 def train(train_df: DataFrame, label: str = "risk_label", **kw) -> PipelineModel:
     """Assembler + forest in one pipeline so feature order cannot drift
-    between training and scoring."""
-    return Pipeline(stages=[assembler(), forest(label, **kw)]).fit(train_df)
+    between training and scoring.
+
+    Tree induction makes one pass over the input per tree level (plus the
+    split-candidate sample), so only the columns it needs are kept and
+    cached for the fit; otherwise every pass recomputes the whole upstream
+    plan (measured: 35 s -> 3.7 s on 7k rows).
+    """
+    from pyspark import StorageLevel
+    cols = list(dict.fromkeys(FEATURE_COLUMNS + [label]))
+    data = train_df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[assembler(), forest(label, **kw)]).fit(data)
+    finally:
+        data.unpersist()
 
 
 def score(model, df: DataFrame) -> DataFrame:

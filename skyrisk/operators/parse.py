@@ -23,8 +23,13 @@ def parse_events(records: DataFrame, schema: StructType = EVENT_SCHEMA,
     cols = []
     if key_col:
         cols.append(F.expr(f"try_cast({key_col} AS BIGINT)").alias(key_name))
-    cols.append(F.from_json(F.col(value_col), schema).alias("data"))
-    parsed = records.select(*cols).select(*([key_name] if key_col else []), "data.*")
+    # inline(array(struct)) is a generator: Catalyst cannot push the null
+    # filters of the clean step below it, so each record is parsed exactly
+    # once.  A plain select("data.*") lets the filter be pushed down with
+    # from_json substituted into every null check - one parse per checked
+    # column (measured: 2x slower on 100k records).
+    cols.append(F.inline(F.array(F.from_json(F.col(value_col), schema))))
+    parsed = records.select(*cols)
     if "timestamp" in schema.fieldNames():
         parsed = parsed.withColumn("timestamp", parse_event_time("timestamp", time_format))
     return parsed

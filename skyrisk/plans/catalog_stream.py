@@ -53,7 +53,8 @@ def time_slices(spark, sf_dir, n: int = 3):
 
 def file_topic(spark, sf_dir, name: str) -> Topic:
     topic = Topic(fmt="files", path=scratch_path(spark, name))
-    write_topic(fx.topic_records(weather(spark, sf_dir)), topic)
+    write_topic(fx.topic_records(weather(spark, sf_dir)), topic,
+                partitions=spark.sparkContext.defaultParallelism)
     return topic
 
 

@@ -18,12 +18,18 @@ def to_records(df: DataFrame, key_col: str | None = None,
 
 
 def write_topic(records: DataFrame, topic: Topic, compression: str = "gzip",
-                acks: str = "1") -> None:
+                acks: str = "1", partitions: int | None = None) -> None:
     """Append records to the topic.  Kafka producer settings (compression,
-    acks) are passed through as ``kafka.*`` options."""
+    acks) are passed through as ``kafka.*`` options; Kafka partitions by key
+    itself.  For the file form, ``partitions`` spreads records over that
+    many files by key hash (same key -> same file, as a Kafka partitioner
+    keeps per-key order)."""
     if topic.fmt == "kafka":
         (records.write.format("kafka").options(**topic.kafka_options())
          .option("kafka.compression.type", compression).option("kafka.acks", acks)
          .option("topic", topic.name).save())
         return
-    records.select("key", "value").write.mode("append").json(topic.path)
+    out = records.select("key", "value")
+    if partitions:
+        out = out.repartition(partitions, "key")
+    out.write.mode("append").json(topic.path)
