@@ -42,17 +42,22 @@ def class_distribution(df: DataFrame, col: str = "risk_level") -> DataFrame:
 
 
 # ---------------------------------------------------------------- C6
+def class_table(spark: SparkSession, col: str) -> DataFrame:
+    """The fixed class list as a JVM-side literal table (no Python worker)."""
+    rows = [F.struct(F.lit(i).alias("class_order"), F.lit(name).alias(col))
+            for i, name in RISK_CLASSES]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def prediction_distribution(predictions: DataFrame, col: str = "risk_prediction") -> DataFrame:
     """Counts over the fixed class list, zero-filled; other values left out.
 
-    The class list is a three-row literal table, so broadcasting it is
-    bounded by construction; counts are a partial + final aggregate.
+    Counts are a partial + final aggregate; the class list (three literal
+    rows, bounded by construction) is the broadcast side of the outer join.
     """
-    spark = predictions.sparkSession
-    classes = spark.createDataFrame([(i, name) for i, name in RISK_CLASSES],
-                                    f"class_order int, {col} string")
+    classes = class_table(predictions.sparkSession, col)
     counts = predictions.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return (F.broadcast(classes).join(counts, col, "left")
+    return (counts.join(F.broadcast(classes), col, "right")
             .select(col, F.coalesce("n", F.lit(0)).cast("long").alias("count"), "class_order")
             .orderBy("class_order").drop("class_order"))
 
@@ -144,29 +149,25 @@ def summary_stats(aggregates: DataFrame, pool: int = 1000,
     """Per numeric column over the newest ``pool`` windows: current (newest),
     oldest, avg, min, max and sample std.
 
-    One aggregate over the top-k rows, then a stack to long form.  The
-    reference labels the oldest row's value "current"; both are given.
+    Top-k rows, unpivoted to (column, value) pairs, then one grouped
+    aggregate with six functions - a small generated aggregate rather than
+    six functions per column in one row.  The reference labels the oldest
+    row's value "current"; both are given.
     """
     cols = columns or [f.name for f in aggregates.schema.fields
                        if f.dataType.typeName() in ("double", "long", "integer", "float")]
     top = newest(aggregates, pool, "window_start", ["city"])
-    order = F.struct("window_start", "city")
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.max_by(x, order).alias(f"{c}__current"),
-                 F.min_by(x, order).alias(f"{c}__oldest"),
-                 F.avg(x).alias(f"{c}__avg"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max"), F.stddev_samp(x).alias(f"{c}__std")]
-    wide = top.agg(F.count(F.lit(1)).alias("rows"), *aggs)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                      for c in cols])
+    long = top.select(F.struct("window_start", "city").alias("o"), F.inline(pairs))
+    g = long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max_by("x", "o").alias("current"), F.min_by("x", "o").alias("oldest"),
+        F.avg("x").alias("avg"), F.min("x").alias("min"), F.max("x").alias("max"),
+        F.stddev_samp("x").alias("std"))
     stats = ["current", "oldest", "avg", "min", "max", "std"]
-
-    def r(c: Column) -> Column:
-        return F.round(c, decimals) if decimals is not None else c
-
-    rows = [F.struct(F.lit(c).alias("column"), F.col("rows"),
-                     *[r(F.col(f"{c}__{s}")).alias(s) for s in stats]) for c in cols]
-    return wide.select(F.inline(F.array(*rows)))
+    return g.select("column", "rows", *[
+        (F.round(s, decimals) if decimals is not None else F.col(s)).alias(s) for s in stats])
 
 
 # ---------------------------------------------------------------- C8

@@ -42,17 +42,28 @@ def scan_parquet(spark: SparkSession, path: str | list[str], schema: StructType
 
 
 def scan_recent_files(spark: SparkSession, path: str, k: int,
-                      schema: StructType | None = None) -> DataFrame:
+                      schema: StructType | None = None,
+                      glob: str = "*.parquet") -> DataFrame:
     """A4: rows of the newest ``k`` files of a folder (modification time,
-    then path).  The file list is derived from the scan's ``_metadata``
-    column; the k chosen paths (k rows, bounded) filter the scan by a
-    broadcast semi join, so no file list goes through the driver."""
-    df = scan_parquet(spark, path, schema)
-    meta = df.select(F.col("_metadata.file_path").alias("fp"),
-                     F.col("_metadata.file_modification_time").alias("mt")).distinct()
-    chosen = meta.orderBy(F.col("mt").desc(), F.col("fp").desc()).limit(k).select("fp")
-    tagged = df.withColumn("fp", F.col("_metadata.file_path"))
-    return tagged.join(F.broadcast(chosen), "fp", "left_semi").drop("fp")
+    then path).
+
+    The folder is listed with the ``binaryFile`` source (its ``content``
+    column pruned, so no file is opened): one row per file, ranked by
+    TakeOrderedAndProject.  Only the k chosen paths (bounded by k) reach
+    the driver, and only those files are scanned - O(files) listing work
+    instead of reading every row's metadata.
+    """
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+               .option("recursiveFileLookup", "true").load(path)
+               .select("path", "modificationTime"))
+    chosen = [r.path for r in listing.orderBy(F.col("modificationTime").desc(),
+                                              F.col("path").desc()).limit(k).collect()]
+    if not chosen:
+        if schema is None:
+            raise FileNotFoundError(f"no files under {path}")
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(*chosen)
 
 
 def scan_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
