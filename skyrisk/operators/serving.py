@@ -126,12 +126,18 @@ def tail_ascending(df: DataFrame, n: int, time_col: str, tie_cols: list[str]) ->
 
 
 def latest_per_key(df: DataFrame, key: str, time_col: str) -> DataFrame:
-    """Newest row per key via ``max_by`` on a struct: an algebraic aggregate,
-    so a hot key is reduced map-side instead of sorted in one task."""
-    others = [c for c in df.columns if c != key]
-    ordering = F.struct(F.col(time_col), *[F.col(c) for c in others if c != time_col])
-    row = F.max_by(F.struct(*[F.col(c) for c in others]), ordering)
-    return df.groupBy(key).agg(row.alias("r")).select(key, "r.*")
+    """Newest row per key ((key, time) assumed unique).
+
+    ``max(time)`` per key is a HashAggregate with a partial step (a hot key
+    is reduced on every map task); the rows are then picked by a semi join
+    on (key, time).  AQE broadcasts the per-key side when its measured size
+    is small and falls back to a shuffle join otherwise - its size grows
+    with the number of keys, so no broadcast is forced.  (``max_by`` over a
+    struct would plan a SortAggregate: a full sort of every input partition.)
+    """
+    newest = df.groupBy(F.col(key).alias("__k")).agg(F.max(time_col).alias("__t"))
+    cond = df[key].eqNullSafe(newest["__k"]) & (df[time_col] == newest["__t"])
+    return df.join(newest, cond, "left_semi")
 
 
 def present_columns(df: DataFrame, wanted: list[str]) -> DataFrame:

@@ -108,10 +108,16 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery],
               timeout_s: float | None = None) -> None:
-    """Wait for every query; if any fails or the wait ends, stop them all."""
+    """Wait for every query; if any fails or the wait times out, stop them
+    all and raise - a caller must never read a half-written sink as done."""
+    timed_out = []
     try:
         for q in queries:
-            q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+            if timeout_s:
+                if not q.awaitTermination(timeout_s):
+                    timed_out.append(q.id)
+            else:
+                q.awaitTermination()
     finally:
         for q in queries:
             if q.isActive:
@@ -119,6 +125,8 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery],
     for q in queries:
         if q.exception() is not None:
             raise RuntimeError(f"streaming query failed: {q.exception()}")
+    if timed_out:
+        raise TimeoutError(f"streaming queries did not finish in {timeout_s}s: {timed_out}")
 
 
 def scoring_stream(spark: SparkSession, topic: Topic, model, starting_offsets: str = "latest",

@@ -96,3 +96,21 @@ def test_changed_rows_only_newer_windows(spark):
                                    "City string, WindowStart string, batch long")
     again = changed_rows(agg, pushed).collect()
     assert again == []
+
+
+def test_console_sink_runs(spark, sf_small, capsys):
+    """K4: console output of a bounded stream (debug sink)."""
+    topic, _ = _topic_in_time_order(spark, sf_small, 1)
+    clean = jobs.clean_stream(spark, topic, "earliest")
+    q = jobs.console_sink(clean.select("city", "temperature"), trigger="availableNow", rows=3)
+    jobs.await_all(spark, [q], 120)
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] > 0
+
+
+def test_await_all_raises_on_timeout(spark):
+    df = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    q = df.writeStream.format("noop").start()
+    import pytest
+    with pytest.raises(TimeoutError):
+        jobs.await_all(spark, [q], 2)
+    assert not q.isActive
