@@ -33,9 +33,3 @@ def parse_events(records: DataFrame, schema: StructType = EVENT_SCHEMA,
     if "timestamp" in schema.fieldNames():
         parsed = parsed.withColumn("timestamp", parse_event_time("timestamp", time_format))
     return parsed
-
-
-def records_as_strings(raw: DataFrame) -> DataFrame:
-    """Kafka rows (binary key/value) to string key/value."""
-    return raw.select(F.col("key").cast("string").alias("key"),
-                      F.col("value").cast("string").alias("value"))

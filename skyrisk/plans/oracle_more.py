@@ -11,8 +11,8 @@ AGG_COLS = ["avg_temperature", "max_temperature", "min_temperature", "avg_humidi
 
 PRED = """pred AS (
   SELECT *,
-         CASE WHEN temperature > 35 THEN 2.0 WHEN temperature >= 30 THEN 1.0 ELSE 0.0 END
-           AS prediction
+         CAST(CASE WHEN temperature > 35 THEN 2.0 WHEN temperature >= 30 THEN 1.0 ELSE 0.0 END
+              AS DOUBLE) AS prediction
   FROM strict
 ), predictions AS (
   SELECT *,
@@ -285,10 +285,10 @@ FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS o FROM weather) w""
 FROM (SELECT CASE WHEN event_id % 50 = 0 THEN NULL
                   ELSE CAST(user_id % 40 AS DOUBLE) END AS d FROM events) j
 WHERE d IS NOT NULL""",
-    "run_stage_stats": """SELECT sum(CASE WHEN event_id % 11 = 0 THEN 0 ELSE event_id * 13 % 5000 END)
-         AS shuffle_read_bytes,
-       sum(event_id * 17 % 5000) AS shuffle_write_bytes,
-       sum(user_id % 30) AS gc_ms
+    "run_stage_stats": """SELECT CAST(sum(CASE WHEN event_id % 11 = 0 THEN 0
+                    ELSE event_id * 13 % 5000 END) AS BIGINT) AS shuffle_read_bytes,
+       CAST(sum(event_id * 17 % 5000) AS BIGINT) AS shuffle_write_bytes,
+       CAST(sum(user_id % 30) AS BIGINT) AS gc_ms
 FROM events""",
     "run_executor_stats": """SELECT CAST(user_id % 8 AS VARCHAR) AS id, 2 AS cores,
        455501414 / 1e6 AS memory_mb, count(*) AS tasks,

@@ -25,6 +25,13 @@ WINDOW_WIDTH = "1 minute"     # fixed values: window width and allowed lateness
 WATERMARK_DELAY = "2 minutes"
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create a folder on whatever file system ``path`` names (HDFS, S3 ...)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -89,10 +96,15 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
     at the cost of one extra hop of latency.
     """
     clean = clean_stream(spark, topic, starting_offsets, max_per_trigger)
+    if chain:
+        # the window query's file source must find the folder; an empty one
+        # is fine (it waits for the sink's first commit)
+        ensure_dir(spark, processed_path)
     queries = [parquet_sink(clean, processed_path, f"{checkpoint_root}/processed", "append",
                             trigger, None)]
     if chain:
-        queries[0].awaitTermination() if trigger in (None, "availableNow") else None
+        if trigger in (None, "availableNow"):
+            queries[0].awaitTermination()
         from skyrisk.schemas import PROCESSED_SCHEMA
         src = spark.readStream.schema(PROCESSED_SCHEMA).parquet(processed_path)
     else:

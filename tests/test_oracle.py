@@ -9,6 +9,8 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 SQL = E.oracle_sql()
 NAMES = sorted(SQL)
 
@@ -52,4 +54,8 @@ def test_query_matches_duckdb(spark, duck, name):
     cur = duck.execute(SQL[name])
     drows, dcols = cur.fetchall(), [d[0] for d in cur.description]
     assert sorted(scols) == sorted(dcols)
+    duck_types = {d[0]: str(d[1]).upper() for d in cur.description}
+    for f in df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        assert duck_types[f.name] == want, (f.name, f.dataType, duck_types[f.name])
     assert _canon(srows, scols) == _canon(drows, dcols)
