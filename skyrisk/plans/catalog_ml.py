@@ -175,7 +175,8 @@ def _progress(spark, sf_dir):
     topic = sliced_topic(spark, sf_dir, "topic-progress")
     proc, agg = scratch_path(spark, "processed"), scratch_path(spark, "aggregates")
     qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "ckpt"),
-                               starting_offsets="earliest", max_per_trigger=2)
+                               starting_offsets="earliest", max_per_trigger=2,
+                               state_partitions=spark.sparkContext.defaultParallelism)
     jobs.await_all(spark, qs, TIMEOUT_S)
     frames = [recent_progress_frame(spark, q).withColumn("name", F.lit(n))
               for q, n in zip(qs, ["processed", "aggregates"])]

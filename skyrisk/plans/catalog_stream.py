@@ -26,6 +26,11 @@ FILES_PER_SLICE = 2
 TIMEOUT_S = 600
 
 
+def _state_parts(spark) -> int:
+    """State partitions for the catalogue's small test streams."""
+    return spark.sparkContext.defaultParallelism
+
+
 def slicer(spark, sf_dir, n: int = 3):
     """``f(timestamp column) -> slice 0..n-1``: equal spans of the events'
     time range, by integer arithmetic on epoch microseconds."""
@@ -125,7 +130,8 @@ def q_stream_window_append(spark, sf_dir):
     topic = file_topic(spark, sf_dir, "topic-win")
     proc, agg = scratch_path(spark, "processed"), scratch_path(spark, "aggregates")
     qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "ckpt"),
-                               starting_offsets="earliest")
+                               starting_offsets="earliest",
+                               state_partitions=_state_parts(spark))
     jobs.await_all(spark, qs, TIMEOUT_S)
     return _read_aggregates(spark, agg)
 
@@ -136,7 +142,8 @@ def q_stream_window_complete(spark, sf_dir):
     topic = file_topic(spark, sf_dir, "topic-complete")
     stats = window_statistics(jobs.clean_stream(spark, topic, "earliest"))
     out = scratch_path(spark, "complete")
-    q = jobs.table_snapshot_sink(stats, out, out + "-ckpt")
+    with jobs.shuffle_partitions_for_start(spark, _state_parts(spark)):
+        q = jobs.table_snapshot_sink(stats, out, out + "-ckpt")
     jobs.await_all(spark, [q], TIMEOUT_S)
     return _read_aggregates(spark, out)
 
@@ -147,7 +154,8 @@ def q_stream_fanout(spark, sf_dir):
     topic = file_topic(spark, sf_dir, "topic-fanout")
     proc, agg = scratch_path(spark, "processed"), scratch_path(spark, "aggregates")
     qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "ckpt"),
-                               starting_offsets="earliest")
+                               starting_offsets="earliest",
+                               state_partitions=_state_parts(spark))
     jobs.await_all(spark, qs, TIMEOUT_S)
     p = spark.read.parquet(proc).agg(F.count(F.lit(1)).alias("rows")) \
         .select(F.lit("processed").alias("sink"), "rows")
@@ -166,7 +174,8 @@ def q_stream_restart(spark, sf_dir):
     ckpt = scratch_path(spark, "ckpt")
     for k in range(2):
         write_slice(fx.topic_records(w.where(F.col("slice") == k)), topic)
-        qs = jobs.start_processing(spark, topic, proc, agg, ckpt, starting_offsets="earliest")
+        qs = jobs.start_processing(spark, topic, proc, agg, ckpt, starting_offsets="earliest",
+                               state_partitions=_state_parts(spark))
         jobs.await_all(spark, qs, TIMEOUT_S)
     return _read_aggregates(spark, agg)
 
@@ -179,7 +188,8 @@ def q_stream_late_drop(spark, sf_dir):
     topic = sliced_topic(spark, sf_dir, "topic-late", late_copy=True)
     proc, agg = scratch_path(spark, "processed"), scratch_path(spark, "aggregates")
     qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "ckpt"),
-                               starting_offsets="earliest", max_per_trigger=FILES_PER_SLICE)
+                               starting_offsets="earliest", max_per_trigger=FILES_PER_SLICE,
+                               state_partitions=_state_parts(spark))
     jobs.await_all(spark, qs, TIMEOUT_S)
     return _read_aggregates(spark, agg)
 

@@ -25,6 +25,30 @@ WINDOW_WIDTH = "1 minute"     # fixed values: window width and allowed lateness
 WATERMARK_DELAY = "2 minutes"
 
 
+class shuffle_partitions_for_start:
+    """Context: use ``n`` shuffle partitions for queries started inside it.
+
+    A stateful query fixes its partition count (= state-store partitions)
+    in its checkpoint at the first run; the stream clones the session conf
+    when it starts, so setting the value only around ``start()`` leaves the
+    caller's session untouched.
+    """
+
+    def __init__(self, spark: SparkSession, n: int | None):
+        self.spark, self.n, self.old = spark, n, None
+
+    def __enter__(self):
+        if self.n:
+            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+        return self
+
+    def __exit__(self, *exc):
+        if self.n and self.old is not None:
+            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False
+
+
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Create a folder on whatever file system ``path`` names (HDFS, S3 ...)."""
     jvm = spark.sparkContext._jvm
@@ -87,9 +111,12 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
                      trigger: str | None = "availableNow", starting_offsets: str = "latest",
                      max_per_trigger: int | None = None, width: str = WINDOW_WIDTH,
                      watermark: str = WATERMARK_DELAY, console: bool = False,
-                     chain: bool = False) -> list[StreamingQuery]:
+                     chain: bool = False,
+                     state_partitions: int | None = None) -> list[StreamingQuery]:
     """the processing job as several queries over one source.
 
+    ``state_partitions`` sets the window query's shuffle / state-store
+    partition count for a new checkpoint (default: the session's value).
     With ``chain=True`` the window query reads the ``processed`` folder as a
     stream instead of the topic, so each record is parsed once (the
     optimiser otherwise re-parses JSON for every pushed-down null check),
@@ -110,8 +137,9 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
     else:
         src = clean
     stats = window_statistics(src, width, watermark)
-    queries.append(parquet_sink(stats, aggregates_path, f"{checkpoint_root}/aggregates",
-                                "append", trigger, None))
+    with shuffle_partitions_for_start(spark, state_partitions):
+        queries.append(parquet_sink(stats, aggregates_path, f"{checkpoint_root}/aggregates",
+                                    "append", trigger, None))
     if console:
         queries.append(console_sink(clean))
         queries.append(console_sink(stats, "complete"))
