@@ -39,8 +39,12 @@ def with_ordinal(df: DataFrame, key: str, name: str = "ordinal", buckets: int |
     qs = sorted(set(stats["q"])) if fracs else []
     splits = [float("-inf")] + qs + [float("inf")]
     tmp = "__bucket"
-    bucketed = Bucketizer(splits=splits, inputCol="__kd", outputCol=tmp,
-                          handleInvalid="keep").transform(df.withColumn("__kd", kd)).drop("__kd")
+    if len(splits) < 3:       # one bucket: Bucketizer needs at least two ranges
+        bucketed = df.withColumn(tmp, F.lit(0.0))
+    else:
+        bucketed = Bucketizer(splits=splits, inputCol="__kd", outputCol=tmp,
+                              handleInvalid="keep").transform(df.withColumn("__kd", kd)) \
+            .drop("__kd")
     counts = bucketed.groupBy(tmp).agg(F.count(F.lit(1)).alias("__n"))
     # offsets over at most P rows: a tiny single-partition window is fine here
     offsets = counts.select(
