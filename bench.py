@@ -101,7 +101,7 @@ def main() -> None:
     test = rows.where(F.col("split") == "test")
     model = timed("ml_train", lambda: ml.train(train))
     timed("eval_metrics", lambda: ml.evaluate(
-        ml.score(model, test).join(test.select("event_id", "risk_label"), "event_id")).collect())
+        ml.score(model, test, carry=["risk_label"])).collect())
 
     # scoring stream over the topic
     pred = scratch_path(spark, "bench-predictions")

@@ -54,11 +54,15 @@ def train(train_df: DataFrame, label: str = "risk_label", **kw) -> PipelineModel
         data.unpersist()
 
 
-def score(model, df: DataFrame) -> DataFrame:
-    """Map-only scoring (batch or stream) + projection."""
+def score(model, df: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Map-only scoring (batch or stream) + projection.
+
+    ``carry`` keeps extra input columns (e.g. the true label for
+    evaluation), so no join back to the input is needed.
+    """
     out = model.transform(df).withColumn("risk_prediction", prediction_text("prediction"))
     keep = (["event_id"] if "event_id" in df.columns else []) + EVENT_COLUMNS + [
-        "prediction", "risk_prediction"]
+        "prediction", "risk_prediction"] + list(carry or [])
     return out.select(*keep)
 
 

@@ -125,7 +125,7 @@ def q_assemble_features(spark, sf_dir):
 def q_ml_train(spark, sf_dir):
     """G3+C9: fit the forest on the train split, metrics on the test split."""
     model, train, test = fitted(spark, sf_dir)
-    m = ml.evaluate(ml.score(model, test).join(test.select("event_id", "risk_label"), "event_id"))
+    m = ml.evaluate(ml.score(model, test, carry=["risk_label"]))
     return m.select("*", F.lit(model.stages[-1].getNumTrees).alias("num_trees"))
 
 

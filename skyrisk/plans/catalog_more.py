@@ -202,7 +202,8 @@ def q_export_csv(spark, sf_dir):
     schema = T.StructType([T.StructField(f.name, T.TimestampNTZType(), True)
                            if f.name.startswith("window_") else f
                            for f in AGGREGATE_SCHEMA.fields])
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return (spark.read.schema(schema).option("header", True)
+            .option("timestampNTZFormat", sink.CSV_TIME_FORMAT).csv(path))
 
 
 @query("export_json")

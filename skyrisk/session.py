@@ -26,6 +26,9 @@ BASE_CONF = {
     # Stateful streaming: RocksDB keeps large window state off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commit = append a changelog, snapshots in the background: less upload
+    # per micro-batch on remote checkpoint storage
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -15,9 +15,15 @@ def write_metrics_csv(metrics: DataFrame, path: str) -> str:
     return path
 
 
-def export_csv(df: DataFrame, path: str) -> str:
-    """K8: table export as CSV with header (one file per task)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+
+def export_csv(df: DataFrame, path: str, time_format: str = CSV_TIME_FORMAT) -> str:
+    """K8: table export as CSV with header (one file per task); times as
+    ``2024-01-01 00:05:00``."""
+    (df.write.mode("overwrite").option("header", True)
+     .option("timestampFormat", time_format).option("timestampNTZFormat", time_format)
+     .csv(path))
     return path
 
 

@@ -45,6 +45,5 @@ def test_train_save_load_score(spark):
     a = ml.score(model, data).select("event_id", "prediction").collect()
     b = ml.score(again, data).select("event_id", "prediction").collect()
     assert sorted(a) == sorted(b)
-    acc = ml.evaluate(ml.score(model, data).join(data.select("event_id", "risk_label"),
-                                                  "event_id")).first().accuracy
+    acc = ml.evaluate(ml.score(model, data, carry=["risk_label"])).first().accuracy
     assert acc > 0.8
