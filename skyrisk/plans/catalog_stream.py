@@ -20,7 +20,7 @@ from skyrisk.sinks.topic import to_records, write_topic
 from skyrisk.sources import fixture as fx
 from skyrisk.sources.topic import Topic, read_topic_batch, read_topic_stream
 from skyrisk.streaming import jobs
-from skyrisk.streaming.bi import start_bi_push
+from skyrisk.streaming.bi import pushed_rows, start_bi_push
 
 FILES_PER_SLICE = 2
 TIMEOUT_S = 600
@@ -213,5 +213,5 @@ def q_bi_changed_rows(spark, sf_dir):
     out = scratch_path(spark, "bi-pushed")
     q = start_bi_push(spark, stream, out, out + "-ckpt")
     jobs.await_all(spark, [q], TIMEOUT_S)
-    out_df = spark.read.parquet(out).drop("Timestamp")
+    out_df = pushed_rows(spark, out).drop("Timestamp")
     return out_df.withColumn("batch", F.col("batch").cast("long"))

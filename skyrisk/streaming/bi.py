@@ -2,11 +2,17 @@
 
 Append-mode windows never change once emitted, so "changed" means "a newer
 window than the last one pushed for that city".  Per micro-batch:
-newest window per city (``max_by``, reduced map-side) -> left join with the
-last pushed window per city -> keep the newer ones -> BI row format ->
-write under ``batch=<id>``.  Overwriting the batch's own folder makes a
-retried batch idempotent; the "last pushed" lookup ignores folders of the
-current and later batch ids for the same reason.
+
+1. newest window per city in the batch (``latest_per_key``);
+2. left join with the last pushed window per city - a compact state table
+   (one row per city) kept under ``_state/batch=<id>``; batch ``id`` reads
+   only ``batch=id-1`` (partition pruning), so the lookup does not grow
+   with the number of batches ever run;
+3. keep the newer rows, BI row format, write under ``rows/batch=<id>``;
+4. write the merged state under ``_state/batch=<id>``.
+
+Both writes overwrite the batch's own folders, so a retried batch is
+idempotent and never sees its own earlier attempt.
 """
 
 from __future__ import annotations
@@ -18,38 +24,60 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyrisk.operators.serving import bi_rows, latest_per_key
 
-PUSHED_SCHEMA = T.StructType([
+STATE_SCHEMA = T.StructType([
     T.StructField("City", T.StringType()),
-    T.StructField("WindowStart", T.StringType()),
+    T.StructField("last_start", T.StringType()),
     T.StructField("batch", T.LongType()),
 ])
 
 
-def changed_rows(batch: DataFrame, pushed: DataFrame | None) -> DataFrame:
-    """Newest window per city in ``batch`` that is newer than what was pushed."""
+def changed_rows(batch: DataFrame, last: DataFrame | None) -> DataFrame:
+    """Newest window per city in ``batch`` that is newer than ``last``
+    (``City``, ``last_start``: ISO text, so text order is time order)."""
     latest = latest_per_key(batch, "city", "window_start")
     rows = bi_rows(latest, with_push_time=True)
-    if pushed is None:
+    if last is None:
         return rows
-    last = pushed.groupBy("City").agg(F.max("WindowStart").alias("last_start"))
-    return (rows.join(last, "City", "left")
+    return (rows.join(last.select("City", "last_start"), "City", "left")
             .where(F.col("last_start").isNull() | (F.col("WindowStart") > F.col("last_start")))
             .drop("last_start"))
 
 
-def _pushed(spark: SparkSession, path: str, before_batch: int) -> DataFrame | None:
+def merge_state(last: DataFrame | None, pushed: DataFrame) -> DataFrame:
+    """Last pushed window per city after this batch."""
+    new = pushed.select("City", F.col("WindowStart").alias("last_start"))
+    if last is not None:
+        new = new.unionByName(last.select("City", "last_start"))
+    return new.groupBy("City").agg(F.max("last_start").alias("last_start"))
+
+
+def _last_state(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
     try:
-        df = spark.read.schema(PUSHED_SCHEMA).parquet(path)
+        st = spark.read.schema(STATE_SCHEMA).parquet(state_path)
     except Exception:  # noqa: BLE001 - nothing pushed yet
         return None
-    return df.where(F.col("batch") < before_batch)
+    prev = st.where(F.col("batch") == batch_id - 1)
+    if prev.limit(1).count() == 0:
+        # previous batch wrote no state (first batch, or a gap): fall back
+        # to the newest earlier state per city
+        prev = st.where(F.col("batch") < batch_id).groupBy("City") \
+            .agg(F.max("last_start").alias("last_start"))
+    return prev
 
 
 def start_bi_push(spark: SparkSession, aggregates_stream: DataFrame, out_path: str,
                   checkpoint: str, trigger: str | None = "availableNow") -> StreamingQuery:
+    rows_path, state_path = f"{out_path}/rows", f"{out_path}/_state"
+
     def push(batch: DataFrame, batch_id: int) -> None:
-        rows = changed_rows(batch, _pushed(spark, out_path, batch_id))
-        rows.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        last = _last_state(spark, state_path, batch_id)
+        rows = changed_rows(batch, last).persist()
+        try:
+            rows.write.mode("overwrite").parquet(f"{rows_path}/batch={batch_id}")
+            merge_state(last, rows).write.mode("overwrite") \
+                .parquet(f"{state_path}/batch={batch_id}")
+        finally:
+            rows.unpersist()
 
     w = aggregates_stream.writeStream.foreachBatch(push).option("checkpointLocation", checkpoint)
     if trigger in (None, "availableNow"):
@@ -57,3 +85,8 @@ def start_bi_push(spark: SparkSession, aggregates_stream: DataFrame, out_path: s
     else:
         w = w.trigger(processingTime=trigger)
     return w.start()
+
+
+def pushed_rows(spark: SparkSession, out_path: str) -> DataFrame:
+    """All rows pushed so far (with their ``batch`` id)."""
+    return spark.read.parquet(f"{out_path}/rows")

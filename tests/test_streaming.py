@@ -91,9 +91,9 @@ def test_changed_rows_only_newer_windows(spark):
     first = changed_rows(agg, None).collect()
     assert sorted((r.City, r.WindowStart) for r in first) == [
         ("A", "2024-01-01T00:02:00"), ("B", "2024-01-01T00:00:00")]
-    pushed = spark.createDataFrame([("A", "2024-01-01T00:02:00", 0),
-                                    ("B", "2024-01-01T00:00:00", 0)],
-                                   "City string, WindowStart string, batch long")
+    from skyrisk.streaming.bi import merge_state
+    first_df = changed_rows(agg, None)
+    pushed = merge_state(None, first_df)
     again = changed_rows(agg, pushed).collect()
     assert again == []
 
