@@ -108,7 +108,7 @@ def save_versioned(model: PipelineModel, spark: SparkSession, root: str, version
     reader never sees a half-written "latest")."""
     path = f"{root.rstrip('/')}/v={version}"
     model.write().overwrite().save(path)
-    (spark.createDataFrame([(version, path)], "version string, path string")
+    (spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"))
      .coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/_latest"))
     return path
 

@@ -61,7 +61,10 @@ class ProgressCollector(StreamingQueryListener):
 
 def progress_frame(spark: SparkSession, events: list[str]) -> DataFrame:
     """Progress JSON records -> typed progress table."""
-    raw = spark.createDataFrame([(e,) for e in events], "j string")
+    # one small record per micro-batch: a literal array on the JVM side
+    # (no Python worker), then typed by from_json
+    raw = spark.range(1).select(F.explode(F.array(*[F.lit(e) for e in events])).alias("j")) \
+        if events else spark.range(0).select(F.lit("").alias("j"))
     p = raw.select(F.from_json("j", PROGRESS_SCHEMA).alias("p")).select("p.*")
     backlog = F.aggregate(
         F.transform("sources", lambda s: F.coalesce(
