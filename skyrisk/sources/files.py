@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from skyrisk.schemas import HOURLY_DOC_SCHEMA, METRIC_SCHEMA
+from skyrisk.schemas import (AGGREGATE_SCHEMA, HOURLY_DOC_SCHEMA, METRIC_SCHEMA,
+                             PROCESSED_SCHEMA)
 
 
 def _missing(exc: Exception) -> bool:
@@ -41,6 +43,26 @@ def scan_parquet(spark: SparkSession, path: str | list[str], schema: StructType
         raise
 
 
+def _dated(spark: SparkSession, path: str, schema: StructType, date_col: str,
+           since: str | None) -> DataFrame:
+    full = StructType(schema.fields + [T.StructField(date_col, T.DateType(), True)])
+    df = scan_parquet(spark, path, full)
+    if since is not None:
+        df = df.where(F.col(date_col) >= F.lit(since).cast("date"))   # partition filter
+    return df
+
+
+def read_processed(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """Processed events of a date-partitioned folder, optionally from a day
+    on (only those partitions are listed and read)."""
+    return _dated(spark, path, PROCESSED_SCHEMA, "event_date", since)
+
+
+def read_aggregates(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """Window aggregates of a date-partitioned folder, optionally from a day on."""
+    return _dated(spark, path, AGGREGATE_SCHEMA, "window_date", since)
+
+
 def scan_recent_files(spark: SparkSession, path: str, k: int,
                       schema: StructType | None = None,
                       glob: str = "*.parquet") -> DataFrame:

@@ -39,17 +39,22 @@ def _as_strings(df: DataFrame) -> DataFrame:
 
 
 def read_topic_stream(spark: SparkSession, topic: Topic, starting_offsets: str = "latest",
-                      max_per_trigger: int | None = None) -> DataFrame:
+                      max_per_trigger: int | None = None,
+                      min_partitions: int | None = None) -> DataFrame:
     """A1: the topic as an unbounded frame of string key/value.
 
     ``max_per_trigger`` bounds a micro-batch (offsets for Kafka, files for
     the file form), which keeps batch size and state growth predictable.
+    ``min_partitions`` (Kafka) splits large topic partitions into more
+    Spark tasks, so parsing is not capped at the topic's partition count.
     """
     if topic.fmt == "kafka":
         r = (spark.readStream.format("kafka").options(**topic.kafka_options())
              .option("subscribe", topic.name).option("startingOffsets", starting_offsets))
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
+        if min_partitions:
+            r = r.option("minPartitions", min_partitions)
         return _as_strings(r.load())
     r = spark.readStream.schema(TOPIC_SCHEMA)
     if max_per_trigger:

@@ -112,9 +112,15 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
                      max_per_trigger: int | None = None, width: str = WINDOW_WIDTH,
                      watermark: str = WATERMARK_DELAY, console: bool = False,
                      chain: bool = False,
-                     state_partitions: int | None = None) -> list[StreamingQuery]:
+                     state_partitions: int | None = None,
+                     partition_by_date: bool = False) -> list[StreamingQuery]:
     """the processing job as several queries over one source.
 
+    ``partition_by_date`` writes ``processed`` partitioned by ``event_date``
+    and ``aggregates`` by ``window_date``: long-lived tables whose
+    time-range reads then prune partitions (``sources.files.read_processed``
+    / ``read_aggregates`` with ``since``) and whose retention is a folder
+    drop.
     ``state_partitions`` sets the window query's shuffle / state-store
     partition count for a new checkpoint (default: the session's value).
     With ``chain=True`` the window query reads the ``processed`` folder as a
@@ -127,8 +133,10 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
         # the window query's file source must find the folder; an empty one
         # is fine (it waits for the sink's first commit)
         ensure_dir(spark, processed_path)
-    queries = [parquet_sink(clean, processed_path, f"{checkpoint_root}/processed", "append",
-                            trigger, None)]
+    from pyspark.sql import functions as F
+    landed = clean.withColumn("event_date", F.to_date("timestamp")) if partition_by_date else clean
+    queries = [parquet_sink(landed, processed_path, f"{checkpoint_root}/processed", "append",
+                            trigger, None, ["event_date"] if partition_by_date else None)]
     if chain:
         if trigger in (None, "availableNow"):
             queries[0].awaitTermination()
@@ -137,9 +145,12 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
     else:
         src = clean
     stats = window_statistics(src, width, watermark)
+    out = stats.withColumn("window_date", F.to_date("window_start")) if partition_by_date \
+        else stats
     with shuffle_partitions_for_start(spark, state_partitions):
-        queries.append(parquet_sink(stats, aggregates_path, f"{checkpoint_root}/aggregates",
-                                    "append", trigger, None))
+        queries.append(parquet_sink(out, aggregates_path, f"{checkpoint_root}/aggregates",
+                                    "append", trigger, None,
+                                    ["window_date"] if partition_by_date else None))
     if console:
         queries.append(console_sink(clean))
         queries.append(console_sink(stats, "complete"))

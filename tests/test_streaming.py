@@ -114,3 +114,21 @@ def test_await_all_raises_on_timeout(spark):
     with pytest.raises(TimeoutError):
         jobs.await_all(spark, [q], 2)
     assert not q.isActive
+
+
+def test_date_partitioned_tables_prune(spark, sf_small):
+    from skyrisk.sources.files import read_aggregates, read_processed
+    topic, w = _topic_in_time_order(spark, sf_small, 2)
+    proc, agg = scratch_path(spark, "p"), scratch_path(spark, "a")
+    qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "c"),
+                               starting_offsets="earliest", partition_by_date=True)
+    jobs.await_all(spark, qs, 300)
+    assert _rows(read_aggregates(spark, agg)) == _rows(_batch_expectation(spark, w))
+    recent = read_processed(spark, proc, since="2024-01-20")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-20" in plan
+    n_all = read_processed(spark, proc).count()
+    n_recent = recent.count()
+    assert 0 < n_recent < n_all
+    assert n_recent == read_processed(spark, proc).where(
+        F.to_date("timestamp") >= F.lit("2024-01-20").cast("date")).count()
