@@ -42,24 +42,19 @@ def class_distribution(df: DataFrame, col: str = "risk_level") -> DataFrame:
 
 
 # ---------------------------------------------------------------- C6
-def class_table(spark: SparkSession, col: str) -> DataFrame:
-    """The fixed class list as a JVM-side literal table (no Python worker)."""
-    rows = [F.struct(F.lit(i).alias("class_order"), F.lit(name).alias(col))
-            for i, name in RISK_CLASSES]
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
 def prediction_distribution(predictions: DataFrame, col: str = "risk_prediction") -> DataFrame:
-    """Counts over the fixed class list, zero-filled; other values left out.
+    """Counts over the fixed class list, zero-filled, in class order; other
+    values (``unknown``) left out.
 
-    Counts are a partial + final aggregate; the class list (three literal
-    rows, bounded by construction) is the broadcast side of the outer join.
+    One conditional count per class in a single global aggregate (partial
+    per task, one row per task to the final step), then the row is unfolded
+    to one row per class: no join, no broadcast, no sort.
     """
-    classes = class_table(predictions.sparkSession, col)
-    counts = predictions.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return (counts.join(F.broadcast(classes), col, "right")
-            .select(col, F.coalesce("n", F.lit(0)).cast("long").alias("count"), "class_order")
-            .orderBy("class_order").drop("class_order"))
+    counts = predictions.agg(*[F.count_if(F.col(col) == name).alias(f"n{i}")
+                               for i, name in RISK_CLASSES])
+    rows = [F.struct(F.lit(name).alias(col), F.col(f"n{i}").alias("count"))
+            for i, name in RISK_CLASSES]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 # ---------------------------------------------------------------- C5, C4, G5
