@@ -132,3 +132,29 @@ def test_date_partitioned_tables_prune(spark, sf_small):
     assert 0 < n_recent < n_all
     assert n_recent == read_processed(spark, proc).where(
         F.to_date("timestamp") >= F.lit("2024-01-20").cast("date")).count()
+
+
+def test_progress_listener_table(spark, sf_small):
+    """a StreamingQueryListener's progress events as a typed table."""
+    import time as _t
+    from skyrisk.streaming.progress import ProgressCollector, progress_frame, throughput
+    topic, _ = _topic_in_time_order(spark, sf_small, 2)
+    collector = ProgressCollector()
+    spark.streams.addListener(collector)
+    try:
+        proc, agg = scratch_path(spark, "p"), scratch_path(spark, "a")
+        qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "c"),
+                                   starting_offsets="earliest", max_per_trigger=1)
+        jobs.await_all(spark, qs, 300)
+        deadline = _t.time() + 30
+        while len(collector.events) < 4 and _t.time() < deadline:
+            _t.sleep(0.5)
+    finally:
+        spark.streams.removeListener(collector)
+    table = progress_frame(spark, collector.events)
+    rows = table.collect()
+    assert len(rows) >= 4
+    assert sum(r.numInputRows for r in rows) >= 2 * spark.read.parquet(proc).count()
+    assert any(r.watermark is not None for r in rows)
+    t = throughput(table).collect()
+    assert all(r.rate_ev_s >= 0 for r in t)
