@@ -176,6 +176,7 @@ FROM (SELECT 'processed' AS dataset, count(*) AS rows FROM processed
        strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, {', '.join(AGG_COLS)}
 FROM ({_top(10)}) t""",
     "union_parts": ABASE + "SELECT * FROM aggregates",
+    "scan_recent_files": ABASE + f"SELECT * FROM aggregates WHERE {PARTS_OF} BETWEEN 4 AND 9",
 })
 
 # ---------------------------------------------------------------- streams
