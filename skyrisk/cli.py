@@ -100,7 +100,7 @@ def cmd_predict(spark: SparkSession, a) -> dict:
     qs = [jobs.parquet_sink(scored, a.predictions, f"{a.checkpoints}/predictions", "append",
                             a.trigger)]
     if a.console:
-        qs.append(jobs.console_sink(scored))
+        qs.append(jobs.console_sink(scored, trigger=a.trigger))
     jobs.await_all(spark, qs, a.timeout)
     return {"queries": len(qs)}
 

@@ -14,6 +14,7 @@ for a long-running service.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyrisk.operators.clean import clean_required, clean_strict
@@ -124,16 +125,16 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
     ``state_partitions`` sets the window query's shuffle / state-store
     partition count for a new checkpoint (default: the session's value).
     With ``chain=True`` the window query reads the ``processed`` folder as a
-    stream instead of the topic, so each record is parsed once (the
-    optimiser otherwise re-parses JSON for every pushed-down null check),
-    at the cost of one extra hop of latency.
+    stream instead of the topic, so each record is read from the topic and
+    parsed once for both outputs (two queries on the topic each read and
+    parse it), at the cost of one extra hop of latency.
+    Console sinks (``console=True``) run with the same trigger.
     """
     clean = clean_stream(spark, topic, starting_offsets, max_per_trigger)
     if chain:
         # the window query's file source must find the folder; an empty one
         # is fine (it waits for the sink's first commit)
         ensure_dir(spark, processed_path)
-    from pyspark.sql import functions as F
     landed = clean.withColumn("event_date", F.to_date("timestamp")) if partition_by_date else clean
     queries = [parquet_sink(landed, processed_path, f"{checkpoint_root}/processed", "append",
                             trigger, None, ["event_date"] if partition_by_date else None)]
@@ -152,8 +153,8 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
                                     "append", trigger, None,
                                     ["window_date"] if partition_by_date else None))
     if console:
-        queries.append(console_sink(clean))
-        queries.append(console_sink(stats, "complete"))
+        queries.append(console_sink(clean, trigger=trigger or "availableNow"))
+        queries.append(console_sink(stats, "complete", trigger=trigger or "availableNow"))
     return queries
 
 

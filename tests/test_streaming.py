@@ -158,3 +158,12 @@ def test_progress_listener_table(spark, sf_small):
     assert any(r.watermark is not None for r in rows)
     t = throughput(table).collect()
     assert all(r.rate_ev_s >= 0 for r in t)
+
+
+def test_processing_with_console_sinks_terminates(spark, sf_small):
+    topic, _ = _topic_in_time_order(spark, sf_small, 1)
+    qs = jobs.start_processing(spark, topic, scratch_path(spark, "p"), scratch_path(spark, "a"),
+                               scratch_path(spark, "c"), starting_offsets="earliest",
+                               console=True)
+    assert len(qs) == 4
+    jobs.await_all(spark, qs, 300)
