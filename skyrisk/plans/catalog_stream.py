@@ -57,9 +57,11 @@ def time_slices(spark, sf_dir, n: int = 3):
 
 
 def file_topic(spark, sf_dir, name: str) -> Topic:
+    """The producer: events keyed by id, hash-partitioned into one topic
+    file per core (records are built after the shuffle, in parallel)."""
     topic = Topic(fmt="files", path=scratch_path(spark, name))
-    write_topic(fx.topic_records(weather(spark, sf_dir)), topic,
-                partitions=spark.sparkContext.defaultParallelism)
+    keyed = weather(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "event_id")
+    write_topic(fx.topic_records(keyed), topic)
     return topic
 
 
