@@ -16,14 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+def jdbc_batch_frame(batch: DataFrame, batch_id: int, num_partitions: int = 8) -> DataFrame:
+    """The rows one micro-batch appends: the window rows plus ``batch_id``,
+    in at most ``num_partitions`` tasks (bounds concurrent connections)."""
+    return batch.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(num_partitions)
+
+
 def start_jdbc_sink(stats_stream: DataFrame, url: str, table: str, checkpoint: str,
                     properties: dict | None = None, trigger: str | None = "30 seconds",
                     num_partitions: int = 8) -> StreamingQuery:
     props = dict(properties or {})
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id))
-         .coalesce(num_partitions)           # bounds concurrent connections
+        (jdbc_batch_frame(batch, batch_id, num_partitions)
          .write.format("jdbc").option("url", url).option("dbtable", table)
          .options(**props).mode("append").save())
 

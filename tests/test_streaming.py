@@ -167,3 +167,12 @@ def test_processing_with_console_sinks_terminates(spark, sf_small):
                                console=True)
     assert len(qs) == 4
     jobs.await_all(spark, qs, 300)
+
+
+def test_jdbc_batch_frame(spark):
+    from skyrisk.streaming.jdbc import jdbc_batch_frame
+    df = spark.range(0, 100, numPartitions=16).withColumnRenamed("id", "x")
+    out = jdbc_batch_frame(df, 7, num_partitions=4)
+    assert out.rdd.getNumPartitions() <= 4
+    assert out.columns == ["x", "batch_id"]
+    assert {r.batch_id for r in out.select("batch_id").distinct().collect()} == {7}
