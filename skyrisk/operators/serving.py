@@ -65,17 +65,27 @@ def split_bucket(key: Column | str, seed: int = 42) -> Column:
     return F.pmod(F.pmod(k, F.lit(65536)) * F.lit(40503) + F.lit(seed), F.lit(65536))
 
 
-def split_by_key(df: DataFrame, key: str = "event_id", train_fraction: float = 0.8,
+def row_key(df: DataFrame, key: str | None = "event_id") -> Column:
+    """The split key: the key column if present, else a 64-bit hash of the
+    event's own columns (tables landed without an id)."""
+    from skyrisk.schemas import EVENT_COLUMNS
+    if key and key in df.columns:
+        return F.col(key)
+    return F.xxhash64(*[F.col(c) for c in EVENT_COLUMNS if c in df.columns])
+
+
+def split_by_key(df: DataFrame, key: str | None = "event_id", train_fraction: float = 0.8,
                  seed: int = 42) -> DataFrame:
     """Key-based train/test split.  Unlike ``randomSplit`` it does not
     depend on partitioning or row order, so a retried task or another
     cluster shape gives the same split."""
     cut = int(train_fraction * 65536)
     return df.withColumn(
-        "split", F.when(split_bucket(key, seed) < cut, F.lit("train")).otherwise(F.lit("test")))
+        "split", F.when(split_bucket(row_key(df, key), seed) < cut, F.lit("train"))
+        .otherwise(F.lit("test")))
 
 
-def training_gates(processed: DataFrame, features: list[str], key: str = "event_id",
+def training_gates(processed: DataFrame, features: list[str], key: str | None = "event_id",
                    train_fraction: float = 0.8, seed: int = 42,
                    min_clean_rows: int = 20) -> DataFrame:
     """All pre-training counts in one pass (the reference runs five jobs).
@@ -90,7 +100,7 @@ def training_gates(processed: DataFrame, features: list[str], key: str = "event_
     for c in features:
         clean = clean & F.col(c).isNotNull() & ~F.isnan(F.col(c))
     label = risk_label()
-    train = split_bucket(key, seed) < int(train_fraction * 65536)
+    train = split_bucket(row_key(processed, key), seed) < int(train_fraction * 65536)
     per_class = [F.count_if(clean & (label == v)) for v, _ in RISK_CLASSES]
     g = processed.agg(
         F.count(F.lit(1)).alias("total_rows"),

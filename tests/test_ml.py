@@ -47,3 +47,23 @@ def test_train_save_load_score(spark):
     assert sorted(a) == sorted(b)
     acc = ml.evaluate(ml.score(model, data, carry=["risk_label"])).first().accuracy
     assert acc > 0.8
+
+
+def test_split_without_key_is_deterministic(spark):
+    from skyrisk.operators.serving import split_by_key, training_gates
+    from skyrisk.schemas import FEATURE_COLUMNS
+    df = spark.range(0, 2000).select(
+        (F.col("id") % 45).cast("double").alias("temperature"),
+        (F.col("id") % 97).cast("double").alias("humidity"),
+        (F.col("id") % 7).cast("double").alias("precipitation"),
+        (F.col("id") % 70).cast("double").alias("wind_speed"),
+        F.lit(10.0).alias("wind_gusts"), F.lit(1010.0).alias("surface_pressure"),
+        F.lit(20.0).alias("apparent_temperature"), F.lit(1).alias("weather_code"),
+        F.lit("X").alias("city"), F.col("id").cast("string").alias("timestamp"))
+    a = sorted(split_by_key(df).select("timestamp", "split").collect())
+    b = sorted(split_by_key(df.repartition(7)).select("timestamp", "split").collect())
+    assert a == b
+    share = sum(r.split == "train" for r in a) / len(a)
+    assert 0.75 < share < 0.85
+    g = training_gates(df, FEATURE_COLUMNS).first()
+    assert g.train_rows == sum(r.split == "train" for r in a) and g.status == "ok"
