@@ -236,7 +236,9 @@ FROM pushed"""
 
 ORACLE.update({
     "src_topic_stream": with_(WEATHER) + """SELECT event_id,
-       '{"city":"' || city || '","ti' AS head,
+       CASE WHEN event_id % 97 = 0 THEN NULL
+            ELSE 10 - CAST(humidity IS NULL AS INTEGER) - CAST(wind_gusts IS NULL AS INTEGER)
+       END AS n_keys,
        CASE WHEN event_id % 97 = 0 THEN 'i' ELSE '}' END AS last_char
 FROM weather""",
     "sink_topic_json": with_(WEATHER) + """SELECT event_id, city,
