@@ -101,7 +101,7 @@ def q_src_topic_stream(spark, sf_dir):
     topic = file_topic(spark, sf_dir, "topic-src")
     s = read_topic_stream(spark, topic).select(
         F.col("key").cast("long").alias("event_id"),
-        F.size(F.json_object_keys("value")).alias("n_keys"),
+        F.array_size(F.json_object_keys("value")).alias("n_keys"),
         F.substring("value", -1, 1).alias("last_char"))
     out = scratch_path(spark, "topic-src-out")
     q = jobs.parquet_sink(s, out, out + "-ckpt")
