@@ -1,12 +1,18 @@
 """Run the driver contract the way an outside harness would: a plain session
 (default settings), entry() on sf0.001, then every query at sf0.01 collected and
-compared with its SQL twin in DuckDB.  usage: python tools/simulate_driver.py [SF_DIR]"""
+compared with its SQL twin in DuckDB.
+usage: python tools/simulate_driver.py [SF_DIR] [--ansi-off]"""
 import sys, time, os
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 os.chdir(ROOT)
 from pyspark.sql import SparkSession
-spark = SparkSession.builder.master("local[8]").appName("sim").getOrCreate()
+ANSI_OFF = "--ansi-off" in sys.argv
+ARGS = [a for a in sys.argv[1:] if not a.startswith("--")]
+builder = SparkSession.builder.master("local[8]").appName("sim")
+if ANSI_OFF:
+    builder = builder.config("spark.sql.ansi.enabled", "false")
+spark = builder.getOrCreate()
 spark.sparkContext.setLogLevel("ERROR")
 import importlib.util
 spec = importlib.util.spec_from_file_location("entry_mod", os.path.join(ROOT, "__spark_entry__.py"))
@@ -14,7 +20,7 @@ E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)
 t = time.time(); rows = E.entry(spark).collect(); print("entry rows", len(rows), round(time.time()-t, 1))
 import duckdb, math
 con = duckdb.connect()
-sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+sf = ARGS[0] if ARGS else "/root/testdata/sf0.01"
 for f in os.listdir(sf):
     con.execute(f"CREATE VIEW {f[:-8]} AS SELECT * FROM read_parquet('{sf}/{f}')")
 qs, sql = E.queries(), E.oracle_sql()
