@@ -26,11 +26,21 @@ from pyspark.sql import functions as F
 
 def with_ordinal(df: DataFrame, key: str, name: str = "ordinal", buckets: int | None = None,
                  accuracy: int = 10000) -> DataFrame:
+    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+    ktype = df.schema[key].dataType
+    if not isinstance(ktype, (NumericType, TimestampType, TimestampNTZType, DateType)):
+        raise TypeError(f"ordinal key {key!r} must be numeric, date or timestamp, not {ktype}")
     spark = df.sparkSession
     p = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     p = max(1, p)
     fracs = [i / p for i in range(1, p)]
-    kd = F.col(key).cast("double")
+    # monotone map to double (dates and timestamps as epoch seconds)
+    if isinstance(ktype, DateType):
+        kd = F.unix_date(F.col(key)).cast("double")
+    elif isinstance(ktype, (TimestampType, TimestampNTZType)):
+        kd = F.unix_micros(F.col(key).cast("timestamp")).cast("double")
+    else:
+        kd = F.col(key).cast("double")
     stats = df.agg(F.count(F.lit(1)).alias("n"),
                    *([F.percentile_approx(kd, fracs, accuracy).alias("q")] if fracs else [])
                    ).first()

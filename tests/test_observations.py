@@ -91,3 +91,16 @@ def test_synth_uniform_bands(spark):
     for c in ("h", "w", "r"):
         assert 700 < s[c] < 1300
     assert s["hw"] == 0
+
+
+def test_ordinal_key_types(spark):
+    import datetime as dt
+    import pytest
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, i), dt.date(2024, 1, 1 + i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "t timestamp, d date")
+    got = sorted((r.t, r.ordinal) for r in with_ordinal(df, "t", buckets=3).collect())
+    assert [o for _, o in got] == list(range(20))
+    got = sorted((r.d, r.ordinal) for r in with_ordinal(df, "d", buckets=3).collect())
+    assert [o for _, o in got] == list(range(20))
+    with pytest.raises(TypeError):
+        with_ordinal(spark.createDataFrame([("a",)], "s string"), "s")
