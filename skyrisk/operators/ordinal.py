@@ -13,8 +13,11 @@ Instead:
    ordinal = offset + rank - 1.
 
 The boundaries are fixed literals of the plan, so a retried task recomputes
-the same ordinal, and no lineage cut is needed.  Keys must be unique (add a
-tie-breaker otherwise).
+the same ordinal, and no lineage cut is needed.  The order is
+``key ASC NULLS FIRST, *tie``; (key, tie) must be unique for the ordinal to
+be deterministic.  Rows with the same key value always share a bucket, so a
+key value repeated by a large share of the rows makes that bucket large -
+give such data a finer key.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 
 def with_ordinal(df: DataFrame, key: str, name: str = "ordinal", buckets: int | None = None,
-                 accuracy: int = 10000) -> DataFrame:
+                 accuracy: int = 10000, tie: list[str] | None = None) -> DataFrame:
     from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
     ktype = df.schema[key].dataType
     if not isinstance(ktype, (NumericType, TimestampType, TimestampNTZType, DateType)):
@@ -41,12 +44,15 @@ def with_ordinal(df: DataFrame, key: str, name: str = "ordinal", buckets: int |
         kd = F.unix_micros(F.col(key).cast("timestamp")).cast("double")
     else:
         kd = F.col(key).cast("double")
+    # null keys sort first: map them below every boundary (first bucket)
+    kd = F.coalesce(kd, F.lit(float("-inf")))
+    real = F.when(F.col(key).isNotNull(), kd)          # quantiles over non-null keys
     stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   *([F.percentile_approx(kd, fracs, accuracy).alias("q")] if fracs else [])
+                   *([F.percentile_approx(real, fracs, accuracy).alias("q")] if fracs else [])
                    ).first()
     if stats["n"] == 0:
         return df.withColumn(name, F.lit(None).cast("long"))
-    qs = sorted(set(stats["q"])) if fracs else []
+    qs = sorted({q for q in (stats["q"] or []) if q is not None}) if fracs else []
     splits = [float("-inf")] + qs + [float("inf")]
     tmp = "__bucket"
     if len(splits) < 3:       # one bucket: Bucketizer needs at least two ranges
@@ -60,7 +66,8 @@ def with_ordinal(df: DataFrame, key: str, name: str = "ordinal", buckets: int |
     offsets = counts.select(
         tmp, (F.sum("__n").over(Window.orderBy(tmp)) - F.col("__n")).alias("__off"))
     ranked = bucketed.withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(tmp).orderBy(F.col(key))))
+        "__rn", F.row_number().over(Window.partitionBy(tmp).orderBy(
+            F.col(key).asc_nulls_first(), *[F.col(c) for c in (tie or [])])))
     return (ranked.join(F.broadcast(offsets), tmp)
             .withColumn(name, (F.col("__off") + F.col("__rn") - 1).cast("long"))
             .drop(tmp, "__off", "__rn"))

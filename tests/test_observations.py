@@ -104,3 +104,14 @@ def test_ordinal_key_types(spark):
     assert [o for _, o in got] == list(range(20))
     with pytest.raises(TypeError):
         with_ordinal(spark.createDataFrame([("a",)], "s string"), "s")
+
+
+def test_ordinal_null_keys_and_ties(spark):
+    rows = [(None, "b"), (None, "a"), (5, "z"), (5, "y"), (1, "q"), (9, "c")] + \
+        [(100 + i, "x") for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, t string").repartition(3)
+    out = with_ordinal(df, "k", buckets=4, tie=["t"]).collect()
+    assert len(out) == len(rows)                      # no row lost
+    order = [(r.k, r.t) for r in sorted(out, key=lambda r: r.ordinal)]
+    assert order[:6] == [(None, "a"), (None, "b"), (1, "q"), (5, "y"), (5, "z"), (9, "c")]
+    assert sorted(r.ordinal for r in out) == list(range(len(rows)))
