@@ -1,5 +1,6 @@
 """Command line for the pipeline's jobs.
 
+    python -m skyrisk produce  --documents D | --synthetic N  --topic-path T [--demo]
     python -m skyrisk process  --topic-path T --processed P --aggregates A --checkpoints C
     python -m skyrisk train    --processed P --models M --metrics CSV
     python -m skyrisk predict  --topic-path T --models M --predictions R --checkpoints C
@@ -48,6 +49,41 @@ def _common_topic(p):
     p.add_argument("--checkpoints", required=True)
 
 
+def cmd_produce(spark: SparkSession, a) -> dict:
+    """Events to the topic, from stored hourly documents or synthetic.
+
+    Documents: exploded to events; the global ordinal over (time, document,
+    position) is the record key (the producer's event counter), and with
+    ``--demo`` the anomaly rules apply by that ordinal.  Synthetic: the
+    Gaussian load-test generator, ids 0..N-1 spaced at ``--rate`` per second
+    from now.
+    """
+    from skyrisk.functions.timeparse import parse_event_time
+    from skyrisk.operators import observations as O
+    from skyrisk.operators.ordinal import with_ordinal
+    from skyrisk.schemas import EVENT_COLUMNS
+    from skyrisk.sinks.topic import to_records, write_topic
+    from skyrisk.sources.files import scan_hourly_documents
+
+    if a.documents:
+        events = O.build_event(O.explode_hourly(scan_hourly_documents(spark, a.documents)),
+                               a.city)
+        events = with_ordinal(events.withColumn("__t", parse_event_time("timestamp")), "__t",
+                              name="seq", tie=["doc_id", "pos"]).drop("__t")
+        if a.demo:
+            events = O.apply_anomalies(events, "seq")
+        key = "seq"
+    elif a.synthetic:
+        ids = spark.range(a.synthetic).withColumnRenamed("id", "seq")
+        events = O.synth_gauss(ids, "seq", F.current_timestamp(), a.rate, a.seed,
+                               a.city or O.DEFAULT_CITY)
+        key = "seq"
+    else:
+        raise ValueError("give --documents or --synthetic")
+    write_topic(to_records(events, key, EVENT_COLUMNS), _topic(a), partitions=a.partitions)
+    return {"topic": a.topic_path or a.topic_name}
+
+
 def cmd_process(spark: SparkSession, a) -> dict:
     from skyrisk.streaming import jobs
     qs = jobs.start_processing(spark, _topic(a), a.processed, a.aggregates, a.checkpoints,
@@ -173,6 +209,19 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--master")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
+    g = sub.add_parser("produce", help="events (documents or synthetic) -> topic")
+    g.add_argument("--topic-format", default="files", choices=["files", "kafka"])
+    g.add_argument("--topic-path")
+    g.add_argument("--topic-name", default="weather_stream")
+    g.add_argument("--bootstrap")
+    g.add_argument("--documents")
+    g.add_argument("--synthetic", type=int)
+    g.add_argument("--rate", type=int, default=5000)
+    g.add_argument("--seed", type=int, default=42)
+    g.add_argument("--city")
+    g.add_argument("--demo", action="store_true")
+    g.add_argument("--partitions", type=int, help="topic files (file topic only)")
+
     p = sub.add_parser("process", help="topic -> processed + window aggregates")
     _common_topic(p)
     p.add_argument("--processed", required=True)
@@ -214,5 +263,5 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if spark is None:
         from skyrisk.session import build_session
         spark = build_session(a.master, app=f"skyrisk-{a.cmd}")
-    return {"process": cmd_process, "train": cmd_train, "predict": cmd_predict,
-            "query": cmd_query}[a.cmd](spark, a)
+    return {"produce": cmd_produce, "process": cmd_process, "train": cmd_train,
+            "predict": cmd_predict, "query": cmd_query}[a.cmd](spark, a)

@@ -42,3 +42,24 @@ def test_train_gate_on_missing_data(spark):
     with pytest.raises(GateError):
         main(["train", "--processed", scratch_path(spark, "none"), "--models",
               scratch_path(spark, "m"), "--metrics", scratch_path(spark, "x")], spark)
+
+
+def test_produce_documents_demo_and_synthetic(spark, sf_small):
+    from skyrisk.operators.parse import parse_events
+    from skyrisk.sources.topic import read_topic_batch
+    docs = scratch_path(spark, "docs")
+    fx.hourly_documents(fx.load_weather(spark, sf_small)).write.json(docs)
+    t1 = scratch_path(spark, "prod-docs")
+    main(["produce", "--documents", docs, "--topic-path", t1, "--demo", "--partitions", "2"],
+         spark)
+    ev = parse_events(read_topic_batch(spark, Topic(path=t1))).collect()
+    n_obs = spark.read.json(docs).select(F.explode("hourly.time")).count()
+    assert len(ev) == n_obs
+    by_seq = {r.event_id: r for r in ev}
+    assert sorted(by_seq) == list(range(n_obs))
+    assert by_seq[15].temperature == 36.5 and by_seq[25].precipitation == 55.0
+    assert by_seq[40].wind_speed == 70.0
+    t2 = scratch_path(spark, "prod-syn")
+    main(["produce", "--synthetic", "3000", "--topic-path", t2], spark)
+    syn = parse_events(read_topic_batch(spark, Topic(path=t2)))
+    assert syn.count() == 3000 and syn.where(F.col("timestamp").isNull()).count() == 0
