@@ -13,6 +13,8 @@ for a long-running service.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -159,26 +161,39 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery],
-              timeout_s: float | None = None) -> None:
-    """Wait for every query; if any fails or the wait times out, stop them
-    all and raise - a caller must never read a half-written sink as done."""
-    timed_out = []
+              timeout_s: float | None = None, poll_s: float = 1.0) -> None:
+    """Wait until every query has finished.  As soon as any query ends with
+    an error, or the deadline passes, stop the whole group and raise - a
+    caller must never read a half-written sink as done."""
+    deadline = time.monotonic() + timeout_s if timeout_s else None
+    failed: list[StreamingQuery] = []
+    unfinished: list[str] = []
     try:
-        for q in queries:
-            if timeout_s:
-                if not q.awaitTermination(timeout_s):
-                    timed_out.append(q.id)
-            else:
-                q.awaitTermination()
+        while True:
+            failed = [q for q in queries if not q.isActive and q.exception() is not None]
+            active = [q for q in queries if q.isActive]
+            if failed or not active:
+                break
+            wait = poll_s
+            if deadline is not None:
+                left = deadline - time.monotonic()
+                if left <= 0:
+                    unfinished = [str(q.id) for q in active]
+                    break
+                wait = min(wait, left)
+            try:
+                active[0].awaitTermination(wait)
+            except Exception:  # noqa: BLE001 - its error is read from q.exception()
+                pass
     finally:
         for q in queries:
             if q.isActive:
                 q.stop()
-    for q in queries:
-        if q.exception() is not None:
-            raise RuntimeError(f"streaming query failed: {q.exception()}")
-    if timed_out:
-        raise TimeoutError(f"streaming queries did not finish in {timeout_s}s: {timed_out}")
+    failed = [q for q in queries if q.exception() is not None]
+    if failed:
+        raise RuntimeError(f"streaming query failed: {failed[0].exception()}")
+    if unfinished:
+        raise TimeoutError(f"streaming queries did not finish in {timeout_s}s: {unfinished}")
 
 
 def scoring_stream(spark: SparkSession, topic: Topic, model, starting_offsets: str = "latest",

@@ -176,3 +176,19 @@ def test_jdbc_batch_frame(spark):
     assert out.rdd.getNumPartitions() <= 4
     assert out.columns == ["x", "batch_id"]
     assert {r.batch_id for r in out.select("batch_id").distinct().collect()} == {7}
+
+
+def test_one_failing_query_stops_the_group(spark):
+    """any query ending in error stops the others and raises."""
+    import pytest
+    ok = spark.readStream.format("rate").option("rowsPerSecond", 5).load() \
+        .writeStream.format("noop").start()
+
+    def boom(batch, batch_id):
+        raise ValueError("sink failed")
+
+    bad = spark.readStream.format("rate").option("rowsPerSecond", 5).load() \
+        .writeStream.foreachBatch(boom).start()
+    with pytest.raises(RuntimeError, match="streaming query failed"):
+        jobs.await_all(spark, [bad, ok], 120)
+    assert not ok.isActive and not bad.isActive
