@@ -50,6 +50,16 @@ def q_risk_distribution(spark, sf_dir):
     return S.class_distribution(labelled(spark, sf_dir), "risk_level")
 
 
+@query("risk_distribution_processed")
+def q_risk_distribution_processed(spark, sf_dir):
+    """C3, notebook form: rule labels over all processed rows (no
+    feature null rule before labelling)."""
+    from skyrisk.functions.rules import risk_level
+    p = processed(spark, sf_dir).withColumn("risk_label", risk_label()) \
+        .withColumn("risk_level", risk_level())
+    return S.class_distribution(p, "risk_level")
+
+
 @query("training_gates")
 def q_training_gates(spark, sf_dir):
     """C4+C5+G5: counts and gate status in one pass."""

@@ -102,6 +102,13 @@ ORACLE.update({
        CASE risk_label WHEN 2 THEN 'critical' WHEN 1 THEN 'moderate' ELSE 'normal' END
          AS risk_level, count(*) AS count
 FROM labelled GROUP BY 1""",
+    "risk_distribution_processed": BASE + """SELECT
+       CASE WHEN temperature > 35 OR wind_speed > 60 OR precipitation > 50 THEN 'critical'
+            WHEN (temperature BETWEEN 30 AND 35) OR (precipitation BETWEEN 20 AND 50)
+                 OR (wind_speed BETWEEN 40 AND 60) THEN 'moderate'
+            ELSE 'normal' END AS risk_level,
+       count(*) AS count
+FROM processed GROUP BY 1""",
     "training_gates": with_(WEATHER, PARSED, CLEAN6) + f"""SELECT *,
        CASE WHEN total_rows = 0 THEN 'no_data' WHEN clean_rows < 20 THEN 'too_few_rows'
             WHEN train_rows = 0 OR test_rows = 0 THEN 'empty_split'
