@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from skyrisk.functions.rules import prediction_text, risk_label, risk_level  # noqa: E402
+from skyrisk.functions.rules import risk_label, risk_level  # noqa: E402
 from skyrisk.operators import ml, serving as S  # noqa: E402
 from skyrisk.operators.clean import clean_features  # noqa: E402
 from skyrisk.operators.windows import window_statistics  # noqa: E402

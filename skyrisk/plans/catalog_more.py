@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 
 from skyrisk.operators import ml, serving as S
 from skyrisk.operators.clean import clean_features
-from skyrisk.operators.windows import window_statistics
 from skyrisk.plans.catalog import (WINDOW_ROUND, aggregates, labelled, processed, query,
                                    strict)
 from skyrisk.plans.present import present

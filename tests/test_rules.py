@@ -1,7 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
-
 from skyrisk.functions.rules import prediction_text, risk_label, risk_level
 
 # (temperature, precipitation, wind_speed, expected label)

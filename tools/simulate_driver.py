@@ -18,7 +18,7 @@ import importlib.util
 spec = importlib.util.spec_from_file_location("entry_mod", os.path.join(ROOT, "__spark_entry__.py"))
 E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)
 t = time.time(); rows = E.entry(spark).collect(); print("entry rows", len(rows), round(time.time()-t, 1))
-import duckdb, math
+import duckdb
 con = duckdb.connect()
 sf = ARGS[0] if ARGS else "/root/testdata/sf0.01"
 for f in os.listdir(sf):
