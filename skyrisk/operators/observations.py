@@ -89,32 +89,35 @@ def synth_gauss(ids: DataFrame, id_col: str, start_ts: Column, rate_per_s: int =
     """One synthetic event per id.  Draws are keyed by (id, seed), so the
     output does not depend on partitioning; event time = start + id/rate s,
     cut to the minute."""
-    k = F.col(id_col)
-
-    def g(name, stream):
-        m, s = GAUSS[name]
-        return R.gaussian(k, seed, stream, m, s)
-
-    def u(stream, lo, hi):
-        return F.lit(lo) + R.uniform(k, seed, stream) * F.lit(hi - lo)
-
-    temp = g("temperature", 1)
-    hum = F.greatest(F.lit(0.0), F.least(F.lit(100.0), g("humidity", 2)))
-    precip = F.greatest(F.lit(0.0), g("precipitation", 3))
-    wind = F.greatest(F.lit(0.0), g("wind_speed", 4))
-    gust = wind + F.greatest(F.lit(0.0), g("gust_extra", 5))
-    press = g("surface_pressure", 6)
-    app = temp + g("apparent_delta", 7)
-    code = R.choice(k, seed, 20, WEATHER_CODES)
-    anomalous = R.uniform(k, seed, 21) < anomaly_prob
-    kind = R.choice(k, seed, 22, ["heat", "rain", "wind"])
+    d = R.with_uniforms(ids.select(id_col), id_col, seed, list(range(1, 15)) + [20, 21, 22, 23,
+                                                                                 24, 25])
+
+    def u(s):
+        return F.col(f"__u{s}")
+
+    def g(name, s1, s2):
+        m, sd = GAUSS[name]
+        return R.gaussian(u(s1), u(s2), m, sd)
+
+    def span(s, lo, hi):
+        return F.lit(lo) + u(s) * F.lit(hi - lo)
+
+    temp = g("temperature", 1, 2)
+    hum = F.greatest(F.lit(0.0), F.least(F.lit(100.0), g("humidity", 3, 4)))
+    precip = F.greatest(F.lit(0.0), g("precipitation", 5, 6))
+    wind = F.greatest(F.lit(0.0), g("wind_speed", 7, 8))
+    gust = wind + F.greatest(F.lit(0.0), g("gust_extra", 9, 10))
+    press = g("surface_pressure", 11, 12)
+    app = temp + g("apparent_delta", 13, 14)
+    code = R.choice(u(20), WEATHER_CODES)
+    anomalous = u(21) < anomaly_prob
+    kind = R.choice(u(22), ["heat", "rain", "wind"])
     heat, rain, windy = anomalous & (kind == "heat"), anomalous & (kind == "rain"), \
         anomalous & (kind == "wind")
-    a_temp = u(23, *HEAT_RANGE)
-    a_rain = u(24, *RAIN_RANGE)
-    a_wind = u(25, *WIND_RANGE)
+    a_temp, a_rain, a_wind = span(23, *HEAT_RANGE), span(24, *RAIN_RANGE), span(25, *WIND_RANGE)
+    k = F.col(id_col)
     ts = start_ts + F.make_interval(secs=(k.cast("double") / F.lit(float(rate_per_s))))
-    base = ids.select(
+    base = d.select(
         k.alias(id_col),
         F.lit(city).alias("city"),
         F.date_format(ts, EVENT_TIME_FORMAT).alias("timestamp"),
@@ -141,16 +144,16 @@ def synth_uniform(rate: DataFrame, anomaly_prob: float = 0.05, seed: int = 7,
     (p, 2p), rain above 1-p; ``r2`` scales the anomaly.  Draws are keyed by
     ``value``, so a replayed micro-batch yields the same events.
     """
-    k = F.col("value")
+    d = R.with_uniforms(rate.select("timestamp", "value"), "value", seed, list(range(1, 11)))
 
-    def u(stream):
-        return R.uniform(k, seed, stream)
+    def u(s):
+        return F.col(f"__u{s}")
 
     r1, r2 = u(1), u(2)
     p = anomaly_prob
     temp = F.when(r1 < p, 35.0 + r2 * 7.0).otherwise(22.0 + (u(3) - 0.5) * 12.0)
     wind = F.when((r1 > p) & (r1 < 2 * p), 60.0 + r2 * 30.0).otherwise(12.0 + (u(5) - 0.5) * 8.0)
-    return rate.select(
+    return d.select(
         F.lit(city).alias("city"),
         F.col("timestamp"),
         temp.alias("temperature"),

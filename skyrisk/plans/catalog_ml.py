@@ -52,8 +52,8 @@ def q_synth_gauss(spark, sf_dir):
     """One Gaussian synthetic event per event id, 5 % anomalies,
     times from the first event's time at 5,000 events/s."""
     ev = fx.load_table(spark, sf_dir, "events")
-    start = ev.agg(F.min("ts").alias("t0")).first()["t0"]
-    return O.synth_gauss(ev.select("event_id"), "event_id", F.lit(start).cast("timestamp"))
+    t0_us = ev.agg(F.unix_micros(F.min("ts").cast("timestamp")).alias("t0")).first()["t0"]
+    return O.synth_gauss(ev.select("event_id"), "event_id", F.timestamp_micros(F.lit(t0_us)))
 
 
 @query("synth_uniform_stream")

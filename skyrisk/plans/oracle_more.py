@@ -312,3 +312,97 @@ FROM events GROUP BY user_id % 8""",
        CAST(weather_code AS DOUBLE) AS f7_weather_code
 FROM features""",
 })
+
+
+# ---------------------------------------------------------------- generators
+M31, MIX31 = 2147483647, 73244475
+
+
+def _stream_const(seed: int, stream: int) -> int:
+    return (seed * 1640531527 + stream * 1013904223) & M31
+
+
+def _uniform_ctes(src: str, key: str, carry: list[str], seed: int, streams: list[int]) -> str:
+    """CTEs h0..h2 and ``uni``: uniforms u{s} in [0, 1) keyed by ``key``."""
+    keep = ", ".join(carry)
+    base = f"xor({key} & {M31}, ({key} >> 31) & {M31})"
+    c0 = ", ".join(f"xor({base}, {_stream_const(seed, s)}) AS u{s}" for s in streams)
+    rnd = ", ".join(f"(xor(u{s}, u{s} >> 16) * {MIX31}) & {M31} AS u{s}" for s in streams)
+    fin = ", ".join(f"CAST(xor(u{s}, u{s} >> 16) AS DOUBLE) / 2147483648.0 AS u{s}"
+                    for s in streams)
+    return (f"h0 AS (SELECT {keep}, {c0} FROM {src}),\n"
+            f"h1 AS (SELECT {keep}, {rnd} FROM h0),\n"
+            f"h2 AS (SELECT {keep}, {rnd} FROM h1),\n"
+            f"uni AS (SELECT {keep}, {fin} FROM h2)")
+
+
+def _d(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _g(mean: float, sd: float, a: int, b: int) -> str:
+    z = f"(sqrt({_d(-2.0)} * ln({_d(1.0)} - u{a})) * cos({_d(6.283185307179586)} * u{b}))"
+    return f"({_d(mean)} + {_d(sd)} * {z})"
+
+
+_GAUSS_STREAMS = list(range(1, 15)) + [20, 21, 22, 23, 24, 25]
+SYNTH_GAUSS = "WITH ids AS (SELECT event_id FROM events),\n" + _uniform_ctes(
+    "ids", "event_id", ["event_id"], 42, _GAUSS_STREAMS) + f""",
+t AS (SELECT min(ts) AS t0 FROM events),
+parts AS (
+  SELECT event_id,
+         {_g(22.0, 4.0, 1, 2)} AS temp,
+         greatest({_d(0.0)}, least({_d(100.0)}, {_g(60.0, 15.0, 3, 4)})) AS hum,
+         greatest({_d(0.0)}, {_g(0.5, 1.5, 5, 6)}) AS precip,
+         greatest({_d(0.0)}, {_g(12.0, 5.0, 7, 8)}) AS wind,
+         greatest({_d(0.0)}, {_g(5.0, 3.0, 9, 10)}) AS gust_extra,
+         {_g(1015.0, 4.0, 11, 12)} AS press,
+         {_g(0.0, 1.5, 13, 14)} AS app_delta,
+         [0, 1, 2, 3, 45, 61, 63, 80][CAST(floor(u20 * 8) AS INTEGER) + 1] AS code,
+         u21 < {_d(0.05)} AS anomalous,
+         ['heat', 'rain', 'wind'][CAST(floor(u22 * 3) AS INTEGER) + 1] AS kind,
+         {_d(35.5)} + u23 * {_d(6.5)} AS a_temp,
+         {_d(50.5)} + u24 * {_d(39.5)} AS a_rain,
+         {_d(60.5)} + u25 * {_d(34.5)} AS a_wind
+  FROM uni
+), flags AS (
+  SELECT *, anomalous AND kind = 'heat' AS heat, anomalous AND kind = 'rain' AS rain,
+         anomalous AND kind = 'wind' AS windy
+  FROM parts
+)
+SELECT event_id, 'Mexico City' AS city,
+       strftime(t0 + to_microseconds(event_id * 200), '%Y-%m-%dT%H:%M') AS timestamp,
+       round(CASE WHEN heat THEN a_temp ELSE temp END, 2) AS temperature,
+       round(hum, 2) AS humidity,
+       round(CASE WHEN rain THEN a_rain ELSE precip END, 2) AS precipitation,
+       round(CASE WHEN windy THEN a_wind ELSE wind END, 2) AS wind_speed,
+       round(CASE WHEN windy THEN a_wind + {_d(10.0)} ELSE wind + gust_extra END, 2) AS wind_gusts,
+       round(press, 2) AS surface_pressure,
+       round(CASE WHEN heat THEN a_temp + {_d(2.0)} ELSE temp + app_delta END, 2)
+         AS apparent_temperature,
+       CAST(CASE WHEN rain THEN 65 ELSE code END AS INTEGER) AS weather_code
+FROM flags, t"""
+
+SYNTH_UNIFORM = "WITH rate AS (SELECT ts AS timestamp, event_id AS value FROM events),\n" + \
+    _uniform_ctes("rate", "value", ["timestamp", "value"], 7, list(range(1, 11))) + f""",
+parts AS (
+  SELECT timestamp,
+         CASE WHEN u1 < {_d(0.05)} THEN {_d(35.0)} + u2 * {_d(7.0)}
+              ELSE {_d(22.0)} + (u3 - {_d(0.5)}) * {_d(12.0)} END AS temp,
+         CASE WHEN u1 > {_d(0.05)} AND u1 < {_d(0.1)} THEN {_d(60.0)} + u2 * {_d(30.0)}
+              ELSE {_d(12.0)} + (u5 - {_d(0.5)}) * {_d(8.0)} END AS wind,
+         u1, u2, u4, u6, u7, u8, u9, u10
+  FROM uni
+)
+SELECT 'Mexico City' AS city, timestamp, temp AS temperature,
+       {_d(60.0)} + (u4 - {_d(0.5)}) * {_d(50.0)} AS humidity,
+       CASE WHEN u1 > {_d(0.95)} THEN {_d(50.0)} + u2 * {_d(40.0)} ELSE u6 * {_d(3.0)} END
+         AS precipitation,
+       wind AS wind_speed,
+       wind + u7 * {_d(8.0)} AS wind_gusts,
+       {_d(1015.0)} + (u8 - {_d(0.5)}) * {_d(8.0)} AS surface_pressure,
+       temp + (u9 - {_d(0.5)}) * {_d(3.0)} AS apparent_temperature,
+       CAST(trunc(u10 * 65) AS INTEGER) AS weather_code
+FROM parts"""
+
+ORACLE.update({"synth_gauss": SYNTH_GAUSS, "synth_uniform_stream": SYNTH_UNIFORM})
