@@ -41,7 +41,7 @@ def query(name: str):
 
 def catalog() -> dict[str, QueryFn]:
     # import side modules that register more entries
-    from skyrisk.plans import catalog_ml, catalog_more, catalog_stream  # noqa: F401
+    from skyrisk.plans import catalog_ml, catalog_serving, catalog_stream  # noqa: F401
     return dict(_CATALOG)
 
 

@@ -29,7 +29,7 @@ def main():
     from skyrisk.operators.parse import parse_events
     from skyrisk.operators.windows import window_statistics
     from skyrisk.plans.catalog import aggregates, processed
-    from skyrisk.plans.catalog_more import predictions
+    from skyrisk.plans.catalog_serving import predictions
     from skyrisk.schemas import AGGREGATE_SCHEMA, FEATURE_COLUMNS, PROCESSED_SCHEMA, TOPIC_SCHEMA
     from skyrisk.session import build_session, scratch_path
     from skyrisk.sources import fixture as fx
