@@ -63,3 +63,21 @@ def test_produce_documents_demo_and_synthetic(spark, sf_small):
     main(["produce", "--synthetic", "3000", "--topic-path", t2], spark)
     syn = parse_events(read_topic_batch(spark, Topic(path=t2)))
     assert syn.count() == 3000 and syn.where(F.col("timestamp").isNull()).count() == 0
+
+
+def test_query_output_formats(spark, sf_small):
+    from skyrisk.plans.catalog import aggregates, processed
+    proc, agg = scratch_path(spark, "fmt-proc"), scratch_path(spark, "fmt-agg")
+    processed(spark, sf_small).write.parquet(proc)
+    aggregates(spark, sf_small).write.parquet(agg)
+    csv_out, pq_out = scratch_path(spark, "fmt-csv"), scratch_path(spark, "fmt-pq")
+    main(["query", "kpi", "--processed", proc, "--out", csv_out, "--format", "csv"], spark)
+    row = spark.read.option("header", True).csv(csv_out).first()
+    assert int(row.total_events) == spark.read.parquet(proc).count()
+    main(["query", "latest", "--aggregates", agg, "--limit", "5", "--out", pq_out,
+          "--format", "parquet"], spark)
+    got = spark.read.parquet(pq_out).orderBy(F.col("window_start").desc(),
+                                             F.col("city").desc()).collect()
+    want = spark.read.parquet(agg).orderBy(F.col("window_start").desc(),
+                                           F.col("city").desc()).limit(5).collect()
+    assert [(r.city, r.window_start) for r in got] == [(r.city, r.window_start) for r in want]
