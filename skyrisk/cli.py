@@ -4,6 +4,8 @@
     python -m skyrisk process  --topic-path T --processed P --aggregates A --checkpoints C
     python -m skyrisk train    --processed P --models M --metrics CSV
     python -m skyrisk predict  --topic-path T --models M --predictions R --checkpoints C
+    python -m skyrisk bi-push  --aggregates A --out O --checkpoints C
+    python -m skyrisk run-stats jobs|stages|throughput --event-log L | --progress P --out O
     python -m skyrisk query    NAME --processed P --aggregates A --predictions R --out O
 
 ``--topic-format kafka --bootstrap host:port --topic-name weather_stream``
@@ -21,7 +23,8 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyrisk.schemas import AGGREGATE_SCHEMA, FEATURE_COLUMNS, PROCESSED_SCHEMA
+from skyrisk.schemas import (AGGREGATE_SCHEMA, FEATURE_COLUMNS, PREDICTION_SCHEMA, PREDICTION_VIEW,
+                             PROCESSED_SCHEMA)
 
 SERVING = ["kpi", "alerts", "latest", "all", "summary", "risk-distribution",
            "prediction-distribution", "status", "bi-rows", "latest-predictions",
@@ -66,7 +69,8 @@ def cmd_produce(spark: SparkSession, a) -> dict:
     from skyrisk.sources.files import scan_hourly_documents
 
     if a.documents:
-        events = O.build_event(O.explode_hourly(scan_hourly_documents(spark, a.documents)),
+        events = O.build_event(O.explode_hourly(scan_hourly_documents(
+            spark, a.documents, multiline=True if a.multiline else None)),
                                a.city)
         events = with_ordinal(events.withColumn("__t", parse_event_time("timestamp")), "__t",
                               name="seq", tie=["doc_id", "pos"]).drop("__t")
@@ -80,17 +84,27 @@ def cmd_produce(spark: SparkSession, a) -> dict:
         key = "seq"
     else:
         raise ValueError("give --documents or --synthetic")
-    write_topic(to_records(events, key, EVENT_COLUMNS), _topic(a), partitions=a.partitions)
+    write_topic(to_records(events, None if a.no_key else key, EVENT_COLUMNS), _topic(a),
+                partitions=a.partitions)
     return {"topic": a.topic_path or a.topic_name}
 
 
 def cmd_process(spark: SparkSession, a) -> dict:
     from skyrisk.streaming import jobs
+    if a.progress:
+        from skyrisk.streaming.progress import ProgressCollector
+        listener = ProgressCollector(spark, a.progress)
+        spark.streams.addListener(listener)
     qs = jobs.start_processing(spark, _topic(a), a.processed, a.aggregates, a.checkpoints,
                                trigger=a.trigger, starting_offsets=a.starting_offsets,
                                max_per_trigger=a.max_per_trigger, console=a.console,
-                               chain=a.chain, partition_by_date=a.partition_by_date)
+                               chain=a.chain, partition_by_date=a.partition_by_date,
+                               width=a.width, watermark=a.watermark,
+                               state_partitions=a.state_partitions, timeout_s=a.timeout)
     jobs.await_all(spark, qs, a.timeout)
+    if a.progress:
+        listener.finished([str(q.runId) for q in qs])
+        spark.streams.removeListener(listener)
     return {"queries": len(qs)}
 
 
@@ -104,7 +118,7 @@ def cmd_train(spark: SparkSession, a) -> dict:
     from skyrisk.sources.files import scan_parquet
 
     processed = scan_parquet(spark, a.processed, PROCESSED_SCHEMA)
-    gates = S.training_gates(processed, FEATURE_COLUMNS, train_fraction=a.train_fraction,
+    gates = S.training_gates(processed, FEATURE_COLUMNS, a.key, train_fraction=a.train_fraction,
                              seed=a.seed).first()
     if not gates["can_train"]:
         raise GateError(f"training refused: {gates['status']} ({gates.asDict()})")
@@ -142,32 +156,45 @@ def cmd_predict(spark: SparkSession, a) -> dict:
 
 
 def serving_query(spark: SparkSession, name: str, processed: str | None,
-                  aggregates: str | None, predictions: str | None, limit: int = 10) -> DataFrame:
-    """The read-side questions over the landed tables."""
+                  aggregates: str | None, predictions: str | None, limit: int | None = None,
+                  pool: int = 1000, since: str | None = None) -> DataFrame:
+    """The read-side questions over the landed tables.
+
+    ``limit``: rows of the newest-N questions (by default 10 windows, 20
+    predictions, 500 points of a series; ``all`` gives all windows).  ``since``: a
+    day; tables partitioned by date are read from there on."""
     from skyrisk.operators import serving as S
     from skyrisk.functions.rules import risk_label, risk_level
     from skyrisk.operators.clean import clean_features
-    from skyrisk.sources.files import scan_parquet
+    from skyrisk.sources.files import read_aggregates, read_processed, scan_parquet
 
     def P():
+        if since:
+            return read_processed(spark, processed, since).drop("event_date")
         return scan_parquet(spark, processed, PROCESSED_SCHEMA)
 
     def A():
+        if since:
+            return read_aggregates(spark, aggregates, since).drop("window_date")
         return scan_parquet(spark, aggregates, AGGREGATE_SCHEMA)
 
     def R():
-        return spark.read.parquet(predictions)
+        return scan_parquet(spark, predictions, PREDICTION_SCHEMA)
+
+    def by_key(df, n, asc=False):
+        keyed = df.withColumn("__key", S.row_key(df))
+        return (S.tail_ascending if asc else S.newest)(keyed, n, "timestamp", ["__key"]).drop("__key")
 
     if name == "kpi":
         return S.kpi_summary(P())
     if name == "alerts":
         return S.alert_flag(P(), R() if predictions else None)
     if name == "latest":
-        return S.newest(A(), limit, "window_start", ["city"])
+        return S.newest(A(), limit or 10, "window_start", ["city"])
     if name == "all":
-        return S.newest(A(), 1000, "window_start", ["city"])
+        return S.newest(A(), limit, "window_start", ["city"]) if limit else A()
     if name == "summary":
-        return S.summary_stats(A())
+        return S.summary_stats(A(), pool)
     if name == "risk-distribution":
         return S.class_distribution(clean_features(P()).withColumn("risk_label", risk_label())
                                     .withColumn("risk_level", risk_level()))
@@ -181,20 +208,19 @@ def serving_query(spark: SparkSession, name: str, processed: str | None,
     if name == "bi-rows":
         return S.bi_rows(S.latest_per_key(A(), "city", "window_start"))
     if name == "latest-predictions":
-        return S.present_columns(S.newest(R().where(F.col("timestamp").isNotNull()), 20,
-                                          "timestamp", []),
-                                 ["timestamp", "temperature", "precipitation", "wind_speed",
-                                  "prediction", "risk_prediction"])
+        return S.present_columns(by_key(R().where(F.col("timestamp").isNotNull()), limit or 20),
+                                 PREDICTION_VIEW)
     if name == "timeseries":
-        return S.tail_ascending(P(), 500, "timestamp", ["event_id"])
+        return by_key(P(), limit or 500, asc=True)
     if name == "window-tail":
-        return S.tail_ascending(A(), 500, "window_start", ["city"])
+        return S.tail_ascending(A(), limit or 500, "window_start", ["city"])
     raise ValueError(f"unknown query {name}; one of {SERVING}")
 
 
 def cmd_query(spark: SparkSession, a) -> dict:
     from skyrisk.sinks import files as sink
-    df = serving_query(spark, a.name, a.processed, a.aggregates, a.predictions, a.limit)
+    df = serving_query(spark, a.name, a.processed, a.aggregates, a.predictions, a.limit,
+                       a.pool, a.since)
     if a.format == "csv":
         sink.export_csv(df, a.out)
     elif a.format == "json":
@@ -204,6 +230,31 @@ def cmd_query(spark: SparkSession, a) -> dict:
     return {"out": a.out}
 
 
+def cmd_bi_push(spark: SparkSession, a) -> dict:
+    from skyrisk.streaming import jobs
+    from skyrisk.streaming.bi import start_bi_push
+    stream = spark.readStream.schema(AGGREGATE_SCHEMA).parquet(a.aggregates)
+    q = start_bi_push(spark, stream, a.out, f"{a.checkpoints}/bi", a.trigger)
+    jobs.await_all(spark, [q], a.timeout)
+    return {"out": a.out}
+
+
+def cmd_run_stats(spark: SparkSession, a) -> dict:
+    """Statistics per application log, or rows and rates per streaming query."""
+    from skyrisk.operators import runstats
+    from skyrisk.sinks import files as sink
+    from skyrisk.sources.files import scan_event_log
+    from skyrisk.streaming.progress import progress_frame, throughput
+    if a.kind == "throughput":
+        df = throughput(progress_frame(spark.read.schema("value string").text(a.progress)))
+    elif a.kind == "jobs":
+        df = runstats.job_duration_stats(runstats.jobs_from_event_log(scan_event_log(spark, a.event_log)))
+    else:
+        df = runstats.stage_totals(runstats.stages_from_event_log(scan_event_log(spark, a.event_log)))
+    sink.export_json(df, a.out)
+    return {"out": a.out}
+
+
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="skyrisk")
     ap.add_argument("--master")
@@ -220,6 +271,8 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--seed", type=int, default=42)
     g.add_argument("--city")
     g.add_argument("--demo", action="store_true")
+    g.add_argument("--multiline", action="store_true", help="documents are pretty-printed")
+    g.add_argument("--no-key", action="store_true", help="send values only")
     g.add_argument("--partitions", type=int, help="topic files (file topic only)")
 
     p = sub.add_parser("process", help="topic -> processed + window aggregates")
@@ -229,6 +282,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--console", action="store_true")
     p.add_argument("--chain", action="store_true", help="parse once: windows read processed")
     p.add_argument("--partition-by-date", action="store_true")
+    p.add_argument("--width", default="1 minute")
+    p.add_argument("--watermark", default="2 minutes")
+    p.add_argument("--state-partitions", type=int)
+    p.add_argument("--progress", help="folder for the progress of all batches")
     p.add_argument("--timeout", type=float)
 
     t = sub.add_parser("train", help="train, evaluate and store the risk model")
@@ -252,9 +309,24 @@ def parser() -> argparse.ArgumentParser:
     q.add_argument("--processed")
     q.add_argument("--aggregates")
     q.add_argument("--predictions")
-    q.add_argument("--limit", type=int, default=10)
+    q.add_argument("--limit", type=int)
+    q.add_argument("--pool", type=int, default=1000, help="windows that summary looks at")
+    q.add_argument("--since", help="first day to read of tables partitioned by date")
     q.add_argument("--out", required=True)
     q.add_argument("--format", default="json", choices=["json", "csv", "parquet"])
+
+    b = sub.add_parser("bi-push", help="newest window per city, pushed when it changed")
+    b.add_argument("--aggregates", required=True)
+    b.add_argument("--out", required=True)
+    b.add_argument("--checkpoints", required=True)
+    b.add_argument("--trigger", default="availableNow")
+    b.add_argument("--timeout", type=float)
+
+    s = sub.add_parser("run-stats", help="jobs, stages or throughput of past runs")
+    s.add_argument("kind", choices=["jobs", "stages", "throughput"])
+    s.add_argument("--event-log", help="event log file or folder")
+    s.add_argument("--progress", help="progress folder of process")
+    s.add_argument("--out", required=True)
     return ap
 
 
@@ -264,4 +336,5 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from skyrisk.session import build_session
         spark = build_session(a.master, app=f"skyrisk-{a.cmd}")
     return {"produce": cmd_produce, "process": cmd_process, "train": cmd_train,
-            "predict": cmd_predict, "query": cmd_query}[a.cmd](spark, a)
+            "predict": cmd_predict, "query": cmd_query, "bi-push": cmd_bi_push,
+            "run-stats": cmd_run_stats}[a.cmd](spark, a)

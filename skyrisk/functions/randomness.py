@@ -7,7 +7,9 @@ value, on any partitioning, and recomputing a lost task reproduces it.
 
 The hash is integer arithmetic on 31-bit values (xor-shift / multiply
 rounds, every product below 2^62), so it never overflows a BIGINT and any
-SQL engine can state the same draws.  Each round is a separate projection:
+SQL engine can state the same draws.  The key's low half is mixed with the
+stream before its high half joins, so two keys that meet in one stream part
+in the others.  Each round is a separate projection:
 a round reads its input twice, and separate projections keep the plan from
 duplicating the earlier rounds (Catalyst does not collapse projections that
 would repeat non-trivial expressions).
@@ -34,14 +36,15 @@ def with_uniforms(df: DataFrame, key: str, seed: int, streams: list[int],
                   prefix: str = "__u") -> DataFrame:
     """Add ``{prefix}{s}``: a uniform double in [0, 1) per stream ``s``."""
     k = F.col(key).cast("long")
-    base = k.bitwiseAND(F.lit(MASK31)).bitwiseXOR(F.shiftright(k, 31).bitwiseAND(F.lit(MASK31)))
+    low, high = k.bitwiseAND(F.lit(MASK31)), F.shiftright(k, 31).bitwiseAND(F.lit(MASK31))
     keep = [F.col(c) for c in df.columns]
-    out = df.select(*keep, *[base.bitwiseXOR(F.lit(stream_constant(seed, s))).alias(f"{prefix}{s}")
+    out = df.select(*keep, *[low.bitwiseXOR(F.lit(stream_constant(seed, s))).alias(f"{prefix}{s}")
                              for s in streams])
-    for _ in range(2):
-        out = out.select(*keep, *[
-            (F.col(f"{prefix}{s}").bitwiseXOR(F.shiftright(F.col(f"{prefix}{s}"), 16))
-             * F.lit(MIX)).bitwiseAND(F.lit(MASK31)).alias(f"{prefix}{s}") for s in streams])
+    for i in range(3):
+        mixed = {s: (F.col(f"{prefix}{s}").bitwiseXOR(F.shiftright(F.col(f"{prefix}{s}"), 16))
+                     * F.lit(MIX)).bitwiseAND(F.lit(MASK31)) for s in streams}
+        out = out.select(*keep, *[(m.bitwiseXOR(high) if i == 0 else m).alias(f"{prefix}{s}")
+                                  for s, m in mixed.items()])
     return out.select(*keep, *[
         (F.col(f"{prefix}{s}").bitwiseXOR(F.shiftright(F.col(f"{prefix}{s}"), 16))
          .cast("double") / F.lit(float(2 ** 31))).alias(f"{prefix}{s}") for s in streams])

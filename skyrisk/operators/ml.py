@@ -9,6 +9,8 @@ would scan the predictions four times.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -103,22 +105,24 @@ def evaluate(predictions: DataFrame, label: str = "risk_label") -> DataFrame:
 
 # ---------------------------------------------------------------- A8, K11
 def save_versioned(model: PipelineModel, spark: SparkSession, root: str, version: str) -> str:
-    """Write the model under ``root/v=<version>`` and record it in a
-    one-row pointer table ``root/_latest`` (written after the model, so a
-    reader never sees a half-written "latest")."""
+    """Write the model under ``root/v=<version>``, then append one row to
+    the table ``root/latest``.  Rows are only added, after the model is whole, so
+    a reader at any time finds the newest or the one before."""
     path = f"{root.rstrip('/')}/v={version}"
     model.write().overwrite().save(path)
-    (spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"))
-     .coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/_latest"))
+    (spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"),
+                           F.lit(time.time_ns()).alias("saved_ns"))
+     .coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/latest"))
     return path
 
 
 def load_latest(spark: SparkSession, root: str) -> PipelineModel:
-    """Load the model the pointer names; a clear error if none exists."""
-    try:
-        row = spark.read.parquet(f"{root.rstrip('/')}/_latest").first()
-    except Exception as exc:  # noqa: BLE001 - missing folder
-        raise FileNotFoundError(f"no trained model under {root}; train first") from exc
+    """Load the model saved last; a clear error if none exists.  Any other
+    failure to read is raised as it is."""
+    from skyrisk.sources.files import path_exists
+    table = f"{root.rstrip('/')}/latest"
+    row = spark.read.schema("version string, path string, saved_ns long").parquet(table) \
+        .orderBy(F.desc("saved_ns")).first() if path_exists(spark, table) else None
     if row is None:
         raise FileNotFoundError(f"no trained model under {root}; train first")
     return PipelineModel.load(row["path"])

@@ -34,10 +34,11 @@ def explode_hourly(docs: DataFrame, carry: list[str] | None = None) -> DataFrame
 
 
 def build_event(observations: DataFrame, city: str | Column | None = None) -> DataFrame:
-    """Source variables renamed to event columns; the city is a constant
-    (or the document's own ``city`` column when present)."""
+    """Source variables renamed to event columns; the city is the given one,
+    else the document's own ``city``, else the default."""
     if city is None:
-        city_col = F.col("city") if "city" in observations.columns else F.lit(DEFAULT_CITY)
+        city_col = F.coalesce(F.col("city"), F.lit(DEFAULT_CITY)) \
+            if "city" in observations.columns else F.lit(DEFAULT_CITY)
     else:
         city_col = F.lit(city) if isinstance(city, str) else city
     keep = [c for c in ("doc_id", "pos") if c in observations.columns]

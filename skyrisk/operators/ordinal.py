@@ -1,73 +1,51 @@
 """Global ordinal (0-based position in key order) without a single-task sort.
 
 ``row_number()`` over an unpartitioned window moves every row into one task.
-Instead:
+Instead the rows are range-partitioned on key *and* tie columns, sorted inside
+their partition, numbered there and written once to the shared folder; the P
+partition sizes give the offsets (a table bounded by P, so it is broadcast).
+Ranges are cut by sampled quantiles of the whole order, so a key value that a
+large share of the rows has (one hour of all cities) spreads over many ranges
+as long as the tie columns differ.
 
-1. one aggregate gives the row count and ``P-1`` approximate quantiles of the
-   key (P buckets of about equal size, whatever the key distribution);
-2. each row's bucket is found by binary search over those boundaries
-   (``Bucketizer``, JVM side);
-3. per-bucket counts (P rows) give each bucket's offset - a table bounded by
-   P, so it is broadcast;
-4. ``row_number()`` partitioned by bucket ranks rows inside their bucket;
-   ordinal = offset + rank - 1.
-
-The boundaries are fixed literals of the plan, so a retried task recomputes
-the same ordinal, and no lineage cut is needed.  The order is
-``key ASC NULLS FIRST, *tie``; (key, tie) must be unique for the ordinal to
-be deterministic.  Rows with the same key value always share a bucket, so a
-key value repeated by a large share of the rows makes that bucket large -
-give such data a finer key.
+The written table fixes which row is where: a lost task recomputes nothing
+that could come out otherwise.  The order is ``key ASC NULLS FIRST, *tie``;
+(key, tie) must be unique for the ordinal to be deterministic.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyrisk.session import scratch_path
 
-def with_ordinal(df: DataFrame, key: str, name: str = "ordinal", buckets: int | None = None,
-                 accuracy: int = 10000, tie: list[str] | None = None) -> DataFrame:
-    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
-    ktype = df.schema[key].dataType
-    if not isinstance(ktype, (NumericType, TimestampType, TimestampNTZType, DateType)):
-        raise TypeError(f"ordinal key {key!r} must be numeric, date or timestamp, not {ktype}")
+
+def ranged(df: DataFrame, key: str, buckets: int | None = None,
+           tie: list[str] | None = None) -> DataFrame:
+    """``df`` with ``__part`` and ``__idx``: its range in (key, tie) order and the
+    0-based place in it, from a table written to the shared folder."""
     spark = df.sparkSession
-    p = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    p = max(1, p)
-    fracs = [i / p for i in range(1, p)]
-    # monotone map to double (dates and timestamps as epoch seconds)
-    if isinstance(ktype, DateType):
-        kd = F.unix_date(F.col(key)).cast("double")
-    elif isinstance(ktype, (TimestampType, TimestampNTZType)):
-        kd = F.unix_micros(F.col(key).cast("timestamp")).cast("double")
-    else:
-        kd = F.col(key).cast("double")
-    # null keys sort first: map them below every boundary (first bucket)
-    kd = F.coalesce(kd, F.lit(float("-inf")))
-    real = F.when(F.col(key).isNotNull(), kd)          # quantiles over non-null keys
-    stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   *([F.percentile_approx(real, fracs, accuracy).alias("q")] if fracs else [])
-                   ).first()
-    if stats["n"] == 0:
-        return df.withColumn(name, F.lit(None).cast("long"))
-    qs = sorted({q for q in (stats["q"] or []) if q is not None}) if fracs else []
-    splits = [float("-inf")] + qs + [float("inf")]
-    tmp = "__bucket"
-    if len(splits) < 3:       # one bucket: Bucketizer needs at least two ranges
-        bucketed = df.withColumn(tmp, F.lit(0.0))
-    else:
-        bucketed = Bucketizer(splits=splits, inputCol="__kd", outputCol=tmp,
-                              handleInvalid="keep").transform(df.withColumn("__kd", kd)) \
-            .drop("__kd")
-    counts = bucketed.groupBy(tmp).agg(F.count(F.lit(1)).alias("__n"))
+    p = max(1, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    order = [F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in (tie or [])]]
+    path = scratch_path(spark, "ordinal")
+    # in each task the row id counts up from the partition number << 33
+    (df.repartitionByRange(p, *order).sortWithinPartitions(*order)
+     .withColumn("__id", F.monotonically_increasing_id())
+     .withColumn("__part", F.shiftright("__id", 33).cast("int"))
+     .withColumn("__idx", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
+     .drop("__id").write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def with_ordinal(df: DataFrame, key: str, name: str = "ordinal", buckets: int | None = None,
+                 tie: list[str] | None = None) -> DataFrame:
+    """``df`` with its position in (key, tie) order."""
+    rows = ranged(df, key, buckets, tie)
+    counts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     # offsets over at most P rows: a tiny single-partition window is fine here
     offsets = counts.select(
-        tmp, (F.sum("__n").over(Window.orderBy(tmp)) - F.col("__n")).alias("__off"))
-    ranked = bucketed.withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(tmp).orderBy(
-            F.col(key).asc_nulls_first(), *[F.col(c) for c in (tie or [])])))
-    return (ranked.join(F.broadcast(offsets), tmp)
-            .withColumn(name, (F.col("__off") + F.col("__rn") - 1).cast("long"))
-            .drop(tmp, "__off", "__rn"))
+        "__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__off"))
+    return (rows.join(F.broadcast(offsets), "__part")
+            .withColumn(name, (F.col("__off") + F.col("__idx")).cast("long"))
+            .select(*df.columns, name))

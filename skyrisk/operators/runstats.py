@@ -43,28 +43,30 @@ def executor_report(executors: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- event logs
 def jobs_from_event_log(log: DataFrame) -> DataFrame:
-    """Job records (``jobId``, submission and completion time strings in
+    """Job records (``log``, ``jobId``, submission and completion time strings in
     the monitoring API's format) from ``SparkListenerJobStart`` /
-    ``SparkListenerJobEnd`` lines of an event log (``scan_event_log``)."""
+    ``SparkListenerJobEnd`` lines of event logs (``scan_event_log``).
+
+    Job ids start anew in every application, so they count within their log;
+    one aggregate brings start and end together."""
     def ms_to_api(c):
-        return F.concat(F.date_format(F.timestamp_millis(c), _API_TIME), F.lit("GMT"))
+        return F.when(F.col(c).isNotNull(), F.concat(
+            F.date_format(F.timestamp_millis(c), _API_TIME), F.lit("GMT")))
 
-    start = log.where(F.col("Event") == "SparkListenerJobStart").select(
-        F.get_json_object("line", "$.Job ID").cast("long").alias("jobId"),
-        F.get_json_object("line", "$.Submission Time").cast("long").alias("s"))
-    end = log.where(F.col("Event") == "SparkListenerJobEnd").select(
-        F.get_json_object("line", "$.Job ID").cast("long").alias("jobId"),
+    lines = log.where(F.col("Event").isin("SparkListenerJobStart", "SparkListenerJobEnd"))
+    both = lines.select(
+        "log", F.get_json_object("line", "$.Job ID").cast("long").alias("jobId"),
+        F.get_json_object("line", "$.Submission Time").cast("long").alias("s"),
         F.get_json_object("line", "$.Completion Time").cast("long").alias("e"))
-    return start.join(end, "jobId", "left").select(
-        "jobId", ms_to_api(F.col("s")).alias("submissionTime"),
-        F.when(F.col("e").isNotNull(), ms_to_api(F.col("e"))).alias("completionTime"))
+    return both.groupBy("log", "jobId").agg(F.max("s").alias("s"), F.max("e").alias("e")).select(
+        "log", "jobId", ms_to_api("s").alias("submissionTime"), ms_to_api("e").alias("completionTime"))
 
 
 def stages_from_event_log(log: DataFrame) -> DataFrame:
-    """Stage records (shuffle read / write bytes, GC ms) from
-    ``SparkListenerStageCompleted`` accumulables."""
+    """Stage records (``log``, stage id, shuffle read / write bytes, GC
+    ms) from ``SparkListenerStageCompleted`` accumulables."""
     done = log.where(F.col("Event") == "SparkListenerStageCompleted").select(
-        F.get_json_object("line", "$['Stage Info']['Stage ID']").cast("long").alias("stageId"),
+        "log", F.get_json_object("line", "$['Stage Info']['Stage ID']").cast("long").alias("stageId"),
         F.from_json(F.get_json_object("line", "$['Stage Info']['Accumulables']"),
                     "array<struct<Name:string,Value:string>>").alias("acc"))
 
@@ -73,7 +75,7 @@ def stages_from_event_log(log: DataFrame) -> DataFrame:
         return F.get(vals, 0)["Value"].cast("long")
 
     return done.select(
-        "stageId",
+        "log", "stageId",
         (F.coalesce(acc("internal.metrics.shuffle.read.remoteBytesRead"), F.lit(0))
          + F.coalesce(acc("internal.metrics.shuffle.read.localBytesRead"), F.lit(0)))
         .alias("shuffleReadBytes"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyrisk.functions.rules import is_critical
-from skyrisk.schemas import AGGREGATE_COLUMNS, RISK_CLASSES
+from skyrisk.schemas import AGGREGATE_COLUMNS, EVENT_COLUMNS, RISK_CLASSES
 
 
 # ---------------------------------------------------------------- C2
@@ -65,13 +65,30 @@ def split_bucket(key: Column | str, seed: int = 42) -> Column:
     return F.pmod(F.pmod(k, F.lit(65536)) * F.lit(40503) + F.lit(seed), F.lit(65536))
 
 
+def event_hash(df: DataFrame) -> Column:
+    """A 60-bit hash of the event's own columns.  Measures enter as whole
+    millionths and times as microseconds, so any engine can state it."""
+    def text(f):
+        c = F.col(f.name)
+        if f.dataType.typeName().startswith("timestamp"):
+            c = F.unix_micros(c.cast("timestamp"))
+        elif f.dataType.typeName() in ("double", "float"):
+            c = F.floor(c * 1e6 + F.lit(0.5)).cast("long")
+        return F.coalesce(c.cast("string"), F.lit(""))
+
+    parts = [text(df.schema[c]) for c in EVENT_COLUMNS if c in df.columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")
+
+
 def row_key(df: DataFrame, key: str | None = "event_id") -> Column:
-    """The split key: the key column if present, else a 64-bit hash of the
-    event's own columns (tables landed without an id)."""
-    from skyrisk.schemas import EVENT_COLUMNS
-    if key and key in df.columns:
-        return F.col(key)
-    return F.xxhash64(*[F.col(c) for c in EVENT_COLUMNS if c in df.columns])
+    """The split key of every row: the key column (hashed unless it is an
+    integer), and where it is null or absent the hash of the event."""
+    if not key or key not in df.columns:
+        return event_hash(df)
+    whole = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    own = F.col(key).cast("long") if whole else \
+        F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 15), 16, 10).cast("long")
+    return F.coalesce(own, event_hash(df))
 
 
 def split_by_key(df: DataFrame, key: str | None = "event_id", train_fraction: float = 0.8,
@@ -131,18 +148,17 @@ def tail_ascending(df: DataFrame, n: int, time_col: str, tie_cols: list[str]) ->
 
 
 def latest_per_key(df: DataFrame, key: str, time_col: str) -> DataFrame:
-    """Newest row per key ((key, time) assumed unique).
-
-    ``max(time)`` per key is a HashAggregate with a partial step (a hot key
-    is reduced on every map task); the rows are then picked by a semi join
-    on (key, time).  AQE broadcasts the per-key side when its measured size
-    is small and falls back to a shuffle join otherwise - its size grows
-    with the number of keys, so no broadcast is forced.  (``max_by`` over a
-    struct would plan a SortAggregate: a full sort of every input partition.)
+    """Newest row per key ((key, time) assumed unique); rows without a time
+    do not count.
+
+    One pass: ``max_by`` of every other column by the time.  Fixed-width
+    columns keep it a HashAggregate with a partial step, so a hot key is
+    reduced on every map task (``max_by`` over a struct would sort).
     """
-    newest = df.groupBy(F.col(key).alias("__k")).agg(F.max(time_col).alias("__t"))
-    cond = df[key].eqNullSafe(newest["__k"]) & (df[time_col] == newest["__t"])
-    return df.join(newest, cond, "left_semi")
+    picked = df.where(F.col(time_col).isNotNull()).groupBy(key).agg(
+        *[F.max(c).alias(c) if c == time_col else F.max_by(c, time_col).alias(c)
+          for c in df.columns if c != key])
+    return picked.select(*df.columns)
 
 
 def present_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
@@ -152,11 +168,11 @@ def present_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- C7
 NUMERIC_AGG = AGGREGATE_COLUMNS[3:]
+SUMMARY_STATS = ["current", "oldest", "avg", "min", "max", "std"]
 
 
 def summary_stats(aggregates: DataFrame, pool: int = 1000,
-                  columns: list[str] | None = None,
-                  decimals: int | None = 6) -> DataFrame:
+                  columns: list[str] | None = None) -> DataFrame:
     """Per numeric column over the newest ``pool`` windows: current (newest),
     oldest, avg, min, max and sample std.
 
@@ -176,9 +192,7 @@ def summary_stats(aggregates: DataFrame, pool: int = 1000,
         F.max_by("x", "o").alias("current"), F.min_by("x", "o").alias("oldest"),
         F.avg("x").alias("avg"), F.min("x").alias("min"), F.max("x").alias("max"),
         F.stddev_samp("x").alias("std"))
-    stats = ["current", "oldest", "avg", "min", "max", "std"]
-    return g.select("column", "rows", *[
-        (F.round(s, decimals) if decimals is not None else F.col(s)).alias(s) for s in stats])
+    return g.select("column", "rows", *SUMMARY_STATS)
 
 
 # ---------------------------------------------------------------- C8
@@ -187,11 +201,15 @@ def alert_flag(processed: DataFrame, predictions: DataFrame | None, recent: int
     prediction in the newest ``recent`` predictions.
 
     Both top-k sets are unioned and reduced by one aggregate (no join).
+    Equal times are ordered by the row key, which no row lacks.
     """
-    data = newest(processed, recent, "timestamp", ["event_id"]).select(
+    def top(df):
+        return newest(df.withColumn("__key", row_key(df)), recent, "timestamp", ["__key"])
+
+    data = top(processed).select(
         is_critical().alias("d"), F.lit(None).cast("boolean").alias("p"))
     if predictions is not None and "risk_prediction" in predictions.columns:
-        pred = newest(predictions, recent, "timestamp", ["event_id"]).select(
+        pred = top(predictions).select(
             F.lit(None).cast("boolean").alias("d"), (F.col("risk_prediction") == "critical").alias("p"))
         data = data.unionByName(pred)
     out = data.agg(F.coalesce(F.bool_or("d"), F.lit(False)).alias("critical_in_data"),
@@ -200,7 +218,8 @@ def alert_flag(processed: DataFrame, predictions: DataFrame | None, recent: int
 
 
 # ---------------------------------------------------------------- B18
-BI_DEFAULT_CITY = "Mexico City"   # fixed value: default city of a BI row
+# Default city of a BI row, BI column names and their sources.
+BI_DEFAULT_CITY = "Mexico City"
 BI_COLUMNS = [
     ("AvgTemperature", "avg_temperature"), ("MaxTemperature", "max_temperature"),
     ("MinTemperature", "min_temperature"), ("AvgHumidity", "avg_humidity"),

@@ -6,19 +6,20 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from skyrisk.functions.rules import risk_label, risk_level
+from skyrisk.functions.rules import prediction_text, risk_label, risk_level
 from skyrisk.operators import ml, observations as O, runstats
 from skyrisk.operators.clean import clean_features
+from skyrisk.operators.ordinal import with_ordinal
 from skyrisk.operators.serving import split_by_key
 from skyrisk.plans.catalog import processed, query, weather
-from skyrisk.plans.catalog_stream import TIMEOUT_S, sliced_topic, file_topic
+from skyrisk.plans.catalog_stream import TIMEOUT_S, file_topic, files_per_slice, sliced_topic
 from skyrisk.plans.present import present
-from skyrisk.schemas import EXECUTOR_SCHEMA, FEATURE_COLUMNS, JOB_SCHEMA, STAGE_SCHEMA
+from skyrisk.schemas import EVENT_COLUMNS, EXECUTOR_SCHEMA, FEATURE_COLUMNS, JOB_SCHEMA, STAGE_SCHEMA
 from skyrisk.session import scratch_path
 from skyrisk.sources import files as src
 from skyrisk.sources import fixture as fx
 from skyrisk.streaming import jobs
-from skyrisk.streaming.progress import recent_progress_frame, throughput
+from skyrisk.streaming.progress import ProgressCollector, throughput
 
 
 # ---------------------------------------------------------------- A6, B9-B13
@@ -40,6 +41,22 @@ def q_build_event(spark, sf_dir):
     return O.build_event(O.explode_hourly(stored_documents(spark, sf_dir)))
 
 
+@query("build_event_default_city")
+def q_build_event_default_city(spark, sf_dir):
+    """B10 on documents that name no city: the default city."""
+    path = scratch_path(spark, "unnamed-docs")
+    fx.hourly_documents(weather(spark, sf_dir), named=False).write.json(path)
+    return O.build_event(O.explode_hourly(src.scan_hourly_documents(spark, path))).drop("doc_id")
+
+
+@query("ordinal_by_hour")
+def q_ordinal_by_hour(spark, sf_dir):
+    """B11's ordinal over a key that many rows share: the event's hour, then its id."""
+    ev = fx.load_table(spark, sf_dir, "events")
+    hours = ev.select("event_id", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"))
+    return present(with_ordinal(hours, "hour", tie=["event_id"]))
+
+
 @query("inject_anomalies")
 def q_inject_anomalies(spark, sf_dir):
     """Anomaly rules by global ordinal in event-id order."""
@@ -99,6 +116,30 @@ def q_run_executor_stats(spark, sf_dir):
     return runstats.executor_report(_runs(spark, sf_dir, "executors"))
 
 
+def _logs(spark, sf_dir, stages):
+    path = scratch_path(spark, "event-logs")
+    fx.write_event_logs(fx.load_table(spark, sf_dir, "events"), path, stages)
+    return src.scan_event_log(spark, path)
+
+
+def _app():
+    return F.regexp_extract("log", "app-([0-9]+)$", 1).cast("int").alias("app")
+
+
+@query("event_log_jobs")
+def q_event_log_jobs(spark, sf_dir):
+    """Jobs of two applications' event logs; ids count within their log."""
+    return runstats.jobs_from_event_log(_logs(spark, sf_dir, False)) \
+        .select(_app(), "jobId", "submissionTime", "completionTime")
+
+
+@query("event_log_stages")
+def q_event_log_stages(spark, sf_dir):
+    """Stages of two applications' event logs."""
+    return runstats.stages_from_event_log(_logs(spark, sf_dir, True)) \
+        .select(_app(), "stageId", "shuffleReadBytes", "shuffleWriteBytes", "jvmGcTime")
+
+
 # ---------------------------------------------------------------- G1-G5, A8, K3, K11, F7
 def training_rows(spark, sf_dir):
     df = clean_features(processed(spark, sf_dir))
@@ -156,6 +197,44 @@ def q_ml_model_roundtrip(spark, sf_dir):
     return a.join(b, "event_id").withColumn("equal", F.col("p_direct") == F.col("p_loaded"))
 
 
+@query("ml_train_check")
+def q_ml_train_check(spark, sf_dir):
+    """G3+C9: test rows, rows of the largest class, and whether the fitted forest
+    is right more often than that class is."""
+    model, _, test = fitted(spark, sf_dir)
+    m = ml.evaluate(ml.score(model, test, carry=["risk_label"])).select("accuracy")
+    per = test.groupBy("risk_label").count()
+    n = per.agg(F.sum("count").alias("test_rows"), F.max("count").alias("largest_class"))
+    return n.join(m).select("test_rows", "largest_class",
+                            (F.col("accuracy") > F.col("largest_class") / F.col("test_rows")).alias("better"))
+
+
+def _agrees():
+    """The class text goes with a class number of the model."""
+    return F.coalesce(F.col("prediction").isin(0.0, 1.0, 2.0)
+                      & (F.col("risk_prediction") == prediction_text("prediction")), F.lit(False))
+
+
+@query("ml_score_sample_rows")
+def q_ml_score_sample_rows(spark, sf_dir):
+    """Which ten rows the sample has, and whether each is scored."""
+    model, _, test = fitted(spark, sf_dir)
+    top = ml.score(model, test).orderBy("event_id").limit(10)
+    return present(top.select("event_id", *EVENT_COLUMNS, _agrees().alias("scored")))
+
+
+@query("ml_roundtrip_equal")
+def q_ml_roundtrip_equal(spark, sf_dir):
+    """K11+A8: whether the loaded model scores each test row as the saved one."""
+    return q_ml_model_roundtrip(spark, sf_dir).select("event_id", "equal")
+
+
+@query("ml_score_stream_rows")
+def q_ml_score_stream_rows(spark, sf_dir):
+    """F7+K3: which rows the scoring stream lands, and whether each is scored."""
+    return q_ml_score_stream(spark, sf_dir).select("event_id", *EVENT_COLUMNS, _agrees().alias("scored"))
+
+
 @query("ml_score_stream")
 def q_ml_score_stream(spark, sf_dir):
     """F7+K3: a stored model scores the topic as a stream into Parquet."""
@@ -174,13 +253,19 @@ def q_ml_score_stream(spark, sf_dir):
 def _progress(spark, sf_dir):
     topic = sliced_topic(spark, sf_dir, "topic-progress")
     proc, agg = scratch_path(spark, "processed"), scratch_path(spark, "aggregates")
-    qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "ckpt"),
-                               starting_offsets="earliest", max_per_trigger=2,
-                               state_partitions=spark.sparkContext.defaultParallelism)
-    jobs.await_all(spark, qs, TIMEOUT_S)
-    frames = [recent_progress_frame(spark, q).withColumn("name", F.lit(n))
-              for q, n in zip(qs, ["processed", "aggregates"])]
-    return frames[0].unionByName(frames[1])
+    collector = ProgressCollector(spark, scratch_path(spark, "progress"))
+    spark.streams.addListener(collector)
+    try:
+        qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "ckpt"),
+                                   starting_offsets="earliest", max_per_trigger=files_per_slice(spark),
+                                   state_partitions=spark.sparkContext.defaultParallelism)
+        runs = {str(q.runId): n for q, n in zip(qs, ["processed", "aggregates"])}
+        jobs.await_all(spark, qs, TIMEOUT_S)
+        frame = collector.finished(list(runs))
+    finally:
+        spark.streams.removeListener(collector)
+    name = F.create_map(*[F.lit(x) for pair in runs.items() for x in pair])
+    return frame.where(F.col("runId").isin(list(runs))).withColumn("name", name[F.col("runId")]).drop("runId")
 
 
 @query("progress_table")
@@ -189,7 +274,20 @@ def q_progress_table(spark, sf_dir):
     return present(_progress(spark, sf_dir))
 
 
+@query("progress_counts")
+def q_progress_counts(spark, sf_dir):
+    """rows read and rows dropped as late, per batch that read any."""
+    return _progress(spark, sf_dir).where("numInputRows > 0") \
+        .select("name", "batchId", "numInputRows", F.col("rows_dropped_by_watermark").alias("dropped"))
+
+
 @query("throughput")
 def q_throughput(spark, sf_dir):
     """Rows, busy seconds and rows/s per query."""
     return throughput(_progress(spark, sf_dir))
+
+
+@query("throughput_counts")
+def q_throughput_counts(spark, sf_dir):
+    """Rows and batches per query."""
+    return throughput(_progress(spark, sf_dir).where("numInputRows > 0")).select("name", "sent", "batches")

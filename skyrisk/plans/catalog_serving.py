@@ -10,7 +10,8 @@ from skyrisk.operators.clean import clean_features
 from skyrisk.plans.catalog import (WINDOW_ROUND, aggregates, labelled, processed, query,
                                    strict)
 from skyrisk.plans.present import present
-from skyrisk.schemas import AGGREGATE_SCHEMA, FEATURE_COLUMNS, PROCESSED_SCHEMA
+from skyrisk.schemas import (AGGREGATE_SCHEMA, EVENT_COLUMNS, FEATURE_COLUMNS, PREDICTION_VIEW,
+                             PROCESSED_SCHEMA)
 from skyrisk.session import scratch_path
 from skyrisk.sinks import files as sink
 from skyrisk.sources import files as src
@@ -71,6 +72,24 @@ def q_split_by_key(spark, sf_dir):
     return S.split_by_key(clean_features(processed(spark, sf_dir))).select("event_id", "split")
 
 
+def keyless(spark, sf_dir):
+    """Processed events as a topic of values only lands them: no key at all."""
+    return processed(spark, sf_dir).withColumn("event_id", F.lit(None).cast("long"))
+
+
+@query("split_keyless")
+def q_split_keyless(spark, sf_dir):
+    """G2 on records without a key: the split follows the event itself."""
+    return present(S.split_by_key(clean_features(keyless(spark, sf_dir)))
+                   .select(*EVENT_COLUMNS, "split"))
+
+
+@query("training_gates_keyless")
+def q_training_gates_keyless(spark, sf_dir):
+    """C5+G5 on records without a key."""
+    return S.training_gates(keyless(spark, sf_dir), FEATURE_COLUMNS)
+
+
 @query("prediction_text")
 def q_prediction_text(spark, sf_dir):
     """Prediction number -> class text."""
@@ -99,7 +118,7 @@ def q_eval_metrics(spark, sf_dir):
 @query("summary_stats")
 def q_summary_stats(spark, sf_dir):
     """Per-column statistics over the newest 1,000 windows."""
-    return S.summary_stats(aggregates(spark, sf_dir))
+    return present(S.summary_stats(aggregates(spark, sf_dir)), S.SUMMARY_STATS)
 
 
 @query("alert_flag")
@@ -139,14 +158,36 @@ def q_window_tail(spark, sf_dir):
                    ["avg_temperature", "total_precipitation"])
 
 
+def _dated_folder(spark, df, time_col, date_col, name):
+    path = scratch_path(spark, name)
+    df.withColumn(date_col, F.to_date(time_col)).repartition(date_col) \
+        .write.partitionBy(date_col).parquet(path)
+    return path
+
+
+@query("latest_windows_dated")
+def q_latest_windows_dated(spark, sf_dir):
+    """D1 over a date-partitioned folder: only the newest days are read."""
+    path = _dated_folder(spark, aggregates(spark, sf_dir), "window_start", "window_date", "agg-dated")
+    return present(src.newest_dated(spark, path, AGGREGATE_SCHEMA, "window_date", 10,
+                                    "window_start", ["city"]), WINDOW_ROUND)
+
+
+@query("timeseries_tail_dated")
+def q_timeseries_tail_dated(spark, sf_dir):
+    """D2 over a date-partitioned folder: only the newest days are read."""
+    path = _dated_folder(spark, processed(spark, sf_dir), "timestamp", "event_date", "events-dated")
+    rows = src.newest_dated(spark, path, PROCESSED_SCHEMA, "event_date", 500, "timestamp", ["event_id"])
+    return present(rows.select("event_id", "timestamp", "temperature", "humidity", "precipitation",
+                               "wind_speed").orderBy("timestamp", "event_id"))
+
+
 @query("latest_predictions")
 def q_latest_predictions(spark, sf_dir):
     """D3+B19: newest 20 predictions, the wanted columns that exist."""
     p = predictions(spark, sf_dir).where(F.col("timestamp").isNotNull())
     top = S.newest(p, 20, "timestamp", ["event_id"])
-    return present(S.present_columns(top, ["event_id", "timestamp", "temperature",
-                                           "precipitation", "wind_speed", "prediction",
-                                           "risk_prediction"]))
+    return present(S.present_columns(top, ["event_id"] + PREDICTION_VIEW))
 
 
 @query("latest_row")
@@ -204,10 +245,9 @@ def q_sink_metrics_csv(spark, sf_dir):
 
 @query("export_csv")
 def q_export_csv(spark, sf_dir):
-    """K8: newest 1,000 windows exported as CSV, read back."""
-    top = present(S.newest(aggregates(spark, sf_dir), 1000, "window_start", ["city"]),
-                  WINDOW_ROUND)
-    path = sink.export_csv(top, scratch_path(spark, "export-csv"))
+    """K8: all windows exported as CSV, read back."""
+    rows = present(aggregates(spark, sf_dir), WINDOW_ROUND)
+    path = sink.export_csv(rows, scratch_path(spark, "export-csv"))
     schema = T.StructType([T.StructField(f.name, T.TimestampNTZType(), True)
                            if f.name.startswith("window_") else f
                            for f in AGGREGATE_SCHEMA.fields])
@@ -227,18 +267,21 @@ def q_export_json(spark, sf_dir):
     return spark.read.schema(schema).json(path)
 
 
-FILES_PER_PART = 2
+def files_per_part(spark) -> int:
+    return max(2, spark.sparkContext.defaultParallelism)
 
 
 def _write_parts(spark, sf_dir, name):
     """Aggregates written by three successive jobs into one folder, each job
-    writing ``FILES_PER_PART`` files (round-robin, so none is empty): the
-    newest 2 x FILES_PER_PART files are exactly the last two parts."""
-    agg = present(aggregates(spark, sf_dir), WINDOW_ROUND)
+    writing as many files as the session has cores (round-robin, so none is
+    empty): the newest two thirds of the files are exactly the last two parts."""
+    landed = scratch_path(spark, f"{name}-all")
+    present(aggregates(spark, sf_dir), WINDOW_ROUND).write.parquet(landed)
+    agg = spark.read.parquet(landed)
     path = scratch_path(spark, name)
     digit = F.substring("city", -1, 1).cast("int")
     for lo, hi in [(0, 3), (4, 6), (7, 9)]:
-        agg.where(digit.between(lo, hi)).repartition(FILES_PER_PART) \
+        agg.where(digit.between(lo, hi)).repartition(files_per_part(spark)) \
             .write.mode("append").parquet(path)
     return path
 
@@ -263,4 +306,4 @@ def q_scan_recent_files(spark, sf_dir):
     schema = T.StructType([T.StructField(f.name, T.TimestampNTZType(), True)
                            if f.name.startswith("window_") else f
                            for f in AGGREGATE_SCHEMA.fields])
-    return src.scan_recent_files(spark, path, 2 * FILES_PER_PART, schema)
+    return src.scan_recent_files(spark, path, 2 * files_per_part(spark), schema)

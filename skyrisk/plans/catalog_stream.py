@@ -22,10 +22,14 @@ from skyrisk.sources.topic import Topic, read_topic_batch, read_topic_stream
 from skyrisk.streaming import jobs
 from skyrisk.streaming.bi import pushed_rows, start_bi_push
 
-FILES_PER_SLICE = 2
 TIMEOUT_S = 600
 
 
+def files_per_slice(spark) -> int:
+    """Files of one slice, and so files of one micro-batch: as many as the session has cores."""
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
 def _state_parts(spark) -> int:
     """State partitions for the catalogue's small test streams."""
     return spark.sparkContext.defaultParallelism
@@ -66,7 +70,7 @@ def file_topic(spark, sf_dir, name: str) -> Topic:
 
 
 def write_slice(records, topic: Topic):
-    write_topic(records.repartition(FILES_PER_SLICE), topic)
+    write_topic(records.repartition(files_per_slice(records.sparkSession)), topic)
 
 
 def sliced_topic(spark, sf_dir, name: str, late_copy: bool = False) -> Topic:
@@ -149,7 +153,7 @@ def q_stream_window_complete(spark, sf_dir):
     with jobs.shuffle_partitions_for_start(spark, _state_parts(spark)):
         q = jobs.table_snapshot_sink(stats, out, out + "-ckpt")
     jobs.await_all(spark, [q], TIMEOUT_S)
-    return _read_aggregates(spark, out)
+    return present(jobs.read_snapshot(spark, out, AGGREGATE_SCHEMA), WINDOW_ROUND)
 
 
 @query("stream_fanout")
@@ -192,7 +196,7 @@ def q_stream_late_drop(spark, sf_dir):
     topic = sliced_topic(spark, sf_dir, "topic-late", late_copy=True)
     proc, agg = scratch_path(spark, "processed"), scratch_path(spark, "aggregates")
     qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "ckpt"),
-                               starting_offsets="earliest", max_per_trigger=FILES_PER_SLICE,
+                               starting_offsets="earliest", max_per_trigger=files_per_slice(spark),
                                state_partitions=_state_parts(spark))
     jobs.await_all(spark, qs, TIMEOUT_S)
     return _read_aggregates(spark, agg)
@@ -208,11 +212,14 @@ def q_bi_changed_rows(spark, sf_dir):
     of = slicer(spark, sf_dir)
     folder = scratch_path(spark, "agg-slices")
     tagged = agg.withColumn("slice", of(F.col("window_start")))
+    landed = scratch_path(spark, "agg-tagged")
+    tagged.write.parquet(landed)    # the windows are computed once, then dealt out
+    tagged = spark.read.parquet(landed)
     for k in range(3):
-        tagged.where(F.col("slice") == k).drop("slice").repartition(FILES_PER_SLICE) \
+        tagged.where(F.col("slice") == k).drop("slice").repartition(files_per_slice(spark)) \
             .write.mode("append").parquet(folder)
     schema = spark.read.parquet(folder).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_SLICE)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_slice(spark))
               .parquet(folder))
     out = scratch_path(spark, "bi-pushed")
     q = start_bi_push(spark, stream, out, out + "-ckpt")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from skyrisk.plans.oracle import (AGG_1M, BASE, CLEAN6, CLEAN8, CLEAN10, FEATURES, LABELLED,
-                                  ORACLE, PARSED, WEATHER, _not_null, window_sql, with_)
+from skyrisk.plans.oracle import (AGG_1M, BASE, CLEAN6, CLEAN8, CLEAN10, DOUBLES, EVENT_COLS,
+                                  FEATURES, LABELLED, ORACLE, PARSED, WEATHER, _not_null,
+                                  window_sql, with_)
 
 AGG_COLS = ["avg_temperature", "max_temperature", "min_temperature", "avg_humidity",
             "total_precipitation", "max_wind_speed", "max_wind_gusts", "avg_surface_pressure",
@@ -178,7 +179,7 @@ FROM (SELECT 'processed' AS dataset, count(*) AS rows FROM processed
        CAST(total_events AS DOUBLE) AS total_events FROM (""" + KPI + """))
   ON COLUMNS(*) INTO NAME metric VALUE value)""",
     "sink_metrics_csv": with_(WEATHER, PARSED, CLEAN10, PRED, CONF, METRICS) + METRIC_LONG,
-    "export_csv": ABASE + _top(1000),
+    "export_csv": ABASE + "SELECT * FROM aggregates",
     "export_json": ABASE + f"""SELECT city, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, {', '.join(AGG_COLS)}
 FROM ({_top(10)}) t""",
@@ -246,7 +247,7 @@ ORACLE.update({
        CASE WHEN event_id % 97 = 0 THEN NULL
             ELSE 10 - CAST(humidity IS NULL AS INTEGER) - CAST(wind_gusts IS NULL AS INTEGER)
        END AS n_keys,
-       CASE WHEN event_id % 97 = 0 THEN 'i' ELSE '}' END AS last_char
+       '}' AS last_char
 FROM weather""",
     "sink_topic_json": with_(WEATHER) + """SELECT event_id, city,
        strptime(timestamp, '%Y-%m-%dT%H:%M') AS timestamp, temperature, humidity,
@@ -268,12 +269,14 @@ HOURLY = with_(WEATHER) + """, hourly AS (
   SELECT city || '-' || CAST(event_id // 1680 AS VARCHAR) AS doc_id, city,
          CAST(row_number() OVER (PARTITION BY city, event_id // 1680 ORDER BY event_id) - 1
               AS INTEGER) AS pos,
+         count(*) OVER (PARTITION BY city, event_id // 1680) AS n_hours,
          timestamp AS time, temperature AS temperature_2m,
          humidity AS relative_humidity_2m, precipitation, CAST(NULL AS DOUBLE) AS wind_speed_10m,
          wind_gusts AS wind_gusts_10m, surface_pressure, apparent_temperature, weather_code
   FROM weather
 ), hourly_cut AS (
-  SELECT * REPLACE (CASE WHEN pos < 120 THEN precipitation END AS precipitation) FROM hourly
+  SELECT * EXCLUDE (n_hours)
+         REPLACE (CASE WHEN pos < n_hours - 1 THEN precipitation END AS precipitation) FROM hourly
 )
 """
 
@@ -323,17 +326,19 @@ def _stream_const(seed: int, stream: int) -> int:
 
 
 def _uniform_ctes(src: str, key: str, carry: list[str], seed: int, streams: list[int]) -> str:
-    """CTEs h0..h2 and ``uni``: uniforms u{s} in [0, 1) keyed by ``key``."""
+    """CTEs h0..h3 and ``uni``: uniforms u{s} in [0, 1) keyed by ``key``."""
     keep = ", ".join(carry)
-    base = f"xor({key} & {M31}, ({key} >> 31) & {M31})"
-    c0 = ", ".join(f"xor({base}, {_stream_const(seed, s)}) AS u{s}" for s in streams)
+    c0 = ", ".join(f"xor({key} & {M31}, {_stream_const(seed, s)}) AS u{s}" for s in streams)
     rnd = ", ".join(f"(xor(u{s}, u{s} >> 16) * {MIX31}) & {M31} AS u{s}" for s in streams)
+    half = ", ".join(f"xor((xor(u{s}, u{s} >> 16) * {MIX31}) & {M31}, ({key} >> 31) & {M31}) AS u{s}"
+                     for s in streams)
     fin = ", ".join(f"CAST(xor(u{s}, u{s} >> 16) AS DOUBLE) / 2147483648.0 AS u{s}"
                     for s in streams)
     return (f"h0 AS (SELECT {keep}, {c0} FROM {src}),\n"
-            f"h1 AS (SELECT {keep}, {rnd} FROM h0),\n"
+            f"h1 AS (SELECT {keep}, {half} FROM h0),\n"
             f"h2 AS (SELECT {keep}, {rnd} FROM h1),\n"
-            f"uni AS (SELECT {keep}, {fin} FROM h2)")
+            f"h3 AS (SELECT {keep}, {rnd} FROM h2),\n"
+            f"uni AS (SELECT {keep}, {fin} FROM h3)")
 
 
 def _d(x: float) -> str:
@@ -406,3 +411,82 @@ SELECT 'Mexico City' AS city, timestamp, temp AS temperature,
 FROM parts"""
 
 ORACLE.update({"synth_gauss": SYNTH_GAUSS, "synth_uniform_stream": SYNTH_UNIFORM})
+
+
+# ---------------------------------------------------------------- keyless records
+def _hash_text(c: str) -> str:
+    if c == "timestamp":
+        v = "epoch_us(timestamp)"
+    elif c in DOUBLES:
+        v = f"CAST(floor({c} * CAST(1e6 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)"
+    else:
+        v = c
+    return f"coalesce(CAST({v} AS VARCHAR), '')"
+
+
+EVENT_HASH = "CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(map(_hash_text, EVENT_COLS)) + ")), 1, 15) AS BIGINT)"
+BUCKET = "((h % 65536) * 40503 + 42) % 65536"
+STATUS = """CASE WHEN total_rows = 0 THEN 'no_data' WHEN clean_rows < 20 THEN 'too_few_rows'
+            WHEN train_rows = 0 OR test_rows = 0 THEN 'empty_split'
+            WHEN n_classes < 2 THEN 'one_class' ELSE 'ok' END"""
+LABEL = """CASE WHEN temperature > 35 OR wind_speed > 60 OR precipitation > 50 THEN 2
+              WHEN (temperature BETWEEN 30 AND 35) OR (precipitation BETWEEN 20 AND 50)
+                   OR (wind_speed BETWEEN 40 AND 60) THEN 1 ELSE 0 END"""
+SPLIT = "((((event_id % 65536) + 65536) % 65536) * 40503 + 42) % 65536 < 52428"
+TEST_ROWS = with_(WEATHER, PARSED, CLEAN6, CLEAN8, LABELLED) + f""", test AS (
+  SELECT * FROM labelled WHERE NOT ({SPLIT})
+)
+"""
+SLICES = with_(WEATHER, BOUNDS) + f""", s AS (
+  SELECT {_slice('ts', 3)} AS slice, count(*) AS n FROM events, bounds GROUP BY 1
+), q AS (SELECT unnest(['processed', 'aggregates']) AS name)
+"""
+LOG_TIME = "strftime({}, '%Y-%m-%dT%H:%M:%S.%g') || 'GMT'"
+
+ORACLE.update({
+    "split_keyless": with_(WEATHER, PARSED, CLEAN6, CLEAN8) + f"""SELECT {', '.join(EVENT_COLS)},
+       CASE WHEN {BUCKET} < 52428 THEN 'train' ELSE 'test' END AS split
+FROM (SELECT *, {EVENT_HASH} AS h FROM features) x""",
+    "training_gates_keyless": with_(WEATHER, PARSED, CLEAN6) + f"""SELECT *, {STATUS} AS status,
+       ({STATUS}) IN ('ok', 'one_class') AS can_train
+FROM (
+  SELECT count(*) AS total_rows,
+         count(*) FILTER (WHERE clean) AS clean_rows,
+         CAST(count(DISTINCT CASE WHEN clean THEN lbl END) AS INTEGER) AS n_classes,
+         count(*) FILTER (WHERE clean AND {BUCKET} < 52428) AS train_rows,
+         count(*) FILTER (WHERE clean AND {BUCKET} >= 52428) AS test_rows
+  FROM (SELECT ({_not_null(FEATURES)}) AS clean, {EVENT_HASH} AS h, {LABEL} AS lbl
+        FROM processed) x
+) g""",
+    "build_event_default_city": HOURLY + """SELECT pos, 'Mexico City' AS city, time AS timestamp,
+       temperature_2m AS temperature, relative_humidity_2m AS humidity, precipitation,
+       wind_speed_10m AS wind_speed, wind_gusts_10m AS wind_gusts, surface_pressure,
+       apparent_temperature, weather_code
+FROM hourly_cut""",
+    "ordinal_by_hour": """SELECT event_id, date_trunc('hour', ts) AS hour,
+       row_number() OVER (ORDER BY date_trunc('hour', ts), event_id) - 1 AS ordinal
+FROM events""",
+    "latest_windows_dated": ABASE + _top(10),
+    "timeseries_tail_dated": ORACLE["timeseries_tail"],
+    "event_log_jobs": f"""SELECT CAST(event_id % 2 AS INTEGER) AS app, event_id // 2 AS jobId,
+       {LOG_TIME.format('ts')} AS submissionTime,
+       CASE WHEN event_id % 50 <> 0 THEN {LOG_TIME.format('ts + to_seconds(user_id % 40)')} END AS completionTime
+FROM events""",
+    "event_log_stages": """SELECT CAST(event_id % 2 AS INTEGER) AS app, event_id // 2 AS stageId,
+       event_id * 13 % 5000 AS shuffleReadBytes, event_id * 17 % 5000 AS shuffleWriteBytes,
+       user_id % 30 AS jvmGcTime
+FROM events""",
+    "ml_train_check": TEST_ROWS + """SELECT CAST(sum(n) AS BIGINT) AS test_rows, max(n) AS largest_class, true AS better
+FROM (SELECT risk_label, count(*) AS n FROM test GROUP BY 1) c""",
+    "ml_score_sample_rows": TEST_ROWS + f"""SELECT event_id, {', '.join(EVENT_COLS)}, true AS scored
+FROM test ORDER BY event_id LIMIT 10""",
+    "ml_roundtrip_equal": TEST_ROWS + "SELECT event_id, true AS equal FROM test",
+    "ml_score_stream_rows": with_(WEATHER, PARSED, CLEAN10) + f"""SELECT event_id, {', '.join(EVENT_COLS)},
+       true AS scored
+FROM strict""",
+    "progress_counts": SLICES + """SELECT name, CAST(slice AS BIGINT) AS batchId, n AS numInputRows,
+       CAST(0 AS BIGINT) AS dropped
+FROM q, s""",
+    "throughput_counts": SLICES + """SELECT name, CAST(sum(n) AS BIGINT) AS sent, count(*) AS batches
+FROM q, s GROUP BY name""",
+})

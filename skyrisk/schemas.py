@@ -67,6 +67,13 @@ AGGREGATE_SCHEMA = T.StructType(
     + [T.StructField("event_count", T.LongType(), False)])
 
 PREDICTION_COLUMNS = EVENT_COLUMNS + ["prediction", "risk_prediction"]
+# The columns that a list of predictions shows.
+PREDICTION_VIEW = ["timestamp", "temperature", "precipitation", "wind_speed", "prediction",
+                   "risk_prediction"]
+
+PREDICTION_SCHEMA = T.StructType(
+    PROCESSED_SCHEMA.fields + [T.StructField("prediction", T.DoubleType(), True),
+                               T.StructField("risk_prediction", T.StringType(), True)])
 
 METRIC_SCHEMA = T.StructType([
     T.StructField("metric", T.StringType(), True),

@@ -52,6 +52,39 @@ def _dated(spark: SparkSession, path: str, schema: StructType, date_col: str,
     return df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (none if it is missing)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) \
+        if fs.exists(p) else []
+
+
+def newest_dated(spark: SparkSession, path: str, schema: StructType, date_col: str, n: int,
+                 time_col: str, tie_cols: list[str]) -> DataFrame:
+    """The newest ``n`` rows of a date-partitioned folder, reading only as many
+    days as hold them: from the newest day back, twice as many days each time.
+
+    A row's time lies on its partition's day.  Rows without a time (the
+    default partition) count as oldest, as in an unpruned scan."""
+    days = [d.split("=", 1)[1] for d in child_folders(spark, path) if d.startswith(f"{date_col}=")]
+    dated = sorted((d for d in days if not d.startswith("__")), reverse=True)
+    rows, back = _dated(spark, path, schema, date_col, None), 1
+    while back < len(dated):
+        part = rows.where(F.col(date_col) >= F.lit(dated[back - 1]).cast("date"))
+        if part.count() >= n:
+            rows = part
+            break
+        back *= 2
+    return rows.orderBy(F.col(time_col).desc(), *[F.col(c).desc() for c in tie_cols]).limit(n) \
+        .drop(date_col)
+
+
 def read_processed(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """Processed events of a date-partitioned folder, optionally from a day
     on (only those partitions are listed and read)."""
@@ -71,7 +104,8 @@ def scan_recent_files(spark: SparkSession, path: str, k: int,
 
     The folder is listed with the ``binaryFile`` source (its ``content``
     column pruned, so no file is opened): one row per file, ranked by
-    TakeOrderedAndProject.  Only the k chosen paths (bounded by k) reach
+    TakeOrderedAndProject.  For a stream's sink that listing is the sink's commit
+    log, so files of batches that were not committed do not count.  Only the k chosen paths (bounded by k) reach
     the driver, and only those files are scanned - O(files) listing work
     instead of reading every row's metadata.
     """
@@ -99,10 +133,21 @@ def scan_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_hourly_documents(spark: SparkSession, path: str,
-                          schema: StructType = HOURLY_DOC_SCHEMA) -> DataFrame:
-    """Stored source documents (struct of parallel arrays), one JSON
-    object per line; ``multiLine`` for pretty-printed single documents."""
-    return spark.read.schema(schema).json(path)
+                          schema: StructType = HOURLY_DOC_SCHEMA,
+                          multiline: bool | None = None) -> DataFrame:
+    """Stored source documents (struct of parallel arrays).
+
+    A folder holds either one JSON object per line or pretty-printed files of
+    one document (or array of documents) each; ``multiline`` says which, and
+    by default the first line that is not blank tells: in the first form
+    it is a whole object.  A document without ``doc_id`` gets its file's path.
+    """
+    if multiline is None:
+        line = spark.read.text(path).where(F.trim("value") != "").limit(1) \
+            .select(F.json_object_keys("value").isNull().alias("cut")).first()
+        multiline = line is not None and line["cut"]
+    docs = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    return docs.withColumn("doc_id", F.coalesce("doc_id", F.input_file_name()))
 
 
 def scan_json(spark: SparkSession, path: str, schema: StructType,
@@ -112,8 +157,54 @@ def scan_json(spark: SparkSession, path: str, schema: StructType,
 
 
 def scan_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """A Spark event log (JSON lines, plain or compressed, file or
-    rolled folder) as ``(Event, line)`` rows for per-type ``from_json``."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return lines.select(F.get_json_object("value", "$.Event").alias("Event"),
+    """Spark event logs as ``(log, Event, line)`` rows.
+
+    ``log`` names one application's log: its rolled ``eventlog_v2_*`` folder, or
+    its file.  Plain files and those that Hadoop's codecs know are read as
+    text; ``.zstd`` files (Spark's own name for them) are unpacked as a stream
+    by the tasks.  On the driver: the paths, one per file of a log.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    paths = [r["path"] for r in files.select("path").collect()]
+    packed = [p for p in paths if p.endswith((".zstd", ".zst"))]
+    plain = [p for p in paths if p not in set(packed)]
+    parts = []
+    if plain:
+        parts.append(spark.read.text(plain).select(F.input_file_name().alias("file"), "value"))
+    if packed:
+        raw = spark.read.format("binaryFile").load(packed).select("path", "content")
+        parts.append(raw.mapInArrow(_zstd_lines, "file string, value string"))
+    if not parts:
+        parts.append(spark.createDataFrame([], "file string, value string"))
+    lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    log = F.coalesce(F.regexp_extract("file", "^(.*/eventlog_v2_[^/]+)/[^/]*$", 1), F.lit(""))
+    return lines.select(F.when(log != "", log).otherwise(F.col("file")).alias("log"),
+                        F.get_json_object("value", "$.Event").alias("Event"),
                         F.col("value").alias("line"))
+
+
+def _zstd_lines(batches):
+    """(file, line) rows of zstd-packed files, 10,000 lines at a time."""
+    import io
+
+    import pyarrow as pa
+    import zstandard
+    for b in batches:
+        for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+            stream = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content), read_across_frames=True)
+            held: list[str] = []
+            for line in io.TextIOWrapper(stream, encoding="utf-8"):
+                held.append(line.rstrip("\n"))
+                if len(held) == 10_000:
+                    yield pa.RecordBatch.from_pydict({"file": [path] * len(held), "value": held})
+                    held = []
+            if held:
+                yield pa.RecordBatch.from_pydict({"file": [path] * len(held), "value": held})
+
+
+def unread_files(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Files under ``path`` that gave ``df`` (a scan of it) no row: the corrupt ones
+    that ``skip_corrupt`` left out, and empty ones."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    used = df.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return files.select("path").join(used, "path", "left_anti")

@@ -17,10 +17,8 @@ from skyrisk.functions.timeparse import format_event_time
 from skyrisk.schemas import EVENT_COLUMNS, HOURLY_TO_EVENT
 
 # Fixture parameters (documented in FIXTURES.md).
-BROKEN_JSON_EVERY = 97        # event_id % 97 == 0 -> value cut to 20 chars
-BROKEN_JSON_PREFIX = 20
+BROKEN_JSON_EVERY = 97        # event_id % 97 == 0 -> a second opening brace
 HOURLY_BLOCK = 1680           # event ids per hourly document block
-HOURLY_PRECIP_KEEP = 120      # precipitation array cut to its first 120 values
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,26 +60,27 @@ def load_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_records(weather: DataFrame) -> DataFrame:
     """Kafka-shaped records: key = event id, value = JSON event.
 
-    Every 97th record is cut to its first 20 characters (broken JSON), to
-    exercise the parser's bad-input path.
+    Every 97th record opens with one brace too many (broken JSON), to exercise
+    the parser's bad-input path.
     """
     value = F.to_json(F.struct(*EVENT_COLUMNS))
     broken = F.col("event_id") % BROKEN_JSON_EVERY == 0
     return weather.select(
         F.col("event_id").cast("string").alias("key"),
-        F.when(broken, F.substring(value, 1, BROKEN_JSON_PREFIX)).otherwise(value).alias("value"),
+        F.when(broken, F.concat(F.lit("{"), value)).otherwise(value).alias("value"),
     )
 
 
-def hourly_documents(weather: DataFrame) -> DataFrame:
+def hourly_documents(weather: DataFrame, named: bool = True) -> DataFrame:
     """Source documents: one struct of parallel arrays per (city, id block).
 
     A block spans 1,680 consecutive event ids, so a document holds about a
     week of hourly values and never more than 1,680: the group a document is
     built from is bounded whatever the data size.  Arrays are in event-id
-    order.  To exercise the explode rules: ``precipitation`` is cut to its
-    first 120 values, ``wind_speed_10m`` is absent, and
-    ``apparent_temperature`` carries one extra trailing value.
+    order.  To exercise the explode rules: ``precipitation`` lacks its last value,
+    ``wind_speed_10m`` is absent, and
+    ``apparent_temperature`` carries one extra trailing value.  Documents that
+    are not ``named`` have neither ``doc_id`` nor ``city``.
     """
     rows = weather.select(
         "city",
@@ -97,12 +96,12 @@ def hourly_documents(weather: DataFrame) -> DataFrame:
         return F.transform("o", lambda x: x[name])
 
     fields = {src: field_of(src) for src, _ in HOURLY_TO_EVENT if src != "wind_speed_10m"}
-    fields["precipitation"] = F.slice(fields["precipitation"], 1, HOURLY_PRECIP_KEEP)
+    fields["precipitation"] = F.slice(fields["precipitation"], F.lit(1), F.size("o") - 1)
     fields["apparent_temperature"] = F.concat(
         fields["apparent_temperature"], F.array(F.lit(None).cast("double")))
+    name = [F.concat_ws("-", "city", F.col("block").cast("string")).alias("doc_id"), "city"]
     return docs.select(
-        F.concat_ws("-", "city", F.col("block").cast("string")).alias("doc_id"),
-        "city",
+        *(name if named else []),
         F.struct(
             F.transform("o", lambda x: x["time"]).alias("time"),
             *[fields[src].alias(src) for src, _ in HOURLY_TO_EVENT if src != "wind_speed_10m"],
@@ -133,6 +132,40 @@ def fixture_jobs(events: DataFrame) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- event logs
+def _lines_of_jobs(events: DataFrame) -> DataFrame:
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    start = F.to_json(F.struct(F.lit("SparkListenerJobStart").alias("Event"),
+                               F.floor(F.col("event_id") / 2).alias("Job ID"),
+                               ms.alias("Submission Time")))
+    end = F.when(F.col("event_id") % 50 != 0, F.to_json(F.struct(
+        F.lit("SparkListenerJobEnd").alias("Event"), F.floor(F.col("event_id") / 2).alias("Job ID"),
+        (ms + F.col("user_id") % 40 * 1000).alias("Completion Time"))))
+    return events.select((F.col("event_id") % 2).alias("app"), F.explode(F.array(start, end)).alias("value")) \
+        .where("value is not null")
+
+
+def _lines_of_stages(events: DataFrame) -> DataFrame:
+    def acc(name, value):
+        return F.struct(F.lit(name).alias("Name"), value.cast("string").alias("Value"))
+    info = F.struct(
+        F.floor(F.col("event_id") / 2).alias("Stage ID"),
+        F.array(acc("internal.metrics.shuffle.read.localBytesRead", F.col("event_id") * 13 % 5000),
+                acc("internal.metrics.shuffle.write.bytesWritten", F.col("event_id") * 17 % 5000),
+                acc("internal.metrics.jvmGCTime", F.col("user_id") % 30)).alias("Accumulables"))
+    return events.select((F.col("event_id") % 2).alias("app"), F.to_json(F.struct(
+        F.lit("SparkListenerStageCompleted").alias("Event"), info.alias("Stage Info"))).alias("value"))
+
+
+def write_event_logs(events: DataFrame, path: str, stages: bool = False) -> None:
+    """Rolled event logs of two applications, event ids alternately, whose job and
+    stage ids are the same: one plain, one gzip-packed."""
+    lines = (_lines_of_stages if stages else _lines_of_jobs)(events)
+    for app, codec in ((0, "none"), (1, "gzip")):
+        lines.where(F.col("app") == app).select("value").write.option("compression", codec) \
+            .text(f"{path}/eventlog_v2_app-{app}")
+
+
 def fixture_stages(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").alias("stageId"),

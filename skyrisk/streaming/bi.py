@@ -6,8 +6,8 @@ window than the last one pushed for that city".  Per micro-batch:
 1. newest window per city in the batch (``latest_per_key``);
 2. left join with the last pushed window per city - a compact state table
    (one row per city) kept under ``_state/batch=<id>``; batch ``id`` reads
-   only ``batch=id-1`` (partition pruning), so the lookup does not grow
-   with the number of batches ever run;
+   ``batch=id-1`` by its path and removes older ones, so the lookup does not
+   grow with the number of batches ever run;
 3. keep the newer rows, BI row format, write under ``rows/batch=<id>``;
 4. write the merged state under ``_state/batch=<id>``.
 
@@ -23,11 +23,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from skyrisk.operators.serving import bi_rows, latest_per_key
+from skyrisk.sources.files import child_folders, path_exists
 
 STATE_SCHEMA = T.StructType([
     T.StructField("City", T.StringType()),
     T.StructField("last_start", T.StringType()),
-    T.StructField("batch", T.LongType()),
 ])
 
 
@@ -52,17 +52,26 @@ def merge_state(last: DataFrame | None, pushed: DataFrame) -> DataFrame:
 
 
 def _last_state(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
-    try:
-        st = spark.read.schema(STATE_SCHEMA).parquet(state_path)
-    except Exception:  # noqa: BLE001 - nothing pushed yet
-        return None
-    prev = st.where(F.col("batch") == batch_id - 1)
-    if prev.limit(1).count() == 0:
-        # previous batch wrote no state (first batch, or a gap): fall back
-        # to the newest earlier state per city
-        prev = st.where(F.col("batch") < batch_id).groupBy("City") \
-            .agg(F.max("last_start").alias("last_start"))
-    return prev
+    """State of the newest batch before this one: ``batch=<id - 1>`` by its path, or
+    after a gap the newest that is there.  Only a missing folder means that
+    nothing was pushed yet; a read that fails stops the batch."""
+    path = f"{state_path}/batch={batch_id - 1}"
+    if not path_exists(spark, path):
+        done = [int(d.split("=")[1]) for d in child_folders(spark, state_path) if d.startswith("batch=")]
+        done = [b for b in done if b < batch_id]
+        if not done:
+            return None
+        path = f"{state_path}/batch={max(done)}"
+    return spark.read.schema(STATE_SCHEMA).parquet(path)
+
+
+def drop_old_states(spark: SparkSession, state_path: str, batch_id: int) -> None:
+    """Removes states that neither this batch nor a retry of it reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for d in child_folders(spark, state_path):
+        if d.startswith("batch=") and int(d.split("=")[1]) < batch_id - 1:
+            p = jvm.org.apache.hadoop.fs.Path(f"{state_path}/{d}")
+            p.getFileSystem(conf).delete(p, True)
 
 
 def start_bi_push(spark: SparkSession, aggregates_stream: DataFrame, out_path: str,
@@ -76,6 +85,7 @@ def start_bi_push(spark: SparkSession, aggregates_stream: DataFrame, out_path: s
             rows.write.mode("overwrite").parquet(f"{rows_path}/batch={batch_id}")
             merge_state(last, rows).write.mode("overwrite") \
                 .parquet(f"{state_path}/batch={batch_id}")
+            drop_old_states(spark, state_path, batch_id)
         finally:
             rows.unpersist()
 

@@ -88,21 +88,45 @@ def console_sink(df: DataFrame, mode: str = "append", trigger: str | None = None
 
 def table_snapshot_sink(df: DataFrame, path: str, checkpoint: str,
                         trigger: str | None = "availableNow") -> StreamingQuery:
-    """Complete-mode result kept as a Parquet snapshot.
+    """Complete-mode result kept as Parquet snapshots.
 
-    Each micro-batch of a complete-mode query is the whole result table;
-    ``foreachBatch`` overwrites the snapshot with it (a retried batch writes
-    the same content again), so the full result never passes through the
-    driver the way a console or memory sink would move it.
+    Each micro-batch of a complete-mode query is the whole result table; it is
+    written under ``path/batch=<id>`` (a retried batch writes the same again) and
+    only then are snapshots before the last one removed, so a reader
+    (``read_snapshot``) always finds a whole one.
     """
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for old in _snapshots(spark, path):
+            if old < batch_id - 1:
+                p = jvm.org.apache.hadoop.fs.Path(f"{path}/batch={old}")
+                p.getFileSystem(conf).delete(p, True)
 
     w = (df.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    """Batch ids under ``path`` whose write was committed."""
+    from skyrisk.sources.files import child_folders, path_exists
+    found = [d for d in child_folders(spark, path) if d.startswith("batch=")]
+    return sorted(int(d.split("=")[1]) for d in found if path_exists(spark, f"{path}/{d}/_SUCCESS"))
+
+
+def read_snapshot(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The newest whole snapshot of a complete-mode query."""
+    ids = _snapshots(spark, path)
+    if not ids:
+        if schema is None:
+            raise FileNotFoundError(f"no snapshot under {path}")
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{path}/batch={ids[-1]}")
+
+
 def clean_stream(spark: SparkSession, topic: Topic, starting_offsets: str = "latest",
                  max_per_trigger: int | None = None) -> DataFrame:
     return clean_required(parse_events(read_topic_stream(spark, topic, starting_offsets,
@@ -116,7 +140,8 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
                      watermark: str = WATERMARK_DELAY, console: bool = False,
                      chain: bool = False,
                      state_partitions: int | None = None,
-                     partition_by_date: bool = False) -> list[StreamingQuery]:
+                     partition_by_date: bool = False,
+                     timeout_s: float | None = None) -> list[StreamingQuery]:
     """the processing job as several queries over one source.
 
     ``partition_by_date`` writes ``processed`` partitioned by ``event_date``
@@ -129,7 +154,9 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
     With ``chain=True`` the window query reads the ``processed`` folder as a
     stream instead of the topic, so each record is read from the topic and
     parsed once for both outputs (two queries on the topic each read and
-    parse it), at the cost of one extra hop of latency.
+    parse it), at the cost of one extra hop of latency.  ``max_per_trigger``
+    then bounds the files of its batches too; with ``availableNow`` it starts
+    when the first query has drained the topic, ``timeout_s`` at most later.
     Console sinks (``console=True``) run with the same trigger.
     """
     clean = clean_stream(spark, topic, starting_offsets, max_per_trigger)
@@ -142,9 +169,12 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
                             trigger, None, ["event_date"] if partition_by_date else None)]
     if chain:
         if trigger in (None, "availableNow"):
-            queries[0].awaitTermination()
+            await_all(spark, queries, timeout_s)
         from skyrisk.schemas import PROCESSED_SCHEMA
-        src = spark.readStream.schema(PROCESSED_SCHEMA).parquet(processed_path)
+        reader = spark.readStream.schema(PROCESSED_SCHEMA)
+        if max_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+        src = reader.parquet(processed_path)
     else:
         src = clean
     stats = window_statistics(src, width, watermark)

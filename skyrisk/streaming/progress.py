@@ -1,14 +1,16 @@
 """Streaming query progress as data.
 
-A ``StreamingQueryListener`` keeps each ``onQueryProgress`` event as JSON
-(one small record per micro-batch, independent of data volume); the records
-become a DataFrame with the input rate, processing rate, batch duration,
+A ``StreamingQueryListener`` writes each ``onQueryProgress`` event as a JSON line
+(one small record per micro-batch, independent of data volume) to the shared
+folder; the records become a DataFrame with the input rate, processing rate, batch duration,
 backlog (rows behind the latest offset) and phase times.
 """
 
 from __future__ import annotations
 
 import json
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,37 +43,76 @@ PROGRESS_SCHEMA = T.StructType([
 
 
 class ProgressCollector(StreamingQueryListener):
-    """Collects progress events of all queries of the session."""
+    """Writes the progress events of the session's queries under ``path``.
 
-    def __init__(self):
+    Every ``every`` events go out as one file of JSON lines in the shared
+    folder, so neither the driver's memory nor a query's ring of
+    recent batches bounds what is kept.  ``finished`` waits for queries to end
+    and writes what is left.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 50):
+        self.spark, self.path, self.every = spark, path.rstrip("/"), every
         self.events: list[str] = []
+        self.ended: set[str] = set()
+        self.lock = threading.Condition(threading.RLock())
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
-        self.events.append(event.progress.json)
+        with self.lock:
+            self.events.append(json.dumps(json.loads(event.progress.json)))
+            if len(self.events) >= self.every:
+                self.flush()
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
-        pass
-
-
-def progress_frame(spark: SparkSession, events: list[str]) -> DataFrame:
-    """Progress JSON records -> typed progress table."""
-    # one small record per micro-batch: a literal array on the JVM side
-    # (no Python worker), then typed by from_json
-    raw = spark.range(1).select(F.explode(F.array(*[F.lit(e) for e in events])).alias("j")) \
-        if events else spark.range(0).select(F.lit("").alias("j"))
-    p = raw.select(F.from_json("j", PROGRESS_SCHEMA).alias("p")).select("p.*")
+        with self.lock:
+            self.flush()
+            self.ended.add(str(event.runId))
+            self.lock.notify_all()
+
+    def flush(self) -> None:
+        """Held events to one new file; readers see it under its name once it is whole."""
+        with self.lock:
+            if not self.events:
+                return
+            jvm = self.spark.sparkContext._jvm
+            name = f"{self.path}/events-{uuid.uuid4().hex}.json"
+            tmp, final = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{name.replace('events-', '_events-')}", name))
+            fs = final.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            out = fs.create(tmp)
+            out.write(bytearray(("\n".join(self.events) + "\n").encode()))
+            out.close()
+            if not fs.rename(tmp, final):
+                raise OSError(f"cannot rename {tmp} to {final}")
+            self.events.clear()
+
+    def finished(self, run_ids: list[str], timeout_s: float = 60.0) -> DataFrame:
+        """Progress of all batches once the runs have ended (their last event comes
+        after their end on the listener's own thread)."""
+        with self.lock:
+            if not self.lock.wait_for(lambda: set(run_ids) <= self.ended, timeout_s):
+                raise TimeoutError(f"no end of {set(run_ids) - self.ended} in {timeout_s}s")
+        return self.frame()
+
+    def frame(self) -> DataFrame:
+        self.flush()
+        return progress_frame(self.spark.read.schema("value string").text(self.path))
+
+
+def progress_frame(lines: DataFrame) -> DataFrame:
+    """Progress JSON lines (column ``value``) -> typed progress table."""
+    p = lines.select(F.from_json("value", PROGRESS_SCHEMA).alias("p")).select("p.*")
     backlog = F.aggregate(
         F.transform("sources", lambda s: F.coalesce(
             s["metrics"]["avgOffsetsBehindLatest"].cast("double"), F.lit(0.0))),
         F.lit(0.0), lambda a, b: a + b)
     return p.select(
-        "name", "batchId", F.to_timestamp("timestamp").alias("timestamp"), "numInputRows",
+        "runId", "name", "batchId", F.to_timestamp("timestamp").alias("timestamp"), "numInputRows",
         "inputRowsPerSecond", "processedRowsPerSecond",
         F.col("durationMs")["triggerExecution"].alias("batch_ms"),
         F.col("durationMs")["addBatch"].alias("add_batch_ms"),
@@ -94,9 +135,3 @@ def throughput(progress: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("batches"))
     return g.withColumn("rate_ev_s",
                         F.col("sent") / F.greatest(F.col("elapsed_s"), F.lit(1e-6)))
-
-
-def recent_progress_frame(spark: SparkSession, query) -> DataFrame:
-    """Progress of one query from its ``recentProgress`` ring buffer."""
-    return progress_frame(spark, [p.json if hasattr(p, "json") else json.dumps(p)
-                                  for p in query.recentProgress])

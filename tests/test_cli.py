@@ -81,3 +81,37 @@ def test_query_output_formats(spark, sf_small):
     want = spark.read.parquet(agg).orderBy(F.col("window_start").desc(),
                                            F.col("city").desc()).limit(5).collect()
     assert [(r.city, r.window_start) for r in got] == [(r.city, r.window_start) for r in want]
+
+
+def test_keyless_documents_end_to_end(spark, sf_small):
+    """Values only, documents without a city: produce, process, train, predict, look."""
+    docs = scratch_path(spark, "docs-unnamed")
+    w = fx.load_weather(spark, sf_small).withColumn("wind_speed", F.col("wind_speed"))
+    rows = fx.hourly_documents(w, named=False)
+    # the fixture leaves wind out; the pipeline's required columns need it
+    hourly = F.col("hourly").withField("wind_speed_10m", F.transform("hourly.time", lambda t: F.lit(12.0)))
+    rows.withColumn("hourly", hourly).write.json(docs)
+    d = {k: scratch_path(spark, k) for k in ("t", "proc", "agg", "ckpt", "models", "metrics", "pred", "bi", "prog")}
+    main(["produce", "--documents", docs, "--topic-path", d["t"], "--no-key", "--demo"], spark)
+    main(["process", "--topic-path", d["t"], "--processed", d["proc"], "--aggregates", d["agg"], "--checkpoints", d["ckpt"],
+          "--partition-by-date", "--width", "1 hour", "--state-partitions", "2", "--progress", d["prog"], "--timeout", "300"], spark)
+    proc = spark.read.parquet(d["proc"])
+    assert proc.count() > 100 and proc.where("event_id is not null or city <> 'Mexico City'").count() == 0
+    out = main(["train", "--processed", d["proc"], "--models", d["models"], "--metrics", d["metrics"]], spark)
+    assert 0.5 < out["accuracy"] <= 1.0
+    q = scratch_path(spark, "q")
+    main(["query", "prediction-distribution", "--predictions", d["pred"], "--out", q], spark)   # none yet
+    assert sorted(r["count"] for r in spark.read.json(q).collect()) == [0, 0, 0]
+    main(["predict", "--topic-path", d["t"], "--models", d["models"], "--predictions", d["pred"], "--checkpoints", d["ckpt"] + "-p",
+          "--timeout", "300"], spark)
+    assert spark.read.parquet(d["pred"]).count() > 0
+    for name, more in (("alerts", []), ("timeseries", ["--limit", "7"]), ("all", []), ("kpi", ["--since", "2024-01-01"])):
+        o = scratch_path(spark, "q-" + name)
+        main(["query", name, "--processed", d["proc"], "--aggregates", d["agg"], "--predictions", d["pred"], "--out", o, *more], spark)
+        n = spark.read.json(o).count()
+        assert n == {"timeseries": 7, "all": spark.read.parquet(d["agg"]).count()}.get(name, 1)
+    main(["bi-push", "--aggregates", d["agg"], "--out", d["bi"], "--checkpoints", d["ckpt"] + "-bi", "--timeout", "300"], spark)
+    assert spark.read.parquet(d["bi"] + "/rows").count() == 1
+    o = scratch_path(spark, "rate")
+    main(["run-stats", "throughput", "--progress", d["prog"], "--out", o], spark)
+    assert spark.read.json(o).agg(F.sum("sent")).first()[0] > 0

@@ -67,3 +67,35 @@ def test_split_without_key_is_deterministic(spark):
     assert 0.75 < share < 0.85
     g = training_gates(df, FEATURE_COLUMNS).first()
     assert g.train_rows == sum(r.split == "train" for r in a) and g.status == "ok"
+
+
+def test_null_and_text_keys_split_like_keyless_rows(spark):
+    from skyrisk.operators.serving import split_by_key, training_gates
+    from skyrisk.schemas import FEATURE_COLUMNS
+    base = spark.range(0, 2000).select(
+        *[(F.col("id") % (40 + i)).cast("double").alias(c) for i, c in enumerate(FEATURE_COLUMNS[:-1])],
+        F.lit(1).alias("weather_code"), F.lit("X").alias("city"),
+        F.timestamp_seconds("id").alias("timestamp"), F.col("id").cast("string").alias("name"))
+    plain = sorted(split_by_key(base).select("name", "split").collect())
+    null = base.withColumn("event_id", F.lit(None).cast("long"))
+    assert sorted(split_by_key(null).select("name", "split").collect()) == plain
+    for key in ("event_id", "name"):
+        rows = split_by_key(null, key)
+        g = training_gates(null, FEATURE_COLUMNS, key).first()
+        assert g.status == "ok" and g.train_rows == rows.where("split = 'train'").count()
+        assert g.train_rows + g.test_rows == 2000 and 1500 < g.train_rows < 1700
+
+
+def test_newest_model_wins(spark, tmp_path):
+    from skyrisk.operators import ml
+    base = spark.range(0, 60).select(
+        *[F.col("id").cast("double").alias(c) for c in ml.FEATURE_COLUMNS], (F.col("id") % 2).alias("risk_label"))
+    root = str(tmp_path / "m")
+    for v, trees in (("b", 2), ("a", 3)):
+        ml.save_versioned(ml.train(base, num_trees=trees), spark, root, v)
+    assert ml.load_latest(spark, root).stages[-1].getNumTrees == 3
+    for f in (tmp_path / "m" / "latest").glob("*.parquet"):
+        f.write_bytes(b"damaged")
+    with pytest.raises(Exception) as e:
+        ml.load_latest(spark, root)
+    assert not isinstance(e.value, FileNotFoundError)

@@ -95,15 +95,54 @@ def test_synth_uniform_bands(spark):
 
 def test_ordinal_key_types(spark):
     import datetime as dt
-    import pytest
     rows = [(dt.datetime(2024, 1, 1, 0, 0, i), dt.date(2024, 1, 1 + i)) for i in range(20)]
     df = spark.createDataFrame(rows, "t timestamp, d date")
     got = sorted((r.t, r.ordinal) for r in with_ordinal(df, "t", buckets=3).collect())
     assert [o for _, o in got] == list(range(20))
     got = sorted((r.d, r.ordinal) for r in with_ordinal(df, "d", buckets=3).collect())
     assert [o for _, o in got] == list(range(20))
-    with pytest.raises(TypeError):
-        with_ordinal(spark.createDataFrame([("a",)], "s string"), "s")
+    names = spark.createDataFrame([(f"{i:02d}",) for i in range(20)], "s string")
+    got = sorted((r.s, r.ordinal) for r in with_ordinal(names, "s", buckets=3).collect())
+    assert [o for _, o in got] == list(range(20))
+
+
+def test_ordinal_spreads_a_hot_key(spark):
+    """Half of the rows share one key: the ties spread them over the ranges."""
+    from skyrisk.operators.ordinal import ranged
+    df = spark.range(0, 8000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(5)).otherwise(F.col("id") % 100).alias("k"),
+        F.col("id").alias("t")).repartition(4)
+    sizes = [r["count"] for r in ranged(df, "k", 8, ["t"]).groupBy("__part").count().collect()]
+    assert len(sizes) >= 7 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    out = with_ordinal(df, "k", buckets=8, tie=["t"]).collect()
+    assert [(r.k, r.t) for r in sorted(out, key=lambda r: r.ordinal)] == sorted((r.k, r.t) for r in out)
+
+
+def test_draws_do_not_repeat_past_31_bits(spark):
+    from skyrisk.functions.randomness import with_uniforms
+    ids = [5, 5 * 2**31, 2**31 + 4, 4 * 2**31 + 1, 7 + 2**40, 2**61 + 3]
+    df = spark.createDataFrame([(i,) for i in ids], "k long")
+    rows = with_uniforms(df, "k", 42, [1, 2, 3, 4]).collect()
+    assert len({tuple(r)[1:] for r in rows}) == len(ids)
+    big = spark.range(0, 20000).select((F.col("id") * (2**31 + 17)).alias("k"))
+    u = with_uniforms(big, "k", 1, [1]).agg(F.avg("__u1").alias("m"), F.countDistinct("__u1").alias("n")).first()
+    assert abs(u["m"] - 0.5) < 0.02 and u["n"] > 19900
+
+
+def test_city_defaults_where_the_document_names_none(spark, tmp_path):
+    from skyrisk.operators.observations import build_event, explode_hourly
+    from skyrisk.sources.files import scan_hourly_documents
+    hourly = '{"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m": [1.5, 2.5]}'
+    lines, pretty = tmp_path / "lines", tmp_path / "pretty"
+    lines.mkdir()
+    pretty.mkdir()
+    (lines / "a.json").write_text('{"hourly": %s}\n{"city": "X", "doc_id": "d", "hourly": %s}\n' % (hourly, hourly))
+    (pretty / "b.json").write_text('\n{\n  "hourly": {\n    "time": ["2024-01-01T00:00"],\n    "temperature_2m": [3.0]\n  }\n}\n')
+    rows = build_event(explode_hourly(scan_hourly_documents(spark, str(lines)))).collect()
+    assert sorted(r.city for r in rows) == ["Mexico City"] * 2 + ["X"] * 2
+    assert all(r.doc_id for r in rows)
+    one = build_event(explode_hourly(scan_hourly_documents(spark, str(pretty)))).collect()
+    assert [(r.city, r.temperature) for r in one] == [("Mexico City", 3.0)]
 
 
 def test_ordinal_null_keys_and_ties(spark):

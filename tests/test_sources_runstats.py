@@ -32,9 +32,47 @@ def test_event_log_jobs_and_stages(spark):
     ]
     path = scratch_path(spark, "eventlog")
     spark.createDataFrame([(json.dumps(x),) for x in lines], "value string") \
-        .write.text(path)
+        .coalesce(1).write.text(path)    # a log is one file
     log = src.scan_event_log(spark, path)
     stats = runstats.job_duration_stats(runstats.jobs_from_event_log(log)).first()
     assert stats.jobs == 1 and stats.avg_s == 2.5
     st = runstats.stage_totals(runstats.stages_from_event_log(log)).first()
     assert (st.shuffle_read_bytes, st.shuffle_write_bytes, st.gc_ms) == (0, 100, 7)
+
+
+def test_event_logs_of_two_applications(spark, tmp_path):
+    """Three jobs of 0.5 s in each of two logs with the same ids, one rolled and
+    packed with zstd, one a plain file."""
+    import json
+
+    import zstandard
+    from skyrisk.operators.runstats import job_duration_stats, jobs_from_event_log
+    from skyrisk.sources.files import scan_event_log
+
+    def lines(t0):
+        out = []
+        for j in range(3):
+            out.append(json.dumps({"Event": "SparkListenerJobStart", "Job ID": j, "Submission Time": t0 + j * 1000}))
+            out.append(json.dumps({"Event": "SparkListenerJobEnd", "Job ID": j, "Completion Time": t0 + j * 1000 + 500}))
+        return out
+    rolled = tmp_path / "eventlog_v2_app-1"
+    rolled.mkdir()
+    a = lines(1_700_000_000_000)
+    for i, part in enumerate((a[:3], a[3:])):
+        (rolled / f"events_{i + 1}_app-1.zstd").write_bytes(zstandard.compress(("\n".join(part) + "\n").encode()))
+    (tmp_path / "app-2").write_text("\n".join(lines(1_700_000_100_000)) + "\n")
+    log = scan_event_log(spark, str(tmp_path))
+    assert log.select("log").distinct().count() == 2
+    s = job_duration_stats(jobs_from_event_log(log)).first()
+    assert (s.jobs, s.min_s, s.max_s) == (6, 0.5, 0.5)
+
+
+def test_skipped_files_are_named(spark, tmp_path):
+    from skyrisk.sources.files import scan_parquet, unread_files
+    from pyspark.sql.types import LongType, StructField, StructType
+    path = str(tmp_path / "t")
+    spark.range(5).coalesce(1).write.parquet(path)
+    (tmp_path / "t" / "bad.parquet").write_bytes(b"not parquet")
+    df = scan_parquet(spark, path, StructType([StructField("id", LongType())]), skip_corrupt=True)
+    assert df.count() == 5
+    assert [r.path.rsplit("/", 1)[1] for r in unread_files(spark, path, df).collect()] == ["bad.parquet"]

@@ -136,24 +136,23 @@ def test_date_partitioned_tables_prune(spark, sf_small):
 
 def test_progress_listener_table(spark, sf_small):
     """a StreamingQueryListener's progress events as a typed table."""
-    import time as _t
-    from skyrisk.streaming.progress import ProgressCollector, progress_frame, throughput
-    topic, _ = _topic_in_time_order(spark, sf_small, 2)
-    collector = ProgressCollector()
+    from skyrisk.streaming.progress import ProgressCollector, throughput
+    topic, _ = _topic_in_time_order(spark, sf_small, 6)
+    collector = ProgressCollector(spark, scratch_path(spark, "progress"), every=3)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")   # a ring that loses batches
     spark.streams.addListener(collector)
     try:
         proc, agg = scratch_path(spark, "p"), scratch_path(spark, "a")
         qs = jobs.start_processing(spark, topic, proc, agg, scratch_path(spark, "c"),
                                    starting_offsets="earliest", max_per_trigger=1)
         jobs.await_all(spark, qs, 300)
-        deadline = _t.time() + 30
-        while len(collector.events) < 4 and _t.time() < deadline:
-            _t.sleep(0.5)
+        table = collector.finished([str(q.runId) for q in qs])
     finally:
         spark.streams.removeListener(collector)
-    table = progress_frame(spark, collector.events)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     rows = table.collect()
-    assert len(rows) >= 4
+    assert len(rows) >= 12 and not collector.events
+    assert all(len(q.recentProgress) <= 2 for q in qs)
     assert sum(r.numInputRows for r in rows) >= 2 * spark.read.parquet(proc).count()
     assert any(r.watermark is not None for r in rows)
     t = throughput(table).collect()
@@ -173,11 +172,93 @@ def test_jdbc_batch_frame(spark):
     from skyrisk.streaming.jdbc import jdbc_batch_frame
     df = spark.range(0, 100, numPartitions=16).withColumnRenamed("id", "x")
     out = jdbc_batch_frame(df, 7, num_partitions=4)
-    assert out.rdd.getNumPartitions() <= 4
+    assert out.rdd.getNumPartitions() == 4
+    assert "REPARTITION" in out._jdf.queryExecution().executedPlan().toString()
     assert out.columns == ["x", "batch_id"]
     assert {r.batch_id for r in out.select("batch_id").distinct().collect()} == {7}
 
 
+def test_jdbc_batch_replaces_its_earlier_attempt(spark, tmp_path):
+    """Statements only: the delete names the batch, and comes before the insert."""
+    import pytest
+    from skyrisk.streaming.jdbc import delete_statement, start_jdbc_sink
+    assert delete_statement("s.windows", 7) == "DELETE FROM s.windows WHERE batch_id = 7"
+    with pytest.raises(ValueError):
+        delete_statement("windows; DROP TABLE x", 1)
+    said = []
+    stream = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+    q = start_jdbc_sink(stream, "jdbc:none:x", "windows", str(tmp_path / "c"),
+                        trigger="1 second", execute=lambda s, url, st, p: said.append(st))
+    with pytest.raises(Exception):
+        q.awaitTermination(60)
+    assert said and said[0] == "DELETE FROM windows WHERE batch_id = 0"
+
+
+def test_snapshots_are_whole(spark, tmp_path):
+    import pytest
+    path = str(tmp_path / "snap")
+    with pytest.raises(FileNotFoundError):
+        jobs.read_snapshot(spark, path)
+    spark.range(3).write.parquet(f"{path}/batch=4")
+    spark.range(9).write.parquet(f"{path}/batch=5")
+    (tmp_path / "snap" / "batch=5" / "_SUCCESS").unlink()          # still being written
+    assert jobs.read_snapshot(spark, path).count() == 3
+
+
+def test_newest_rows_read_only_their_days(spark, tmp_path):
+    from pyspark.sql import types as T
+    from skyrisk.sources.files import newest_dated
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("t", T.TimestampType())])
+    df = spark.range(0, 30 * 24).select("id", (F.lit("2024-01-01 00:00:00").cast("timestamp")
+                                               + F.make_interval(hours=F.col("id").cast("int"))).alias("t"))
+    path = str(tmp_path / "d")
+    df.withColumn("day", F.to_date("t")).write.partitionBy("day").parquet(path)
+    got = newest_dated(spark, path, schema, "day", 30, "t", ["id"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-29" in plan
+    assert [r.id for r in got.collect()] == list(range(719, 689, -1))
+    assert newest_dated(spark, path, schema, "day", 5000, "t", ["id"]).count() == 720
+
+
+def test_recent_files_of_a_stream_sink_are_committed_ones(spark, tmp_path):
+    from skyrisk.sources.files import scan_recent_files
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(5).coalesce(1).write.parquet(src)
+    q = jobs.parquet_sink(spark.readStream.schema("id long").parquet(src), out, str(tmp_path / "c"))
+    jobs.await_all(spark, [q], 120)
+    spark.range(100, 103).coalesce(1).write.mode("append").parquet(str(tmp_path / "left"))
+    for f in (tmp_path / "left").glob("*.parquet"):
+        f.rename(tmp_path / "out" / f"part-99999-{f.name}")        # left by an attempt that failed
+    got = scan_recent_files(spark, out, 5)
+    assert sorted(r.id for r in got.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_latest_per_key_is_one_pass(spark, sf_small):
+    from skyrisk.operators.serving import latest_per_key
+    from skyrisk.plans.catalog import aggregates
+    plan = latest_per_key(aggregates(spark, sf_small), "city", "window_start") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "SortAggregate" not in plan and "Join" not in plan
+
+
+def test_bi_state_that_cannot_be_read_stops_the_batch(spark, tmp_path):
+    import pytest
+    from skyrisk.streaming.bi import _last_state, drop_old_states
+    root = tmp_path / "_state"
+    assert _last_state(spark, str(root), 3) is None
+    state = spark.createDataFrame([("X", "2024-01-01T00:00:00")], "City string, last_start string")
+    for b in (0, 1, 2):
+        state.write.parquet(str(root / f"batch={b}"))
+    drop_old_states(spark, str(root), 3)
+    assert sorted(p.name for p in root.iterdir()) == ["batch=2"]
+    assert _last_state(spark, str(root), 3).count() == 1
+    assert _last_state(spark, str(root), 7).count() == 1           # a gap: the newest there is
+    for f in (root / "batch=2").glob("*.parquet"):
+        f.write_bytes(b"damaged")
+    with pytest.raises(Exception):
+        _last_state(spark, str(root), 3).collect()
+
+
 def test_one_failing_query_stops_the_group(spark):
     """any query ending in error stops the others and raises."""
     import pytest
