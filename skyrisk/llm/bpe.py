@@ -106,7 +106,7 @@ def scan(sym: np.ndarray, go: np.ndarray) -> np.ndarray:
 class Bpe:
     """Ranks of one vocabulary; ``encode`` a column of texts, ``decode`` runs of ids."""
 
-    def __init__(self, path: str, cache: int = 300_000):
+    def __init__(self, path: str, cache: int = 100_000):
         """cache: slices kept in each of two generations."""
         import public_tokenizers
         import tiktoken

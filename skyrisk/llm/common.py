@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return flat.select([flat[f"_{names.index(src)}"].alias(out) for out, src in columns.items()])
 
 
+def whole_rows(df: DataFrame, run) -> DataFrame:
+    """``run`` over record batches of all columns, which come out under the same names;
+    inside they are known by position, as names may clash."""
+    names = df.columns
+    flat = df.toDF(*[f"_{i}" for i in range(len(names))])
+    return flat.mapInArrow(run, flat.schema).toDF(*names)
+
+
 def keyed_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` long (null stays null) and ``text`` (null: empty) of any table."""
     d = pick(df, doc_id=key, text=text)
@@ -41,6 +49,19 @@ def fold(key: Column | str) -> Column:
                               F.lit("")).cast("binary")) % 5
 
 
+def thin(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """Rows whose key hash is small enough that about ``limit`` of them are left, and a
+    tenth more; so the sort that takes exactly ``limit`` sees few rows at any size."""
+    n = df.count()
+    if n <= limit:
+        return df
+    return df.where(key_hash(key) < int(1.1 * limit / n * (1 << 32)))
+
+
+def key_hash(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << 32))
+
+
 def training_labels(labels: DataFrame, label: str, limit: int) -> DataFrame:
     """At most ``limit`` labelled (doc_id, label) rows outside the held-out fold.
 
@@ -49,9 +70,9 @@ def training_labels(labels: DataFrame, label: str, limit: int) -> DataFrame:
     its larger label; rows without id or label do not count.
     """
     lab = pick(labels, doc_id="doc_id", label=label).where("doc_id is not null and label is not null")
-    lab = lab.where(fold("doc_id") != 0).groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
-        .agg(F.max(F.col("label").cast("int")).alias("label"))
-    return lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    lab = lab.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+    lab = thin(lab.where(fold("doc_id") != 0), "doc_id", limit).groupBy("doc_id").agg(F.max("label").alias("label"))
+    return lab.orderBy(key_hash("doc_id"), "doc_id").limit(limit)
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
@@ -70,6 +91,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
             base = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, base + size, side="right")))
             yield b.slice(at, to - at)
+            pa.default_memory_pool().release_unused()  # else each worker keeps its largest slice's buffers
             at = to
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyrisk.llm.common import fold, keyed_text, labelled_texts
+from skyrisk.llm.common import fold, keyed_text, labelled_texts, whole_rows
 from skyrisk.llm.docstats import NAMES, statistics
 
 SAMPLE = 20_000  # labelled rows the trees are fitted on, at most
@@ -130,4 +130,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFr
         for b in batches:
             s = _scores([t or "" for t in b.column(at).to_pylist()], forest)
             yield b.filter(pa.array(s >= THRESHOLD))
-    return docs.mapInArrow(run, docs.schema)
+    return whole_rows(docs, run)

@@ -18,8 +18,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers of a local session import this package; on a cluster it is
-    installed or sent along with --py-files."""
+    """Lets Python workers of a local session import this package (on a cluster it is
+    installed or sent along with --py-files) and hands them texts in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))

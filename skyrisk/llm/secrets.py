@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyrisk.llm.common import keyed_text, slices, starts
+from skyrisk.llm.common import key_hash, keyed_text, slices, starts, thin, whole_rows
 from skyrisk.session import scratch_path
 
 # The base rules. Groups and least lengths as given; ASCII case only.
@@ -266,7 +266,8 @@ def train(docs: DataFrame, documents: int = DOCS, most: int = LINES) -> Field:
     """The field, from lines of at most ``documents`` documents (smallest id hashes),
     at most ``most`` of each kind, plus made-up secrets."""
     d = keyed_text(docs)
-    ids = d.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
+    ids = thin(d.select("doc_id").where("doc_id is not null"), "doc_id", documents).distinct() \
+        .orderBy(key_hash("doc_id"), "doc_id").limit(documents)
     at = scratch_path(docs.sparkSession, "secret-lines")
     schema = "doc_id long, kind int, words array<string>, tags array<int>"
     d.join(F.broadcast(ids), "doc_id").select("doc_id", "text").mapInArrow(_sampled, schema).write.parquet(at)
@@ -306,7 +307,7 @@ def design(chains: list[tuple[list[str], list[int]]]):
 class Scanner:
     """Tags the tokens of many texts; scores of token strings are kept between calls."""
 
-    def __init__(self, field: Field, cache: int = 200_000):
+    def __init__(self, field: Field, cache: int = 100_000):
         self.field, self.cache = field, cache
         self.known: dict[str | tuple, np.ndarray] = {}
         self.weights = field.own.transpose(1, 0, 2).reshape(WIDTH, -1)
@@ -452,4 +453,4 @@ def redact(docs: DataFrame, documents: int = DOCS) -> DataFrame:
                 n = cols[count].to_pylist()
                 cols[count] = pa.array([len(t) if t is not o else k for t, o, k in zip(new, old, n)], cols[count].type)
             yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
-    return docs.mapInArrow(run, docs.schema)
+    return whole_rows(docs, run)

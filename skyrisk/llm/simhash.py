@@ -113,6 +113,9 @@ def _keyed(df: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
     """Rows (outer, fp) under each finer mask of their outer mask (a fixed table
     of at most a few hundred or, in the third round, a few thousand masks)."""
     spark = df.sparkSession
+    if len({a for a, _ in pairs}) == 1:
+        each = F.explode(F.array(*[F.lit(signed(b)) for _, b in pairs])).alias("mask")
+        return df.select("fp", each).select("mask", F.expr("fp & mask").alias("key"), "fp")
     finer = spark.createDataFrame([(signed(a), signed(b)) for a, b in pairs], "outer long, mask long")
     return df.join(F.broadcast(finer), "outer").select("mask", F.expr("fp & mask").alias("key"), "fp")
 

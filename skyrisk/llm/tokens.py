@@ -27,7 +27,7 @@ TAIL = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,!#%&*$|\"]+ )"  # a word's closing marks ar
 class CachedEncoder:
     """``encode(texts)`` -> ids of all texts in a row and each text's number of ids."""
 
-    def __init__(self, path: str, word_ends: bool = False, cache: int = 300_000):
+    def __init__(self, path: str, word_ends: bool = False, cache: int = 100_000):
         """word_ends: the tokenizer drops white space (else byte-level with leading blanks).
         cache: chunks kept in each of two generations."""
         from tokenizers import Tokenizer
@@ -92,5 +92,5 @@ def encoder(path: str, word_ends: bool = False) -> CachedEncoder:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     key = (path, word_ends)
     if key not in _ENCODERS:
-        _ENCODERS[key] = CachedEncoder(path, word_ends)
+        _ENCODERS[key] = CachedEncoder(path, word_ends, 300_000 if word_ends else 100_000)
     return _ENCODERS[key]

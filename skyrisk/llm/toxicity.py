@@ -193,8 +193,10 @@ def learn_beginnings(texts: DataFrame, most: int = LEARNED) -> list[str]:
     """Word beginnings that mark toxic texts in (text, label) rows.
 
     Kept are those whose documents are toxic more often than not, judged by
-    the lower bound of their log odds against the others; of beginnings of
-    one another only the one that tells most, the longer on a tie.
+    the lower bound of their log odds against the others, and found in four or
+    more (and one in 200) of the toxic documents, so that a few copies of one
+    text teach nothing; of beginnings of one another only the one that tells
+    most, the longer on a tie.
     """
     n = texts.agg(F.sum(F.when(F.col("label") > 0, 1).otherwise(0)).alias("t"), F.count("*").alias("n")).first()
     t, c = n["t"] or 0, (n["n"] or 0) - (n["t"] or 0)
@@ -203,7 +205,7 @@ def learn_beginnings(texts: DataFrame, most: int = LEARNED) -> list[str]:
     z = F.log((F.col("toxic") + 0.5) / (t + 1.0)) - F.log((F.col("other") + 0.5) / (c + 1.0)) \
         - 1.64 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
     rows = texts.select("text", "label").mapInArrow(_mined, "begin string, toxic long, other long").groupBy("begin") \
-        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where("toxic >= 4") \
+        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(F.col("toxic") >= max(4, t // 200)) \
         .withColumn("z", z).where("z > 1.5").orderBy(F.desc(F.col("z") + 0.3 * F.log("toxic")), "begin").limit(20 * most).collect()
     worth = {r["begin"]: r["z"] * r["toxic"] ** 0.5 for r in rows}
     kept: list[str] = []

@@ -234,7 +234,11 @@ def _records(with_payload: bool):
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """Records of all listed packages; packages and ranges are dealt over the tasks."""
+    """Records of all listed packages; packages and ranges are dealt over the tasks.
+
+    Their rows are few and small but stand for much reading, so the number of
+    tasks is given: merging small partitions would leave it all to one."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packages = spark.read.schema("path string, records long").parquet(f"{path}/packages").select("path")
-    ranges = packages.repartition(F.expr("xxhash64(path)")).mapInArrow(_ranges, "path string, at long, lengths array<long>")
-    return ranges.repartition("path", "at").mapInArrow(_records(with_payload), RECORDS)
+    ranges = packages.repartition(n, "path").mapInArrow(_ranges, "path string, at long, lengths array<long>")
+    return ranges.repartition(n, "path", "at").mapInArrow(_records(with_payload), RECORDS)

@@ -14,7 +14,8 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyrisk.llm.common import keyed_text, slices, starts
@@ -117,39 +118,33 @@ def neighbour_ranges(docs: DataFrame) -> DataFrame:
     """(bucket, doc_id, text, halo): texts in ranges of descending id, each range
     closed by the first row of the next one (the last by the very first).
 
-    Range borders are quantiles of the ids; only those and the first id of
-    each range reach the driver, as many as there are shuffle partitions.
-    Rows of one id follow each other by text hash, ids that are null come last.
+    Range borders are quantiles of the ids, as many as there are shuffle
+    partitions; only they reach the driver.  The table of each range's first
+    row (an id and a hash) has as many rows, so it is broadcast.  Rows of one id
+    follow each other by text hash, ids that are null come last.
     """
     spark = docs.sparkSession
-    d = keyed_text(docs).withColumn("h", F.xxhash64("text"))
+    d = keyed_text(docs).withColumn("h", F.xxhash64("text")).withColumn("place", F.col("doc_id").cast("double"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    q = sorted(set(d.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n))))
-    below = F.lit(0)
-    if q:
-        cuts = F.array(*[F.lit(int(x)) for x in q])
-        # number of borders at or above the id: range 0 has the largest ids
-        below = F.size(F.filter(cuts, lambda c: c >= F.col("doc_id")))
-    below = F.when(F.col("doc_id").isNull(), len(q)).otherwise(below)
-    d = d.withColumn("bucket", below.cast("int"))
-    heads = d.groupBy("bucket").agg(F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id", (-F.col("h").cast("decimal(20,0)")).alias("g"))).alias("m"),
-                                    F.count("*").alias("rows")).collect()
-    order = sorted(r["bucket"] for r in heads)
-    if not order:
-        return d.select("bucket", "doc_id", "text", F.lit(False).alias("halo"))
-    first = {r["bucket"]: (r["m"]["doc_id"], -int(r["m"]["g"])) for r in heads}
-    before = {b: order[i - 1] for i, b in enumerate(order)}
-    # One row of each range is sent twice: its first, also as the end of the range before.
-    head = F.lit(False)
-    for b in order:
-        i, h = first[b]
-        head = head | ((F.col("bucket") == b) & F.col("doc_id").eqNullSafe(F.lit(i).cast("long")) & (F.col("h") == h))
-    to = F.create_map(*[F.lit(x) for b in order for x in (b, before[b])])
-    both = d.select("*", F.explode(F.when(head, F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("halo")),
-                                                        F.struct(to[F.col("bucket")].alias("b"), F.lit(True).alias("halo"))))
-                                   .otherwise(F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("halo"))))).alias("s"))
+    q = sorted(set(d.approxQuantile("place", [i / n for i in range(1, n)], 1 / (4 * n))))
+    if len(q) > 0:
+        d = Bucketizer(splits=[float("-inf"), *q, float("inf")], inputCol="place", outputCol="above", handleInvalid="keep").transform(d)
+        d = d.withColumn("bucket", F.when(F.col("doc_id").isNull(), len(q)).otherwise(len(q) - F.col("above")).cast("int"))
+    else:
+        d = d.withColumn("bucket", F.lit(0))
+    # the first row of a range: the largest id, and of equal ids the smallest hash
+    first = F.max(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("i"), F.bitwise_not("h").alias("g")))
+    heads = d.groupBy("bucket").agg(first.alias("m"))
+    every, order = Window.partitionBy(F.lit(0)), Window.partitionBy(F.lit(0)).orderBy("bucket")
+    heads = heads.select("bucket", F.col("m.i").alias("first_id"), F.bitwise_not("m.g").alias("first_h"),
+                         F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(every)).alias("before"))
+    d = d.join(F.broadcast(heads), "bucket")
+    is_head = (F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("first_id")) & (F.col("h") == F.col("first_h"))
+    own = F.struct(F.col("bucket").alias("b"), F.lit(False).alias("halo"))
+    both = d.select("doc_id", "h", "text", F.explode(F.when(is_head, F.array(own, F.struct(F.col("before").alias("b"), F.lit(True).alias("halo"))))
+                                                     .otherwise(F.array(own))).alias("s"))
     return both.select(F.col("s.b").alias("bucket"), "doc_id", "h", "text", F.col("s.halo").alias("halo")) \
-        .repartitionById(max(order) + 1, F.col("bucket")) \
+        .repartitionById(len(q) + 1, F.col("bucket")) \
         .sortWithinPartitions("bucket", "halo", F.col("doc_id").desc_nulls_last(), "h") \
         .select("bucket", "doc_id", "text", "halo")
 
