@@ -98,7 +98,8 @@ def cmd_process(spark: SparkSession, a) -> dict:
     qs = jobs.start_processing(spark, _topic(a), a.processed, a.aggregates, a.checkpoints,
                                trigger=a.trigger, starting_offsets=a.starting_offsets,
                                max_per_trigger=a.max_per_trigger, console=a.console,
-                               chain=a.chain, partition_by_date=a.partition_by_date,
+                               chain=a.chain or not (a.unchained or a.partition_by_date),
+                               partition_by_date=a.partition_by_date,
                                width=a.width, watermark=a.watermark,
                                state_partitions=a.state_partitions, timeout_s=a.timeout)
     jobs.await_all(spark, qs, a.timeout)
@@ -280,7 +281,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--processed", required=True)
     p.add_argument("--aggregates", required=True)
     p.add_argument("--console", action="store_true")
-    p.add_argument("--chain", action="store_true", help="parse once: windows read processed")
+    p.add_argument("--chain", action="store_true", help="parse once: windows read processed "
+                   "(the default, unless partitioned by date)")
+    p.add_argument("--unchained", action="store_true", help="windows read the topic again")
     p.add_argument("--partition-by-date", action="store_true")
     p.add_argument("--width", default="1 minute")
     p.add_argument("--watermark", default="2 minutes")

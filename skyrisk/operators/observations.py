@@ -137,6 +137,14 @@ def synth_gauss(ids: DataFrame, id_col: str, start_ts: Column, rate_per_s: int =
 
 
 # ---------------------------------------------------------------- B13
+# Uniform events. Centre and width of ordinary measures, least value
+# and span of anomalous ones, and the largest of the other draws.
+UNIFORM = {"temperature": (22.0, 12.0), "humidity": (60.0, 50.0), "wind_speed": (12.0, 8.0),
+           "surface_pressure": (1015.0, 8.0), "apparent_delta": (0.0, 3.0)}
+UNIFORM_ANOMALY = {"temperature": (35.0, 7.0), "wind_speed": (60.0, 30.0), "precipitation": (50.0, 40.0)}
+UNIFORM_RAIN, UNIFORM_GUST, UNIFORM_CODES = 3.0, 8.0, 65
+
+
 def synth_uniform(rate: DataFrame, anomaly_prob: float = 0.05, seed: int = 7,
                   city: str = DEFAULT_CITY) -> DataFrame:
     """Rate rows (``timestamp``, ``value``) -> uniform synthetic events.
@@ -150,19 +158,27 @@ def synth_uniform(rate: DataFrame, anomaly_prob: float = 0.05, seed: int = 7,
     def u(s):
         return F.col(f"__u{s}")
 
+    def usual(name, s):
+        centre, width = UNIFORM[name]
+        return centre + (u(s) - 0.5) * width
+
+    def odd(name):
+        least, span = UNIFORM_ANOMALY[name]
+        return least + r2 * span
+
     r1, r2 = u(1), u(2)
     p = anomaly_prob
-    temp = F.when(r1 < p, 35.0 + r2 * 7.0).otherwise(22.0 + (u(3) - 0.5) * 12.0)
-    wind = F.when((r1 > p) & (r1 < 2 * p), 60.0 + r2 * 30.0).otherwise(12.0 + (u(5) - 0.5) * 8.0)
+    temp = F.when(r1 < p, odd("temperature")).otherwise(usual("temperature", 3))
+    wind = F.when((r1 > p) & (r1 < 2 * p), odd("wind_speed")).otherwise(usual("wind_speed", 5))
     return d.select(
         F.lit(city).alias("city"),
         F.col("timestamp"),
         temp.alias("temperature"),
-        (60.0 + (u(4) - 0.5) * 50.0).alias("humidity"),
-        F.when(r1 > 1 - p, 50.0 + r2 * 40.0).otherwise(u(6) * 3.0).alias("precipitation"),
+        usual("humidity", 4).alias("humidity"),
+        F.when(r1 > 1 - p, odd("precipitation")).otherwise(u(6) * UNIFORM_RAIN).alias("precipitation"),
         wind.alias("wind_speed"),
-        (wind + u(7) * 8.0).alias("wind_gusts"),
-        (1015.0 + (u(8) - 0.5) * 8.0).alias("surface_pressure"),
-        (temp + (u(9) - 0.5) * 3.0).alias("apparent_temperature"),
-        (u(10) * 65).cast("int").alias("weather_code"),
+        (wind + u(7) * UNIFORM_GUST).alias("wind_gusts"),
+        usual("surface_pressure", 8).alias("surface_pressure"),
+        (temp + (u(9) - 0.5) * UNIFORM["apparent_delta"][1]).alias("apparent_temperature"),
+        (u(10) * UNIFORM_CODES).cast("int").alias("weather_code"),
     )
