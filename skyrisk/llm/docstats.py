@@ -37,6 +37,8 @@ def _repeated(ids: np.ndarray) -> np.ndarray:
 
 
 def _measure(text: str):
+    """(rules, words, lines with a word, byte counts, code points, blanks among them,
+    each word's number, the numbers) of one text."""
     raw = text.encode()
     words = raw.split()
     lines = [x for x in raw.split(b"\n") if x and not x.isspace()]

@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from skyrisk.llm import bpe, packing, quality_gbt, quality_rules, secrets, simhash, token_files, toxicity, warc_zip, winnowing
 from skyrisk.llm.common import table

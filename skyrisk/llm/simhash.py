@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyrisk.llm.common import keyed_text, pick
+from skyrisk.llm.common import keyed_text
 from skyrisk.session import scratch_path
 
 BLOCKS, LARGE = 6, 4096
@@ -131,10 +131,8 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
         at = scratch_path(spark, f"simhash-keys-{level}")
         _keyed(rows, pairs).write.parquet(at)
         keyed = spark.read.schema("mask long, key long, fp long").parquet(at)
-        sizes = keyed.groupBy("mask", "key").count().where("count > 1")
-        large = sizes.where(F.col("count") > LARGE).select("mask", "key")
-        is_large, last = (False, True) if level == 2 else (not large.isEmpty(), level == 2)
-        if is_large and not last:
+        large = keyed.groupBy("mask", "key").count().where(F.col("count") > LARGE).select("mask", "key")
+        if level < 2 and not large.isEmpty():
             small = keyed.join(large, ["mask", "key"], "left_anti")
             rows = keyed.join(large, ["mask", "key"], "left_semi").select(F.col("mask").alias("outer"), "fp")
             outer = sorted({b for _, b in pairs})
