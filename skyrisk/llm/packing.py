@@ -85,7 +85,7 @@ def _pack(path: str, end_id: int, capacity: int, piece: int, group: int):
                     at += held[i][2]
                 sequence += 1
             held.clear()
-        for b in slices(batches, size=8 << 20):
+        for b in slices(batches, size=4 << 20):
             ids, per = tok.encode(b.column("text"))
             cut = starts(per)
             for i, doc in enumerate(b.column("doc_id").to_pylist()):

@@ -114,7 +114,7 @@ def _tokenise(path: str, end_id: int):
         counts = np.zeros(tok.tok.get_vocab_size(with_added_tokens=True) + 1, np.int64)
         schema = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int64()),
                             ("ids", pa.binary()), ("counts", pa.binary())])
-        for b in slices(batches):
+        for b in slices(batches, size=4 << 20):
             ids, per = tok.encode(b.column("text"))
             counts += np.bincount(ids, minlength=len(counts))
             counts[end_id] += len(per)

@@ -7,6 +7,7 @@ text.  Cutting and finding equal chunks run in Arrow.
 
 from __future__ import annotations
 
+import re
 from array import array
 
 import numpy as np
@@ -24,16 +25,30 @@ IRREGULAR = (r"[\x01\x02]|^[ \n]|[ \n][ \n]|[ \n]$|[\t\x0b\x0c\r\x{85}\x{a0}\x{1
 TAIL = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,!#%&*$|\"]+ )"  # a word's closing marks are a token of their own
 
 
+# One word of these letters is one token of the pre-tokenisation, and normalisation
+# changes nothing in it but its case: the library's model may have it at once.
+WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable
+    Latin-1 characters for themselves, the others from 256 upwards in order."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
 class CachedEncoder:
     """``encode(texts)`` -> ids of all texts in a row and each text's number of ids."""
 
-    def __init__(self, path: str, word_ends: bool = False, cache: int = 100_000):
+    def __init__(self, path: str, word_ends: bool = False, cache: int = 200_000):
         """word_ends: the tokenizer drops white space (else byte-level with leading blanks).
         cache: chunks kept in each of two generations."""
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.word_ends, self.cache = word_ends, cache
+        self.model, self.letter = self.tok.model, byte_letters()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -67,11 +82,18 @@ class CachedEncoder:
                     new.append(i)
                 else:
                     ids[i] = self.young[chunks[i]] = v
-        sources = [self._source(chunks[i], texts) for i in new]
-        for i, e in zip(new, self.tok.encode_batch_fast(sources, add_special_tokens=False)):
+        other, sources = [], []
+        for i in new:
+            s = self._source(chunks[i], texts)
+            if WORD.fullmatch(s):
+                letters = "".join([self.letter[b] for b in (s.lower() if self.word_ends else s).encode()])
+                ids[i] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            else:
+                other.append(i)
+                sources.append(s)
+        for i, e in zip(other, self.tok.encode_batch_fast(sources, add_special_tokens=False)):
             ids[i] = array("I", e.ids).tobytes()
-            if chunks[i][:1] != "\x02":
-                self.young[chunks[i]] = ids[i]
+        self.young.update((chunks[i], ids[i]) for i in new if chunks[i][:1] != "\x02")
         if len(self.young) > self.cache:
             self.old, self.young = self.young, {}
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
@@ -92,5 +114,5 @@ def encoder(path: str, word_ends: bool = False) -> CachedEncoder:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     key = (path, word_ends)
     if key not in _ENCODERS:
-        _ENCODERS[key] = CachedEncoder(path, word_ends, 300_000 if word_ends else 100_000)
+        _ENCODERS[key] = CachedEncoder(path, word_ends)
     return _ENCODERS[key]

@@ -105,3 +105,27 @@ def test_empty_table(spark, empty_docs):
     path = scratch_path(spark, "t")
     T.write_token_files(empty_docs, path, PATH)
     assert T.document_checksums(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("name, word_ends", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_cached_encoder_as_the_library(name, word_ends, docs):
+    """Chunks and single words give the ids of the whole text; a small cache turns over."""
+    import random
+
+    import pyarrow as pa
+
+    from skyrisk.llm.common import starts
+    from skyrisk.llm.tokens import CachedEncoder
+    rng = random.Random(3)
+    letters = "ab' 's're'llÀé\n\t  1²中’ 　.!'ßÿǅİΣσς×÷ªº😀\x1c\x85\x01\x02|\"é"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += [" À", "\nword", "<|endoftext|> x", "Ünïcode ÀÉ straße", "", "\n", " "] + [r["text"] for r in docs.limit(60).collect()]
+    tok = Tokenizer.from_file(public_tokenizers.path(name))
+    tok.encode_special_tokens = True
+    enc = CachedEncoder(public_tokenizers.path(name), word_ends, cache=1000)
+    for lo in range(0, len(texts), 200):
+        part = texts[lo:lo + 200]
+        ids, per = enc.encode(pa.array(part))
+        cut = starts(per)
+        for i, x in enumerate(tok.encode_batch(part, add_special_tokens=False)):
+            assert x.ids == ids[cut[i]:cut[i + 1]].tolist(), part[i]
