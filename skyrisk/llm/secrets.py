@@ -4,7 +4,7 @@ The rules find assignments, access keys and long hex runs.  The field tags every
 token of a text as outside, begin or inside of a secret from the shapes of the
 token and its neighbours and from features of the file; Viterbi decodes the tags.
 It learns from lines that the rules tag and from made-up secrets of other shapes
-set into sampled lines, and adds spans where the rules found none.
+set into sampled lines, and adds the spans that lie within no span of a rule.
 
 A chain is a line, cut after CHAIN tokens.  Token scores depend on the token's
 string and its neighbours' strings only, so they are computed once per string.
@@ -15,8 +15,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,6 @@ SEPARATORS = "\t\x0b\x0c\r \"',;()<>|"
 TOKEN = re.compile(f"[^{re.escape(SEPARATORS)}=:\n]+|[=:\n]")
 OUT, BEGIN, INSIDE = range(3)
 CHAIN, DOCS, LINES = 512, 4000, 400  # tokens a chain; documents and lines to learn from, at most
-LEAST = 8  # code points of a span that the field may add
 REACH = (-2, -1, 0, 1)  # neighbours whose shapes count
 
 
@@ -50,6 +51,24 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, KINDS[k]) for a, b, k in sorted(out, key=lambda x: (x[0], x[2]))]
 
 
+def values(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """(start, end) of the secrets themselves: for assignments, what is assigned."""
+    return [ASSIGN.match(text, a).span(2) if kind == "assign" else (a, b) for a, b, kind in spans]
+
+
+class Reach:
+    """How far spans go that start at or before a place."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts, self.ends = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+
+    def end(self, at: int) -> int:
+        """The largest end of the spans that start at ``at`` or before; none: -1."""
+        i = bisect_right(self.starts, at)
+        return self.ends[i - 1] if i else -1
+
+
 # ---------------------------------------------------------------- features
 _SHAPES = ("lower", "upper", "title", "digits", "letters_digits", "three_kinds", "hex", "base64", "dotted", "dashed", "at_sign", "slash",
            "non_ascii", "keyword", "has_keyword", "long_name", "prefix", "equals", "colon", "line_end", "edge")
@@ -222,12 +241,7 @@ def made_up(rng: np.random.Generator) -> tuple[list[str], list[int]]:
 
 def tagged_lines(text: str) -> list[tuple[list[str], list[int]]]:
     """Token strings and tags of each line, tags from the base rules."""
-    spans = []
-    for a, b, kind in base_spans(text):
-        if kind == "assign":
-            m = ASSIGN.match(text, a)
-            a, b = m.span(2)
-        spans.append((a, b))
+    spans = values(text, base_spans(text))
     out, words, tags, last = [], [], [], None
     for m in TOKEN.finditer(text):
         if m[0] == "\n":
@@ -370,22 +384,26 @@ class Scanner:
         return viterbi(emit, first, size, self.field), n
 
     def spans(self, texts: pa.Array) -> list[list[tuple[int, int, str]]]:
-        """All spans of each text: the base ones, and those the field adds beside them."""
+        """All spans of each text: the base ones, and those of the field that no base span
+        contains.  As in training, a token that a base value touches is secret as a whole."""
         out: list[list] = [[] for _ in range(len(texts))]
         maybe = pc.or_(pc.match_substring_regex(texts, _MAYBE), pc.or_(pc.match_substring(texts, "AKIA"), pc.match_substring_regex(texts, "[0-9a-f]{24}")))
         for i in np.flatnonzero(np.asarray(maybe)):
             out[i] = base_spans(texts[int(i)].as_py())
         tags, n = self.tags(texts)
         cut = starts(n)
-        hot = np.flatnonzero(np.diff(starts((tags > 0).astype(np.int64))[cut]))
-        for i in hot:
+        hot = np.diff(starts((tags > 0).astype(np.int64))[cut]) > 0
+        hot |= np.fromiter(map(bool, out), bool, len(out))
+        for i in np.flatnonzero(hot):
             base, got, text = out[i], [], texts[int(i)].as_py()
+            within, value = Reach([(a, b) for a, b, _ in base]), Reach(values(text, base))
             for m, tag in zip(TOKEN.finditer(text), tags[cut[i]:cut[i + 1]]):
-                if tag == BEGIN:
-                    got.append([m.start(), m.end()])
-                elif tag == INSIDE and got:
-                    got[-1][1] = m.end()
-            got = [(a, b, "crf") for a, b in got if b - a >= LEAST and not any(a < e and b > s for s, e, _ in base)]
+                a, b = m.span()
+                if tag == INSIDE and got:
+                    got[-1][1] = b
+                elif tag == BEGIN or m[0] not in "=:\n" and value.end(b - 1) > a:
+                    got.append([a, b])
+            got = [(a, b, "crf") for a, b in got if within.end(a) < b]
             rank = {k: j for j, k in enumerate((*KINDS, "crf"))}
             out[i] = sorted(base + got, key=lambda x: (x[0], rank[x[2]], x[1]))
         return out

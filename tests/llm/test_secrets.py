@@ -100,6 +100,26 @@ def test_finds_shapes_that_no_rule_has(field):
     assert found("a plain line of words, nothing else in here at all.") == []
 
 
+@pytest.mark.parametrize("value", ["abcdef!GHIJKL", "abcdefg!", "letmein!now", "abcdef@host#1"])
+def test_values_with_symbols_go_whole(field, value):
+    """The base rule ends before the symbol; base spans stay, the field's reach over them."""
+    for text in (f'password = "{value}"', f"a line with api_key={value} then"):
+        spans = S.Scanner(field).spans(pa.array([text]))[0]
+        assert [s for s in spans if s[2] != "crf"] == slow_base(text)
+        assert S.redacted(text, spans) in ('[secret]"', "a line with [secret] then")
+
+
+def test_hex_within_a_longer_token(field):
+    run = "0123456789abcdef01234567"
+    spans = S.Scanner(field).spans(pa.array([f"x Zq!{run}!Kw y"]))[0]
+    assert S.redacted(f"x Zq!{run}!Kw y", spans) == "x [secret] y" and (5, 29, "hex") in spans
+
+
+def test_reach():
+    r = S.Reach([(4, 6), (0, 9), (12, 13)])
+    assert [r.end(i) for i in (-1, 0, 5, 11, 12)] == [-1, 9, 9, 9, 13]
+
+
 def test_few_spans_in_ordinary_documents(field, docs):
     scan = S.Scanner(field)
     texts = [r[0] for r in docs.select("text").collect()]
