@@ -123,7 +123,9 @@ def file_features(equals: np.ndarray, colons: np.ndarray, lines: np.ndarray, tok
     return np.stack([equals / n > 0.02, colons / n > 0.02, n / (lines + 1) < 6, n < 50], axis=1).astype(np.float32)
 
 
-FILE = 4
+def file_counts(text: str) -> list[int]:
+    """Numbers of =, :, line ends and tokens of one whole text, as ``file_features`` takes them."""
+    return [text.count("="), text.count(":"), text.count("\n"), sum(1 for _ in TOKEN.finditer(text))]
 
 
 # ---------------------------------------------------------------- the field
@@ -257,8 +259,8 @@ def tagged_lines(text: str) -> list[tuple[list[str], list[int]]]:
 
 
 def _sampled(batches):
-    """A few lines of each sampled document, by kind: with secrets, with other strings of
-    digits, and the one of smallest hash."""
+    """A few lines of each sampled document, with the counts of the whole document, by kind:
+    with secrets, with other strings of digits, and the one of smallest hash."""
     for b in batches:
         rows = []
         for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
@@ -269,52 +271,55 @@ def _sampled(batches):
                 for words, tags in group:
                     at = next((i for i, w in enumerate(words) if (tags[i] if kind == 2 else kind and _ODD.search(w))), 0)
                     lo = max(0, at - 24)
-                    rows.append((doc, kind, words[lo:lo + 64], tags[lo:lo + 64]))
+                    rows.append((doc, kind, words[lo:lo + 64], tags[lo:lo + 64], file_counts(text)))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                                              pa.array([r[2] for r in rows], pa.list_(pa.string())), pa.array([r[3] for r in rows], pa.list_(pa.int32()))],
-                                             names=["doc_id", "kind", "words", "tags"])
+                                              pa.array([r[2] for r in rows], pa.list_(pa.string())), pa.array([r[3] for r in rows], pa.list_(pa.int32())),
+                                              pa.array([r[4] for r in rows], pa.list_(pa.int64()))], names=["doc_id", "kind", "words", "tags", "file"])
 
 
 def train(docs: DataFrame, documents: int = DOCS, most: int = LINES) -> Field:
     """The field, from lines of at most ``documents`` documents (smallest id hashes),
-    at most ``most`` of each kind, plus made-up secrets."""
+    at most ``most`` of each kind, plus made-up secrets, each in a line of its document
+    and in a text of that line only: few sampled documents are that short."""
     d = keyed_text(docs)
     ids = thin(d.select("doc_id").where("doc_id is not null"), "doc_id", documents).distinct() \
         .orderBy(key_hash("doc_id"), "doc_id").limit(documents)
     at = scratch_path(docs.sparkSession, "secret-lines")
-    schema = "doc_id long, kind int, words array<string>, tags array<int>"
+    schema = "doc_id long, kind int, words array<string>, tags array<int>, file array<long>"
     d.join(F.broadcast(ids), "doc_id").select("doc_id", "text").mapInArrow(_sampled, schema).write.parquet(at)
     got = []
     for kind in range(3):
         part = docs.sparkSession.read.schema(schema).parquet(at).where(F.col("kind") == kind)
-        got += [(list(r["words"]), list(r["tags"])) for r in part.orderBy(F.xxhash64("doc_id", "words"), "doc_id").limit(most).collect()]
+        got += [(list(r["words"]), list(r["tags"]), list(r["file"])) for r in part.orderBy(F.xxhash64("doc_id", "words"), "doc_id").limit(most).collect()]
     rng = np.random.default_rng(11)
-    plain = [w for w, t in got if not any(t)] or [["lorem", "ipsum", "dolor", "sit", "amet"]]
+    plain = [(w, f) for w, t, f in got if not any(t)] or [(["lorem", "ipsum", "dolor", "sit", "amet"], [0, 0, 0, 5])]
     for i in range(max(200, most)):
-        base = plain[i % len(plain)]
+        base, file = plain[i % len(plain)]
         k = int(rng.integers(len(base) + 1))
         words, tags = made_up(rng)
-        got.append((base[:k] + words + base[k:], [OUT] * k + tags + [OUT] * (len(base) - k)))
+        line, marks = base[:k] + words + base[k:], [OUT] * k + tags + [OUT] * (len(base) - k)
+        file = [n + m for n, m in zip(file, (words.count("="), words.count(":"), 0, len(words)))]
+        got += [(line, marks, file), (line, marks, [line.count("="), line.count(":"), 0, len(line)])]
     return fit(*design(got))
 
 
-def design(chains: list[tuple[list[str], list[int]]]):
-    """(token features with neighbours, file features, tags, first tokens, sizes) of training chains."""
-    size = np.array([len(w) for w, _ in chains], np.int64)
+def design(chains: list[tuple[list[str], list[int], list[int]]]):
+    """(token features with neighbours, file features, tags, first tokens, sizes) of training
+    chains: their tokens, tags and the ``file_counts`` of the documents they are from."""
+    size = np.array([len(w) for w, _, _ in chains], np.int64)
     first = starts(size)[:-1]
-    of = {w: shape(w) for ws, _ in chains for w in ws}
+    of = {w: shape(w) for ws, _, _ in chains for w in ws}
     x = np.zeros((int(size.sum()), len(REACH), WIDTH), np.float32)
-    for f, (ws, _) in zip(first, chains):
+    for f, (ws, _, _) in zip(first, chains):
         own = np.stack([of[w] for w in ws])
         for r, d in enumerate(REACH):
             x[f:f + len(ws), r] = EDGE
             lo, hi = max(0, -d), min(len(ws), len(ws) - d)
             if lo < hi:
                 x[f + lo:f + hi, r] = own[lo + d:hi + d]
-    eq, co = (np.array([sum(w == c for w in ws) for ws, _ in chains]) for c in "=:")
-    g = file_features(eq, co, np.zeros(len(chains)), size)
-    return x, np.repeat(g, size, axis=0), np.concatenate([np.array(t, np.int64) for _, t in chains]), first, size
+    g = file_features(*np.array([n for _, _, n in chains]).T)
+    return x, np.repeat(g, size, axis=0), np.concatenate([np.array(t, np.int64) for _, t, _ in chains]), first, size
 
 
 # ---------------------------------------------------------------- scanning

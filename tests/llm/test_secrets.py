@@ -120,6 +120,26 @@ def test_reach():
     assert [r.end(i) for i in (-1, 0, 5, 11, 12)] == [-1, 9, 9, 9, 13]
 
 
+def test_file_features_are_those_of_the_document():
+    """A line of a long document is learned from with the counts of all its tokens."""
+    long = "\n".join(f"line {i} of plain words" for i in range(900)) + '\ntoken = "0123456789abc9"'
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([long])], names=["doc_id", "text"])
+    rows = next(S._sampled([batch])).to_pylist()
+    total = len(S.TOKEN.findall(long))
+    assert {r["kind"] for r in rows} == {0, 2} and all(r["file"] == [1, 0, 900, total] for r in rows)
+    g = S.design([(r["words"], r["tags"], r["file"]) for r in rows])[1]
+    assert (g == S.file_features(*np.array([[1], [0], [900], [total]]))[0]).all() and not g[:, [0, 1, 3]].any()
+
+
+def test_finds_shapes_in_long_documents(field):
+    scan = S.Scanner(field)
+    around = " ".join(f"plain word number of many here{'.' if i % 9 == 0 else ''}" for i in range(900))
+    for line, secret in (("my pwd: hG7sk2LmQ9zX81bnVT and more", "hG7sk2LmQ9zX81bnVT"), ('auth = "Zm9vYmFyYmF6cXV4MTIzNDU2Nzg5MA"', "Zm9vYmFyYmF6cXV4MTIzNDU2Nzg5MA"),
+                         ("a bearer sk-AbCdEf0123456789abcdefXYZ", "sk-AbCdEf0123456789abcdefXYZ")):
+        text = f"{around}\n{line}\n{around}"
+        assert [text[a:b] for a, b, k in scan.spans(pa.array([text]))[0] if k == "crf"] == [secret]
+
+
 def test_few_spans_in_ordinary_documents(field, docs):
     scan = S.Scanner(field)
     texts = [r[0] for r in docs.select("text").collect()]
