@@ -6,7 +6,7 @@ token and its neighbours and from features of the file; Viterbi decodes the tags
 It learns from lines that the rules tag and from made-up secrets of other shapes
 set into sampled lines, and adds the spans that lie within no span of a rule.
 
-A chain is a line, cut after CHAIN tokens.  Token scores depend on the token's
+A chain is a whole line, of any length.  Token scores depend on the token's
 string and its neighbours' strings only, so they are computed once per string.
 """
 
@@ -39,7 +39,8 @@ _MAYBE = r"(?i)password|passwd|secret|token|api_?key"
 SEPARATORS = "\t\x0b\x0c\r \"',;()<>|"
 TOKEN = re.compile(f"[^{re.escape(SEPARATORS)}=:\n]+|[=:\n]")
 OUT, BEGIN, INSIDE = range(3)
-CHAIN, DOCS, LINES = 512, 4000, 400  # tokens a chain; documents and lines to learn from, at most
+DOCS, LINES = 4000, 400  # documents and lines to learn from, at most
+FEW = 6  # chains left over that advance faster one by one
 REACH = (-2, -1, 0, 1)  # neighbours whose shapes count
 
 
@@ -151,26 +152,58 @@ def lanes(first: np.ndarray, size: np.ndarray):
 
 
 def viterbi(emit: np.ndarray, first: np.ndarray, size: np.ndarray, field: Field) -> np.ndarray:
-    """Best tag of every token; chains (first token, number of tokens) advance together."""
+    """Best tag of every token; chains (first token, number of tokens) advance together,
+    the last FEW of them one by one."""
     tags = np.zeros(len(emit), np.uint8)
     first, size, live = lanes(first, size)
     if not len(size):
         return tags
     back = np.zeros((len(emit), 3), np.uint8)
     score = emit[first] + field.first
-    for t in range(1, len(live)):
+    together = max(1, int(np.searchsorted(-live, -FEW, side="left")))
+    for t in range(1, together):
         k = live[t]
         a, b, c = (score[:k, i, None] + field.move[i] for i in range(3))
         ab, which = np.maximum(a, b), (b > a).astype(np.uint8)
         back[first[:k] + t] = np.where(c > ab, np.uint8(2), which)
         score[:k] = np.maximum(ab, c) + emit[first[:k] + t]
     tags[first + size - 1] = score.argmax(axis=1)
-    for t in range(len(live) - 1, 0, -1):
+    for i in range(live[together] if together < len(live) else 0):
+        alone(emit, back, tags, first[i] + together, first[i] + size[i], score[i], field.move)
+    for t in range(together - 1, 0, -1):
         at = first[:live[t]] + t
         tags[at - 1] = back[at, tags[at]]
     return tags
 
 
+def alone(emit: np.ndarray, back: np.ndarray, tags: np.ndarray, lo: int, hi: int, score: np.ndarray, move: np.ndarray) -> None:
+    """``viterbi`` of one chain's tokens lo to hi, from the scores of the token before,
+    whose tag is set too; in plain numbers, block by block."""
+    now, into = score.tolist(), move.T.tolist()
+    for at in range(lo, hi, 4096):
+        part = bytearray()
+        for own in emit[at:min(hi, at + 4096)].tolist():
+            a, b, c = now
+            for j, (x, y, z) in enumerate(into):
+                best, which, z = a + x, 0, c + z
+                if b + y > best:
+                    best, which = b + y, 1
+                if z > best:
+                    best, which = z, 2
+                part.append(which)
+                now[j] = best + own[j]
+        back[at:at + len(part) // 3] = np.frombuffer(bytes(part), np.uint8).reshape(-1, 3)
+    tag = now.index(max(now))
+    for end in range(hi, lo, -4096):
+        begin = max(lo, end - 4096)
+        got, part = bytearray(end - begin), back[begin:end].tobytes()
+        for t in range(end - begin - 1, -1, -1):
+            got[t] = tag
+            tag = part[3 * t + tag]
+        tags[begin:end] = np.frombuffer(bytes(got), np.uint8)
+    tags[lo - 1] = tag
+
+
 def marginals(emit: np.ndarray, first: np.ndarray, size: np.ndarray, field: Field):
     """(tag probabilities of each token, expected moves, expected first tags, log of the normaliser)."""
     first, size, live = lanes(first, size)
@@ -381,12 +414,7 @@ class Scanner:
             got[same] = table[code[same + d], r]
             emit += got
         first = np.flatnonzero(begins)
-        size = np.diff(np.append(first, len(code)))
-        more = -(-size // CHAIN)
-        at = np.arange(int(more.sum())) - np.repeat(starts(more)[:-1], more)
-        first = np.repeat(first, more) + at * CHAIN
-        size = np.minimum(np.repeat(size, more) - at * CHAIN, CHAIN)
-        return viterbi(emit, first, size, self.field), n
+        return viterbi(emit, first, np.diff(np.append(first, len(code))), self.field), n
 
     def spans(self, texts: pa.Array) -> list[list[tuple[int, int, str]]]:
         """All spans of each text: the base ones, and those of the field that no base span

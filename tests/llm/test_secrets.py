@@ -62,6 +62,38 @@ def test_viterbi_and_marginals_against_all_paths():
         assert np.allclose(p, each) and abs(total - z) < 1e-9
 
 
+@pytest.mark.parametrize("few", [0, 3, 1000])
+def test_viterbi_one_by_one_as_together(monkeypatch, few):
+    rng = np.random.default_rng(few)
+    f = S.Field(None, None, rng.normal(size=(3, 3)), rng.normal(size=3))
+    size = np.append(rng.integers(1, 30, 20), [9000, 4097, 700, 31])
+    first = np.append(0, np.cumsum(size))[:-1]
+    emit = rng.normal(size=(size.sum(), 3))
+    monkeypatch.setattr(S, "FEW", few)
+    tags = S.viterbi(emit, first, size, f)
+    for a, n in zip(first, size):
+        score, back = emit[a] + f.first, []
+        for i in range(1, n):
+            each = score[:, None] + f.move
+            back.append(each.argmax(axis=0))
+            score = each.max(axis=0) + emit[a + i]
+        want = [int(score.argmax())]
+        for b in reversed(back):
+            want.append(int(b[want[-1]]))
+        assert tags[a:a + n].tolist() == want[::-1]
+
+
+@pytest.mark.parametrize("at", [*range(500, 516), 1023, 5000])
+def test_secret_at_any_place_of_a_line(at):
+    """A secret of several tokens keeps all of them, wherever in its line it stands."""
+    field = S.Field(np.zeros((len(S.REACH), S.WIDTH, 3)), np.zeros((4, 3)), np.zeros((3, 3)), np.zeros(3))
+    field.move[S.OUT, S.INSIDE] = field.first[S.INSIDE] = S.FORBID
+    field.own[S.REACH.index(0), S._SHAPES.index("letters_digits")] = -9, 0, 9  # inside, wherever a begin came before
+    field.own[S.REACH.index(0), S._SHAPES.index("lower")] = 9, 0, 0
+    text = "word " * at + "a1b2c3d4 e5f6g7h8 i9j0k1l2" + " word" * 600
+    assert S.Scanner(field).spans(pa.array([text]))[0] == [(5 * at, 5 * at + 26, "crf")]
+
+
 def test_tokens_as_the_pattern(field, docs):
     scan = S.Scanner(field)
     texts = ["", " ", "\n", "a= b:c\n\nd", '"', "x\x0by", "=", " = ", "é ü"] + [r[0] for r in docs.select("text").limit(50).collect()]
