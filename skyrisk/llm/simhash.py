@@ -43,11 +43,18 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): one row per document row; null and blank texts have fingerprint 0."""
+    return _fingerprinted(keyed_text(docs), shingle)
+
+
+def _fingerprinted(keyed: DataFrame, shingle: int) -> DataFrame:
+    """The rows of ``keyed`` with ``fp`` in place of ``text``."""
+    names = [c for c in keyed.columns if c != "text"]
+
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
-    return keyed_text(docs).mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(fp.view(np.int64))], names=[*names, "fp"])
+    return keyed.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in keyed.dtypes if c != "text") + ", fp long")
 
 
 def masks(free: int, bits: int = 3) -> list[int]:
@@ -205,18 +212,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFra
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the document
-    with the smallest id stays.  Rows without id stay; a repeated id stays once."""
-    names = docs.columns
-    found = near_duplicates(docs, shingle, bits).where("doc_id is not null")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    again = not found.groupBy("doc_id").count().where("count > 1").isEmpty()
+    """The rows of ``docs`` without near-duplicates: one row of each component stays, that
+    of the smallest id (rows without id last), then of the smallest text hash.
+
+    A row is known by its id and text, so one id may stand on several texts.  Rows
+    without id and words are like each other only, not like blank ones that have an id.
+    """
+    spark, names = docs.sparkSession, docs.columns
+    at = scratch_path(spark, "fingerprints")
+    keyed = keyed_text(docs).withColumn("hash", F.md5("text"))
+    _fingerprinted(keyed, shingle).write.parquet(at)
+    schema = "doc_id long, hash string, fp long"
+    fps = spark.read.schema(schema).parquet(at).withColumn("bare", F.expr("doc_id is null and fp = 0"))
+    distinct = scratch_path(spark, "distinct")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash")
+    fps.groupBy("fp", "bare").agg(F.min(order).alias("low")).write.parquet(distinct)
+    reps = spark.read.schema("fp long, bare boolean, low struct<last:boolean,doc_id:long,hash:string>").parquet(distinct)
+    root = components(links(reps.where("not bare"), bits))
+    linked = reps.join(root.select(F.col("u").alias("fp"), "root"), "fp", "left") \
+        .select("fp", "bare", "low", F.coalesce("root", "fp").alias("root"))
+    stays = linked.groupBy("root", "bare").agg(F.min("low").alias("stays"))
+    stays = linked.join(stays, ["root", "bare"]).select("fp", "bare", "stays")
+    gone = fps.join(stays, ["fp", "bare"]).where("not (doc_id <=> stays.doc_id and hash = stays.hash)") \
+        .select(F.col("doc_id").alias("gone_id"), F.col("hash").alias("gone_hash")).distinct()
+    again = not fps.groupBy("doc_id", "hash").count().where("count > 1").isEmpty()
     flat = docs.toDF(*[f"_{i}" for i in range(len(names))])
-    key = f"_{names.index('doc_id')}"
-    kept = flat.join(gone, flat[key] == gone["doc_id"], "left_anti")
+    key, text = f"_{names.index('doc_id')}", f"_{names.index('text')}"
+    flat = flat.withColumns({"row_id": F.col(key).cast("long"), "row_hash": F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))})
+    kept = flat.join(gone, flat["row_id"].eqNullSafe(gone["gone_id"]) & (flat["row_hash"] == gone["gone_hash"]), "left_anti")
     if again:
-        kept = kept.where(f"{key} is null").unionByName(kept.where(f"{key} is not null").dropDuplicates([key]))
-    return kept.toDF(*names)
+        kept = kept.dropDuplicates(["row_id", "row_hash"])
+    return kept.drop("row_id", "row_hash").toDF(*names)
 
 
 def marked(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:

@@ -109,6 +109,17 @@ def test_one_of_each_group_stays(spark, odd_docs):
     assert sorted(i for i in ids if i is not None) == [1, 4, 7, 8, 9] and ids.count(None) == 2
 
 
+def test_rows_are_told_apart_by_id_and_text(spark):
+    """One id on several texts, copies without id: of each component one row stays."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    df = odd(spark, [(1, a), (2, a), (2, b), (3, b), (4, c), (4, a), (None, c), (None, "no id, but a copy"), (None, "no id, but a copy"),
+                     (None, " "), (None, None), (5, "")])
+    stay = sorted((str(r[0]), r[1] or "") for r in S.keep_one(df).collect() if (r[1] or "").strip())
+    assert stay == sorted([("1", a), ("2", b), ("4", c), ("None", "no id, but a copy")])
+    blank = [r[0] for r in S.keep_one(df).collect() if not (r[1] or "").strip()]
+    assert len(blank) == 2 and 5 in blank and None in blank
+
+
 def test_hot_group_of_copies(spark):
     df = odd(spark, [(i, "one text that a third of all rows share, word for word") for i in range(400)] + [(1000 + i, f"other text number {i} of many, all of them apart") for i in range(50)])
     compare(df)
