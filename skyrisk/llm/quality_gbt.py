@@ -85,22 +85,23 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH) ->
 
 def _labelled(batches):
     for b in batches:
-        got = [statistics(t)[1] for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([g.tolist() for g in got], pa.list_(pa.float32())), b.column("label")],
-                                         names=["doc_id", "x", "label"])
+        got = [statistics(t) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x.tolist() for _, x in got], pa.list_(pa.float32())), b.column("label"),
+                                          pa.array([base[0] for base, _ in got], pa.int64())], names=["doc_id", "x", "label", "n_words"])
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, limit: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """(statistics, labels) of at most ``limit`` labelled training rows, on the driver
+def sample(docs: DataFrame, labels: DataFrame, label: str, limit: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(statistics, labels, numbers of words) of at most ``limit`` labelled training rows, on the driver
     in an order that does not depend on the partitions."""
     rows = labelled_texts(docs, labels, label, limit).select("doc_id", "text", "label") \
-        .mapInArrow(_labelled, "doc_id long, x array<float>, label int").collect()
-    rows = sorted((r["doc_id"], r["x"], r["label"]) for r in rows)
-    return (np.array([r[1] for r in rows], np.float32).reshape(-1, len(NAMES)), np.array([min(1, max(0, r[2])) for r in rows], np.float64))
+        .mapInArrow(_labelled, "doc_id long, x array<float>, label int, n_words long").collect()
+    rows = sorted((r["doc_id"], r["x"], r["label"], r["n_words"]) for r in rows)
+    return (np.array([r[1] for r in rows], np.float32).reshape(-1, len(NAMES)), np.array([min(1, max(0, r[2])) for r in rows], np.float64),
+            np.array([r[3] for r in rows], np.int64))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = SAMPLE) -> Forest:
-    return fit(*sample(docs, labels, label, limit))
+    return fit(*sample(docs, labels, label, limit)[:2])
 
 
 def _scores(texts: list[str], forest: Forest) -> np.ndarray:
