@@ -160,48 +160,22 @@ def scan_event_log(spark: SparkSession, path: str) -> DataFrame:
     """Spark event logs as ``(log, Event, line)`` rows.
 
     ``log`` names one application's log: its rolled ``eventlog_v2_*`` folder, or
-    its file.  Plain files and those that Hadoop's codecs know are read as
-    text; ``.zstd`` files (Spark's own name for them) are unpacked as a stream
-    by the tasks.  On the driver: the paths, one per file of a log.
+    its file.  Plain files and those that Spark's codecs know, ``.zstd`` (Spark's own
+    name for them) and ``.zst`` included, are read as text, unpacked as a stream by
+    the tasks.  On the driver: the paths, one per file of a log.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     paths = [r["path"] for r in files.select("path").collect()]
-    packed = [p for p in paths if p.endswith((".zstd", ".zst"))]
-    plain = [p for p in paths if p not in set(packed)]
-    parts = []
-    if plain:
-        parts.append(spark.read.text(plain).select(F.input_file_name().alias("file"), "value"))
-    if packed:
-        raw = spark.read.format("binaryFile").load(packed).select("path", "content")
-        parts.append(raw.mapInArrow(_zstd_lines, "file string, value string"))
-    if not parts:
-        parts.append(spark.createDataFrame([], "file string, value string"))
-    lines = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if paths:
+        lines = spark.read.text(paths).select(F.input_file_name().alias("file"), "value")
+    else:
+        lines = spark.createDataFrame([], "file string, value string")
     log = F.coalesce(F.regexp_extract("file", "^(.*/eventlog_v2_[^/]+)/[^/]*$", 1), F.lit(""))
     return lines.select(F.when(log != "", log).otherwise(F.col("file")).alias("log"),
                         F.get_json_object("value", "$.Event").alias("Event"),
                         F.col("value").alias("line"))
 
 
-def _zstd_lines(batches):
-    """(file, line) rows of zstd-packed files, 10,000 lines at a time."""
-    import io
-
-    import pyarrow as pa
-    import zstandard
-    for b in batches:
-        for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-            stream = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content), read_across_frames=True)
-            held: list[str] = []
-            for line in io.TextIOWrapper(stream, encoding="utf-8"):
-                held.append(line.rstrip("\n"))
-                if len(held) == 10_000:
-                    yield pa.RecordBatch.from_pydict({"file": [path] * len(held), "value": held})
-                    held = []
-            if held:
-                yield pa.RecordBatch.from_pydict({"file": [path] * len(held), "value": held})
-
-
 def unread_files(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
     """Files under ``path`` that gave ``df`` (a scan of it) no row: the corrupt ones
     that ``skip_corrupt`` left out, and empty ones."""

@@ -76,3 +76,18 @@ def test_skipped_files_are_named(spark, tmp_path):
     df = scan_parquet(spark, path, StructType([StructField("id", LongType())]), skip_corrupt=True)
     assert df.count() == 5
     assert [r.path.rsplit("/", 1)[1] for r in unread_files(spark, path, df).collect()] == ["bad.parquet"]
+
+
+def test_packed_event_logs_are_streamed(spark, tmp_path):
+    """Logs of several zstd frames, under both names, are read line by line: no file becomes one value."""
+    import zstandard
+    lines = [json.dumps({"Event": f"e{i}"}) + "\n" for i in range(5000)]
+    packed = b"".join(zstandard.compress("".join(lines[i:i + 700]).encode()) for i in range(0, 5000, 700))
+    (tmp_path / "app-1.zstd").write_bytes(packed)
+    (tmp_path / "app-2.zst").write_bytes(packed)
+    (tmp_path / "app-3").write_text("".join(lines))
+    log = src.scan_event_log(spark, str(tmp_path))
+    assert sorted(r["count"] for r in log.groupBy("log").count().collect()) == [5000] * 3
+    assert log.select("line").distinct().count() == 5000 and log.where("Event = 'e4999'").count() == 3
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "MapInArrow" not in plan
