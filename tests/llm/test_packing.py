@@ -6,6 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from skyrisk.llm import packing as P
+from tests.llm.conftest import odd
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -44,7 +45,6 @@ def test_windows_rise_with_capacity():
 
 def check(df):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     want = {}
     for r in df.collect():
         ids = np.array(tok.encode(r[1] or "", add_special_tokens=False).ids + [1], "<u4")
@@ -79,6 +79,7 @@ def test_documents(docs):
     assert 1 - sum(used) / (P.CAPACITY * len(used)) < 0.03
 
 
-def test_odd_rows(odd_docs, empty_docs):
+def test_odd_rows(spark, odd_docs, empty_docs):
     check(odd_docs)
+    check(odd(spark, [(1, "a <|endoftext|> b"), (2, "<|startoftext|>Word,"), (3, "<|ENDOFTEXT|> H\u0331")]))
     assert P.packed(empty_docs, PATH).count() == 0

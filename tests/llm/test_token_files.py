@@ -15,7 +15,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def plain_ids(text):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     return tok.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -119,9 +118,10 @@ def test_cached_encoder_as_the_library(name, word_ends, docs):
     rng = random.Random(3)
     letters = "ab' 's're'llÀé\n\t  1²中’ 　.!'ßÿǅİΣσς×÷ªº😀\x1c\x85\x01\x02|\"é"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += ["x" + a + m + "y " + a + m for a in "HJTWYAK" for m in "\u0331\u030c\u0308\u030a\u02be\u0301"]
+    texts += ["a <|endoftext|> b", "<|startoftext|>", "Word.<|endoftext|>. <|ENDOFTEXT|> don't", 'the "Word", <|']
     texts += [" À", "\nword", "<|endoftext|> x", "Ünïcode ÀÉ straße", "", "\n", " "] + [r["text"] for r in docs.limit(60).collect()]
     tok = Tokenizer.from_file(public_tokenizers.path(name))
-    tok.encode_special_tokens = True
     enc = CachedEncoder(public_tokenizers.path(name), word_ends, cache=1000)
     for lo in range(0, len(texts), 200):
         part = texts[lo:lo + 200]
