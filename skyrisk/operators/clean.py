@@ -10,7 +10,7 @@ from skyrisk.schemas import EVENT_COLUMNS, FEATURE_COLUMNS, REQUIRED_COLUMNS
 
 
 def _keyed(df: DataFrame, cols: list[str]) -> list[str]:
-    return (["event_id"] if "event_id" in df.columns else []) + cols
+    return [c for c in ("event_id", *cols, "source_file") if c in cols or c in df.columns]
 
 
 def drop_incomplete(df: DataFrame, subset: list[str]) -> DataFrame:

@@ -13,14 +13,15 @@ from skyrisk.schemas import EVENT_SCHEMA
 def parse_events(records: DataFrame, schema: StructType = EVENT_SCHEMA,
                  value_col: str = "value", key_col: str | None = "key",
                  key_name: str = "event_id",
-                 time_format: str = EVENT_TIME_FORMAT) -> DataFrame:
+                 time_format: str = EVENT_TIME_FORMAT,
+                 keep: list[str] | None = None) -> DataFrame:
     """``from_json`` with a fixed schema, fields expanded, time parsed.
 
     Broken or non-object JSON gives a row of nulls; a wrongly typed field
     gives null for that field only.  If ``key_col`` is given the record key
-    is kept as ``key_name`` (a long).
+    is kept as ``key_name`` (a long); ``keep`` names further input columns.
     """
-    cols = []
+    cols = list(keep or [])
     if key_col:
         cols.append(F.expr(f"try_cast({key_col} AS BIGINT)").alias(key_name))
     # inline(array(struct)) is a generator: Catalyst cannot push the null

@@ -7,19 +7,23 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from skyrisk.functions.rules import prediction_text, risk_label, risk_level
+from skyrisk.functions.timeparse import parse_event_time
 from skyrisk.operators import ml, observations as O, runstats
 from skyrisk.operators.clean import clean_features
 from skyrisk.operators.ordinal import with_ordinal
+from skyrisk.operators.parse import parse_events
 from skyrisk.operators.serving import split_by_key
 from skyrisk.plans.catalog import processed, query, weather
 from skyrisk.plans.catalog_stream import TIMEOUT_S, file_topic, files_per_slice, sliced_topic
 from skyrisk.plans.present import present
 from skyrisk.schemas import EVENT_COLUMNS, EXECUTOR_SCHEMA, FEATURE_COLUMNS, JOB_SCHEMA, STAGE_SCHEMA
 from skyrisk.session import scratch_path
+from skyrisk.sinks.producer import ledger_of, send_events
 from skyrisk.sources import files as src
 from skyrisk.sources import fixture as fx
+from skyrisk.sources.topic import Topic, read_topic_batch
 from skyrisk.streaming import jobs
-from skyrisk.streaming.progress import ProgressCollector, throughput
+from skyrisk.streaming.progress import ProgressCollector, progress_frame, throughput, throughput_wall
 
 
 # ---------------------------------------------------------------- A6, B9-B13
@@ -116,9 +120,9 @@ def q_run_executor_stats(spark, sf_dir):
     return runstats.executor_report(_runs(spark, sf_dir, "executors"))
 
 
-def _logs(spark, sf_dir, stages):
+def _logs(spark, sf_dir, kind):
     path = scratch_path(spark, "event-logs")
-    fx.write_event_logs(fx.load_table(spark, sf_dir, "events"), path, stages)
+    fx.write_event_logs(fx.load_table(spark, sf_dir, "events"), path, kind)
     return src.scan_event_log(spark, path)
 
 
@@ -129,17 +133,33 @@ def _app():
 @query("event_log_jobs")
 def q_event_log_jobs(spark, sf_dir):
     """Jobs of two applications' event logs; ids count within their log."""
-    return runstats.jobs_from_event_log(_logs(spark, sf_dir, False)) \
+    return runstats.jobs_from_event_log(_logs(spark, sf_dir, "jobs")) \
         .select(_app(), "jobId", "submissionTime", "completionTime")
 
 
 @query("event_log_stages")
 def q_event_log_stages(spark, sf_dir):
     """Stages of two applications' event logs."""
-    return runstats.stages_from_event_log(_logs(spark, sf_dir, True)) \
+    return runstats.stages_from_event_log(_logs(spark, sf_dir, "stages")) \
         .select(_app(), "stageId", "shuffleReadBytes", "shuffleWriteBytes", "jvmGcTime")
 
 
+@query("event_log_executors")
+def q_event_log_executors(spark, sf_dir):
+    """A7+C12: per application and executor cores, memory, tasks that succeeded, failed or
+    were killed, run and GC seconds, and whether it was lost."""
+    found = runstats.executors_from_event_log(_logs(spark, sf_dir, "executors"))
+    report = runstats.executor_report(found, carry=["log", "failedTasks", "killedTasks", "addedMs", "removedMs"])
+    return report.select(_app(), *[c for c in report.columns if c != "log"])
+
+
+@query("event_log_attempts")
+def q_event_log_attempts(spark, sf_dir):
+    """Tasks per application, stage and attempt of it, counted by how they ended."""
+    found = runstats.attempts_from_event_log(_logs(spark, sf_dir, "executors"))
+    return found.select(_app(), *[c for c in found.columns if c != "log"])
+
+
 # ---------------------------------------------------------------- G1-G5, A8, K3, K11, F7
 def training_rows(spark, sf_dir):
     df = clean_features(processed(spark, sf_dir))
@@ -265,13 +285,13 @@ def _progress(spark, sf_dir):
     finally:
         spark.streams.removeListener(collector)
     name = F.create_map(*[F.lit(x) for pair in runs.items() for x in pair])
-    return frame.where(F.col("runId").isin(list(runs))).withColumn("name", name[F.col("runId")]).drop("runId")
+    return frame.where(F.col("runId").isin(list(runs))).withColumn("name", name[F.col("runId")])
 
 
 @query("progress_table")
 def q_progress_table(spark, sf_dir):
     """per-batch progress (rates, durations, backlog, watermark)."""
-    return present(_progress(spark, sf_dir))
+    return present(_progress(spark, sf_dir).drop("runId"))
 
 
 @query("progress_counts")
@@ -284,10 +304,35 @@ def q_progress_counts(spark, sf_dir):
 @query("throughput")
 def q_throughput(spark, sf_dir):
     """Rows, busy seconds and rows/s per query."""
-    return throughput(_progress(spark, sf_dir))
+    return throughput(_progress(spark, sf_dir)).drop("runId")
 
 
 @query("throughput_counts")
 def q_throughput_counts(spark, sf_dir):
     """Rows and batches per query."""
     return throughput(_progress(spark, sf_dir).where("numInputRows > 0")).select("name", "sent", "batches")
+
+
+@query("throughput_wall")
+def q_throughput_wall(spark, sf_dir):
+    """C13 by the clock: wall and busy seconds of runs whose batches overlap, from
+    progress lines derived from ``events``."""
+    path = scratch_path(spark, "progress-lines")
+    fx.progress_lines(fx.load_table(spark, sf_dir, "events")).write.text(path)
+    return present(throughput_wall(progress_frame(spark.read.schema("value string").text(path))), ["rate_ev_s"])
+
+
+# ---------------------------------------------------------------- B11, K6 over runs
+@query("ordinal_over_runs")
+def q_ordinal_over_runs(spark, sf_dir):
+    """B11+K6: two producer runs on one topic, the second started again after it ended:
+    keys go on over the runs and the anomaly rules go by them."""
+    docs = fx.hourly_documents(weather(spark, sf_dir)).withColumn("block", F.split("doc_id", "-")[1].cast("int"))
+    topic = Topic(path=scratch_path(spark, "topic-runs"))
+    stored = [scratch_path(spark, "run-docs") for _ in range(2)]
+    for k in range(2):
+        docs.where(F.col("block") % 2 == k).drop("block").write.json(stored[k])
+    for k, run in ((0, "first"), (1, "second"), (1, "second")):
+        events = O.build_event(O.explode_hourly(src.scan_hourly_documents(spark, stored[k])))
+        send_events(events.withColumn("at", parse_event_time("timestamp")), topic, run, "at", ["doc_id", "pos"], ledger_of(topic), demo=True)
+    return present(parse_events(read_topic_batch(spark, topic)))

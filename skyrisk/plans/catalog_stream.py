@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 from skyrisk.operators.clean import clean_required
 from skyrisk.operators.parse import parse_events
 from skyrisk.operators.windows import window_statistics
-from skyrisk.plans.catalog import WINDOW_ROUND, query, weather
+from skyrisk.operators.serving import newest, tail_ascending
+from skyrisk.plans.catalog import WINDOW_ROUND, aggregates, processed, query, weather
 from skyrisk.plans.present import present
 from skyrisk.schemas import AGGREGATE_SCHEMA, EVENT_COLUMNS, PROCESSED_SCHEMA
 from skyrisk.session import scratch_path
 from skyrisk.sinks.topic import to_records, write_topic
 from skyrisk.sources import fixture as fx
 from skyrisk.sources.topic import Topic, read_topic_batch, read_topic_stream
+from skyrisk.sources.zones import scan_newest, start_zones
 from skyrisk.streaming import jobs
+from skyrisk.streaming.backlog import events_behind, landed_events
 from skyrisk.streaming.bi import pushed_rows, start_bi_push
 
 TIMEOUT_S = 600
@@ -103,13 +106,31 @@ def q_src_topic_stream(spark, sf_dir):
     top-level keys of the whole value (null when the value is not a JSON
     object) and its last character."""
     topic = file_topic(spark, sf_dir, "topic-src")
-    s = read_topic_stream(spark, topic).select(
+    out = scratch_path(spark, "topic-src-out")
+    _land(spark, read_topic_stream(spark, topic, "earliest"), out)
+    return spark.read.parquet(out)
+
+
+def _land(spark, records, out):
+    s = records.select(
         F.col("key").cast("long").alias("event_id"),
         F.array_size(F.json_object_keys("value")).alias("n_keys"),
         F.substring("value", -1, 1).alias("last_char"))
-    out = scratch_path(spark, "topic-src-out")
     q = jobs.parquet_sink(s, out, out + "-ckpt")
     jobs.await_all(spark, [q], TIMEOUT_S)
+
+
+@query("src_topic_latest")
+def q_src_topic_latest(spark, sf_dir):
+    """A1 from "latest": the first third of the topic is there before the stream is
+    first started and does not count; the second comes while it is stopped, the third
+    after another start, and both do."""
+    w = time_slices(spark, sf_dir)
+    topic = Topic(fmt="files", path=scratch_path(spark, "topic-latest"))
+    out = scratch_path(spark, "topic-latest-out")
+    for k in range(3):
+        write_slice(fx.topic_records(w.where(F.col("slice") == k)), topic)
+        _land(spark, read_topic_stream(spark, topic, "latest", start=out + "-start"), out)
     return spark.read.parquet(out)
 
 
@@ -202,12 +223,64 @@ def q_stream_late_drop(spark, sf_dir):
     return _read_aggregates(spark, agg)
 
 
+# ---------------------------------------------------------------- F9, D1, D2
+@query("topic_backlog")
+def q_topic_backlog(spark, sf_dir):
+    """events of the topic, per city, that a stopped stream has not landed: those of
+    the last third, and none of a file that holds bad records only."""
+    w = time_slices(spark, sf_dir)
+    topic = Topic(fmt="files", path=scratch_path(spark, "topic-backlog"))
+    proc = scratch_path(spark, "processed")
+    for k in range(2):
+        write_slice(fx.topic_records(w.where(F.col("slice") == k)), topic)
+    bad = w.where(F.col("event_id") % fx.BROKEN_JSON_EVERY == 0)
+    write_topic(fx.topic_records(bad).coalesce(1), topic)
+    qs = jobs.start_processing(spark, topic, proc, scratch_path(spark, "aggregates"), scratch_path(spark, "ckpt"), starting_offsets="earliest",
+                               state_partitions=_state_parts(spark), lineage=True)
+    jobs.await_all(spark, qs, TIMEOUT_S)
+    write_slice(fx.topic_records(w.where(F.col("slice") == 2)), topic)
+    behind = events_behind(spark, topic, landed_events(spark, proc))
+    return present(behind.groupBy("city").agg(F.count(F.lit(1)).alias("events_behind"), F.min("timestamp").alias("oldest"),
+                                              F.max("timestamp").alias("newest")))
+
+
+def zoned_table(spark, sf_dir, df, time_col, name):
+    """``df`` landed by three jobs in time order, unpartitioned, and the zone map of the
+    first two jobs' files."""
+    of = slicer(spark, sf_dir)
+    path, zones, landed = (scratch_path(spark, name + end) for end in ("", "-zones", "-all"))
+    df.withColumn("slice", of(F.col(time_col))).write.parquet(landed)
+    tagged = spark.read.parquet(landed)
+    for k in range(3):
+        tagged.where(F.col("slice") == k).drop("slice").repartition(files_per_slice(spark)).write.mode("append").parquet(path)
+        if k < 2:
+            jobs.await_all(spark, [start_zones(spark, path, time_col, zones, zones + "-ckpt")], TIMEOUT_S)
+    return path, zones
+
+
+@query("latest_windows_zoned")
+def q_latest_windows_zoned(spark, sf_dir):
+    """D1 over an unpartitioned folder: the zone map picks the files that can hold the
+    newest ten windows; files it does not know yet are read too."""
+    path, zones = zoned_table(spark, sf_dir, aggregates(spark, sf_dir), "window_start", "agg-zoned")
+    rows = scan_newest(spark, path, zones, AGGREGATE_SCHEMA, 10)
+    return present(newest(rows, 10, "window_start", ["city"]), WINDOW_ROUND)
+
+
+@query("timeseries_tail_zoned")
+def q_timeseries_tail_zoned(spark, sf_dir):
+    """D2 over an unpartitioned folder through its zone map."""
+    path, zones = zoned_table(spark, sf_dir, processed(spark, sf_dir), "timestamp", "events-zoned")
+    rows = scan_newest(spark, path, zones, PROCESSED_SCHEMA, 500)
+    return present(tail_ascending(rows.select("event_id", "timestamp", "temperature", "humidity", "precipitation", "wind_speed"),
+                                  500, "timestamp", ["event_id"]))
+
+
 # ---------------------------------------------------------------- F8
 @query("bi_changed_rows")
 def q_bi_changed_rows(spark, sf_dir):
     """F8: window rows arrive in three batches; per batch, the newest
     window of each city is pushed if it is newer than the last push."""
-    from skyrisk.plans.catalog import aggregates
     agg = present(aggregates(spark, sf_dir), WINDOW_ROUND)
     of = slicer(spark, sf_dir)
     folder = scratch_path(spark, "agg-slices")

@@ -249,6 +249,12 @@ ORACLE.update({
        END AS n_keys,
        '}' AS last_char
 FROM weather""",
+    "src_topic_latest": with_(WEATHER, BOUNDS) + f"""SELECT w.event_id,
+       CASE WHEN w.event_id % 97 = 0 THEN NULL
+            ELSE 10 - CAST(w.humidity IS NULL AS INTEGER) - CAST(w.wind_gusts IS NULL AS INTEGER)
+       END AS n_keys,
+       '}}' AS last_char
+FROM weather w JOIN events e ON e.event_id = w.event_id, bounds WHERE {_slice('e.ts', 3)} > 0""",
     "sink_topic_json": with_(WEATHER) + """SELECT event_id, city,
        strptime(timestamp, '%Y-%m-%dT%H:%M') AS timestamp, temperature, humidity,
        precipitation, wind_speed, wind_gusts, surface_pressure, apparent_temperature,
@@ -490,3 +496,51 @@ FROM q, s""",
     "throughput_counts": SLICES + """SELECT name, CAST(sum(n) AS BIGINT) AS sent, count(*) AS batches
 FROM q, s GROUP BY name""",
 })
+
+# ---------------------------------------------------------------- runs over time
+BEHIND = with_(WEATHER, PARSED, CLEAN6, BOUNDS) + f"""SELECT city, count(*) AS events_behind, min(timestamp) AS oldest, max(timestamp) AS newest
+FROM processed p JOIN events e USING (event_id), bounds WHERE {_slice('e.ts', 3)} = 2 GROUP BY city"""
+
+WALL = """WITH b AS (
+  SELECT 'run-' || CAST(user_id % 5 AS VARCHAR) AS runId, CASE WHEN event_id % 2 = 0 THEN 'processed' ELSE 'aggregates' END AS name,
+         user_id AS sent, epoch_us(ts) // 1000 AS f, epoch_us(ts) // 1000 + event_id * 7919 % 9000000 AS t, event_id AS id FROM events
+), m AS (
+  SELECT *, max(t) OVER (PARTITION BY runId, name ORDER BY f, t, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM b
+), i AS (
+  SELECT *, sum(CASE WHEN far IS NULL OR f > far THEN 1 ELSE 0 END) OVER (PARTITION BY runId, name ORDER BY f, t, id) AS island FROM m
+), u AS (
+  SELECT runId, name, island, sum(sent) AS sent, count(*) AS n, min(f) AS f, max(t) AS t FROM i GROUP BY ALL
+)
+SELECT runId, name, CAST(sum(sent) AS BIGINT) AS sent, CAST(sum(n) AS BIGINT) AS batches, count(*) - 1 AS pauses,
+       (max(t) - min(f)) / 1000.0 AS wall_s, CAST(sum(t - f) AS BIGINT) / 1000.0 AS busy_s,
+       ROUND(CAST(sum(sent) AS BIGINT) / greatest((max(t) - min(f)) / 1000.0, 1e-6), 6) AS rate_ev_s
+FROM u GROUP BY runId, name"""
+
+ENDS = """count(*) FILTER (WHERE event_id % 11 <> 0 AND event_id % 13 <> 0) AS {0}, count(*) FILTER (WHERE event_id % 11 = 0) AS {1},
+       count(*) FILTER (WHERE event_id % 11 <> 0 AND event_id % 13 = 0) AS {2}""".format("{}", "failedTasks", "killedTasks")
+
+ORACLE.update({
+    "ordinal_over_runs": HOURLY + """, numbered AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(split_part(doc_id, '-', 2) AS INTEGER) % 2, time, doc_id, pos) - 1 AS o FROM hourly_cut
+)
+SELECT o AS event_id, city, strptime(time, '%Y-%m-%dT%H:%M') AS timestamp,
+       CASE WHEN o > 0 AND o % 15 = 0 THEN 36.5 ELSE temperature_2m END AS temperature, relative_humidity_2m AS humidity,
+       CASE WHEN o > 0 AND o % 25 = 0 THEN 55.0 ELSE precipitation END AS precipitation,
+       CASE WHEN o > 0 AND o % 40 = 0 THEN 70.0 ELSE wind_speed_10m END AS wind_speed,
+       wind_gusts_10m AS wind_gusts, surface_pressure, apparent_temperature, weather_code
+FROM numbered""",
+    "topic_backlog": BEHIND,
+    "latest_windows_zoned": ABASE + _top(10),
+    "timeseries_tail_zoned": ORACLE["timeseries_tail"],
+    "throughput_wall": WALL,
+    "event_log_executors": f"""SELECT CAST(event_id % 2 AS INTEGER) AS app, CAST(user_id % 8 AS VARCHAR) AS id, 2 AS cores, 455501414 / 1e6 AS memory_mb,
+       {ENDS.format('tasks')},
+       sum(user_id) / 1000.0 AS run_s, sum(CASE WHEN event_id % 13 = 0 THEN 0 ELSE user_id % 30 END) / 1000.0 AS gc_s,
+       min(epoch_us(ts) // 1000) AS addedMs, CASE WHEN user_id % 8 % 3 = 0 THEN max(epoch_us(ts) // 1000) END AS removedMs
+FROM events GROUP BY event_id % 2, user_id % 8""",
+    "event_log_attempts": f"""SELECT CAST(event_id % 2 AS INTEGER) AS app, event_id % 100 AS stageId, CAST(event_id % 3 AS INTEGER) AS attempt,
+       {ENDS.format('completedTasks')},
+       CAST(sum(CASE WHEN event_id % 13 = 0 THEN 0 ELSE user_id * 2 END) AS BIGINT) AS executorRunMs, min(epoch_us(ts) // 1000) AS firstLaunchMs,
+       max(epoch_us(ts) // 1000 + user_id) AS lastFinishMs
+FROM events GROUP BY event_id % 2, event_id % 100, event_id % 3""",
+})

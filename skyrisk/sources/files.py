@@ -96,6 +96,14 @@ def read_aggregates(spark: SparkSession, path: str, since: str | None = None) ->
     return _dated(spark, path, AGGREGATE_SCHEMA, "window_date", since)
 
 
+def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """(file, path, time) of a folder's files, none of them opened: ``file`` as the scan's own
+    ``_metadata.file_path`` names it, ``path`` as readers take it.  For a stream's output
+    these are the files of committed batches."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    return listing.select(F.col("_metadata.file_path").alias("file"), "path", F.col("_metadata.file_modification_time").alias("time"))
+
+
 def scan_recent_files(spark: SparkSession, path: str, k: int,
                       schema: StructType | None = None,
                       glob: str = "*.parquet") -> DataFrame:
@@ -140,14 +148,16 @@ def scan_hourly_documents(spark: SparkSession, path: str,
     A folder holds either one JSON object per line or pretty-printed files of
     one document (or array of documents) each; ``multiline`` says which, and
     by default the first line that is not blank tells: in the first form
-    it is a whole object.  A document without ``doc_id`` gets its file's path.
+    it is a whole object.  A document without ``doc_id`` gets its file's path and a hash
+    of its content, so several in one file have an order of their own.
     """
     if multiline is None:
         line = spark.read.text(path).where(F.trim("value") != "").limit(1) \
             .select(F.json_object_keys("value").isNull().alias("cut")).first()
         multiline = line is not None and line["cut"]
     docs = spark.read.schema(schema).option("multiLine", multiline).json(path)
-    return docs.withColumn("doc_id", F.coalesce("doc_id", F.input_file_name()))
+    content = F.hex(F.xxhash64(F.to_json(F.struct(*[c for c in docs.columns if c != "doc_id"]))))
+    return docs.withColumn("doc_id", F.coalesce("doc_id", F.concat_ws("#", F.input_file_name(), content)))
 
 
 def scan_json(spark: SparkSession, path: str, schema: StructType,

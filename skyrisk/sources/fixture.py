@@ -157,10 +157,10 @@ def _lines_of_stages(events: DataFrame) -> DataFrame:
         F.lit("SparkListenerStageCompleted").alias("Event"), info.alias("Stage Info"))).alias("value"))
 
 
-def write_event_logs(events: DataFrame, path: str, stages: bool = False) -> None:
-    """Rolled event logs of two applications, event ids alternately, whose job and
-    stage ids are the same: one plain, one gzip-packed."""
-    lines = (_lines_of_stages if stages else _lines_of_jobs)(events)
+def write_event_logs(events: DataFrame, path: str, kind: str = "jobs") -> None:
+    """Rolled event logs of two applications, event ids alternately, whose job, stage
+    and executor ids are the same: one plain, one gzip-packed."""
+    lines = {"jobs": _lines_of_jobs, "stages": _lines_of_stages, "executors": _lines_of_executors}[kind](events)
     for app, codec in ((0, "none"), (1, "gzip")):
         lines.where(F.col("app") == app).select("value").write.option("compression", codec) \
             .text(f"{path}/eventlog_v2_app-{app}")
@@ -185,3 +185,41 @@ def fixture_executors(events: DataFrame) -> DataFrame:
                     F.lit(2).alias("totalCores"),
                     F.lit(455501414).cast("long").alias("maxMemory"),
                     "completedTasks", "totalDuration", "totalGCTime"))
+
+
+# ---------------------------------------------------------------- query progress, executors
+def progress_lines(events: DataFrame) -> DataFrame:
+    """Progress JSON as a streaming query's listener gives it: five runs of two queries
+    each, one batch per event, some of which overlap and some of which stand twice."""
+    line = F.to_json(F.struct(
+        F.concat(F.lit("run-"), (F.col("user_id") % 5).cast("string")).alias("runId"),
+        F.when(F.col("event_id") % 2 == 0, "processed").otherwise("aggregates").alias("name"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+        F.col("event_id").alias("batchId"), F.col("user_id").alias("numInputRows"),
+        F.struct((F.col("event_id") * 7919 % 9_000_000).alias("triggerExecution")).alias("durationMs")))
+    twice = F.when(F.col("event_id") % 10 == 0, F.array(line, line)).otherwise(F.array(line))
+    return events.select(F.explode(twice).alias("value"))
+
+
+def _lines_of_executors(events: DataFrame) -> DataFrame:
+    """Executors of two applications with the same ids: added, their memory, tasks (every
+    11th failed, every 13th killed), every third executor removed."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    app, executor = (F.col("event_id") % 2).alias("app"), (F.col("user_id") % 8).cast("string")
+    end = F.when(F.col("event_id") % 11 == 0, "ExceptionFailure").when(F.col("event_id") % 13 == 0, "TaskKilled").otherwise("Success")
+    task = F.to_json(F.struct(
+        F.lit("SparkListenerTaskEnd").alias("Event"), (F.col("event_id") % 100).alias("Stage ID"), (F.col("event_id") % 3).alias("Stage Attempt ID"),
+        F.struct(end.alias("Reason")).alias("Task End Reason"),
+        F.struct(F.col("event_id").alias("Task ID"), executor.alias("Executor ID"), ms.alias("Launch Time"),
+                 (ms + F.col("user_id")).alias("Finish Time")).alias("Task Info"),
+        F.when(F.col("event_id") % 13 != 0, F.struct((F.col("user_id") * 2).alias("Executor Run Time"), (F.col("user_id") % 30).alias("JVM GC Time")))
+         .alias("Task Metrics")))
+    own = events.select(app, executor.alias("e"), ms.alias("ms")).groupBy("app", "e").agg(F.min("ms").alias("first"), F.max("ms").alias("last"))
+    added = F.to_json(F.struct(F.lit("SparkListenerExecutorAdded").alias("Event"), F.col("first").alias("Timestamp"), F.col("e").alias("Executor ID"),
+                               F.struct(F.lit("host").alias("Host"), F.lit(2).alias("Total Cores")).alias("Executor Info")))
+    memory = F.to_json(F.struct(F.lit("SparkListenerBlockManagerAdded").alias("Event"), F.struct(F.col("e").alias("Executor ID")).alias("Block Manager ID"),
+                                F.lit(455501414).alias("Maximum Memory"), F.col("first").alias("Timestamp")))
+    removed = F.when(F.col("e").cast("int") % 3 == 0, F.to_json(F.struct(
+        F.lit("SparkListenerExecutorRemoved").alias("Event"), F.col("last").alias("Timestamp"), F.col("e").alias("Executor ID"), F.lit("lost").alias("Removed Reason"))))
+    life = own.select("app", F.explode(F.array(added, memory, removed)).alias("value")).where("value is not null")
+    return life.unionByName(events.select(app, task.alias("value")))

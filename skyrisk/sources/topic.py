@@ -40,9 +40,16 @@ def _as_strings(df: DataFrame) -> DataFrame:
 
 def read_topic_stream(spark: SparkSession, topic: Topic, starting_offsets: str = "latest",
                       max_per_trigger: int | None = None,
-                      min_partitions: int | None = None) -> DataFrame:
+                      min_partitions: int | None = None, start: str | None = None,
+                      checkpoints: tuple[str, ...] = (), lineage: bool = False) -> DataFrame:
     """A1: the topic as an unbounded frame of string key/value.
 
+    ``starting_offsets``: "earliest" or "latest" (what is there at the first start does
+    not count; later restarts go on).  Kafka keeps the start in the checkpoint; a file
+    topic needs ``start``, a folder beside the checkpoint (``sources.start``), and may be
+    told the ``checkpoints`` that already began without one.  ``lineage`` (file topics)
+    adds ``source_file``, the file a record came from.
+
     ``max_per_trigger`` bounds a micro-batch (offsets for Kafka, files for
     the file form), which keeps batch size and state growth predictable.
     ``min_partitions`` (Kafka) splits large topic partitions into more
@@ -56,10 +63,21 @@ def read_topic_stream(spark: SparkSession, topic: Topic, starting_offsets: str =
         if min_partitions:
             r = r.option("minPartitions", min_partitions)
         return _as_strings(r.load())
+    if starting_offsets not in ("earliest", "latest"):
+        raise ValueError(f"a file topic starts at earliest or latest, not {starting_offsets}")
+    since = None
+    if starting_offsets == "latest":
+        if start is None:
+            raise ValueError("a file topic read from latest needs a folder for its start")
+        from skyrisk.sources.start import start_of
+        since = start_of(spark, topic.path, start, checkpoints).condition()
     r = spark.readStream.schema(TOPIC_SCHEMA)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
-    return r.json(topic.path)
+    rows = r.json(topic.path)
+    if since is not None:
+        rows = rows.where(since)
+    return rows.select("key", "value", *([F.col("_metadata.file_path").alias("source_file")] if lineage else []))
 
 
 def read_topic_batch(spark: SparkSession, topic: Topic) -> DataFrame:

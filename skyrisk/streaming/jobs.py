@@ -128,9 +128,11 @@ def read_snapshot(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def clean_stream(spark: SparkSession, topic: Topic, starting_offsets: str = "latest",
-                 max_per_trigger: int | None = None) -> DataFrame:
-    return clean_required(parse_events(read_topic_stream(spark, topic, starting_offsets,
-                                                         max_per_trigger)))
+                 max_per_trigger: int | None = None, start: str | None = None,
+                 checkpoints: tuple[str, ...] = (), lineage: bool = False) -> DataFrame:
+    """Clean events of the topic; ``start``, ``checkpoints`` and ``lineage`` as in ``read_topic_stream``."""
+    records = read_topic_stream(spark, topic, starting_offsets, max_per_trigger, None, start, checkpoints, lineage)
+    return clean_required(parse_events(records, keep=["source_file"] if lineage else None))
 
 
 def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
@@ -141,7 +143,8 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
                      chain: bool = False,
                      state_partitions: int | None = None,
                      partition_by_date: bool = False,
-                     timeout_s: float | None = None) -> list[StreamingQuery]:
+                     timeout_s: float | None = None, lineage: bool = False,
+                     named: bool = False) -> list[StreamingQuery]:
     """the processing job as several queries over one source.
 
     ``partition_by_date`` writes ``processed`` partitioned by ``event_date``
@@ -157,16 +160,21 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
     parse it), at the cost of one extra hop of latency.  ``max_per_trigger``
     then bounds the files of its batches too; with ``availableNow`` it starts
     when the first query has drained the topic, ``timeout_s`` at most later.
-    Console sinks (``console=True``) run with the same trigger.
+    Console sinks (``console=True``) run with the same trigger.  ``lineage`` (file topics)
+    lands each event with its topic file (``source_file``), which ``streaming.backlog`` needs.
+    ``named`` calls the queries ``processed`` and ``aggregates``, in a session that runs
+    one such job at a time.
     """
-    clean = clean_stream(spark, topic, starting_offsets, max_per_trigger)
+    names = ("processed", "aggregates")
+    clean = clean_stream(spark, topic, starting_offsets, max_per_trigger, f"{checkpoint_root}/start",
+                         tuple(f"{checkpoint_root}/{n}" for n in names), lineage)
     if chain:
         # the window query's file source must find the folder; an empty one
         # is fine (it waits for the sink's first commit)
         ensure_dir(spark, processed_path)
     landed = clean.withColumn("event_date", F.to_date("timestamp")) if partition_by_date else clean
     queries = [parquet_sink(landed, processed_path, f"{checkpoint_root}/processed", "append",
-                            trigger, None, ["event_date"] if partition_by_date else None)]
+                            trigger, names[0] if named else None, ["event_date"] if partition_by_date else None)]
     if chain:
         if trigger in (None, "availableNow"):
             await_all(spark, queries, timeout_s)
@@ -182,7 +190,7 @@ def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
         else stats
     with shuffle_partitions_for_start(spark, state_partitions):
         queries.append(parquet_sink(out, aggregates_path, f"{checkpoint_root}/aggregates",
-                                    "append", trigger, None,
+                                    "append", trigger, names[1] if named else None,
                                     ["window_date"] if partition_by_date else None))
     if console:
         queries.append(console_sink(clean, trigger=trigger or "availableNow"))
@@ -227,8 +235,9 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery],
 
 
 def scoring_stream(spark: SparkSession, topic: Topic, model, starting_offsets: str = "latest",
-                   max_per_trigger: int | None = None) -> DataFrame:
+                   max_per_trigger: int | None = None, start: str | None = None,
+                   checkpoints: tuple[str, ...] = ()) -> DataFrame:
     """parse, strict clean (all ten columns), score, project."""
     from skyrisk.operators.ml import score
-    raw = read_topic_stream(spark, topic, starting_offsets, max_per_trigger)
+    raw = read_topic_stream(spark, topic, starting_offsets, max_per_trigger, None, start, checkpoints)
     return score(model, clean_strict(parse_events(raw)))
