@@ -5,7 +5,7 @@
     python -m skyrisk train    --processed P --models M --metrics CSV
     python -m skyrisk predict  --topic-path T --models M --predictions R --checkpoints C
     python -m skyrisk bi-push  --aggregates A --out O --checkpoints C
-    python -m skyrisk run-stats jobs|stages|throughput --event-log L | --progress P --out O
+    python -m skyrisk run-stats KIND --event-log L | --progress P | --topic-path T --processed P  --out O
     python -m skyrisk query    NAME --processed P --aggregates A --predictions R --out O
 
 ``--topic-format kafka --bootstrap host:port --topic-name weather_stream``
@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 import sys
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def _common_topic(p):
     p.add_argument("--topic-path")
     p.add_argument("--topic-name", default="weather_stream")
     p.add_argument("--bootstrap")
-    p.add_argument("--starting-offsets", default="latest")
+    p.add_argument("--starting-offsets", default="latest", help="earliest, or latest: what comes after the first start")
     p.add_argument("--max-per-trigger", type=int)
     p.add_argument("--trigger", default="availableNow")
     p.add_argument("--checkpoints", required=True)
@@ -58,54 +59,67 @@ def cmd_produce(spark: SparkSession, a) -> dict:
     Documents: exploded to events; the global ordinal over (time, document,
     position) is the record key (the producer's event counter), and with
     ``--demo`` the anomaly rules apply by that ordinal.  Synthetic: the
-    Gaussian load-test generator, ids 0..N-1 spaced at ``--rate`` per second
-    from now.
+    Gaussian load-test generator, N ids spaced at ``--rate`` per second from now.
+    The counter goes on from run to run by a ledger (a file topic keeps one inside its
+    folder); a run started again under its ``--run-id`` sends the same keys, or nothing
+    if it had ended.
     """
     from skyrisk.functions.timeparse import parse_event_time
     from skyrisk.operators import observations as O
-    from skyrisk.operators.ordinal import with_ordinal
-    from skyrisk.schemas import EVENT_COLUMNS
-    from skyrisk.sinks.topic import to_records, write_topic
+    from skyrisk.sinks.producer import ledger_of, send_events, send_synthetic
     from skyrisk.sources.files import scan_hourly_documents
 
+    topic, run = _topic(a), a.run_id or uuid.uuid4().hex
+    ledger = a.ledger or ledger_of(topic)
     if a.documents:
-        events = O.build_event(O.explode_hourly(scan_hourly_documents(
-            spark, a.documents, multiline=True if a.multiline else None)),
-                               a.city)
-        events = with_ordinal(events.withColumn("__t", parse_event_time("timestamp")), "__t",
-                              name="seq", tie=["doc_id", "pos"]).drop("__t")
-        if a.demo:
-            events = O.apply_anomalies(events, "seq")
-        key = "seq"
+        docs = scan_hourly_documents(spark, a.documents, multiline=True if a.multiline else None)
+        events = O.build_event(O.explode_hourly(docs), a.city).withColumn("at", parse_event_time("timestamp"))
+        sent = send_events(events, topic, run, "at", ["doc_id", "pos"], ledger, a.demo, not a.no_key, a.partitions)
     elif a.synthetic:
-        ids = spark.range(a.synthetic).withColumnRenamed("id", "seq")
-        events = O.synth_gauss(ids, "seq", F.current_timestamp(), a.rate, a.seed,
-                               a.city or O.DEFAULT_CITY)
-        key = "seq"
+        sent = send_synthetic(spark, a.synthetic, topic, run, a.rate, a.seed, a.city or O.DEFAULT_CITY, ledger,
+                              not a.no_key, a.partitions)
     else:
         raise ValueError("give --documents or --synthetic")
-    write_topic(to_records(events, None if a.no_key else key, EVENT_COLUMNS), _topic(a),
-                partitions=a.partitions)
-    return {"topic": a.topic_path or a.topic_name}
+    return {"topic": a.topic_path or a.topic_name, "run": run, "first": sent.first, "count": sent.count, "again": sent.done}
 
 
 def cmd_process(spark: SparkSession, a) -> dict:
+    from skyrisk.sources.zones import start_zones
     from skyrisk.streaming import jobs
+    listener = None
     if a.progress:
         from skyrisk.streaming.progress import ProgressCollector
         listener = ProgressCollector(spark, a.progress)
         spark.streams.addListener(listener)
-    qs = jobs.start_processing(spark, _topic(a), a.processed, a.aggregates, a.checkpoints,
-                               trigger=a.trigger, starting_offsets=a.starting_offsets,
-                               max_per_trigger=a.max_per_trigger, console=a.console,
-                               chain=a.chain or not (a.unchained or a.partition_by_date),
-                               partition_by_date=a.partition_by_date,
-                               width=a.width, watermark=a.watermark,
-                               state_partitions=a.state_partitions, timeout_s=a.timeout)
-    jobs.await_all(spark, qs, a.timeout)
-    if a.progress:
-        listener.finished([str(q.runId) for q in qs])
-        spark.streams.removeListener(listener)
+
+    def zones():
+        landed = (("processed", a.processed, "timestamp"), ("aggregates", a.aggregates, "window_start"))
+        for _, path, _ in landed:
+            jobs.ensure_dir(spark, path)
+        return [start_zones(spark, path, time_col, f"{a.zones}/{name}", f"{a.checkpoints}/zones-{name}", a.trigger, name=f"zones-{name}")
+                for name, path, time_col in landed]
+    try:
+        qs = jobs.start_processing(spark, _topic(a), a.processed, a.aggregates, a.checkpoints,
+                                   trigger=a.trigger, starting_offsets=a.starting_offsets,
+                                   max_per_trigger=a.max_per_trigger, console=a.console,
+                                   chain=a.chain or not (a.unchained or a.partition_by_date),
+                                   partition_by_date=a.partition_by_date,
+                                   width=a.width, watermark=a.watermark,
+                                   state_partitions=a.state_partitions, timeout_s=a.timeout,
+                                   lineage=a.lineage, named=True)
+        drained = a.trigger in (None, "availableNow")
+        if a.zones and not drained:
+            qs += zones()
+        jobs.await_all(spark, qs, a.timeout)
+        if a.zones and drained:
+            more = zones()
+            qs += more
+            jobs.await_all(spark, more, a.timeout)
+        if listener:
+            listener.finished([str(q.runId) for q in qs])
+    finally:
+        if listener:
+            listener.close()
     return {"queries": len(qs)}
 
 
@@ -147,9 +161,10 @@ def cmd_predict(spark: SparkSession, a) -> dict:
     from skyrisk.operators.ml import load_latest
     from skyrisk.streaming import jobs
     model = load_latest(spark, a.models)
-    scored = jobs.scoring_stream(spark, _topic(a), model, a.starting_offsets, a.max_per_trigger)
-    qs = [jobs.parquet_sink(scored, a.predictions, f"{a.checkpoints}/predictions", "append",
-                            a.trigger)]
+    checkpoint = f"{a.checkpoints}/predictions"
+    scored = jobs.scoring_stream(spark, _topic(a), model, a.starting_offsets, a.max_per_trigger,
+                                 f"{a.checkpoints}/start-predictions", (checkpoint,))
+    qs = [jobs.parquet_sink(scored, a.predictions, checkpoint, "append", a.trigger)]
     if a.console:
         qs.append(jobs.console_sink(scored, trigger=a.trigger))
     jobs.await_all(spark, qs, a.timeout)
@@ -158,16 +173,34 @@ def cmd_predict(spark: SparkSession, a) -> dict:
 
 def serving_query(spark: SparkSession, name: str, processed: str | None,
                   aggregates: str | None, predictions: str | None, limit: int | None = None,
-                  pool: int = 1000, since: str | None = None) -> DataFrame:
+                  pool: int = 1000, since: str | None = None, zones: str | None = None) -> DataFrame:
     """The read-side questions over the landed tables.
 
+    The newest-N questions read only what can hold those rows: the newest days of a
+    folder partitioned by date, or the files that the zone map under ``zones`` names.
+
     ``limit``: rows of the newest-N questions (by default 10 windows, 20
     predictions, 500 points of a series; ``all`` gives all windows).  ``since``: a
     day; tables partitioned by date are read from there on."""
     from skyrisk.operators import serving as S
     from skyrisk.functions.rules import risk_label, risk_level
     from skyrisk.operators.clean import clean_features
-    from skyrisk.sources.files import read_aggregates, read_processed, scan_parquet
+    from skyrisk.sources.files import is_dated, newest_days, read_aggregates, read_processed, scan_parquet
+    from skyrisk.sources.zones import scan_newest
+
+    def recent(whole, path, schema, date_col, table, n):
+        """Rows that the newest ``n`` of a landed table are among."""
+        if since:
+            return whole()
+        if is_dated(spark, path, date_col):
+            return newest_days(spark, path, schema, date_col, n)
+        return scan_newest(spark, path, f"{zones}/{table}", schema, n) if zones else whole()
+
+    def P_newest(n):
+        return recent(P, processed, PROCESSED_SCHEMA, "event_date", "processed", n)
+
+    def A_newest(n):
+        return recent(A, aggregates, AGGREGATE_SCHEMA, "window_date", "aggregates", n)
 
     def P():
         if since:
@@ -189,13 +222,13 @@ def serving_query(spark: SparkSession, name: str, processed: str | None,
     if name == "kpi":
         return S.kpi_summary(P())
     if name == "alerts":
-        return S.alert_flag(P(), R() if predictions else None)
+        return S.alert_flag(P_newest(S.RECENT), R() if predictions else None)
     if name == "latest":
-        return S.newest(A(), limit or 10, "window_start", ["city"])
+        return S.newest(A_newest(limit or 10), limit or 10, "window_start", ["city"])
     if name == "all":
-        return S.newest(A(), limit, "window_start", ["city"]) if limit else A()
+        return S.newest(A_newest(limit), limit, "window_start", ["city"]) if limit else A()
     if name == "summary":
-        return S.summary_stats(A(), pool)
+        return S.summary_stats(A_newest(pool), pool)
     if name == "risk-distribution":
         return S.class_distribution(clean_features(P()).withColumn("risk_label", risk_label())
                                     .withColumn("risk_level", risk_level()))
@@ -212,16 +245,16 @@ def serving_query(spark: SparkSession, name: str, processed: str | None,
         return S.present_columns(by_key(R().where(F.col("timestamp").isNotNull()), limit or 20),
                                  PREDICTION_VIEW)
     if name == "timeseries":
-        return by_key(P(), limit or 500, asc=True)
+        return by_key(P_newest(limit or 500), limit or 500, asc=True)
     if name == "window-tail":
-        return S.tail_ascending(A(), limit or 500, "window_start", ["city"])
+        return S.tail_ascending(A_newest(limit or 500), limit or 500, "window_start", ["city"])
     raise ValueError(f"unknown query {name}; one of {SERVING}")
 
 
 def cmd_query(spark: SparkSession, a) -> dict:
     from skyrisk.sinks import files as sink
     df = serving_query(spark, a.name, a.processed, a.aggregates, a.predictions, a.limit,
-                       a.pool, a.since)
+                       a.pool, a.since, a.zones)
     if a.format == "csv":
         sink.export_csv(df, a.out)
     elif a.format == "json":
@@ -241,17 +274,27 @@ def cmd_bi_push(spark: SparkSession, a) -> dict:
 
 
 def cmd_run_stats(spark: SparkSession, a) -> dict:
-    """Statistics per application log, or rows and rates per streaming query."""
+    """Statistics per application log, rows and rates per run of a streaming query, or
+    what a file topic holds that the stream has not landed."""
     from skyrisk.operators import runstats
     from skyrisk.sinks import files as sink
     from skyrisk.sources.files import scan_event_log
-    from skyrisk.streaming.progress import progress_frame, throughput
-    if a.kind == "throughput":
-        df = throughput(progress_frame(spark.read.schema("value string").text(a.progress)))
-    elif a.kind == "jobs":
-        df = runstats.job_duration_stats(runstats.jobs_from_event_log(scan_event_log(spark, a.event_log)))
-    else:
-        df = runstats.stage_totals(runstats.stages_from_event_log(scan_event_log(spark, a.event_log)))
+    from skyrisk.streaming import backlog as B
+    from skyrisk.streaming.progress import progress_frame, throughput, throughput_wall
+
+    def progress():
+        return progress_frame(spark.read.schema("value string").text(a.progress))
+
+    def log():
+        return scan_event_log(spark, a.event_log)
+    df = {"throughput": lambda: throughput(progress()),
+          "wall-clock": lambda: throughput_wall(progress()),
+          "backlog": lambda: B.backlog(B.events_behind(spark, _topic(a), B.landed_events(spark, a.processed),
+                                                       f"{a.checkpoints}/start" if a.checkpoints else None)),
+          "jobs": lambda: runstats.job_duration_stats(runstats.jobs_from_event_log(log())),
+          "stages": lambda: runstats.stage_totals(runstats.stages_from_event_log(log())),
+          "executors": lambda: runstats.executor_report(runstats.executors_from_event_log(log()), ["log", "failedTasks", "killedTasks"]),
+          "attempts": lambda: runstats.attempts_from_event_log(log())}[a.kind]()
     sink.export_json(df, a.out)
     return {"out": a.out}
 
@@ -275,6 +318,8 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--multiline", action="store_true", help="documents are pretty-printed")
     g.add_argument("--no-key", action="store_true", help="send values only")
     g.add_argument("--partitions", type=int, help="topic files (file topic only)")
+    g.add_argument("--run-id", help="name of this run, to start it again")
+    g.add_argument("--ledger", help="folder of the event counter (file topics have their own)")
 
     p = sub.add_parser("process", help="topic -> processed + window aggregates")
     _common_topic(p)
@@ -289,6 +334,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--watermark", default="2 minutes")
     p.add_argument("--state-partitions", type=int)
     p.add_argument("--progress", help="folder for the progress of all batches")
+    p.add_argument("--lineage", action="store_true", help="land each event's topic file (for run-stats backlog)")
+    p.add_argument("--zones", help="folder for zone maps of both tables (for query --zones)")
     p.add_argument("--timeout", type=float)
 
     t = sub.add_parser("train", help="train, evaluate and store the risk model")
@@ -315,6 +362,7 @@ def parser() -> argparse.ArgumentParser:
     q.add_argument("--limit", type=int)
     q.add_argument("--pool", type=int, default=1000, help="windows that summary looks at")
     q.add_argument("--since", help="first day to read of tables partitioned by date")
+    q.add_argument("--zones", help="zone maps that process wrote")
     q.add_argument("--out", required=True)
     q.add_argument("--format", default="json", choices=["json", "csv", "parquet"])
 
@@ -325,10 +373,16 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--trigger", default="availableNow")
     b.add_argument("--timeout", type=float)
 
-    s = sub.add_parser("run-stats", help="jobs, stages or throughput of past runs")
-    s.add_argument("kind", choices=["jobs", "stages", "throughput"])
+    s = sub.add_parser("run-stats", help="statistics of past runs")
+    s.add_argument("kind", choices=["jobs", "stages", "executors", "attempts", "throughput", "wall-clock", "backlog"])
     s.add_argument("--event-log", help="event log file or folder")
     s.add_argument("--progress", help="progress folder of process")
+    s.add_argument("--topic-format", default="files", choices=["files"])
+    s.add_argument("--topic-path", help="topic (backlog)")
+    s.add_argument("--topic-name", default="weather_stream")
+    s.add_argument("--bootstrap")
+    s.add_argument("--processed", help="landed events (backlog)")
+    s.add_argument("--checkpoints", help="checkpoints of process (backlog): its start counts")
     s.add_argument("--out", required=True)
     return ap
 

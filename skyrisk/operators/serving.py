@@ -196,7 +196,10 @@ def summary_stats(aggregates: DataFrame, pool: int = 1000,
 
 
 # ---------------------------------------------------------------- C8
-def alert_flag(processed: DataFrame, predictions: DataFrame | None, recent: int = 50) -> DataFrame:
+RECENT = 50    # fixed value: events and predictions that an alert looks at
+
+
+def alert_flag(processed: DataFrame, predictions: DataFrame | None, recent: int = RECENT) -> DataFrame:
     """Critical measure in the newest ``recent`` events, or a 'critical'
     prediction in the newest ``recent`` predictions.
 

@@ -65,13 +65,17 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
         if fs.exists(p) else []
 
 
-def newest_dated(spark: SparkSession, path: str, schema: StructType, date_col: str, n: int,
-                 time_col: str, tie_cols: list[str]) -> DataFrame:
-    """The newest ``n`` rows of a date-partitioned folder, reading only as many
-    days as hold them: from the newest day back, twice as many days each time.
+def is_dated(spark: SparkSession, path: str, date_col: str) -> bool:
+    """Whether a folder is partitioned by ``date_col``."""
+    return any(d.startswith(f"{date_col}=") for d in child_folders(spark, path))
+
+
+def newest_days(spark: SparkSession, path: str, schema: StructType, date_col: str, n: int) -> DataFrame:
+    """Rows of the newest days of a date-partitioned folder, as few days as hold ``n`` rows:
+    from the newest day back, twice as many days each time.
 
     A row's time lies on its partition's day.  Rows without a time (the
-    default partition) count as oldest, as in an unpruned scan."""
+    default partition) are only among them when all days together hold fewer."""
     days = [d.split("=", 1)[1] for d in child_folders(spark, path) if d.startswith(f"{date_col}=")]
     dated = sorted((d for d in days if not d.startswith("__")), reverse=True)
     rows, back = _dated(spark, path, schema, date_col, None), 1
@@ -81,8 +85,15 @@ def newest_dated(spark: SparkSession, path: str, schema: StructType, date_col: s
             rows = part
             break
         back *= 2
-    return rows.orderBy(F.col(time_col).desc(), *[F.col(c).desc() for c in tie_cols]).limit(n) \
-        .drop(date_col)
+    return rows.drop(date_col)
+
+
+def newest_dated(spark: SparkSession, path: str, schema: StructType, date_col: str, n: int,
+                 time_col: str, tie_cols: list[str]) -> DataFrame:
+    """The newest ``n`` rows of a date-partitioned folder, reading only as many
+    days as hold them; rows without a time count as oldest."""
+    return newest_days(spark, path, schema, date_col, n) \
+        .orderBy(F.col(time_col).desc(), *[F.col(c).desc() for c in tie_cols]).limit(n)
 
 
 def read_processed(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:

@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from skyrisk.sources.files import list_files, path_exists, scan_parquet
 
-ZONE_SCHEMA = StructType.fromDDL("file string, rows long, oldest timestamp, newest timestamp")
+ZONE_SCHEMA = StructType([StructField("file", StringType()), StructField("rows", LongType()),
+                          StructField("oldest", TimestampType()), StructField("newest", TimestampType())])
 
 
 def start_zones(spark: SparkSession, path: str, time_col: str, zones: str, checkpoint: str, trigger: str | None = "availableNow",

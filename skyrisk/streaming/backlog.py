@@ -27,9 +27,11 @@ def landed_events(spark: SparkSession, path: str) -> DataFrame:
 
 def events_behind(spark: SparkSession, topic: Topic, landed: DataFrame, start: str | None = None) -> DataFrame:
     """Events of topic files that ``landed`` names none of; ``start``: the job's start
-    folder, whose earlier files do not count.
+    folder, whose earlier files do not count.  Rows landed without their file are an error.
 
     On the driver: the paths of the files behind, which Spark's own scan holds there too."""
+    if not landed.where("source_file is null").isEmpty():
+        raise ValueError("events were landed without their topic file; run process with --lineage")
     files = list_files(spark, topic.path)
     kept = read_start(spark, start) if start else None
     counts = kept.condition("file", "time") if kept else None

@@ -15,7 +15,7 @@ def test_process_train_predict_query(spark, sf_small):
     write_topic(fx.topic_records(fx.load_weather(spark, sf_small)), topic, partitions=2)
     d = {k: scratch_path(spark, k) for k in ("proc", "agg", "ckpt", "models", "metrics", "pred")}
     main(["process", "--topic-path", topic.path, "--processed", d["proc"], "--aggregates",
-          d["agg"], "--checkpoints", d["ckpt"], "--chain", "--timeout", "300"], spark)
+          d["agg"], "--checkpoints", d["ckpt"], "--chain", "--starting-offsets", "earliest", "--timeout", "300"], spark)
     from skyrisk.operators.clean import clean_required
     from skyrisk.operators.parse import parse_events
     expected = clean_required(parse_events(fx.topic_records(fx.load_weather(spark, sf_small))))
@@ -28,7 +28,7 @@ def test_process_train_predict_query(spark, sf_small):
     assert set(metrics) >= {"accuracy", "weightedPrecision", "weightedRecall", "f1",
                             "total_rows", "clean_rows", "train_time_s"}
     main(["predict", "--topic-path", topic.path, "--models", d["models"], "--predictions",
-          d["pred"], "--checkpoints", d["ckpt"] + "-p", "--timeout", "300"], spark)
+          d["pred"], "--checkpoints", d["ckpt"] + "-p", "--starting-offsets", "earliest", "--timeout", "300"], spark)
     preds = spark.read.parquet(d["pred"])
     assert preds.count() > 0 and preds.where(F.col("risk_prediction") == "unknown").count() == 0
     for name in SERVING:
@@ -94,7 +94,7 @@ def test_keyless_documents_end_to_end(spark, sf_small):
     d = {k: scratch_path(spark, k) for k in ("t", "proc", "agg", "ckpt", "models", "metrics", "pred", "bi", "prog")}
     main(["produce", "--documents", docs, "--topic-path", d["t"], "--no-key", "--demo"], spark)
     main(["process", "--topic-path", d["t"], "--processed", d["proc"], "--aggregates", d["agg"], "--checkpoints", d["ckpt"],
-          "--partition-by-date", "--width", "1 hour", "--state-partitions", "2", "--progress", d["prog"], "--timeout", "300"], spark)
+          "--partition-by-date", "--width", "1 hour", "--state-partitions", "2", "--progress", d["prog"], "--starting-offsets", "earliest", "--timeout", "300"], spark)
     proc = spark.read.parquet(d["proc"])
     assert proc.count() > 100 and proc.where("event_id is not null or city <> 'Mexico City'").count() == 0
     out = main(["train", "--processed", d["proc"], "--models", d["models"], "--metrics", d["metrics"]], spark)
@@ -103,7 +103,7 @@ def test_keyless_documents_end_to_end(spark, sf_small):
     main(["query", "prediction-distribution", "--predictions", d["pred"], "--out", q], spark)   # none yet
     assert sorted(r["count"] for r in spark.read.json(q).collect()) == [0, 0, 0]
     main(["predict", "--topic-path", d["t"], "--models", d["models"], "--predictions", d["pred"], "--checkpoints", d["ckpt"] + "-p",
-          "--timeout", "300"], spark)
+          "--starting-offsets", "earliest", "--timeout", "300"], spark)
     assert spark.read.parquet(d["pred"]).count() > 0
     for name, more in (("alerts", []), ("timeseries", ["--limit", "7"]), ("all", []), ("kpi", ["--since", "2024-01-01"])):
         o = scratch_path(spark, "q-" + name)
@@ -114,4 +114,47 @@ def test_keyless_documents_end_to_end(spark, sf_small):
     assert spark.read.parquet(d["bi"] + "/rows").count() == 1
     o = scratch_path(spark, "rate")
     main(["run-stats", "throughput", "--progress", d["prog"], "--out", o], spark)
-    assert spark.read.json(o).agg(F.sum("sent")).first()[0] > 0
+    rates = {r["name"]: r["sent"] for r in spark.read.json(o).collect()}
+    assert set(rates) == {"processed", "aggregates"} and len(set(rates.values())) == 1 and min(rates.values()) > 0
+    o = scratch_path(spark, "wall")
+    main(["run-stats", "wall-clock", "--progress", d["prog"], "--out", o], spark)
+    assert {r["name"]: r["sent"] for r in spark.read.json(o).collect()} == rates
+
+
+def test_latest_zones_backlog_and_counter(spark, sf_small):
+    """A job from "latest" over two producer runs, its zone maps, and what it is behind."""
+    import json
+
+    d = {k: scratch_path(spark, k) for k in ("t", "proc", "agg", "ckpt", "zones", "plain")}
+    process = ["process", "--topic-path", d["t"], "--processed", d["proc"], "--aggregates", d["agg"], "--checkpoints", d["ckpt"],
+               "--lineage", "--zones", d["zones"], "--timeout", "300"]
+
+    def ids(path):
+        return sorted(r["event_id"] for r in spark.read.parquet(path).select("event_id").collect())
+
+    def behind():
+        o = scratch_path(spark, "behind")
+        main(["run-stats", "backlog", "--topic-path", d["t"], "--processed", d["proc"], "--checkpoints", d["ckpt"], "--out", o], spark)
+        return [(r["files_behind"], r["events_behind"]) for r in spark.read.json(o).collect()]
+    first = main(["produce", "--synthetic", "300", "--topic-path", d["t"], "--run-id", "a", "--partitions", "2"], spark)
+    main(process, spark)                                      # nothing since the start
+    assert first["first"] == 0 and behind() == [(0, 0)]
+    second = main(["produce", "--synthetic", "500", "--topic-path", d["t"], "--run-id", "b", "--partitions", "2"], spark)
+    assert second["first"] == 300 and behind() == [(2, 500)]
+    again = main(["produce", "--synthetic", "500", "--topic-path", d["t"], "--run-id", "b", "--partitions", "2"], spark)
+    assert again["again"] and again["first"] == 300 and behind() == [(2, 500)]
+    main(process, spark)
+    assert ids(d["proc"]) == list(range(300, 800)) and behind() == [(0, 0)]
+    third = main(["produce", "--synthetic", "10", "--topic-path", d["t"]], spark)
+    assert third["first"] == 800
+    answers = {}
+    for name in ("latest", "timeseries", "window-tail", "alerts", "summary", "all"):
+        for more in ([], ["--zones", d["zones"]]):
+            o = scratch_path(spark, "q")
+            main(["query", name, "--processed", d["proc"], "--aggregates", d["agg"], "--limit", "7", "--out", o, *more], spark)
+            answers.setdefault(name, []).append(sorted(json.dumps(r.asDict(), default=str, sort_keys=True) for r in spark.read.json(o).collect()))
+    for name, (plain, zoned) in answers.items():
+        assert plain == zoned, name
+    with pytest.raises(ValueError, match="lineage"):
+        spark.read.parquet(d["proc"]).drop("source_file").write.parquet(d["plain"])
+        main(["run-stats", "backlog", "--topic-path", d["t"], "--processed", d["plain"], "--out", d["plain"] + "-o"], spark)
