@@ -132,7 +132,7 @@ def cmd_train(spark: SparkSession, a) -> dict:
     from skyrisk.sinks.files import write_metrics_csv
     from skyrisk.sources.files import scan_parquet
 
-    processed = scan_parquet(spark, a.processed, PROCESSED_SCHEMA)
+    processed = S.keyed(scan_parquet(spark, a.processed, PROCESSED_SCHEMA), a.key)
     gates = S.training_gates(processed, FEATURE_COLUMNS, a.key, train_fraction=a.train_fraction,
                              seed=a.seed).first()
     if not gates["can_train"]:
@@ -216,13 +216,14 @@ def serving_query(spark: SparkSession, name: str, processed: str | None,
         return scan_parquet(spark, predictions, PREDICTION_SCHEMA)
 
     def by_key(df, n, asc=False):
-        keyed = df.withColumn("__key", S.row_key(df))
-        return (S.tail_ascending if asc else S.newest)(keyed, n, "timestamp", ["__key"]).drop("__key")
+        df = S.keyed(df)
+        rows = df.withColumn("__key", S.row_key(df))
+        return (S.tail_ascending if asc else S.newest)(rows, n, "timestamp", ["__key"]).drop("__key")
 
     if name == "kpi":
         return S.kpi_summary(P())
     if name == "alerts":
-        return S.alert_flag(P_newest(S.RECENT), R() if predictions else None)
+        return S.alert_flag(S.keyed(P_newest(S.RECENT)), S.keyed(R()) if predictions else None)
     if name == "latest":
         return S.newest(A_newest(limit or 10), limit or 10, "window_start", ["city"])
     if name == "all":

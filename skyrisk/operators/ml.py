@@ -9,6 +9,7 @@ would scan the predictions four times.
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -104,25 +105,59 @@ def evaluate(predictions: DataFrame, label: str = "risk_label") -> DataFrame:
 
 
 # ---------------------------------------------------------------- A8, K11
-def save_versioned(model: PipelineModel, spark: SparkSession, root: str, version: str) -> str:
-    """Write the model under ``root/v=<version>``, then append one row to
+POINTER_SCHEMA = "version string, path string, saved_ns long, number long"
+
+
+def _claim_version(spark: SparkSession, root: str, version: str | None) -> tuple[int, str]:
+    """The next model number, claimed by creating its file, and the version's name
+    (``v<number>`` unless given); a name that was ever claimed is refused."""
+    from skyrisk.sinks.claims import create_once, hadoop_path
+    if version is not None and not create_once(spark, f"{root}/claims/names/{version}.json", "{}"):
+        raise FileExistsError(f"model version {version} exists under {root}")
+    fs, folder = hadoop_path(spark, f"{root}/claims")
+    fs.mkdirs(folder)
+    while True:
+        made = [int(s.getPath().getName()[:-5]) for s in fs.listStatus(folder) if s.isFile() and s.getPath().getName()[:-5].isdigit()]
+        number = max(made, default=0) + 1
+        if create_once(spark, f"{root}/claims/{number:012d}.json", json.dumps({"version": version})):
+            if version is not None:
+                return number, version
+            name = f"v{number}"
+            if create_once(spark, f"{root}/claims/names/{name}.json", "{}"):
+                return number, name  # else someone gave that name by hand: take the next number
+
+
+def save_versioned(model: PipelineModel, spark: SparkSession, root: str, version: str | None = None) -> str:
+    """Write the model under ``root/v=<version>``, then add one row to
     the table ``root/latest``.  Rows are only added, after the model is whole, so
-    a reader at any time finds the newest or the one before."""
-    path = f"{root.rstrip('/')}/v={version}"
-    model.write().overwrite().save(path)
+    a reader at any time finds the newest or the one before.
+
+    Which is newest is told by numbers claimed before the save, not by clocks: of two
+    trainers at a time the one that claimed later wins, whichever ends first.  A version
+    is never written twice."""
+    root = root.rstrip("/")
+    from skyrisk.sinks.claims import hadoop_path
+    number, version = _claim_version(spark, root, version)
+    path = f"{root}/v={version}"
+    try:
+        model.write().save(path)  # refuses an existing folder, as of versions saved before claims were kept
+    except Exception:
+        fs, name = hadoop_path(spark, f"{root}/claims/names/{version}.json")
+        fs.delete(name, False)  # the name may be tried again
+        raise
     (spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"),
-                           F.lit(time.time_ns()).alias("saved_ns"))
-     .coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/latest"))
+                           F.lit(time.time_ns()).alias("saved_ns"), F.lit(number).cast("long").alias("number"))
+     .coalesce(1).write.parquet(f"{root}/latest/{number:012d}"))  # its own folder: appends to one would share a commit folder
     return path
 
 
 def load_latest(spark: SparkSession, root: str) -> PipelineModel:
-    """Load the model saved last; a clear error if none exists.  Any other
-    failure to read is raised as it is."""
+    """Load the model with the highest number; a clear error if none exists.  Any
+    other failure to read is raised as it is."""
     from skyrisk.sources.files import path_exists
     table = f"{root.rstrip('/')}/latest"
-    row = spark.read.schema("version string, path string, saved_ns long").parquet(table) \
-        .orderBy(F.desc("saved_ns")).first() if path_exists(spark, table) else None
+    row = spark.read.schema(POINTER_SCHEMA).option("recursiveFileLookup", "true").parquet(table) \
+        .orderBy(F.desc_nulls_last("number"), F.desc("saved_ns")).first() if path_exists(spark, table) else None
     if row is None:
         raise FileNotFoundError(f"no trained model under {root}; train first")
     return PipelineModel.load(row["path"])

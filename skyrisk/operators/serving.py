@@ -59,10 +59,10 @@ def prediction_distribution(predictions: DataFrame, col: str = "risk_prediction"
 
 # ---------------------------------------------------------------- C5, C4, G5
 def split_bucket(key: Column | str, seed: int = 42) -> Column:
-    """Integer hash of a key in [0, 65536): a permutation of key mod 2^16
-    (odd multiplier), so a full period splits exactly."""
+    """Integer hash of a whole key in [0, 65536): the first 16 bits of the md5 of
+    ``seed:key``, so ids of any spacing (multiples, time-ordered ids) spread evenly."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(k, F.lit(65536)) * F.lit(40503) + F.lit(seed), F.lit(65536))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit("")))), 1, 4), 16, 10).cast("int")
 
 
 def event_hash(df: DataFrame) -> Column:
@@ -81,14 +81,27 @@ def event_hash(df: DataFrame) -> Column:
 
 
 def row_key(df: DataFrame, key: str | None = "event_id") -> Column:
-    """The split key of every row: the key column (hashed unless it is an
-    integer), and where it is null or absent the hash of the event."""
+    """The split and order key of every row: the key column alone (hashed unless it is an
+    integer), so nothing else is read for it; the hash of the event where the table has no
+    such column.  Landed tables have no null key (``with_key``)."""
     if not key or key not in df.columns:
         return event_hash(df)
     whole = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
-    own = F.col(key).cast("long") if whole else \
+    return F.col(key).cast("long") if whole else \
         F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 15), 16, 10).cast("long")
-    return F.coalesce(own, event_hash(df))
+
+
+def with_key(df: DataFrame, key: str = "event_id") -> DataFrame:
+    """Rows without a key get the hash of their event: done once, when they are landed."""
+    return df.withColumn(key, F.coalesce(F.col(key), event_hash(df))) if key in df.columns else df
+
+
+def keyed(df: DataFrame, key: str = "event_id") -> DataFrame:
+    """A stored table whose key no row lacks.  One that was landed without keys by another
+    writer gets them here; whether it was is told by the key column's own statistics."""
+    if key not in df.columns or df.where(F.col(key).isNull()).select(F.lit(1)).isEmpty():
+        return df
+    return with_key(df, key)
 
 
 def split_by_key(df: DataFrame, key: str | None = "event_id", train_fraction: float = 0.8,
@@ -264,3 +277,25 @@ def dataset_status(tables: dict[str, DataFrame], spark: SparkSession) -> DataFra
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("has_data", F.col("rows") > 0)
+
+
+def landed_status(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+    """C14 over landed Parquet folders, from their footers alone.
+
+    Bare counts are pushed into Spark's second-generation Parquet reader, which answers
+    them from row-group metadata and returns one number per file.  Its settings live in a
+    session of their own, so the caller's stay as they are.  A missing folder has no rows."""
+    from skyrisk.sources.files import any_file, path_exists
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+
+    def rows(path):
+        if not path_exists(spark, path) or not any_file(spark, path):
+            return own.range(1).select(F.lit(0).cast("long").alias("rows"))
+        return own.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+    out = None
+    for name, path in folders.items():
+        one = rows(path).select(F.lit(name).alias("dataset"), "rows", (F.col("rows") > 0).alias("has_data"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -24,6 +24,15 @@ def window_aggregates() -> list[Column]:
     ]
 
 
+# What a stream keeps of each statistic until its window closes, in the order above.
+_MEAN, _ONE = (("sum", "double"), ("count", "long")), (("value", "double"),)
+WINDOW_STATE = [
+    ("avg_temperature", _MEAN), ("max_temperature", _ONE), ("min_temperature", _ONE), ("avg_humidity", _MEAN),
+    ("total_precipitation", _ONE), ("max_wind_speed", _ONE), ("max_wind_gusts", _ONE), ("avg_surface_pressure", _MEAN),
+    ("avg_apparent_temperature", _MEAN), ("event_count", (("value", "long"),)),
+]
+
+
 def window_statistics(clean: DataFrame, width: str = "1 minute",
                       watermark: str | None = None,
                       time_col: str = "timestamp") -> DataFrame:

@@ -197,6 +197,16 @@ def q_ml_score_batch(spark, sf_dir):
     return present(ml.score(model, test))
 
 
+@query("ml_score_classes")
+def q_ml_score_classes(spark, sf_dir):
+    """Scored test rows per risk class, and whether at least nine in ten of those that
+    the rule calls critical are predicted so."""
+    model, _, test = fitted(spark, sf_dir)
+    found = F.count_if(F.col("prediction") == 2.0) >= 0.9 * F.count(F.lit(1))
+    return ml.score(model, test, carry=["risk_label"]).groupBy("risk_label").agg(
+        F.count(F.lit(1)).alias("rows"), F.when(F.col("risk_label") == 2, found).alias("criticals_found"))
+
+
 @query("ml_score_sample")
 def q_ml_score_sample(spark, sf_dir):
     """The first ten scored rows (by event id) as a sample."""

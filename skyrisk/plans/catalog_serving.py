@@ -73,8 +73,15 @@ def q_split_by_key(spark, sf_dir):
 
 
 def keyless(spark, sf_dir):
-    """Processed events as a topic of values only lands them: no key at all."""
-    return processed(spark, sf_dir).withColumn("event_id", F.lit(None).cast("long"))
+    """Processed events of a topic of values only: the landing gives them their keys."""
+    return S.with_key(processed(spark, sf_dir).withColumn("event_id", F.lit(None).cast("long")))
+
+
+@query("split_sparse_keys")
+def q_split_sparse_keys(spark, sf_dir):
+    """G2 on ids that are multiples of 65,536: their low bits are all the same."""
+    rows = clean_features(processed(spark, sf_dir)).withColumn("event_id", F.col("event_id") * 65536)
+    return S.split_by_key(rows).select("event_id", "split")
 
 
 @query("split_keyless")
@@ -298,6 +305,30 @@ def q_union_parts(spark, sf_dir):
     return src.scan_parquet(spark, path, schema, skip_corrupt=True)
 
 
+@query("union_parts_skipped")
+def q_union_parts_skipped(spark, sf_dir):
+    """What the scan over three jobs' part files read, and the files it left out: one
+    of text, one without rows."""
+    path = _write_parts(spark, sf_dir, "parts-skipped")
+    cities = aggregates(spark, sf_dir).select("city").distinct().coalesce(1)
+    cities.write.mode("append").text(path)
+    spark.read.parquet(path + "/*.parquet").where("false").coalesce(1).write.mode("append").parquet(path)
+    df = src.scan_parquet(spark, path, AGGREGATE_SCHEMA, skip_corrupt=True)
+    left = src.skipped_files(spark, path, df).groupBy("status").agg(F.count(F.lit(1)).alias("files")) \
+        .select("status", "files", F.lit(0).cast("long").alias("rows"))
+    return left.unionByName(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("read").alias("status"), F.lit(None).cast("long").alias("files"), "rows"))
+
+
+@query("dataset_status_landed")
+def q_dataset_status_landed(spark, sf_dir):
+    """C14 over landed folders: counts from the files' footers; one folder is missing."""
+    folders = {n: scratch_path(spark, "status-" + n) for n in ("processed", "aggregates", "predictions", "nothing")}
+    processed(spark, sf_dir).write.parquet(folders["processed"])
+    aggregates(spark, sf_dir).write.parquet(folders["aggregates"])
+    predictions(spark, sf_dir).write.parquet(folders["predictions"])
+    return S.landed_status(spark, folders)
+
+
 @query("scan_recent_files")
 def q_scan_recent_files(spark, sf_dir):
     """A4: rows of the newest files of a folder (the last two of three

@@ -24,6 +24,8 @@ from skyrisk.sources.zones import scan_newest, start_zones
 from skyrisk.streaming import jobs
 from skyrisk.streaming.backlog import events_behind, landed_events
 from skyrisk.streaming.bi import pushed_rows, start_bi_push
+from skyrisk.streaming.merged import merged_sink, read_merged
+from skyrisk.streaming.state import open_windows
 
 TIMEOUT_S = 600
 
@@ -177,6 +179,31 @@ def q_stream_window_complete(spark, sf_dir):
     return present(jobs.read_snapshot(spark, out, AGGREGATE_SCHEMA), WINDOW_ROUND)
 
 
+@query("stream_window_update")
+def q_stream_window_update(spark, sf_dir):
+    """F4/K5 in update mode: three micro-batches, each merging the windows it changed into
+    their days; the table then is what complete mode gives."""
+    topic = sliced_topic(spark, sf_dir, "topic-update")
+    stats = window_statistics(jobs.clean_stream(spark, topic, "earliest", files_per_slice(spark)), watermark=jobs.WATERMARK_DELAY)
+    out = scratch_path(spark, "merged")
+    with jobs.shuffle_partitions_for_start(spark, _state_parts(spark)):
+        q = merged_sink(stats, out, out + "-ckpt")
+    jobs.await_all(spark, [q], TIMEOUT_S)
+    return present(read_merged(spark, out, AGGREGATE_SCHEMA), WINDOW_ROUND)
+
+
+@query("stream_open_windows")
+def q_stream_open_windows(spark, sf_dir):
+    """hourly windows that a stopped stream with a day's lateness has not emitted
+    yet, read from its state."""
+    topic = file_topic(spark, sf_dir, "topic-open")
+    proc, agg, ckpt = (scratch_path(spark, n) for n in ("processed", "aggregates", "ckpt"))
+    qs = jobs.start_processing(spark, topic, proc, agg, ckpt, starting_offsets="earliest", width="1 hour", watermark="1 day",
+                               state_partitions=_state_parts(spark))
+    jobs.await_all(spark, qs, TIMEOUT_S)
+    return present(open_windows(spark, f"{ckpt}/aggregates"), WINDOW_ROUND)
+
+
 @query("stream_fanout")
 def q_stream_fanout(spark, sf_dir):
     """two queries over one source, own checkpoints, stopped together."""

@@ -28,6 +28,10 @@ PRED = """pred AS (
 PBASE = with_(WEATHER, PARSED, CLEAN10, PRED)
 ABASE = with_(WEATHER, PARSED, CLEAN6, AGG_1M)
 
+def _bucket(key: str) -> str:
+    return f"CAST('0x' || substr(md5('42:' || CAST({key} AS VARCHAR)), 1, 4) AS INTEGER)"
+
+
 KPI = """SELECT ROUND(avg(temperature), 6) AS avg_temperature,
        ROUND(avg(humidity), 6) AS avg_humidity,
        ROUND(sum(precipitation), 6) AS total_precipitation,
@@ -124,15 +128,17 @@ FROM (
          count(*) FILTER (WHERE clean AND h < 52428) AS train_rows,
          count(*) FILTER (WHERE clean AND h >= 52428) AS test_rows
   FROM (SELECT ({_not_null(FEATURES)}) AS clean,
-               ((((event_id % 65536) + 65536) % 65536) * 40503 + 42) % 65536 AS h,
+               {_bucket('event_id')} AS h,
                CASE WHEN temperature > 35 OR wind_speed > 60 OR precipitation > 50 THEN 2
                     WHEN (temperature BETWEEN 30 AND 35) OR (precipitation BETWEEN 20 AND 50)
                          OR (wind_speed BETWEEN 40 AND 60) THEN 1 ELSE 0 END AS lbl
         FROM processed) x
 ) g""",
-    "split_by_key": with_(WEATHER, PARSED, CLEAN6, CLEAN8) + """SELECT event_id,
-       CASE WHEN ((((event_id % 65536) + 65536) % 65536) * 40503 + 42) % 65536 < 52428
-            THEN 'train' ELSE 'test' END AS split
+    "split_by_key": with_(WEATHER, PARSED, CLEAN6, CLEAN8) + f"""SELECT event_id,
+       CASE WHEN {_bucket('event_id')} < 52428 THEN 'train' ELSE 'test' END AS split
+FROM features""",
+    "split_sparse_keys": with_(WEATHER, PARSED, CLEAN6, CLEAN8) + f"""SELECT event_id * 65536 AS event_id,
+       CASE WHEN {_bucket('event_id * 65536')} < 52428 THEN 'train' ELSE 'test' END AS split
 FROM features""",
     "prediction_text": PBASE + "SELECT event_id, prediction, risk_prediction FROM predictions",
     "prediction_distribution": PBASE + """SELECT c.risk_prediction, coalesce(n, 0) AS count
@@ -431,14 +437,14 @@ def _hash_text(c: str) -> str:
 
 
 EVENT_HASH = "CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(map(_hash_text, EVENT_COLS)) + ")), 1, 15) AS BIGINT)"
-BUCKET = "((h % 65536) * 40503 + 42) % 65536"
+BUCKET = _bucket('h')
 STATUS = """CASE WHEN total_rows = 0 THEN 'no_data' WHEN clean_rows < 20 THEN 'too_few_rows'
             WHEN train_rows = 0 OR test_rows = 0 THEN 'empty_split'
             WHEN n_classes < 2 THEN 'one_class' ELSE 'ok' END"""
 LABEL = """CASE WHEN temperature > 35 OR wind_speed > 60 OR precipitation > 50 THEN 2
               WHEN (temperature BETWEEN 30 AND 35) OR (precipitation BETWEEN 20 AND 50)
                    OR (wind_speed BETWEEN 40 AND 60) THEN 1 ELSE 0 END"""
-SPLIT = "((((event_id % 65536) + 65536) % 65536) * 40503 + 42) % 65536 < 52428"
+SPLIT = _bucket('event_id') + " < 52428"
 TEST_ROWS = with_(WEATHER, PARSED, CLEAN6, CLEAN8, LABELLED) + f""", test AS (
   SELECT * FROM labelled WHERE NOT ({SPLIT})
 )
@@ -543,4 +549,14 @@ FROM events GROUP BY event_id % 2, user_id % 8""",
        CAST(sum(CASE WHEN event_id % 13 = 0 THEN 0 ELSE user_id * 2 END) AS BIGINT) AS executorRunMs, min(epoch_us(ts) // 1000) AS firstLaunchMs,
        max(epoch_us(ts) // 1000 + user_id) AS lastFinishMs
 FROM events GROUP BY event_id % 2, event_id % 100, event_id % 3""",
+    "ml_score_classes": TEST_ROWS + """SELECT risk_label, count(*) AS rows, CASE WHEN risk_label = 2 THEN true END AS criticals_found
+FROM test GROUP BY risk_label""",
+    "stream_window_update": ABASE + "SELECT * FROM aggregates",
+    "stream_open_windows": BASE + f"""SELECT * FROM ({window_sql('hour')}) w
+WHERE window_end > (SELECT max(timestamp) FROM processed) - INTERVAL 1 DAY""",
+    "union_parts_skipped": ABASE + """SELECT 'corrupt' AS status, CAST(1 AS BIGINT) AS files, CAST(0 AS BIGINT) AS rows
+UNION ALL SELECT 'empty', 1, 0 UNION ALL SELECT 'read', NULL, count(*) FROM aggregates""",
+    "dataset_status_landed": with_(WEATHER, PARSED, CLEAN6, CLEAN10, PRED, AGG_1M) + """SELECT dataset, n AS rows, n > 0 AS has_data FROM (
+  SELECT 'processed' AS dataset, count(*) AS n FROM processed UNION ALL SELECT 'aggregates', count(*) FROM aggregates
+  UNION ALL SELECT 'predictions', count(*) FROM predictions UNION ALL SELECT 'nothing', 0) d""",
 })

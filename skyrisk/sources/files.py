@@ -57,6 +57,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def any_file(spark: SparkSession, path: str) -> bool:
+    """Whether a folder's listing has a Parquet file (a stream's output: a committed one)."""
+    return not list_files(spark, path, recursive=True).where("path like '%.parquet'").isEmpty()
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder (none if it is missing)."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -198,8 +203,38 @@ def scan_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unread_files(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
-    """Files under ``path`` that gave ``df`` (a scan of it) no row: the corrupt ones
+    """(file, path) under ``path`` that gave ``df`` (a scan of it) no row: the corrupt ones
     that ``skip_corrupt`` left out, and empty ones."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    used = df.select(F.col("_metadata.file_path").alias("path")).distinct()
-    return files.select("path").join(used, "path", "left_anti")
+    used = df.select(F.col("_metadata.file_path").alias("file")).distinct()
+    return list_files(spark, path, recursive=True).select("file", "path").join(used, "file", "left_anti")
+
+
+def skipped_files(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """(path, status, reason) of each file under ``path`` that the scan ``df`` got no row
+    from: ``empty`` where a readable footer counts no rows, else ``corrupt``.
+
+    Tasks read the footers of those files only, by range, side by side.  Files of no bytes
+    are no files to Spark's scans and are not listed."""
+    def footers(batches):
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        for b in batches:
+            status, reason = [], []
+            for p in b.column("path").to_pylist():
+                try:
+                    local = p.startswith("file:") or "://" not in p
+                    store, name = (fs.LocalFileSystem(), "/" + p.removeprefix("file:").lstrip("/")) if local else \
+                        fs.FileSystem.from_uri(quote(p, safe="/:=@+,;&$!*'()~"))
+                    with store.open_input_file(name) as f:
+                        n = pq.ParquetFile(f).metadata.num_rows
+                    status.append("corrupt" if n else "empty")
+                    reason.append(f"{n} rows by its footer" if n else None)
+                except (OSError, pa.ArrowException) as e:
+                    status.append("corrupt")
+                    reason.append(str(e)[:200])
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(status, pa.string()), pa.array(reason, pa.string())],
+                                             names=["path", "status", "reason"])
+    return unread_files(spark, path, df).select("path").mapInArrow(footers, "path string, status string, reason string")

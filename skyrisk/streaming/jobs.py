@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyrisk.operators.clean import clean_required, clean_strict
 from skyrisk.operators.parse import parse_events
+from skyrisk.operators.serving import with_key
 from skyrisk.operators.windows import window_statistics
 from skyrisk.sources.topic import Topic, read_topic_stream
 
@@ -93,14 +94,15 @@ def table_snapshot_sink(df: DataFrame, path: str, checkpoint: str,
     Each micro-batch of a complete-mode query is the whole result table; it is
     written under ``path/batch=<id>`` (a retried batch writes the same again) and
     only then are snapshots before the last one removed, so a reader
-    (``read_snapshot``) always finds a whole one.
+    (``read_snapshot``) always finds a whole one.  The first batch of a new checkpoint
+    removes the snapshots of an earlier run.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for old in _snapshots(spark, path):
-            if old < batch_id - 1:
+            if old < batch_id - 1 or batch_id == 0 and old > 0:
                 p = jvm.org.apache.hadoop.fs.Path(f"{path}/batch={old}")
                 p.getFileSystem(conf).delete(p, True)
 
@@ -130,9 +132,9 @@ def read_snapshot(spark: SparkSession, path: str, schema=None) -> DataFrame:
 def clean_stream(spark: SparkSession, topic: Topic, starting_offsets: str = "latest",
                  max_per_trigger: int | None = None, start: str | None = None,
                  checkpoints: tuple[str, ...] = (), lineage: bool = False) -> DataFrame:
-    """Clean events of the topic; ``start``, ``checkpoints`` and ``lineage`` as in ``read_topic_stream``."""
+    """Clean events of the topic, each with a key; ``start``, ``checkpoints`` and ``lineage`` as in ``read_topic_stream``."""
     records = read_topic_stream(spark, topic, starting_offsets, max_per_trigger, None, start, checkpoints, lineage)
-    return clean_required(parse_events(records, keep=["source_file"] if lineage else None))
+    return with_key(clean_required(parse_events(records, keep=["source_file"] if lineage else None)))
 
 
 def start_processing(spark: SparkSession, topic: Topic, processed_path: str,
@@ -240,4 +242,4 @@ def scoring_stream(spark: SparkSession, topic: Topic, model, starting_offsets: s
     """parse, strict clean (all ten columns), score, project."""
     from skyrisk.operators.ml import score
     raw = read_topic_stream(spark, topic, starting_offsets, max_per_trigger, None, start, checkpoints)
-    return score(model, clean_strict(parse_events(raw)))
+    return score(model, with_key(clean_strict(parse_events(raw))))

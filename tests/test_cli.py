@@ -96,7 +96,7 @@ def test_keyless_documents_end_to_end(spark, sf_small):
     main(["process", "--topic-path", d["t"], "--processed", d["proc"], "--aggregates", d["agg"], "--checkpoints", d["ckpt"],
           "--partition-by-date", "--width", "1 hour", "--state-partitions", "2", "--progress", d["prog"], "--starting-offsets", "earliest", "--timeout", "300"], spark)
     proc = spark.read.parquet(d["proc"])
-    assert proc.count() > 100 and proc.where("event_id is not null or city <> 'Mexico City'").count() == 0
+    assert proc.count() > 100 and proc.where("event_id is null or city <> 'Mexico City'").count() == 0 and proc.select("event_id").distinct().count() > 100
     out = main(["train", "--processed", d["proc"], "--models", d["models"], "--metrics", d["metrics"]], spark)
     assert 0.5 < out["accuracy"] <= 1.0
     q = scratch_path(spark, "q")

@@ -70,14 +70,15 @@ def test_split_without_key_is_deterministic(spark):
 
 
 def test_null_and_text_keys_split_like_keyless_rows(spark):
-    from skyrisk.operators.serving import split_by_key, training_gates
+    from skyrisk.operators.serving import keyed, split_by_key, training_gates
     from skyrisk.schemas import FEATURE_COLUMNS
     base = spark.range(0, 2000).select(
         *[(F.col("id") % (40 + i)).cast("double").alias(c) for i, c in enumerate(FEATURE_COLUMNS[:-1])],
         F.lit(1).alias("weather_code"), F.lit("X").alias("city"),
         F.timestamp_seconds("id").alias("timestamp"), F.col("id").cast("string").alias("name"))
     plain = sorted(split_by_key(base).select("name", "split").collect())
-    null = base.withColumn("event_id", F.lit(None).cast("long"))
+    null = keyed(base.withColumn("event_id", F.lit(None).cast("long")))
+    assert null.where("event_id is null").count() == 0 and keyed(null) is null
     assert sorted(split_by_key(null).select("name", "split").collect()) == plain
     for key in ("event_id", "name"):
         rows = split_by_key(null, key)
@@ -94,8 +95,34 @@ def test_newest_model_wins(spark, tmp_path):
     for v, trees in (("b", 2), ("a", 3)):
         ml.save_versioned(ml.train(base, num_trees=trees), spark, root, v)
     assert ml.load_latest(spark, root).stages[-1].getNumTrees == 3
-    for f in (tmp_path / "m" / "latest").glob("*.parquet"):
+    for f in (tmp_path / "m" / "latest").rglob("*.parquet"):
         f.write_bytes(b"damaged")
     with pytest.raises(Exception) as e:
         ml.load_latest(spark, root)
     assert not isinstance(e.value, FileNotFoundError)
+
+
+def test_sparse_ids_split_evenly(spark):
+    from skyrisk.operators.serving import split_by_key
+    for step in (1, 1024, 65_536, 1 << 22):
+        rows = spark.range(20_000).select((F.col("id") * step).alias("event_id"))
+        share = split_by_key(rows).where("split = 'train'").count() / 20_000
+        assert 0.78 < share < 0.82, step
+
+
+def test_reads_of_landed_tables_are_pruned(spark, sf_small, tmp_path):
+    """One key column is read, not what a hash of the event would need."""
+    import re
+
+    from skyrisk.operators import serving as S
+    from skyrisk.plans.catalog import processed
+    from skyrisk.schemas import FEATURE_COLUMNS, PROCESSED_SCHEMA
+    processed(spark, sf_small).write.parquet(str(tmp_path / "p"))
+    p = spark.read.schema(PROCESSED_SCHEMA).parquet(str(tmp_path / "p"))
+
+    def columns(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return {c for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) for c in re.findall(r"(\w+):", s)}
+    assert columns(S.alert_flag(p, None)) == {"event_id", "timestamp", "temperature", "precipitation", "wind_speed"}
+    assert columns(S.training_gates(p, FEATURE_COLUMNS)) == {"event_id", *FEATURE_COLUMNS}
+    assert columns(S.split_by_key(p).select("split")) == {"event_id"}
