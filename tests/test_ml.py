@@ -122,7 +122,7 @@ def test_reads_of_landed_tables_are_pruned(spark, sf_small, tmp_path):
 
     def columns(df):
         plan = df._jdf.queryExecution().executedPlan().toString()
-        return {c for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) for c in re.findall(r"(\w+):", s)}
+        return {c for s in re.findall(r"FileScan parquet \[([^\]]*)\]", plan) for c in re.findall(r"(\w+)#", s)}
     assert columns(S.alert_flag(p, None)) == {"event_id", "timestamp", "temperature", "precipitation", "wind_speed"}
     assert columns(S.training_gates(p, FEATURE_COLUMNS)) == {"event_id", *FEATURE_COLUMNS}
     assert columns(S.split_by_key(p).select("split")) == {"event_id"}
