@@ -1,11 +1,21 @@
 """Toxicity by weak supervision.
 
-Many voters, one per lexicon word, learned word beginning or pattern, each say
-"toxic" or nothing.
-A generative model of the votes given the hidden label estimates how
-often each voter fires on either class and how strongly pairs fire together
-beyond that; correlated voters share their evidence.  Its posterior labels train
-a linear classifier, which scores every document.
+Many voters, one per lexicon word, learned stem or pattern, each say "toxic" or nothing.
+A generative model of the votes given a hidden class estimates how often each voter
+fires on either class and how strongly pairs fire together beyond that; correlated
+voters share their evidence.  It is fitted by expectation-maximisation on the votes alone,
+over a sample of all documents.  Its posterior labels train a linear classifier, which
+scores every document.  Labels only say which stems of invented words become voters, which
+of the two classes is the toxic one, and where the score's scale lies.
+
+Bounds (parameters): ``SAMPLE`` documents and as many labelled rows are learned from, the
+smallest by a hash of the id; ``LEARNED`` stems become voters, the best of 20 times as
+many candidates.
+
+Rows: null, empty and blank texts have no votes; repeated rows come out each and count
+each in the sample; rows without id are scored and never learned from; texts of any length
+are read whole; equal votes give equal scores.  Without labels of both kinds the lexicon
+alone speaks; without documents the result is empty.
 """
 
 from __future__ import annotations
@@ -20,10 +30,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyrisk.llm.common import fold, keyed_text, labelled_texts, slices
+from skyrisk.llm.common import fold, key_hash, keyed_text, labelled_texts, slices, thin
 from skyrisk.session import scratch_path
 
-SAMPLE = 20_000  # labelled rows the models are fitted on, at most
+SAMPLE = 20_000  # documents the label model is fitted on, and labelled rows, at most each
 
 # Insults and slurs of the four languages of the corpus, lower case.
 LEXICON = {
@@ -46,10 +56,11 @@ PATTERNS = {
     "article_insult": r"\b(?:an?|the|such|what|total|complete|der|die|das|le|la|un|une|el|los) INSULT\b",
     "get_lost": r"\b(?:shut up|get lost|go to hell|drop dead|kill yourself)\b",
 }
-#: Voters on the number of different words hit in a text, of lexicon words and learned word beginnings together.
+#: Voters on the number of different words hit in a text, of lexicon words and learned stems together.
 COUNTS = ("two_hits", "three_hits", "hit_in_400", "hit_in_200", "hit_in_100", "hit_in_50")
-SHORTEST, LONGEST = 3, 8  # code points of a learned word beginning
-LEARNED = 256  # learned word beginnings, at most
+SHORTEST, LONGEST = 3, 10  # code points of a learned stem
+WORDS_OF_STEM = 2  # different words of a stem that make its voter speak: one may be an ordinary word
+LEARNED = 256  # learned stems, at most
 _ANY = "(?:" + "|".join(map(re.escape, sorted(WORDS, key=len, reverse=True))) + ")"
 _PATTERNS = [re.compile(p.replace("INSULT", _ANY)) for p in PATTERNS.values()]
 
@@ -64,11 +75,11 @@ def beginnings(word: str) -> list[str]:
 
 
 class Voters:
-    """All voters: lexicon words, learned word beginnings, patterns, counts of hits."""
+    """All voters: lexicon words, learned stems, patterns, counts of hits."""
 
     def __init__(self, learned: list[str]):
         self.learned = sorted(learned)
-        self.names = [f"word_{w}" for w in WORDS] + [f"begins_{w}" for w in self.learned] + list(PATTERNS) + list(COUNTS)
+        self.names = [f"word_{w}" for w in WORDS] + [f"stem_{w}" for w in self.learned] + list(PATTERNS) + list(COUNTS)
         self.word = {w: i for i, w in enumerate(WORDS)}
         self.begin = {w: len(WORDS) + i for i, w in enumerate(self.learned)}
 
@@ -93,9 +104,12 @@ class Voters:
         row = np.searchsorted(first - first[0], at, side="right") - 1
         row, at = np.divmod(np.unique(row * max(1, len(of)) + code[at]), max(1, len(of)))  # each word once a text
         for r, c in zip(row, at):
-            out[r, of[c]] = 1
-        number = np.bincount(row, minlength=len(texts))
+            out[r, of[c]] += 1
+        stems = out[:, len(WORDS):len(WORDS) + len(self.learned)]
+        stems[stems < WORDS_OF_STEM] = 0  # a silent stem's words are no hits either
         k = len(WORDS) + len(self.learned)
+        number = out[:, :k].sum(axis=1).astype(np.int64)
+        np.minimum(stems, 1, out=stems)
         for r in np.flatnonzero(number | np.asarray(pc.match_substring_regex(pc.utf8_lower(texts), PATTERNS["get_lost"]))):
             low = texts[int(r)].as_py().lower()
             out[r, k:k + len(PATTERNS)] = [p.search(low) is not None for p in _PATTERNS]
@@ -119,17 +133,15 @@ class LabelModel:
         return np.log(self.prior / (1 - self.prior)) + v @ on + (1 - v) @ off
 
 
-def fit_label_model(v: np.ndarray, y: np.ndarray, rounds: int = 25, trust: float = 0.97) -> tuple[LabelModel, np.ndarray]:
-    """(model, posterior label of each row) by expectation-maximisation.
+def fit_label_model(v: np.ndarray, rounds: int = 60) -> tuple[LabelModel, np.ndarray]:
+    """(model, posterior of class 1 for each row) by expectation-maximisation on votes alone.
 
-    The given label is one more voter, right with probability ``trust``.  Each
-    round estimates firing rates by class from the posterior labels, then the
-    correlation of every two voters within the classes; a voter's share is 1
-    over 1 plus its positive correlations with the others, so a clique of
-    copies counts once.
+    It begins with the rows that two or more voters speak on as class 1, then each round
+    estimates firing rates by class from the posterior, the correlation of every two voters
+    within the classes, and the posterior anew.  A voter's share is 1 over 1 plus its
+    positive correlations with the others, so a clique of copies counts once.
     """
-    said = np.where(y > 0, 1, -1) * np.log(trust / (1 - trust))
-    q = 1 / (1 + np.exp(-said))
+    q = np.where(v.sum(axis=1) >= 2, 0.9, 0.02)
     model = None
     for _ in range(rounds):
         w = np.stack([1 - q, q])
@@ -143,7 +155,7 @@ def fit_label_model(v: np.ndarray, y: np.ndarray, rounds: int = 25, trust: float
         np.fill_diagonal(corr, 0)
         share = 1 / (1 + np.where(corr > 0.05, corr, 0).sum(axis=1))
         model = LabelModel(fire, share, float(np.clip(q.mean(), 1e-3, 0.5)), corr)
-        new = 1 / (1 + np.exp(-np.clip(model.log_odds(v) + said, -50, 50)))
+        new = 1 / (1 + np.exp(-np.clip(model.log_odds(v), -50, 50)))
         moved = np.abs(new - q).max()
         q = new
         if moved < 1e-4:
@@ -176,12 +188,28 @@ def fit_linear(v: np.ndarray, q: np.ndarray, prior: np.ndarray, steps: int = 20,
     return Linear(w[:-1], float(w[-1]))
 
 
+def fit_scale(z: np.ndarray, y: np.ndarray, steps: int = 30) -> tuple[float, float]:
+    """(slope, shift) so that 1 / (1 + exp(-(slope * z + shift))) fits the labels y (Newton's method,
+    held near slope 1 and shift 0)."""
+    x, w = np.column_stack([z, np.ones(len(z))]), np.array([1.0, 0.0])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
+        grad = x.T @ (p - y) + 1e-2 * (w - [1.0, 0.0])
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2), grad)
+        w = w - step * min(1.0, 2 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-6:
+            break
+    return float(max(w[0], 0.05)), float(w[1])
+
+
 def _mined(batches):
-    """(beginning, toxic documents, other documents) of this task's labelled texts."""
+    """(stem, toxic documents, other documents) of this task's labelled texts, of documents
+    with as many different words of the stem as its voter needs."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for b in batches:
         for own, label in zip(words(b.column("text").cast(pa.string())).to_pylist(), b.column("label").to_pylist()):
-            seen[label > 0].update({x for w in set(own) for x in beginnings(w)})
+            of = Counter(x for w in set(own) for x in beginnings(w))
+            seen[label > 0].update([x for x, n in of.items() if n >= WORDS_OF_STEM])
     names = list(seen[0].keys() | seen[1].keys())
     for i in range(0, len(names), 100_000):
         part = names[i:i + 100_000]
@@ -189,13 +217,13 @@ def _mined(batches):
                                          names=["begin", "toxic", "other"])
 
 
-def learn_beginnings(texts: DataFrame, most: int = LEARNED) -> list[str]:
-    """Word beginnings that mark toxic texts in (text, label) rows.
+def learn_stems(texts: DataFrame, most: int = LEARNED) -> list[str]:
+    """Stems whose words mark toxic texts in (text, label) rows.
 
     Kept are those whose documents are toxic more often than not, judged by
     the lower bound of their log odds against the others, and found in four or
     more (and one in 200) of the toxic documents, so that a few copies of one
-    text teach nothing; of beginnings of one another only the one that tells
+    text teach nothing; of stems of one another only the one that tells
     most, the longer on a tie.
     """
     n = texts.agg(F.sum(F.when(F.col("label") > 0, 1).otherwise(0)).alias("t"), F.count("*").alias("n")).first()
@@ -215,15 +243,25 @@ def learn_beginnings(texts: DataFrame, most: int = LEARNED) -> list[str]:
     return kept[:most]
 
 
-def _labelled(voters: Voters):
+def _voted(voters: Voters):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             v = voters.votes(b.column("text").cast(pa.string()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([np.flatnonzero(r).tolist() for r in v], pa.list_(pa.int32())), b.column("label")],
                                              names=["doc_id", "on", "label"])
     return run
 
 
+def _votes(texts: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndarray]:
+    """(votes, label or -1) of at most ``SAMPLE`` rows of (doc_id, text, label), in an order of their own."""
+    rows = texts.mapInArrow(_voted(voters), "doc_id long, on array<int>, label int").collect()
+    rows = sorted((r["doc_id"], r["on"], -1 if r["label"] is None else r["label"]) for r in rows)
+    v = np.zeros((len(rows), len(voters.names)))
+    for i, r in enumerate(rows):
+        v[i, r[1]] = 1
+    return v, np.array([r[2] for r in rows], np.float64)
+
+
 @dataclass
 class Toxicity:
     voters: Voters
@@ -232,25 +270,31 @@ class Toxicity:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Toxicity:
-    """Voters and both models from at most ``limit`` labelled rows outside the held-out fold.
+    """Voters from at most ``limit`` labelled rows outside the held-out fold, the label model
+    and classifier from the votes on at most ``limit`` of all documents.
 
     Without rows of both labels the lexicon alone speaks, every voter alike."""
-    at = scratch_path(docs.sparkSession, "toxic-sample")
-    labelled_texts(docs, labels, "toxic", limit).select("doc_id", "text", "label").write.parquet(at)
-    texts = docs.sparkSession.read.schema("doc_id long, text string, label int").parquet(at)
-    voters = Voters(learn_beginnings(texts))
-    rows = texts.mapInArrow(_labelled(voters), "doc_id long, on array<int>, label int").collect()
-    rows = sorted((r["doc_id"], r["on"], r["label"]) for r in rows)
-    v = np.zeros((len(rows), len(voters.names)))
-    for i, r in enumerate(rows):
-        v[i, r[1]] = 1
-    y = np.array([r[2] for r in rows], np.float64)
+    spark = docs.sparkSession
+    at = [scratch_path(spark, "toxic-" + n) for n in ("labelled", "sample")]
+    labelled_texts(docs, labels, "toxic", limit).select("doc_id", "text", "label").write.parquet(at[0])
+    some = thin(keyed_text(docs).where("doc_id is not null"), "doc_id", limit)
+    some.orderBy(key_hash("doc_id"), "doc_id", "text").limit(limit).select("doc_id", "text", F.lit(None).cast("int").alias("label")).write.parquet(at[1])
+    known, some = (spark.read.schema("doc_id long, text string, label int").parquet(p) for p in at)
+    voters = Voters(learn_stems(known))
+    v, y = _votes(known, voters)
     prior = np.array([1.0 if n.startswith("word_") else 0.0 for n in voters.names])
     if not len(y) or not 0 < y.sum() < len(y):
         prior[[i for i, n in enumerate(voters.names) if n.startswith("word_")]] = 4.5
         return Toxicity(voters, None, Linear(prior, -4.0))
-    model, q = fit_label_model(v, y)
-    return Toxicity(voters, model, fit_linear(v, q, prior))
+    votes, _ = _votes(some, voters)
+    model, q = fit_label_model(votes)
+    linear = fit_linear(votes, q, prior)
+    z = v @ linear.weight + linear.bias
+    if z[y == 1].mean() < z[y == 0].mean():  # class 1 is the other one
+        linear = Linear(-linear.weight, -linear.bias)
+        z = -z
+    slope, shift = fit_scale(z, y)
+    return Toxicity(voters, model, Linear(linear.weight * slope, linear.bias * slope + shift))
 
 
 def score(docs: DataFrame, toxicity: Toxicity) -> DataFrame:
