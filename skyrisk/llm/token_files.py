@@ -29,9 +29,11 @@ PIECES = "doc_id long, start long, n_tokens long, from long, count int, crc long
 
 
 # ------------------------------------------------------------------- code
-def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
-    """Optimal code lengths of at most ``limit`` bits (package-merge); 0: unused id."""
+def code_lengths(counts: np.ndarray, limit: int | None = None) -> np.ndarray:
+    """Optimal code lengths of at most ``limit`` bits (package-merge); 0: unused id.  By
+    default ``LIMIT``, or as many bits as that many different ids need."""
     used = np.flatnonzero(counts)
+    limit = limit or max(LIMIT, (len(used) - 1).bit_length())
     if len(used) > 1 << limit:
         raise ValueError(f"{len(used)} ids do not fit into {limit} bits")
     out = np.zeros(len(counts), np.uint8)
@@ -54,23 +56,29 @@ def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     return out
 
 
+def _width(lengths: np.ndarray) -> int:
+    return max(LIMIT, int(lengths.max(initial=0)))
+
+
 def canonical(lengths: np.ndarray) -> np.ndarray:
     """Codes in the order of (length, id)."""
+    width = _width(lengths)
     codes = np.zeros(len(lengths), np.uint32)
     used = np.flatnonzero(lengths)
     used = used[np.argsort(lengths[used], kind="stable")]
     if len(used):
-        step = (1 << (LIMIT - lengths[used].astype(np.int64)))
-        codes[used] = (starts(step)[:-1] >> (LIMIT - lengths[used].astype(np.int64))).astype(np.uint32)
+        step = (1 << (width - lengths[used].astype(np.int64)))
+        codes[used] = (starts(step)[:-1] >> (width - lengths[used].astype(np.int64))).astype(np.uint32)
     return codes
 
 
 def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each ``LIMIT``-bit prefix the id and its length."""
+    """For each prefix as long as the longest code (``LIMIT`` bits at least) the id and its length."""
+    width = _width(lengths)
     used = np.flatnonzero(lengths)
     used = used[np.argsort(lengths[used], kind="stable")]
-    span = 1 << (LIMIT - lengths[used].astype(np.int64))
-    ids, bits = np.zeros(1 << LIMIT, np.uint32), np.ones(1 << LIMIT, np.uint8)
+    span = 1 << (width - lengths[used].astype(np.int64))
+    ids, bits = np.zeros(1 << width, np.uint32), np.ones(1 << width, np.uint8)
     ids[:span.sum()] = np.repeat(used, span)
     bits[:span.sum()] = np.repeat(lengths[used], span)
     return ids, bits
@@ -92,7 +100,7 @@ def decode_block(payload: bytes, n: int, checkpoints: np.ndarray, ids: np.ndarra
     """All runs between checkpoints advance together, one id a step."""
     words = np.frombuffer(payload, ">u4").astype(np.uint64)
     pairs = (words[:-1] << np.uint64(32)) | words[1:]
-    lanes = len(checkpoints)
+    lanes, width = len(checkpoints), len(ids).bit_length() - 1
     out, pos = np.zeros((STEP, lanes), np.uint32), checkpoints.astype(np.int64)
     last = n - (lanes - 1) * STEP
     for k in range(STEP):
@@ -100,7 +108,7 @@ def decode_block(payload: bytes, n: int, checkpoints: np.ndarray, ids: np.ndarra
         if not live:
             break
         p = pos[:live]
-        look = (pairs[p >> 5] >> (64 - LIMIT - (p & 31)).astype(np.uint64)) & np.uint64((1 << LIMIT) - 1)
+        look = (pairs[p >> 5] >> (64 - width - (p & 31)).astype(np.uint64)) & np.uint64((1 << width) - 1)
         out[k, :live] = ids[look]
         p += bits[look]
     return out.T.reshape(-1)[:n]

@@ -22,6 +22,8 @@ from skyrisk.llm.common import keyed_text, slices, starts
 GRAM, WINDOW = 16, 24
 BASE = 0x9E3779B97F4A7C15  # odd multiplier of the rolling hash
 CHUNK = 1 << 20
+RANGE_BYTES, RANGES = 16 << 20, 20_000
+CHOICE = np.dtype([("hash", ">u8"), ("position", ">u4")])  # one choice of a shown fingerprint
 
 
 def gram_hashes(cp: np.ndarray, k: int = GRAM) -> np.ndarray:
@@ -97,6 +99,23 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def shown(h: np.ndarray, at: np.ndarray) -> str:
+    """A fingerprint as text: hash and position of every choice in hexadecimal."""
+    out = np.empty(len(h), CHOICE)
+    out["hash"], out["position"] = h, at
+    return out.tobytes().hex()
+
+
+def read_shown(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, positions) of a fingerprint's text."""
+    got = np.frombuffer(bytes.fromhex(fingerprint), CHOICE)
+    return got["hash"].astype(np.uint64), got["position"].astype(np.int64)
+
+
+def shown_likeness(a: str, b: str) -> float:
+    return likeness(*(np.unique(read_shown(x)[0]) for x in (a, b)))
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
@@ -117,14 +136,16 @@ def neighbour_ranges(docs: DataFrame) -> DataFrame:
     """(bucket, doc_id, text, halo): texts in ranges of descending id, each range
     closed by the first row of the next one (the last by the very first).
 
-    Range borders are quantiles of the ids, as many as there are shuffle
-    partitions; only they reach the driver.  The table of each range's first
+    Range borders are quantiles of the ids, one range for ``RANGE_BYTES`` of text (a few
+    for each core at least, ``RANGES`` at most: a range is streamed, so its size bounds no
+    memory); only they reach the driver.  The table of each range's first
     row (an id and a hash) has as many rows, so it is broadcast.  Rows of one id
     follow each other by text hash, ids that are null come last.
     """
     spark = docs.sparkSession
     d = keyed_text(docs).withColumn("h", F.xxhash64("text")).withColumn("place", F.col("doc_id").cast("double"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = d.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    n = min(RANGES, max(2 * spark.sparkContext.defaultParallelism, size // RANGE_BYTES))
     q = sorted(set(d.approxQuantile("place", [i / n for i in range(1, n)], 1 / (4 * n))))
     if len(q) > 0:
         d = Bucketizer(splits=[float("-inf"), *q, float("inf")], inputCol="place", outputCol="above", handleInvalid="keep").transform(d)
@@ -157,29 +178,30 @@ def edited(text: str, nxt: str) -> str:
 def compared(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
     """Each row's fingerprint against its edited text's and the next document's.
 
-    ``fingerprint`` strings are the first 32 bits of the chosen hashes in order of
-    position, 8 hex digits each.  The next of the only row is itself.
+    ``fingerprint`` strings list the chosen hashes in order of position: 16 hex digits of
+    the hash and 8 of its position each.  ``near_*`` are the likeness of the sets of those
+    hashes (``shown_likeness`` gives it from the strings).  The next of the only row is itself.
     """
     schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
     names = [c.split()[0] for c in schema.split(", ")]
 
     def one(text):
-        h, _ = winnow(code_points(text), k, w)
-        return (h >> np.uint64(32)).astype(">u4").tobytes().hex(), np.unique(h)
+        h, at = winnow(code_points(text), k, w)
+        return shown(h, at), np.unique(h)
 
     def run(batches):
         held = None
         for s in slices(batches):
             out = []
             for bucket, doc, text, halo in zip(*(s.column(c).to_pylist() for c in ("bucket", "doc_id", "text", "halo"))):
-                shown, own = one(text)
+                name, own = one(text)
                 if held is not None and held[0] == bucket:
                     _, prev, t, f, a = held
                     e = edited(t, text)
                     fe, b = one(e)
                     out.append((prev, len(t), hashlib.sha256(e.encode()).hexdigest(), f, fe, likeness(a, b), likeness(a, own)))
-                held = None if halo else (bucket, doc, text, shown, own)
+                held = None if halo else (bucket, doc, text, name, own)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), _OUT)], names=names)
     return neighbour_ranges(docs).mapInArrow(run, schema)

@@ -106,6 +106,18 @@ def test_empty_table(spark, empty_docs):
     assert T.document_checksums(spark, path).count() == 0
 
 
+def test_more_ids_than_sixteen_bits_number():
+    rng = np.random.default_rng(8)
+    ids = np.concatenate([np.arange(150_000), rng.integers(0, 3000, 60_000)])
+    lengths = T.code_lengths(np.bincount(ids, minlength=160_000))
+    assert lengths.max() > 16 and (2.0 ** -lengths[lengths > 0].astype(float)).sum() == 1
+    codes, table = T.canonical(lengths), T.decode_table(lengths)
+    for lo in range(0, len(ids), T.BLOCK):
+        part = ids[lo:lo + T.BLOCK]
+        payload, _, marks = T.encode_block(part, codes, lengths)
+        assert (T.decode_block(payload, len(part), marks, *table) == part).all()
+
+
 @pytest.mark.parametrize("name, word_ends", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
 def test_cached_encoder_as_the_library(name, word_ends, docs):
     """Chunks and single words give the ids of the whole text; a small cache turns over."""

@@ -69,8 +69,8 @@ def want(rows):
         def near(a, b):
             a, b = {h for h, _ in a}, {h for h, _ in b}
             return len(a & b) / len(a | b) if a | b else 1.0
-        out.append((doc, len(text), hashlib.sha256(e.encode()).hexdigest(), "".join(f"{h >> 32:08x}" for h, _ in f),
-                    "".join(f"{h >> 32:08x}" for h, _ in fe), near(f, fe), near(f, fn)))
+        out.append((doc, len(text), hashlib.sha256(e.encode()).hexdigest(), "".join(f"{h:016x}{p:08x}" for h, p in f),
+                    "".join(f"{h:016x}{p:08x}" for h, p in fe), near(f, fe), near(f, fn)))
     return sorted(out)
 
 
@@ -107,3 +107,15 @@ def test_documents(docs):
         k = len(text) // 3
         assert got[doc]["edited_sha256"] == hashlib.sha256((text[:len(text) - k] + nxt[:k]).encode()).hexdigest()
         assert got[doc]["n_chars"] == len(text)
+
+
+def test_likeness_follows_from_what_is_shown(docs):
+    got = W.compared(docs).collect()
+    by_next = sorted((r for r in got), key=lambda r: -r["doc_id"])
+    for r, nxt in zip(by_next, by_next[1:] + by_next[:1]):
+        assert r["near_edited"] == W.shown_likeness(r["fingerprint"], r["edited_fingerprint"])
+        assert r["near_next"] == W.shown_likeness(r["fingerprint"], nxt["fingerprint"])
+    whole = {r["doc_id"]: r for r in W.document_fingerprints(docs).collect()}
+    for r in got[:50]:
+        h, at = W.read_shown(r["fingerprint"])
+        assert h.astype(np.int64).tolist() == whole[r["doc_id"]]["hashes"] and at.tolist() == whole[r["doc_id"]]["positions"]
