@@ -8,6 +8,10 @@ set into sampled lines, and adds the spans that lie within no span of a rule.
 
 A chain is a whole line, of any length.  Token scores depend on the token's
 string and its neighbours' strings only, so they are computed once per string.
+
+Rows: null and empty texts have no spans; repeated rows and rows without id are scanned
+each; equal lines in files of equal features get equal tags, ties going to the lower tag;
+an empty table gives no rows, its field being fitted on made-up secrets alone.
 """
 
 from __future__ import annotations
@@ -258,6 +262,20 @@ def fit(x: np.ndarray, g: np.ndarray, y: np.ndarray, first: np.ndarray, size: np
 
 # ---------------------------------------------------------------- learning
 _ODD = re.compile("[0-9].{6}")  # strings with digits that no rule calls a secret
+
+
+_MAIL = re.compile(r"[^@]+@[^@]+\.[A-Za-z]+\W*")
+
+
+def _unknown(w: str) -> bool:
+    """Random-looking strings with letters and digits: no rule calls them secrets, but they
+    may be, so nothing is learned from their lines."""
+    n = len(w)
+    if n < 16 or not re.search("[0-9]", w) or not re.search("[A-Za-z]", w) or _MAIL.fullmatch(w):
+        return False
+    return -sum(c / n * math.log2(c / n) for c in Counter(w).values()) >= 3.2
+
+
 _ALPHABETS = ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
               "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "abcdefghijklmnopqrstuvwxyz0123456789-_")
 _KEYS = ("password", "pwd", "secret", "token", "api_key", "auth_token", "client_secret", "access_key", "DB_PASSWORD", "bearer", "private_key")
@@ -298,7 +316,7 @@ def _sampled(batches):
         rows = []
         for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
             found = tagged_lines(text)
-            plain = sorted((x for x in found if not any(x[1])), key=lambda x: hashlib.md5(" ".join(x[0][:64]).encode()).digest())
+            plain = sorted((x for x in found if not any(x[1]) and not any(map(_unknown, x[0]))), key=lambda x: hashlib.md5(" ".join(x[0][:64]).encode()).digest())
             odd = [x for x in plain if any(map(_ODD.search, x[0]))]
             for kind, group in enumerate((plain[:1], odd[:2], [x for x in found if any(x[1])][:8])):
                 for words, tags in group:
@@ -314,7 +332,11 @@ def _sampled(batches):
 def train(docs: DataFrame, documents: int = DOCS, most: int = LINES) -> Field:
     """The field, from lines of at most ``documents`` documents (smallest id hashes),
     at most ``most`` of each kind, plus made-up secrets, each in a line of its document
-    and in a text of that line only: few sampled documents are that short."""
+    and in a text of that line only: few sampled documents are that short.
+
+    A document gives at most 8 lines with secrets, 2 with other strings of digits and one
+    plain line, each cut to the 64 tokens from 24 before its first such string on.  Lines
+    with random-looking strings that no rule knows are left out."""
     d = keyed_text(docs)
     ids = thin(d.select("doc_id").where("doc_id is not null"), "doc_id", documents).distinct() \
         .orderBy(key_hash("doc_id"), "doc_id").limit(documents)
@@ -495,10 +517,12 @@ def redact(docs: DataFrame, documents: int = DOCS) -> DataFrame:
             cols = list(b.columns)
             old = cols[at].to_pylist()
             new, clean = list(old), pa.array([t or "" for t in old], pa.string())
-            for lo in range(0, len(old), 1024):
-                for i, s in enumerate(scan.spans(clean.slice(lo, 1024)), lo):
+            i = 0
+            for part in slices([pa.RecordBatch.from_arrays([clean], names=["text"])]):
+                for s in scan.spans(part.column("text")):
                     if s:
                         new[i] = redacted(old[i], s)
+                    i += 1
             cols[at] = pa.array(new, cols[at].type)
             if count is not None:
                 n = cols[count].to_pylist()
