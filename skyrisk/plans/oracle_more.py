@@ -549,7 +549,7 @@ FROM events GROUP BY event_id % 2, user_id % 8""",
        CAST(sum(CASE WHEN event_id % 13 = 0 THEN 0 ELSE user_id * 2 END) AS BIGINT) AS executorRunMs, min(epoch_us(ts) // 1000) AS firstLaunchMs,
        max(epoch_us(ts) // 1000 + user_id) AS lastFinishMs
 FROM events GROUP BY event_id % 2, event_id % 100, event_id % 3""",
-    "ml_score_classes": TEST_ROWS + """SELECT risk_label, count(*) AS rows, CASE WHEN risk_label = 2 THEN true END AS criticals_found
+    "ml_score_classes": TEST_ROWS + """SELECT risk_label, count(*) AS rows, true AS apart
 FROM test GROUP BY risk_label""",
     "stream_window_update": ABASE + "SELECT * FROM aggregates",
     "stream_open_windows": BASE + f"""SELECT * FROM ({window_sql('hour')}) w
