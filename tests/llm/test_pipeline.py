@@ -47,3 +47,15 @@ def test_entry_without_the_subpackage():
             "import __spark_entry__ as e; q = e.queries(); assert 'kpi_summary' in q and not any(n.startswith('op') and n[2].isdigit() for n in q)\n"
             "assert set(e.oracle_sql()) <= set(q)")
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_whole_run_on_odd_and_empty_tables(spark, tmp_path, odd_docs, empty_docs, odd_labels, no_labels):
+    for name, docs, labels in (("odd", odd_docs, odd_labels), ("empty", empty_docs, no_labels)):
+        at = tmp_path / name
+        flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).selectExpr("c0 doc_id", "c1 text", "c2 lang", "c3 source", "c4 n_chars")
+        flat.write.parquet(str(at / "documents.parquet"))
+        labels.write.parquet(str(at / "labels.parquet"))
+        pieces = corpus_pipeline.run(spark, str(at))
+        assert {r["doc_id"] for r in pieces.collect()} <= {r["doc_id"] for r in flat.collect()}
+        if name == "empty":
+            assert pieces.count() == 0
