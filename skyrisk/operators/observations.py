@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from skyrisk.functions import randomness as R
 from skyrisk.functions.timeparse import EVENT_TIME_FORMAT
 from skyrisk.operators.ordinal import with_ordinal
-from skyrisk.schemas import EVENT_COLUMNS, HOURLY_TO_EVENT
-
-DEFAULT_CITY = "Mexico City"    # fixed value: default city name
+from skyrisk.schemas import DEFAULT_CITY, EVENT_COLUMNS, HOURLY_TO_EVENT
 
 
 # ---------------------------------------------------------------- B9, B10

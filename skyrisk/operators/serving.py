@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyrisk.functions.rules import is_critical
-from skyrisk.schemas import AGGREGATE_COLUMNS, EVENT_COLUMNS, RISK_CLASSES
+from skyrisk.schemas import AGGREGATE_COLUMNS, DEFAULT_CITY, EVENT_COLUMNS, RISK_CLASSES
 
 
 # ---------------------------------------------------------------- C2
@@ -234,8 +234,7 @@ def alert_flag(processed: DataFrame, predictions: DataFrame | None, recent: int
 
 
 # ---------------------------------------------------------------- B18
-# Default city of a BI row, BI column names and their sources.
-BI_DEFAULT_CITY = "Mexico City"
+# BI column names and their sources.
 BI_COLUMNS = [
     ("AvgTemperature", "avg_temperature"), ("MaxTemperature", "max_temperature"),
     ("MinTemperature", "min_temperature"), ("AvgHumidity", "avg_humidity"),
@@ -259,8 +258,8 @@ def bi_rows(aggregates: DataFrame, with_push_time: bool = True) -> DataFrame:
     cols += [
         F.date_format("window_start", iso).alias("WindowStart"),
         F.date_format("window_end", iso).alias("WindowEnd"),
-        (F.coalesce(F.col("city"), F.lit(BI_DEFAULT_CITY)) if "city" in aggregates.columns
-         else F.lit(BI_DEFAULT_CITY)).alias("City"),
+        (F.coalesce(F.col("city"), F.lit(DEFAULT_CITY)) if "city" in aggregates.columns
+         else F.lit(DEFAULT_CITY)).alias("City"),
     ]
     cols += [num(src).alias(dst) for dst, src in BI_COLUMNS]
     cols.append((F.coalesce(F.col("event_count"), F.lit(0)) if "event_count" in aggregates.columns

@@ -167,7 +167,8 @@ def q_window_tail(spark, sf_dir):
 
 def _dated_folder(spark, df, time_col, date_col, name):
     path = scratch_path(spark, name)
-    df.withColumn(date_col, F.to_date(time_col)).repartition(date_col) \
+    # few files a day, and a large day over several tasks
+    df.withColumn(date_col, F.to_date(time_col)).hint("rebalance", date_col) \
         .write.partitionBy(date_col).parquet(path)
     return path
 
