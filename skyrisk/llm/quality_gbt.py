@@ -2,6 +2,11 @@
 
 Trees are full binary trees of one depth, flattened into arrays by node
 number, so a batch of documents walks all of them together.
+
+Rows: null, empty and blank texts have statistics of 0 and a score like any other; repeated
+rows are scored each and alike; texts of any length are read whole; of splits of equal gain
+the first statistic's lowest cut counts, and a value equal to a cut goes left; an empty table
+gives no rows.  At most ``SAMPLE`` labelled rows are learned from.
 """
 
 from __future__ import annotations
