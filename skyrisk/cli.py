@@ -275,13 +275,15 @@ def cmd_bi_push(spark: SparkSession, a) -> dict:
 
 
 def cmd_run_stats(spark: SparkSession, a) -> dict:
-    """Statistics per application log, rows and rates per run of a streaming query, or
-    what a file topic holds that the stream has not landed."""
+    """Statistics per application log, rows and rates per run of a streaming query, what a
+    file topic holds that the stream has not landed, windows that a stopped stream has not
+    emitted, or files of a landed folder that a scan skips."""
     from skyrisk.operators import runstats
     from skyrisk.sinks import files as sink
-    from skyrisk.sources.files import scan_event_log
+    from skyrisk.sources.files import scan_event_log, scan_parquet, skipped_files
     from skyrisk.streaming import backlog as B
     from skyrisk.streaming.progress import progress_frame, throughput, throughput_wall
+    from skyrisk.streaming.state import open_windows
 
     def progress():
         return progress_frame(spark.read.schema("value string").text(a.progress))
@@ -292,6 +294,8 @@ def cmd_run_stats(spark: SparkSession, a) -> dict:
           "wall-clock": lambda: throughput_wall(progress()),
           "backlog": lambda: B.backlog(B.events_behind(spark, _topic(a), B.landed_events(spark, a.processed),
                                                        f"{a.checkpoints}/start" if a.checkpoints else None)),
+          "open-windows": lambda: open_windows(spark, f"{a.checkpoints}/aggregates"),
+          "skipped": lambda: skipped_files(spark, a.processed, scan_parquet(spark, a.processed, PROCESSED_SCHEMA, skip_corrupt=True)),
           "jobs": lambda: runstats.job_duration_stats(runstats.jobs_from_event_log(log())),
           "stages": lambda: runstats.stage_totals(runstats.stages_from_event_log(log())),
           "executors": lambda: runstats.executor_report(runstats.executors_from_event_log(log()), ["log", "failedTasks", "killedTasks"]),
@@ -375,15 +379,15 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--timeout", type=float)
 
     s = sub.add_parser("run-stats", help="statistics of past runs")
-    s.add_argument("kind", choices=["jobs", "stages", "executors", "attempts", "throughput", "wall-clock", "backlog"])
+    s.add_argument("kind", choices=["jobs", "stages", "executors", "attempts", "throughput", "wall-clock", "backlog", "open-windows", "skipped"])
     s.add_argument("--event-log", help="event log file or folder")
     s.add_argument("--progress", help="progress folder of process")
     s.add_argument("--topic-format", default="files", choices=["files"])
     s.add_argument("--topic-path", help="topic (backlog)")
     s.add_argument("--topic-name", default="weather_stream")
     s.add_argument("--bootstrap")
-    s.add_argument("--processed", help="landed events (backlog)")
-    s.add_argument("--checkpoints", help="checkpoints of process (backlog): its start counts")
+    s.add_argument("--processed", help="landed events (backlog, skipped)")
+    s.add_argument("--checkpoints", help="checkpoints of process (backlog, open-windows)")
     s.add_argument("--out", required=True)
     return ap
 

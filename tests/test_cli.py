@@ -1,5 +1,7 @@
 """The job command line end to end on a file topic (in-process)."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +123,12 @@ def test_keyless_documents_end_to_end(spark, sf_small):
     assert {r["name"]: r["sent"] for r in spark.read.json(o).collect()} == rates
 
 
+def scan_count(spark, path, column):
+    from skyrisk.schemas import AGGREGATE_SCHEMA
+    from skyrisk.sources.files import scan_parquet
+    return scan_parquet(spark, path, AGGREGATE_SCHEMA).agg(F.sum(column)).first()[0] or 0
+
+
 def test_latest_zones_backlog_and_counter(spark, sf_small):
     """A job from "latest" over two producer runs, its zone maps, and what it is behind."""
     import json
@@ -147,6 +155,17 @@ def test_latest_zones_backlog_and_counter(spark, sf_small):
     assert ids(d["proc"]) == list(range(300, 800)) and behind() == [(0, 0)]
     third = main(["produce", "--synthetic", "10", "--topic-path", d["t"]], spark)
     assert third["first"] == 800
+    o = scratch_path(spark, "open")
+    main(["run-stats", "open-windows", "--checkpoints", d["ckpt"], "--out", o], spark)
+    closed = scan_count(spark, d["agg"], "event_count")
+    assert closed + (spark.read.json(o).agg(F.sum("event_count")).first()[0] or 0) == 500
+    spark.createDataFrame([("x",)], "value string").coalesce(1).write.text(d["plain"] + "-bad")
+    bad = spark.read.format("binaryFile").load(d["plain"] + "-bad").first()["path"].removeprefix("file:")
+    spark.read.parquet(d["proc"]).write.parquet(d["plain"] + "-proc")
+    shutil.copy(bad, d["plain"] + "-proc/bad.parquet")
+    o = scratch_path(spark, "skipped")
+    main(["run-stats", "skipped", "--processed", d["plain"] + "-proc", "--out", o], spark)
+    assert [r["status"] for r in spark.read.json(o).collect()] == ["corrupt"]
     answers = {}
     for name in ("latest", "timeseries", "window-tail", "alerts", "summary", "all"):
         for more in ([], ["--zones", d["zones"]]):
