@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,8 @@ ENCODE = 1 << 20     # code points encoded at once
 CONTROL = re.compile(r"([\[<])(\\*)(/?INST\]|/?ROLE\]|TEXT\]|/?s>)")
 ESCAPED = re.compile(r"([\[<])\\(\\*)(/?INST\]|/?ROLE\]|TEXT\]|/?s>)")
 TURN = re.compile(r"\[INST\] (.*?) \[/INST\]\n|<s>(.*?)</s>\n|\[ROLE\](.*?)\[TEXT\](.*?)\[/ROLE\]\n", re.S)
-FORMATTED = ("conv_id long, segment long, n_turns int, text string, ids array<int>, starts array<int>, ends array<int>, "
-             "loss_token array<int>, loss_start array<int>, loss_end array<int>")
+FORMATTED = {"conv_id": "long", "segment": "long", "n_turns": "int", "text": "string", "ids": "array<int>", "starts": "array<int>",
+             "ends": "array<int>", "loss_token": "array<int>", "loss_start": "array<int>", "loss_end": "array<int>"}
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
@@ -108,6 +109,14 @@ def turns(conversations: DataFrame) -> DataFrame:
         .select("conv_id", "turn", F.xxhash64("role", "text").alias("tie"), "role", "text")
 
 
+def _column(values, kind: pa.DataType) -> pa.Array:
+    """An Arrow column; lists are put together at once."""
+    if not pa.types.is_list(kind):
+        return pa.array(values, kind)
+    ends = starts(np.fromiter(map(len, values), np.int64, len(values)))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.asarray(v, np.int32) for v in values])))
+
+
 _TOKENIZERS: dict[str, object] = {}
 
 
@@ -122,18 +131,23 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-def _format(path: str, several: bool):
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), *[pa.list_(pa.int32())] * 6]
-    names = [c.split()[0] for c in FORMATTED.split(", ")]
+ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+
+
+def _format(path: str, several: bool, names: list[str]):
+    """Formatted rows; of their columns only ``names`` leave the task."""
+    types = [ARROW[FORMATTED[n]] for n in names]
 
     def encoded(ready):
         rows = []
         for (conv, segment, text, spans), e in zip(ready, _tokenizer(path).encode_batch([r[2] for r in ready], add_special_tokens=False)):
-            at = np.array(e.offsets, np.int32).reshape(-1, 2)
+            at = np.fromiter(chain.from_iterable(e.offsets), np.int32, 2 * len(e)).reshape(-1, 2)
             span = np.array([s for s in spans if s[1] > s[0]], np.int64).reshape(-1, 2)
             mask = loss_mask(span[:, 0], span[:, 1], at[:, 0], at[:, 1])
-            rows.append((conv, segment, len(spans), text, np.array(e.ids, np.int32), at[:, 0], at[:, 1], *(m.astype(np.int32) for m in mask)))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+            lists = [m.astype(np.int32) for m in mask]
+            row = dict(zip(FORMATTED, (conv, segment, len(spans), text, e.ids if "ids" in names else None, at[:, 0], at[:, 1], *lists)))
+            rows.append([row[n] for n in names])
+        return pa.RecordBatch.from_arrays([_column(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     def run(batches):
         base, number, held = TaskContext.get().partitionId() << 32, 0, 0
@@ -177,19 +191,19 @@ def _split(conversations: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return rows.join(long, same, "left_anti"), rows.join(long, same, "left_semi")
 
 
-def _formatted(conversations: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame | None]:
-    order = ["conv_id", "turn", "tie"]
+def _formatted(conversations: DataFrame, tokenizer: str, names: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    order, schema = ["conv_id", "turn", "tie"], ", ".join(f"{n} {FORMATTED[n]}" for n in names)
     few, many = _split(conversations)
-    few = few.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(_format(tokenizer, False), FORMATTED)
+    few = few.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(_format(tokenizer, False, names), schema)
     if many is not None:
-        many = many.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_format(tokenizer, True), FORMATTED)
+        many = many.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_format(tokenizer, True, names), schema)
     return few, many
 
 
 def formatted(conversations: DataFrame, tokenizer: str) -> DataFrame:
     """(conv_id, segment, n_turns, text, ids, starts, ends, loss_token, loss_start, loss_end): offsets
     in code points of ``text``; loss_* list the tokens trained on and their parts under the mask."""
-    few, many = _formatted(conversations, tokenizer)
+    few, many = _formatted(conversations, tokenizer, list(FORMATTED))
     return few if many is None else few.unionAll(many)
 
 
@@ -230,10 +244,9 @@ def digested(conversations: DataFrame, tokenizer: str) -> DataFrame:
 
     A long conversation's segments pass through one task in order, as a digest is
     sequential; the task holds one batch of segments at a time."""
-    few, many = _formatted(conversations, tokenizer)
-    needed = ["conv_id", "segment", "text", "loss_start", "loss_end"]
-    out = few.select(*needed).mapInArrow(_read_back, DIGEST)
+    few, many = _formatted(conversations, tokenizer, ["conv_id", "segment", "text", "loss_start", "loss_end"])
+    out = few.mapInArrow(_read_back, DIGEST)
     if many is not None:
-        segments = many.select(*needed).repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+        segments = many.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
         out = out.unionAll(segments.mapInArrow(_read_back, DIGEST))
     return out
