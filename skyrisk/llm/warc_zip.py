@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyrisk.llm.common import pick
+from skyrisk.session import scratch_path
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PACKAGE_BYTES, RANGE_BYTES = 128 << 20, 4 << 20
@@ -139,6 +140,9 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = 0, package_by
     d = d.withColumn("sha", F.sha1("payload"))
     again = d.where(F.octet_length("payload") >= min_payload).groupBy("sha") \
         .agg(F.min("page_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    spark, repeats = pages.sparkSession, scratch_path(pages.sparkSession, "repeated-payloads")
+    again.write.parquet(repeats)  # its size is known then: small, it is broadcast and no payload is shuffled
+    again = spark.read.parquet(repeats)
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     d.join(again, "sha", "left").select("page_id", "url", "payload", "sha", refers.alias("refers_to")) \
         .mapInArrow(_write(f"{path}/archives", package_bytes), "path string, records long").write.parquet(f"{path}/packages")
