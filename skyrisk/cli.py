@@ -83,8 +83,17 @@ def cmd_produce(spark: SparkSession, a) -> dict:
     return {"topic": a.topic_path or a.topic_name, "run": run, "first": sent.first, "count": sent.count, "again": sent.done}
 
 
-def cmd_process(spark: SparkSession, a) -> dict:
+def _start_zones(spark: SparkSession, a, *landed: tuple[str, str, str]) -> list:
+    """Streams that keep the zone maps of (name, path, time column) tables up to date."""
     from skyrisk.sources.zones import start_zones
+    from skyrisk.streaming import jobs
+    for _, path, _ in landed:
+        jobs.ensure_dir(spark, path)
+    return [start_zones(spark, path, time_col, f"{a.zones}/{name}", f"{a.checkpoints}/zones-{name}", a.trigger, name=f"zones-{name}")
+            for name, path, time_col in landed]
+
+
+def cmd_process(spark: SparkSession, a) -> dict:
     from skyrisk.streaming import jobs
     listener = None
     if a.progress:
@@ -93,11 +102,7 @@ def cmd_process(spark: SparkSession, a) -> dict:
         spark.streams.addListener(listener)
 
     def zones():
-        landed = (("processed", a.processed, "timestamp"), ("aggregates", a.aggregates, "window_start"))
-        for _, path, _ in landed:
-            jobs.ensure_dir(spark, path)
-        return [start_zones(spark, path, time_col, f"{a.zones}/{name}", f"{a.checkpoints}/zones-{name}", a.trigger, name=f"zones-{name}")
-                for name, path, time_col in landed]
+        return _start_zones(spark, a, ("processed", a.processed, "timestamp"), ("aggregates", a.aggregates, "window_start"))
     try:
         qs = jobs.start_processing(spark, _topic(a), a.processed, a.aggregates, a.checkpoints,
                                    trigger=a.trigger, starting_offsets=a.starting_offsets,
@@ -167,7 +172,14 @@ def cmd_predict(spark: SparkSession, a) -> dict:
     qs = [jobs.parquet_sink(scored, a.predictions, checkpoint, "append", a.trigger)]
     if a.console:
         qs.append(jobs.console_sink(scored, trigger=a.trigger))
+    drained, landed = a.trigger in (None, "availableNow"), ("predictions", a.predictions, "timestamp")
+    if a.zones and not drained:
+        qs += _start_zones(spark, a, landed)
     jobs.await_all(spark, qs, a.timeout)
+    if a.zones and drained:
+        more = _start_zones(spark, a, landed)
+        qs += more
+        jobs.await_all(spark, more, a.timeout)
     return {"queries": len(qs)}
 
 
@@ -215,6 +227,9 @@ def serving_query(spark: SparkSession, name: str, processed: str | None,
     def R():
         return scan_parquet(spark, predictions, PREDICTION_SCHEMA)
 
+    def R_newest(n):
+        return scan_newest(spark, predictions, f"{zones}/predictions", PREDICTION_SCHEMA, n) if zones else R()
+
     def by_key(df, n, asc=False):
         df = S.keyed(df)
         rows = df.withColumn("__key", S.row_key(df))
@@ -223,7 +238,7 @@ def serving_query(spark: SparkSession, name: str, processed: str | None,
     if name == "kpi":
         return S.kpi_summary(P())
     if name == "alerts":
-        return S.alert_flag(S.keyed(P_newest(S.RECENT)), S.keyed(R()) if predictions else None)
+        return S.alert_flag(S.keyed(P_newest(S.RECENT)), S.keyed(R_newest(S.RECENT)) if predictions else None)
     if name == "latest":
         return S.newest(A_newest(limit or 10), limit or 10, "window_start", ["city"])
     if name == "all":
@@ -236,14 +251,14 @@ def serving_query(spark: SparkSession, name: str, processed: str | None,
     if name == "prediction-distribution":
         return S.prediction_distribution(R())
     if name == "status":
-        tables = {"processed": P(), "aggregates": A()}
-        if predictions:
-            tables["predictions"] = R()
-        return S.dataset_status(tables, spark)
+        folders = {"processed": processed, "aggregates": aggregates} | ({"predictions": predictions} if predictions else {})
+        if not since:
+            return S.landed_status(spark, folders)
+        return S.dataset_status({"processed": P(), "aggregates": A()} | ({"predictions": R()} if predictions else {}), spark)
     if name == "bi-rows":
         return S.bi_rows(S.latest_per_key(A(), "city", "window_start"))
     if name == "latest-predictions":
-        return S.present_columns(by_key(R().where(F.col("timestamp").isNotNull()), limit or 20),
+        return S.present_columns(by_key(R_newest(limit or 20).where(F.col("timestamp").isNotNull()), limit or 20),
                                  PREDICTION_VIEW)
     if name == "timeseries":
         return by_key(P_newest(limit or 500), limit or 500, asc=True)
@@ -357,6 +372,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--models", required=True)
     r.add_argument("--predictions", required=True)
     r.add_argument("--console", action="store_true")
+    r.add_argument("--zones", help="folder for the zone map of predictions (for query --zones)")
     r.add_argument("--timeout", type=float)
 
     q = sub.add_parser("query", help="a read-side query written to a file")
@@ -367,7 +383,7 @@ def parser() -> argparse.ArgumentParser:
     q.add_argument("--limit", type=int)
     q.add_argument("--pool", type=int, default=1000, help="windows that summary looks at")
     q.add_argument("--since", help="first day to read of tables partitioned by date")
-    q.add_argument("--zones", help="zone maps that process wrote")
+    q.add_argument("--zones", help="zone maps that process and predict wrote")
     q.add_argument("--out", required=True)
     q.add_argument("--format", default="json", choices=["json", "csv", "parquet"])
 

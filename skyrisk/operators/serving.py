@@ -161,15 +161,18 @@ def tail_ascending(df: DataFrame, n: int, time_col: str, tie_cols: list[str]) ->
 
 
 def latest_per_key(df: DataFrame, key: str, time_col: str) -> DataFrame:
-    """Newest row per key ((key, time) assumed unique); rows without a time
-    do not count.
+    """Newest row per key; rows without a time do not count.  Of rows with equal key and
+    time (a window landed twice) one counts, whole, by a hash of its columns.
 
-    One pass: ``max_by`` of every other column by the time.  Fixed-width
-    columns keep it a HashAggregate with a partial step, so a hot key is
-    reduced on every map task (``max_by`` over a struct would sort).
+    One pass: ``max_by`` of every other column by time and hash, which are the digits of
+    one decimal.  Fixed-width columns keep it a HashAggregate with a partial step, so a hot
+    key is reduced on every map task (``max_by`` over a struct would sort).
     """
-    picked = df.where(F.col(time_col).isNotNull()).groupBy(key).agg(
-        *[F.max(c).alias(c) if c == time_col else F.max_by(c, time_col).alias(c)
+    base = F.lit(10**18).cast("decimal(19,0)")
+    order = F.unix_micros(F.col(time_col).cast("timestamp")).cast("decimal(18,0)") * base \
+        + F.pmod(F.xxhash64(*df.columns), F.lit(10**18)).cast("decimal(18,0)")
+    picked = df.where(F.col(time_col).isNotNull()).withColumn("__order", order).groupBy(key).agg(
+        *[F.max(c).alias(c) if c == time_col else F.max_by(c, "__order").alias(c)
           for c in df.columns if c != key])
     return picked.select(*df.columns)
 

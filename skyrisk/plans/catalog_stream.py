@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from skyrisk.operators.clean import clean_required
 from skyrisk.operators.parse import parse_events
 from skyrisk.operators.windows import window_statistics
-from skyrisk.operators.serving import newest, tail_ascending
+from skyrisk.operators.serving import RECENT, alert_flag, newest, present_columns, tail_ascending
 from skyrisk.plans.catalog import WINDOW_ROUND, aggregates, processed, query, weather
+from skyrisk.plans.catalog_serving import predictions
 from skyrisk.plans.present import present
-from skyrisk.schemas import AGGREGATE_SCHEMA, EVENT_COLUMNS, PROCESSED_SCHEMA
+from skyrisk.schemas import AGGREGATE_SCHEMA, EVENT_COLUMNS, PREDICTION_SCHEMA, PREDICTION_VIEW, PROCESSED_SCHEMA
 from skyrisk.session import scratch_path
 from skyrisk.sinks.topic import to_records, write_topic
 from skyrisk.sources import fixture as fx
@@ -303,6 +304,22 @@ def q_timeseries_tail_zoned(spark, sf_dir):
                                   500, "timestamp", ["event_id"]))
 
 
+@query("latest_predictions_zoned")
+def q_latest_predictions_zoned(spark, sf_dir):
+    """D3 over an unpartitioned folder through its zone map."""
+    path, zones = zoned_table(spark, sf_dir, predictions(spark, sf_dir), "timestamp", "predictions-zoned")
+    rows = scan_newest(spark, path, zones, PREDICTION_SCHEMA, 20).where(F.col("timestamp").isNotNull())
+    return present(present_columns(newest(rows, 20, "timestamp", ["event_id"]), ["event_id"] + PREDICTION_VIEW))
+
+
+@query("alert_flag_zoned")
+def q_alert_flag_zoned(spark, sf_dir):
+    """C8 over unpartitioned folders: both tables through their zone maps."""
+    p, p_zones = zoned_table(spark, sf_dir, processed(spark, sf_dir), "timestamp", "alert-events")
+    r, r_zones = zoned_table(spark, sf_dir, predictions(spark, sf_dir), "timestamp", "alert-predictions")
+    return alert_flag(scan_newest(spark, p, p_zones, PROCESSED_SCHEMA, RECENT), scan_newest(spark, r, r_zones, PREDICTION_SCHEMA, RECENT))
+
+
 # ---------------------------------------------------------------- F8
 @query("bi_changed_rows")
 def q_bi_changed_rows(spark, sf_dir):

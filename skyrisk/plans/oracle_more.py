@@ -538,6 +538,8 @@ FROM numbered""",
     "topic_backlog": BEHIND,
     "latest_windows_zoned": ABASE + _top(10),
     "timeseries_tail_zoned": ORACLE["timeseries_tail"],
+    "latest_predictions_zoned": ORACLE["latest_predictions"],
+    "alert_flag_zoned": ORACLE["alert_flag"],
     "throughput_wall": WALL,
     "event_log_executors": f"""SELECT CAST(event_id % 2 AS INTEGER) AS app, CAST(user_id % 8 AS VARCHAR) AS id, 2 AS cores, 455501414 / 1e6 AS memory_mb,
        {ENDS.format('tasks')},

@@ -30,7 +30,8 @@ def test_process_train_predict_query(spark, sf_small):
     assert set(metrics) >= {"accuracy", "weightedPrecision", "weightedRecall", "f1",
                             "total_rows", "clean_rows", "train_time_s"}
     main(["predict", "--topic-path", topic.path, "--models", d["models"], "--predictions",
-          d["pred"], "--checkpoints", d["ckpt"] + "-p", "--starting-offsets", "earliest", "--timeout", "300"], spark)
+          d["pred"], "--checkpoints", d["ckpt"] + "-p", "--starting-offsets", "earliest", "--timeout", "300",
+          "--zones", d["pred"] + "-zones"], spark)
     preds = spark.read.parquet(d["pred"])
     assert preds.count() > 0 and preds.where(F.col("risk_prediction") == "unknown").count() == 0
     for name in SERVING:
@@ -38,6 +39,15 @@ def test_process_train_predict_query(spark, sf_small):
         main(["query", name, "--processed", d["proc"], "--aggregates", d["agg"],
               "--predictions", d["pred"], "--out", o], spark)
         assert spark.read.json(o).count() >= 1, name
+        if name == "status":
+            rows = {r["dataset"]: r["rows"] for r in spark.read.json(o).collect()}
+            assert rows == {"processed": expected.count(), "aggregates": spark.read.parquet(d["agg"]).count(), "predictions": preds.count()}
+        if name in ("latest-predictions", "alerts"):        # predict's zone map gives the same answers
+            z = scratch_path(spark, "z-" + name)
+            main(["query", name, "--processed", d["proc"], "--predictions", d["pred"], "--zones", d["pred"] + "-zones", "--out", z], spark)
+            assert sorted(map(str, spark.read.json(z).collect())) == sorted(map(str, spark.read.json(o).collect()))
+    from skyrisk.sources.zones import read_zones
+    assert read_zones(spark, d["pred"] + "-zones/predictions").agg(F.sum("rows")).first()[0] == preds.where("timestamp is not null").count()
 
 
 def test_train_gate_on_missing_data(spark):

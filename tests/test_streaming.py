@@ -241,6 +241,18 @@ def test_latest_per_key_is_one_pass(spark, sf_small):
     assert plan.count("FileScan") == 1 and "SortAggregate" not in plan and "Join" not in plan
 
 
+def test_latest_per_key_takes_whole_rows(spark):
+    from skyrisk.operators.serving import latest_per_key
+    rows = [("a", 10, 1.0, 9), ("a", 20, 5.0, 1), ("a", 20, 2.0, 7), ("a", 20, None, 8), ("a", None, 99.0, 99), ("b", -5, 1.0, 2), ("b", -5, 1.0, 2)]
+    df = spark.createDataFrame(rows, "city string, s long, x double, n long").select(
+        "city", F.timestamp_seconds("s").alias("window_start"), "x", "n")
+    for parts in (1, 5):
+        got = {r.city: (r.x, r.n) for r in latest_per_key(df.repartition(parts), "city", "window_start").collect()}
+        assert got["a"] in [(5.0, 1), (2.0, 7), (None, 8)] and got["b"] == (1.0, 2)
+        first = got if parts == 1 else first
+        assert got == first
+
+
 def test_bi_state_that_cannot_be_read_stops_the_batch(spark, tmp_path):
     import pytest
     from skyrisk.streaming.bi import _last_state, drop_old_states
