@@ -76,6 +76,14 @@ class CachedEncoder:
         x = pc.replace_substring_regex(x, TAIL, "\\1 \x01\\2")
         return pc.split_pattern(pc.if_else(odd, whole, x), " ")
 
+    @staticmethod
+    def _strings(chunks: pa.Array) -> list[str]:
+        """Chunks as Python strings, made from one: none holds the blank they were cut at."""
+        if not len(chunks):
+            return []
+        ends = pa.array([0, len(chunks)], pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(ends, chunks), " ")[0].as_py().split(" ")
+
     def _source(self, chunk: str, texts: pa.Array) -> str:
         if self.word_ends or chunk == "\n":
             return chunk
@@ -111,7 +119,7 @@ class CachedEncoder:
         texts = pc.fill_null(texts.cast(pa.string()), "")
         lists = self._chunks(texts)
         which = lists.flatten().dictionary_encode()
-        chunks = which.dictionary.to_pylist()
+        chunks = self._strings(which.dictionary)
         if len(self.known) > self.cache:
             self._begin()
         number = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
