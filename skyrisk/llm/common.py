@@ -62,16 +62,18 @@ def key_hash(key: str) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << 32))
 
 
-def training_labels(labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """At most ``limit`` labelled (doc_id, label) rows outside the held-out fold.
+def training_labels(labels: DataFrame, label: str, limit: int | None = None) -> DataFrame:
+    """The labelled (doc_id, label) rows outside the held-out fold, all of them or at most ``limit``.
 
     The rows with the smallest id hashes are taken, so the choice does not
     depend on the partitioning.  A document labelled twice counts once, with
     its larger label; rows without id or label do not count.
     """
     lab = pick(labels, doc_id="doc_id", label=label).where("doc_id is not null and label is not null")
-    lab = lab.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
-    lab = thin(lab.where(fold("doc_id") != 0), "doc_id", limit).groupBy("doc_id").agg(F.max("label").alias("label"))
+    lab = lab.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).where(fold("doc_id") != 0)
+    if limit is None:
+        return lab.groupBy("doc_id").agg(F.max("label").alias("label"))
+    lab = thin(lab, "doc_id", limit).groupBy("doc_id").agg(F.max("label").alias("label"))
     return lab.orderBy(key_hash("doc_id"), "doc_id").limit(limit)
 
 

@@ -1,7 +1,9 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyrisk.llm import quality_gbt as G
 from skyrisk.llm import quality_rules as R
@@ -191,3 +193,51 @@ def test_splits_against_brute_force():
             right = x[:, f.feature[0, node]] > f.cut[0, node]
             assert gain(rows, right) >= best - 1e-9 or best <= 1e-6
             todo += [(2 * node + 1, rows & ~right), (2 * node + 2, rows & right)]
+
+
+def test_limit_of_all_labelled_rows(spark):
+    """Of more labelled rows than any fixed number, every one outside the held-out fold sets the limit."""
+    n, filler = 27_000, " ".join(f"w{i}" for i in range(60))
+    d = spark.range(n).select(F.col("id").alias("doc_id"), F.expr(f"""concat('{filler} ', repeat('Aa#b, ', cast(pmod(xxhash64(id), 40) as int)),
+        repeat('x', cast(pmod(xxhash64(id, 1), 300) as int)), if(id % 9 = 0, repeat(' $', 45), ''))""").alias("text"))
+    lab = d.select("doc_id", F.when(F.col("doc_id") % 9 != 0, 1).otherwise(0).alias("quality"))
+    forest = R.train(d, lab)
+    rows = [r for r in R.judged(d, lab).orderBy("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 and not r["base_failed"]]
+    good, bad = (np.array([r["anomaly"] for r in rows if (r["doc_id"] % 9 != 0) == y]) for y in (True, False))
+    assert len(good) > 15_000 and len(good) + len(bad) > 20_000
+    top = np.sort(good[1::2])[int(np.ceil(len(good[1::2]) * (1 - R.LOSS))) - 1]
+    assert (bad > top).any() and forest.limit == (top + np.quantile(bad[bad > top], 0.1)) / 2
+    assert forest.limit == R.calibrate(good[1::2], bad)
+
+
+def test_trees_draw_from_all_rows(spark, monkeypatch):
+    """Of more rows than all trees hold, each tree still draws its own among all of them."""
+    monkeypatch.setattr(R, "TREES", 20)
+    monkeypatch.setattr(R, "SUBSAMPLE", 16)
+    x = np.random.default_rng(3).random((2000, len(NAMES))).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "place long, x array<float>").repartition(5)
+    got = R.grown(rows, 2000)
+    drawn = np.array([np.random.default_rng((R.SEED, t)).choice(2000, 16, replace=False) for t in range(20)])
+    want = R.fit(x[:, R.COLUMNS], 20, 16, R.SEED, drawn)
+    assert (got.path == want.path).all() and (got.cut == want.cut).all() and drawn.max() > 1900 > 100 > drawn.min()
+    few = R.grown(rows.where("place < 320"), 320)
+    want = R.fit(x[:320, R.COLUMNS], 20, 16)
+    assert (few.path == want.path).all() and (few.cut == want.cut).all()
+
+
+def test_ranks_of_a_table(spark):
+    """Order statistics as of the sorted array, with equal, neighbouring and extreme scores."""
+    rng = np.random.default_rng(4)
+    for s in (rng.random(300), np.r_[np.full(50, 0.5), np.nextafter(0.5, 1), np.nextafter(0.5, 0), 1.0, 1e-9], np.array([1.0])):
+        ranks, s = R.Ranks(spark.createDataFrame([(float(v),) for v in s], "anomaly double")), np.sort(s)
+        assert len(ranks) == len(s) and ranks.searchsorted(float(s[len(s) // 2]), side="right") == s.searchsorted(s[len(s) // 2], side="right")
+        for k in {0, len(s) // 3, len(s) // 2, len(s) - 2, len(s) - 1} - {-1}:
+            assert ranks[k] == s[k]
+
+
+def test_numbering_in_order(spark):
+    rows = spark.range(0, 3000, numPartitions=7).select((F.col("id") * 7919 % 3000).alias("doc_id"), (F.col("id") % 2).alias("x"))
+    got, n = R._numbered(rows.union(rows.limit(10)), "doc_id", "x")
+    got = sorted((r["place"], r["doc_id"]) for r in got.collect())
+    assert n == 3010 and [p for p, _ in got] == list(range(3010)) and [k for _, k in got] == sorted(k for _, k in got)
+    assert R._numbered(rows.where("false"), "doc_id")[1] == 0
